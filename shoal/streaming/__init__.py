@@ -1,0 +1,7 @@
+"""No streaming layer.
+
+The surveys are rebuilt in full batches that end in an overwrite; there are
+no event-time windows, watermarks or state to reproduce, so this package
+holds nothing.  Incremental refresh is a batch concern: re-run a survey job
+and ``integrate`` over the published datasets.
+"""
