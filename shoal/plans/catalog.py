@@ -13,7 +13,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.operators import fill
+from shoal.functions import exprs
+from shoal.operators import expand, fill, joins, windows
 from shoal.plans import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +37,164 @@ def q_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     """Z1 + F10 (+U1): the integrate step's fish table."""
     out = fill.integrate_fish(roles.fish(spark, d))
     return out.select("SampleID", "Taxa", "Length", "Count", "Notes_catch")
+
+
+# -- expansion family -----------------------------------------------------------
+
+@register("expand_counts")
+def q_expand_counts(spark: SparkSession, d: str) -> DataFrame:
+    """A1 + A2 (+W1 as aggregate-and-join): catch left join measured lengths."""
+    out = expand.expand_counts(roles.catch(spark, d), roles.lengths(spark, d),
+                               ["SampleID", "Taxa"])
+    return out.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"))
+
+
+@register("expand_overflow")
+def q_expand_overflow(spark: SparkSession, d: str) -> DataFrame:
+    """Catch raised to the measured number; unmeasured catch keeps its count."""
+    ln = roles.lines(spark, d)
+    catch = (ln.groupBy("SampleID", "Taxa")
+             .agg(F.count_if(F.col("discount") >= 0.05).cast("double").alias("Catch")))
+    lengths = ln.select("SampleID", "Taxa",
+                        F.when(F.col("Length") == 0, F.lit(None).cast("double"))
+                        .otherwise(F.col("Length")).alias("Length"))
+    out = expand.expand_raise_catch(catch, lengths, ["SampleID", "Taxa"])
+    return out.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"), "CatchNew",
+                      "Length_NA_flag")
+
+
+@register("plus_count_group")
+def q_plus_count_group(spark: SparkSession, d: str) -> DataFrame:
+    """Expansion within (sample, organism, group) with the zero-measured branch."""
+    rows = roles.lines(spark, d).select(
+        "SampleID", "Taxa", F.col("returnflag").alias("Grp"), "Length",
+        F.round(F.col("tax") * 100).alias("Count"))
+    out = expand.expand_plus_count_group(rows, ["SampleID", "Taxa", "Grp"])
+    return out.select("SampleID", "Taxa", "Grp", "Length", r6("Count").alias("Count"),
+                      "Length_NA_flag")
+
+
+@register("size_group_expand")
+def q_size_group_expand(spark: SparkSession, d: str) -> DataFrame:
+    """J8 + A9: unmeasured fish define a "< length" size range; measured fish
+    inside it join its size group; expansion runs per size group."""
+    rows = roles.lines(spark, d).select(
+        "SampleID", "Taxa", "Length", "quantity",
+        F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count"))
+    unmeasured = windows.numbered(rows.filter(F.col("Length") == 0), ["quantity", "Count"],
+                                  ["SampleID", "Taxa"], out="SizeGroup")
+    unmeasured = unmeasured.withColumn("SizeGroup", F.col("SizeGroup") + 1)
+    ranges = unmeasured.select("SampleID", "Taxa", F.lit(None).cast("double").alias("Min_length"),
+                               F.col("quantity").alias("Max_length"), "SizeGroup")
+    measured = joins.assign_size_groups(rows.filter(F.col("Length") != 0), ranges,
+                                        ["SampleID", "Taxa"], "Length")
+    grouped = measured.unionByName(unmeasured)
+    out = expand.expand_size_groups(grouped.drop("quantity"), ["SampleID", "Taxa", "SizeGroup"])
+    return out.select("SampleID", "Taxa", "SizeGroup", "Length", r6("Count").alias("Count"),
+                      "Length_NA_flag")
+
+
+@register("time_expand")
+def q_time_expand(spark: SparkSession, d: str) -> DataFrame:
+    """A10: raise to measured, expand by length frequency, then by pumping time."""
+    ln = roles.lines(spark, d)
+    tm = ln.groupBy("SampleID", "Taxa").agg(
+        F.count_if(F.col("Length") != 0).cast("double").alias("TotalMeasured"))
+    rows = joins.join(joins.join(ln, roles.catch(spark, d), ["SampleID", "Taxa"], "inner"),
+                      tm, ["SampleID", "Taxa"], "inner").select(
+        "SampleID", "Taxa", "Length", F.col("Catch").alias("Count"), "TotalMeasured",
+        F.when(F.col("Length") != 0, F.lit(1.0)).alias("LengthFrequency"),
+        F.col("quantity").alias("MinutesPumping"),
+        F.when(F.col("tax") == 0, F.lit(0.0)).otherwise(F.lit(10.0)).alias("SampleTimeLength"),
+        F.when(F.col("returnflag") == "A", F.lit("0000"))
+         .when(F.col("returnflag") == "N", F.lit("9999")).otherwise(F.lit("8888")).alias("StudyRowID"),
+        (F.col("discount") > 0).alias("FishCaught"),
+        F.col("SampleID").alias("Station"),
+        F.col("linenumber").alias("OrganismCode"))
+    out = expand.expand_time(rows)
+    return out.select("SampleID", "Taxa", "Length", r6("Count1").alias("Count1"),
+                      r6("ExpandedCount").alias("ExpandedCount"), r6("Count").alias("Count"))
+
+
+@register("volumetric_expand")
+def q_volumetric_expand(spark: SparkSession, d: str) -> DataFrame:
+    """A3: total catch from measured + plus count scaled by volumes."""
+    ln = roles.lines(spark, d)
+    lengths = ln.filter(F.col("Length") != 0).select("SampleID", "Taxa", "Length", "Frequency")
+    catch = ln.groupBy("SampleID", "Taxa").agg(
+        F.when(F.min("discount") == 0, F.lit(None).cast("double"))
+         .otherwise(F.count_if(F.col("Length") == 0).cast("double")).alias("PlusCount"),
+        F.sum("quantity").alias("QtsCaught"),
+        F.sum(F.when(F.col("Length") == 0, F.lit(0.0)).otherwise(F.col("quantity"))).alias("QtsSubsampled"))
+    out = expand.expand_volumetric(catch, lengths, ["SampleID", "Taxa"])
+    return out.select("SampleID", "Taxa", "Length", "Frequency", r6("Count").alias("Count"))
+
+
+@register("merge_duplicates")
+def q_merge_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """A11 + N6: group by every other column, strict sum of Count."""
+    f = roles.fish(spark, d).select("Source", "SampleID", "Taxa", "Length", "Count")
+    out = expand.merge_duplicates(f, "Count")
+    return out.withColumn("Count", r6("Count"))
+
+
+@register("no_catch_retention")
+def q_no_catch_retention(spark: SparkSession, d: str) -> DataFrame:
+    """J7 + P25 + P26: samples left join expanded catch; empty samples become
+    one "No fish caught" row with count 0."""
+    ex = expand.expand_counts(roles.catch(spark, d), roles.lengths(spark, d),
+                              ["SampleID", "Taxa"]).select("SampleID", "Taxa", "Length", "Count")
+    s = roles.samples(spark, d).select("SampleID", "Source")
+    out = joins.retain_samples(s, ex, ["SampleID"])
+    out = out.withColumn("Length_NA_flag", exprs.length_flag("Length", "Count"))
+    out = out.withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag"))
+    return out.select("SampleID", "Source", "Taxa", "Length", r6("Count").alias("Count"),
+                      "Length_NA_flag")
+
+
+@register("null_safe_lookup")
+def q_null_safe_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """J1 + J2 + N1: crosswalk code -> taxon, then a code table whose null
+    code decodes null codes (dplyr matches NA to NA)."""
+    li = roles.read(spark, d, "lineitem").select(
+        "l_partkey", F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
+        .otherwise(F.col("l_returnflag")).alias("code"))
+    species = roles.read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("Taxa"))
+    t = joins.to_taxa(li, species, "l_partkey", "p_partkey")
+    codes = li.select("code").distinct().withColumn(
+        "label", F.coalesce(F.concat(F.lit("flag "), F.col("code")), F.lit("missing")))
+    dec = joins.decode(t, codes, "code", "code", "label", "label")
+    return dec.groupBy("code", "label", "Taxa").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("full_outer_chain")
+def q_full_outer_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Sample -> tow -> catch chain of full outer joins, keys coalesced."""
+    ln = roles.lines(spark, d)
+    a = roles.samples(spark, d).filter(F.col("Source") != "P").select("SampleID", "Source")
+    b = ln.filter(F.col("linenumber") <= 4).select("SampleID", F.col("linenumber").alias("Tow"),
+                                                   "quantity")
+    c = ln.filter(F.col("discount") >= 0.03).select("SampleID", F.col("linenumber").alias("Tow"),
+                                                    "Taxa", "price")
+    out = joins.full_outer_chain([(a, []), (b, ["SampleID"]), (c, ["SampleID", "Tow"])])
+    return out.select("SampleID", "Source", "Tow", "quantity", "Taxa", "price")
+
+
+@register("calibration_fallback")
+def q_calibration_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """J5 + A12 + P14: meter k-factor by (year, serial) else the serial's
+    mean, then tow volume."""
+    li = roles.read(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
+    sup = roles.read(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    corr = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+            .groupBy(F.year("l_shipdate").alias("Year"), F.col("s_nationkey").alias("Serial"))
+            .agg(F.avg("l_discount").alias("kFactor")))
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey")
+    tows = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("SampleID"), F.year("o_orderdate").alias("Year"),
+        F.col("c_nationkey").alias("Serial"), (F.col("o_totalprice") / 1000).alias("MeterCheck"))
+    out = joins.calibrate(tows, corr, "Year", "Serial")
+    out = out.withColumn("Tow_volume", exprs.tow_volume("MeterCheck", F.col("kFactor_final"), 1.51))
+    return out.select("SampleID", r6("kFactor_final").alias("kFactor_final"),
+                      r6("Tow_volume").alias("Tow_volume"))

@@ -11,7 +11,7 @@ LINES = """lines AS (
   SELECT l.l_orderkey AS SampleID,
          CASE WHEN p.p_brand = 'Brand#1' THEN 'UnID' ELSE p.p_brand END AS Taxa,
          CASE WHEN l.l_linenumber = 1 THEN 0.0 ELSE l.l_quantity END AS Length,
-         1.0 AS Frequency, l.l_linenumber AS linenumber, l.l_discount AS discount,
+         CAST(1 AS DOUBLE) AS Frequency, l.l_linenumber AS linenumber, l.l_discount AS discount,
          l.l_tax AS tax, l.l_extendedprice AS price, l.l_quantity AS quantity,
          l.l_returnflag AS returnflag, l.l_shipdate AS shipdate
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
@@ -51,3 +51,165 @@ filled AS (
     ON f.Source = g.Source AND f.SampleID = g.SampleID AND f.Taxa IS NOT DISTINCT FROM g.Taxa)""") + """
 SELECT SampleID, Taxa, Length, Count, Notes_catch FROM filled
 WHERE Taxa IS NOT NULL AND NOT (Taxa = 'UnID' AND Count = 0)"""
+
+# -- expansion family -------------------------------------------------------------
+
+EXPAND = """measured AS (
+  SELECT SampleID, Taxa, Length, sum(Frequency) AS Frequency FROM lines
+  WHERE Length <> 0 GROUP BY SampleID, Taxa, Length),
+tot AS (SELECT SampleID, Taxa, sum(Frequency) AS TotalMeasured FROM measured GROUP BY SampleID, Taxa),
+mt AS (SELECT m.*, t.TotalMeasured FROM measured m JOIN tot t
+       ON m.SampleID = t.SampleID AND m.Taxa IS NOT DISTINCT FROM t.Taxa),
+ex AS (
+  SELECT * FROM (
+    SELECT c.SampleID, c.Taxa, mt.Length,
+           CASE WHEN mt.Length IS NULL THEN c.Catch
+                ELSE mt.Frequency / mt.TotalMeasured * c.Catch END AS Count
+    FROM catch c LEFT JOIN mt ON c.SampleID = mt.SampleID AND c.Taxa IS NOT DISTINCT FROM mt.Taxa)
+  WHERE Count IS NOT NULL)"""
+
+SQL["expand_counts"] = with_(LINES, CATCH, EXPAND) + """
+SELECT SampleID, Taxa, Length, round(Count, 6) AS Count FROM ex"""
+
+SQL["expand_overflow"] = with_(LINES, """measured AS (
+  SELECT SampleID, Taxa, Length, CAST(count(*) AS DOUBLE) AS LengthFrequency
+  FROM lines WHERE Length <> 0 GROUP BY SampleID, Taxa, Length),
+tot AS (SELECT SampleID, Taxa, sum(LengthFrequency) AS TM FROM measured GROUP BY SampleID, Taxa),
+c2 AS (SELECT SampleID, Taxa, CAST(count(*) FILTER (WHERE discount >= 0.05) AS DOUBLE) AS Catch
+       FROM lines GROUP BY SampleID, Taxa),
+j AS (SELECT c.SampleID, c.Taxa, c.Catch, m.Length, m.LengthFrequency, COALESCE(t.TM, 0.0) AS TM
+      FROM c2 c LEFT JOIN measured m ON c.SampleID = m.SampleID AND c.Taxa = m.Taxa
+      LEFT JOIN tot t ON c.SampleID = t.SampleID AND c.Taxa = t.Taxa),
+k AS (SELECT *, CASE WHEN TM > Catch THEN TM ELSE Catch END AS CatchNew FROM j),
+e AS (SELECT *, LengthFrequency / NULLIF(TM, 0) * CatchNew AS ex FROM k)""") + """
+SELECT SampleID, Taxa, Length,
+       round(CASE WHEN Catch IS NOT NULL AND ex IS NULL THEN Catch ELSE ex END, 6) AS Count,
+       CatchNew,
+       CASE WHEN Catch IS NOT NULL AND ex IS NULL THEN 'Unknown length' END AS Length_NA_flag
+FROM e"""
+
+SQL["plus_count_group"] = with_(LINES, """r AS (SELECT SampleID, Taxa, returnflag AS Grp, Length,
+       round(tax * 100) AS Count FROM lines),
+m AS (SELECT SampleID, Taxa, Grp, Length,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+      FROM r GROUP BY SampleID, Taxa, Grp, Length),
+g AS (SELECT SampleID, Taxa, Grp,
+             CASE WHEN count(*) FILTER (WHERE Length <> 0) = count(Count) FILTER (WHERE Length <> 0)
+                  THEN COALESCE(sum(Count) FILTER (WHERE Length <> 0), 0.0) END AS measured,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS total
+      FROM m GROUP BY SampleID, Taxa, Grp),
+j AS (SELECT m.*, g.measured, g.total, COALESCE(g.measured = 0 AND m.Count > 0, false) AS inf
+      FROM m JOIN g ON m.SampleID = g.SampleID AND m.Taxa = g.Taxa AND m.Grp = g.Grp),
+k AS (SELECT *, CASE WHEN inf AND Length = 0 THEN NULL ELSE Length END AS L2 FROM j)""") + """
+SELECT SampleID, Taxa, Grp, L2 AS Length,
+       round(CASE WHEN inf THEN total ELSE Count / NULLIF(measured, 0) * total END, 6) AS Count,
+       CASE WHEN inf THEN 'Unknown length' WHEN L2 IS NULL THEN 'No fish caught' END AS Length_NA_flag
+FROM k WHERE L2 <> 0 OR L2 IS NULL"""
+
+SQL["size_group_expand"] = with_(LINES, """r AS (SELECT SampleID, Taxa, Length, quantity,
+       CASE WHEN discount >= 0.05 THEN 2.0 ELSE 1.0 END AS Count FROM lines),
+rng AS (SELECT SampleID, Taxa, quantity AS mx, Count,
+              CAST(row_number() OVER (PARTITION BY SampleID, Taxa ORDER BY quantity, Count) + 1 AS INTEGER) AS g
+       FROM r WHERE Length = 0),
+grp AS (
+  SELECT SampleID, Taxa, 0.0 AS Length, CAST(Count AS DOUBLE) AS Count, g AS SizeGroup FROM rng
+  UNION ALL
+  SELECT r.SampleID, r.Taxa, r.Length, CAST(r.Count AS DOUBLE) AS Count,
+         COALESCE((SELECT min(g.g) FROM rng g WHERE g.SampleID = r.SampleID AND g.Taxa = r.Taxa
+                   AND r.Length < g.mx), 1) AS SizeGroup
+  FROM r WHERE r.Length <> 0),
+tm AS (SELECT SampleID, Taxa, SizeGroup, sum(Count) AS TM FROM grp
+       WHERE Length <> 0 OR Length IS NULL GROUP BY SampleID, Taxa, SizeGroup),
+tc AS (SELECT SampleID, Taxa, SizeGroup, sum(Count) AS TC FROM grp GROUP BY SampleID, Taxa, SizeGroup),
+j AS (SELECT grp.*, tm.TM, tc.TC FROM grp
+      LEFT JOIN tm ON grp.SampleID = tm.SampleID AND grp.Taxa = tm.Taxa AND grp.SizeGroup = tm.SizeGroup
+      LEFT JOIN tc ON grp.SampleID = tc.SampleID AND grp.Taxa = tc.Taxa AND grp.SizeGroup = tc.SizeGroup)""") + """
+SELECT SampleID, Taxa, SizeGroup, CASE WHEN TM IS NULL THEN NULL ELSE Length END AS Length,
+       round(CASE WHEN TM IS NULL OR TM = 0 THEN Count ELSE Count / TM * TC END, 6) AS Count,
+       CASE WHEN TM IS NULL THEN 'Unknown length' END AS Length_NA_flag
+FROM j WHERE Length <> 0 OR Length IS NULL OR TM IS NULL"""
+
+SQL["time_expand"] = with_(LINES, CATCH, """ms AS (SELECT SampleID, Taxa,
+       CAST(count(*) FILTER (WHERE Length <> 0) AS DOUBLE) AS TM FROM lines GROUP BY SampleID, Taxa),
+r AS (SELECT l.SampleID, l.Taxa, l.Length, c.Catch AS Count, ms.TM,
+             CASE WHEN l.Length <> 0 THEN 1.0 END AS LF, l.quantity AS MP,
+             CASE WHEN l.tax = 0 THEN 0.0 ELSE 10.0 END AS STL,
+             CASE l.returnflag WHEN 'A' THEN '0000' WHEN 'N' THEN '9999' ELSE '8888' END AS Study,
+             l.discount > 0 AS FishCaught, l.linenumber AS OrganismCode
+      FROM lines l JOIN catch c ON l.SampleID = c.SampleID AND l.Taxa = c.Taxa
+      JOIN ms ON l.SampleID = ms.SampleID AND l.Taxa = ms.Taxa),
+a AS (SELECT *, CASE WHEN TM IS NOT NULL AND (COALESCE(TM > Count, false) OR Count IS NULL)
+                     THEN TM ELSE Count END AS Count1 FROM r),
+b AS (SELECT *, CASE WHEN TM IS NOT NULL AND TM <> 0 AND COALESCE(Count1 >= TM, false)
+                     THEN LF / TM * Count1 ELSE Count1 END AS Ex FROM a)""") + """
+SELECT SampleID, Taxa, Length, round(Count1, 6) AS Count1, round(Ex, 6) AS ExpandedCount,
+       round(CASE WHEN (MP IS NULL OR MP = 0 OR STL = 0 OR STL IS NULL)
+                       AND COALESCE(FishCaught <> true, false) THEN 0.0
+                  WHEN Study = '0000' THEN Ex * (MP / NULLIF(STL, 0))
+                  WHEN Study = '9999' THEN Ex
+                  WHEN Study = '8888' THEN 0.0
+                  ELSE 0.0 END, 6) AS Count
+FROM b"""
+
+SQL["volumetric_expand"] = with_(LINES, """ln AS (SELECT SampleID, Taxa, Length, Frequency
+       FROM lines WHERE Length <> 0),
+cc AS (SELECT SampleID, Taxa,
+              CASE WHEN min(discount) = 0 THEN NULL
+                   ELSE CAST(count(*) FILTER (WHERE Length = 0) AS DOUBLE) END AS PlusCount,
+              sum(quantity) AS QtsCaught,
+              sum(CASE WHEN Length = 0 THEN 0.0 ELSE quantity END) AS QtsSubsampled
+       FROM lines GROUP BY SampleID, Taxa),
+tot AS (SELECT SampleID, Taxa, sum(Frequency) AS TM FROM ln GROUP BY SampleID, Taxa),
+tc AS (SELECT cc.SampleID, cc.Taxa, tot.TM,
+              (tot.TM + cc.PlusCount) * (cc.QtsCaught / NULLIF(cc.QtsSubsampled, 0)) AS TotalCatch
+       FROM cc JOIN tot ON cc.SampleID = tot.SampleID AND cc.Taxa = tot.Taxa
+       WHERE cc.PlusCount IS NOT NULL AND tot.TM IS NOT NULL)""") + """
+SELECT ln.SampleID, ln.Taxa, ln.Length, ln.Frequency,
+       round(ln.Frequency / tc.TM * tc.TotalCatch, 6) AS Count
+FROM ln LEFT JOIN tc ON ln.SampleID = tc.SampleID AND ln.Taxa = tc.Taxa"""
+
+SQL["merge_duplicates"] = with_(LINES, SAMPLES, FISH) + """
+SELECT Source, SampleID, Taxa, Length,
+       round(CASE WHEN count(*) = count(Count) THEN sum(Count) END, 6) AS Count
+FROM fish GROUP BY Source, SampleID, Taxa, Length"""
+
+SQL["no_catch_retention"] = with_(LINES, SAMPLES, CATCH, EXPAND, """j AS (
+  SELECT s.SampleID, s.Source, ex.Taxa, ex.Length, ex.Count,
+         CASE WHEN ex.Length IS NULL AND ex.Count IS NULL THEN 'No fish caught'
+              WHEN ex.Length IS NULL AND ex.Count > 0 THEN 'Unknown length' END AS Length_NA_flag
+  FROM samples s LEFT JOIN ex ON s.SampleID = ex.SampleID)""") + """
+SELECT SampleID, Source, Taxa, Length,
+       round(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END, 6) AS Count,
+       Length_NA_flag
+FROM j"""
+
+SQL["null_safe_lookup"] = """WITH li AS (
+  SELECT l_partkey, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS code FROM lineitem),
+codes AS (SELECT DISTINCT code, COALESCE('flag ' || code, 'missing') AS label FROM li)
+SELECT li.code, codes.label, p.p_brand AS Taxa, count(*) AS n
+FROM li LEFT JOIN part p ON li.l_partkey = p.p_partkey
+LEFT JOIN codes ON li.code IS NOT DISTINCT FROM codes.code
+GROUP BY li.code, codes.label, p.p_brand"""
+
+SQL["full_outer_chain"] = with_(LINES, SAMPLES, """a AS (SELECT SampleID, Source FROM samples WHERE Source <> 'P'),
+b AS (SELECT SampleID, linenumber AS Tow, quantity FROM lines WHERE linenumber <= 4),
+c AS (SELECT SampleID, linenumber AS Tow, Taxa, price FROM lines WHERE discount >= 0.03),
+ab AS (SELECT COALESCE(a.SampleID, b.SampleID) AS SampleID, a.Source, b.Tow, b.quantity
+       FROM a FULL JOIN b ON a.SampleID = b.SampleID)""") + """
+SELECT COALESCE(ab.SampleID, c.SampleID) AS SampleID, ab.Source, COALESCE(ab.Tow, c.Tow) AS Tow,
+       ab.quantity, c.Taxa, c.price
+FROM ab FULL JOIN c ON ab.SampleID IS NOT DISTINCT FROM c.SampleID AND ab.Tow IS NOT DISTINCT FROM c.Tow"""
+
+SQL["calibration_fallback"] = """WITH corr AS (
+  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS Year, s.s_nationkey AS Serial, avg(l.l_discount) AS kFactor
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_returnflag = 'R'
+  GROUP BY 1, 2),
+cd AS (SELECT DISTINCT Year, Serial, kFactor FROM corr),
+avgk AS (SELECT Serial, avg(kFactor) AS kavg FROM cd GROUP BY Serial),
+tows AS (SELECT o.o_orderkey AS SampleID, CAST(year(o.o_orderdate) AS INTEGER) AS Year,
+                c.c_nationkey AS Serial, o.o_totalprice / 1000 AS MeterCheck
+         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+SELECT t.SampleID, round(COALESCE(cd.kFactor, a.kavg), 6) AS kFactor_final,
+       round(t.MeterCheck * COALESCE(cd.kFactor, a.kavg) * 1.51, 6) AS Tow_volume
+FROM tows t LEFT JOIN cd ON t.Year = cd.Year AND t.Serial = cd.Serial
+LEFT JOIN avgk a ON t.Serial = a.Serial"""
