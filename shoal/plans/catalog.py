@@ -13,8 +13,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.functions import exprs
-from shoal.operators import expand, fill, joins, windows
+from shoal.functions import exprs, salinity
+from shoal.operators import expand, fill, filters, joins, windows
 from shoal.plans import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,229 @@ def q_calibration_fallback(spark: SparkSession, d: str) -> DataFrame:
     out = out.withColumn("Tow_volume", exprs.tow_volume("MeterCheck", F.col("kFactor_final"), 1.51))
     return out.select("SampleID", r6("kFactor_final").alias("kFactor_final"),
                       r6("Tow_volume").alias("Tow_volume"))
+
+
+# -- filters ----------------------------------------------------------------------
+
+# Patterns marking notes of periods with no fish sampling.
+NO_SAMPLING_PATTERNS = [
+    r"no\s*(count|cnt|fish\s*(count|cnt|salvage))",
+    r"(shut\s*down|shutdown|facilityshutdown)",
+    r"down\s*for\s*(maintenance|repairs)",
+    r"no\s*(pumping|water|flow|salvage|export|TFF.*salvage)",
+    r"(zero|0)\s*(count|slvg|export|flow|pumping|salvage|units|bapp)",
+    r"(power\s*outage|equipment\s*failure)",
+    r"stopped\s*pumping\s*water",
+    r"no\s+(fish\s+|10\s+(min(ute)?\.?\s+)?)?(count)",
+]
+
+# Patterns that do occur in the driver's document text (license lines,
+# e-mail addresses, phone-like numbers), to exercise the same filter.
+NOTE_HIT_PATTERNS = [r"licen[cs]e", r"@", r"\d{3}-\d{4}"]
+
+
+def _doc_samples(spark: SparkSession, d: str) -> DataFrame:
+    docs = roles.read(spark, d, "documents").select("doc_id", "text", "lang")
+    lab = roles.read(spark, d, "labels").select("doc_id", "quality")
+    j = joins.join(docs, lab, ["doc_id"], "left", null_safe=False)
+    return j.select(
+        F.col("doc_id").alias("SampleID"), F.col("text").alias("Notes_tow"),
+        F.col("quality").cast("double").alias("Count"),
+        F.when(F.col("lang") == "en", F.lit("Normal count")).otherwise(F.lit("Second flush")).alias("Method"))
+
+
+@register("notes_regex")
+def q_notes_regex(spark: SparkSession, d: str) -> DataFrame:
+    """drop no-sampling notes with zero count under the normal method."""
+    out = filters.drop_no_sampling(_doc_samples(spark, d), "Notes_tow", NO_SAMPLING_PATTERNS)
+    return out.select("SampleID", "Count", "Method")
+
+
+@register("notes_regex_hits")
+def q_notes_regex_hits(spark: SparkSession, d: str) -> DataFrame:
+    """F6 with patterns present in the text (whole documents are scanned)."""
+    out = filters.drop_no_sampling(_doc_samples(spark, d), "Notes_tow", NOTE_HIT_PATTERNS)
+    return out.select("SampleID", "Count", "Method")
+
+
+@register("drop_spurious_no_fish")
+def q_drop_spurious_no_fish(spark: SparkSession, d: str) -> DataFrame:
+    """F9 + W2: empty-net markers (the UnID brand) vanish from samples with fish."""
+    rows = roles.lines(spark, d).select("SampleID", "Taxa", "Length",
+                                        (F.col("linenumber") - 1).cast("double").alias("Count"))
+    return filters.drop_spurious_no_fish(rows, "SampleID", "Count", F.col("Taxa") == "UnID")
+
+
+@register("drop_totals")
+def q_drop_totals(spark: SparkSession, d: str) -> DataFrame:
+    """F8: pseudo-organism totals (codes 6, 7) kept only as a sample's sole
+    code; samples with the excluded organism (5) lose them, as does 5 itself."""
+    rows = roles.read(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("SampleID"), F.col("l_linenumber").alias("OrganismCode"),
+        F.col("l_quantity").alias("quantity"))
+    return filters.drop_totals(rows, "SampleID", "OrganismCode", (6, 7), (5,))
+
+
+@register("exclusion_windows")
+def q_exclusion_windows(spark: SparkSession, d: str) -> DataFrame:
+    """per-station exclusion windows and listed days (from the data)."""
+    s = joins.join(roles.samples(spark, d), roles.stations(spark, d), ["custkey"], "inner",
+                   null_safe=False).select("SampleID", "Source", "Station", "Date")
+    first = s.groupBy("Station").agg(F.min("Date").alias("start")).withColumn(
+        "end", F.date_add("start", 30))
+    last = s.groupBy("Station").agg(F.max("Date").alias("start")).withColumn("end", F.col("start"))
+    out = joins.exclude(s, first.unionByName(last), ["Station"], "Date",
+                        conditions=F.col("Source") == "F")
+    return out.select("SampleID", "Source", "Station", "Date")
+
+
+@register("patch_table")
+def q_patch_table(spark: SparkSession, d: str) -> DataFrame:
+    """Record corrections from a patch table (set mode)."""
+    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                                 "l_quantity", "l_discount")
+    patches = li.filter(F.col("l_discount") == 0.1).select(
+        "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") * 2).alias("l_quantity"))
+    out = joins.apply_patches(li, patches, ["l_orderkey", "l_linenumber", "l_partkey"],
+                              ["l_quantity"], "set")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
+@register("partial_lengths")
+def q_partial_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """a catch with exactly one unmeasured row loses that row."""
+    rows = roles.lines(spark, d).select(
+        "SampleID", "Taxa", "Length",
+        F.when(F.col("Length") == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("LengthFrequency"),
+        F.lit(None).cast("string").alias("Length_NA_flag"),
+        (F.col("discount") > 0.02).alias("FishCaught"))
+    rows = rows.withColumn("CatchKey", F.concat_ws(" ", F.col("SampleID").cast("string"), "Taxa"))
+    out = filters.drop_partial_lengths(rows, "CatchKey", "LengthFrequency", "Length_NA_flag",
+                                       "FishCaught")
+    return out.select("SampleID", "Taxa", "Length", "LengthFrequency")
+
+
+# -- row-level derivations ----------------------------------------------------------
+
+@register("salinity")
+def q_salinity(spark: SparkSession, d: str) -> DataFrame:
+    """P10 + P11: conductivity (uS/cm = price / 2) -> PSS-78 salinity at 25 C."""
+    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    ec_ms = exprs.convert(F.col("l_extendedprice") / 2, "us_cm", "ms_cm")
+    sal = salinity.ec_to_salinity(ec_ms, 25.0)
+    return li.select("l_orderkey", "l_linenumber", r6(sal).alias("Sal_surf"),
+                     r6(salinity.clamp_salinity(sal)).alias("Sal_clamped"))
+
+
+@register("dms_units")
+def q_dms_units(spark: SparkSession, d: str) -> DataFrame:
+    """P7 + P9: station coordinates from deg/min/sec; unit conversions."""
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    secs = F.abs(F.col("c_acctbal")) / 200
+    return j.select(
+        F.col("c_custkey").alias("custkey"),
+        r6(exprs.dms_to_decimal(F.lit(37) + F.col("n_regionkey"), F.col("c_nationkey"), secs)).alias("Latitude"),
+        r6(exprs.dms_to_decimal(F.lit(121), F.col("c_nationkey"), secs, west=True)).alias("Longitude"),
+        r6(exprs.convert("c_acctbal", "ft", "m")).alias("Depth"),
+        r6(exprs.convert("c_acctbal", "F", "C")).alias("Temp_surf"),
+        r6(exprs.convert("c_acctbal", "m", "cm")).alias("Secchi"),
+        r6(exprs.convert("c_acctbal", "acre_ft", "m3")).alias("Tow_volume"),
+        r6(exprs.convert("c_acctbal", "nmi", "m")).alias("Distance"))
+
+
+@register("meter_effort")
+def q_meter_effort(spark: SparkSession, d: str) -> DataFrame:
+    """P13 + P14 + P16 + P17: meter rollover, tow volume, default and
+    invalidated effort."""
+    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice",
+                                                 "l_quantity", "l_returnflag", "l_tax")
+    delta = exprs.meter_delta(F.col("l_extendedprice"), F.col("l_quantity") * 1000)
+    vol = exprs.tow_volume(delta, 0.026873027, 13.95)
+    start = F.when(F.col("l_tax") == 0, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice"))
+    dflt = exprs.default_effort(vol, 735.0, missing_when=start.isNull(),
+                                suspect=F.col("l_linenumber") == 7)
+    debris = F.when(F.col("l_returnflag") == "R", F.lit("Y")).when(F.col("l_returnflag") == "A", F.lit("N"))
+    return li.select("l_orderkey", "l_linenumber", r6(delta).alias("Meter_total"),
+                     r6(vol).alias("Tow_volume"), r6(dflt).alias("Tow_volume_default"),
+                     r6(exprs.invalidate_effort(vol, debris, zero_is_null=True)).alias("Tow_volume_valid"))
+
+
+@register("compose_datetime")
+def q_compose_datetime(spark: SparkSession, d: str) -> DataFrame:
+    """P18 + P19 + P36: local datetime from ship date + a clock time, with
+    the midnight rule and the spring-forward gap repair."""
+    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
+                                                 "l_shipdate")
+    hh = F.lpad((F.col("l_quantity").cast("int") % 24).cast("string"), 2, "0")
+    mm = F.lpad(((F.col("l_linenumber") - 1) * 7).cast("string"), 2, "0")
+    clock = F.concat_ws(":", hh, mm, F.lit("00"))
+    dt = exprs.compose_datetime(F.to_date("l_shipdate"), clock, midnight_is_null=True)
+    fixed = exprs.fix_dst_gap(dt)
+    # NTZ -> text without passing through the session time zone
+    return li.select("l_orderkey", "l_linenumber",
+                     dt.cast("string").alias("Datetime"),
+                     fixed.cast("string").alias("Datetime_fixed"),
+                     F.year(fixed).alias("year"), F.month(fixed).alias("month"),
+                     F.hour(fixed).alias("hour"), F.minute(fixed).alias("minute"))
+
+
+@register("codes_labels")
+def q_codes_labels(spark: SparkSession, d: str) -> DataFrame:
+    """P4 + P5 + P6 + P23 + P24 + P27 + P28: decode codes, classify by regex,
+    build and strip life-stage labels, pad station codes."""
+    p = roles.read(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    stage = (F.when(F.col("p_size") < 10, F.lit("Age-0"))
+             .when(F.col("p_size") < 20, F.lit("Juvenile")))
+    label = exprs.taxa_label("p_name", stage)
+    return p.select(
+        "p_partkey",
+        exprs.tide("p_size").alias("Tide"),
+        exprs.tow_status("p_size").alias("Tow_status"),
+        exprs.classify("p_type", [("^ECO", "Economy"), ("^(SMALL|MEDIUM)", "Sized")]).alias("Class"),
+        label.alias("Taxa_label"),
+        exprs.strip_lifestage(label).alias("Taxa"),
+        exprs.pad_station("p_size", 3).alias("Station"),
+        F.upper("p_name").alias("Name_upper"))
+
+
+@register("sample_ids")
+def q_sample_ids(spark: SparkSession, d: str) -> DataFrame:
+    """P21 + P22 + W3: natural-key ids (nulls spelled NA) and ids numbered
+    within (source, year) by a total order."""
+    o = roles.read(spark, d, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderdate",
+        F.when(F.col("o_orderpriority").startswith("5"), F.lit(None).cast("string"))
+        .otherwise(F.col("o_orderpriority")).alias("priority"))
+    o = o.withColumn("year", F.year("o_orderdate"))
+    n = windows.numbered(o, ["o_orderdate", "o_orderkey"], ["o_orderstatus", "year"])
+    return n.select("o_orderkey",
+                    exprs.sample_id("o_orderstatus", "o_orderkey", "priority").alias("SampleID"),
+                    exprs.sample_id("o_orderstatus", "year", "n").alias("NumberedID"))
+
+
+@register("facility_station")
+def q_facility_station(spark: SparkSession, d: str) -> DataFrame:
+    """Facility from the sample method (1 SWP, 2 CVP, else the lookup's
+    label), station label with the CVP repair, facility extracted back."""
+    o = roles.read(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", F.lit(1)).when(F.col("o_orderstatus") == "O", F.lit(2))
+        .alias("method"),
+        F.when(F.col("o_orderpriority").startswith("1"), F.lit(None).cast("string"))
+        .otherwise(F.substring("o_orderpriority", 3, 20)).alias("location"),
+        F.when(F.col("o_orderpriority").startswith("2"), F.lit("SWP")).alias("fallback"))
+    st = exprs.facility_station("method", "location", "fallback")
+    return o.select("o_orderkey", st.alias("Station"), exprs.extract_facility(st).alias("Facility"))
+
+
+@register("size_comments")
+def q_size_comments(spark: SparkSession, d: str) -> DataFrame:
+    """Parse size/life-stage hints from whole note texts."""
+    docs = roles.read(spark, d, "documents").select("doc_id", "text")
+    p = exprs.parse_size_comment("text")
+    return docs.select("doc_id", p["min_length"].alias("min_length"),
+                       p["approx_length"].alias("approx_length"),
+                       p["max_length"].alias("max_length"), p["number"].alias("number"),
+                       p["lifestage"].alias("lifestage"), p["ignore"].alias("ignore"))

@@ -213,3 +213,193 @@ SELECT t.SampleID, round(COALESCE(cd.kFactor, a.kavg), 6) AS kFactor_final,
        round(t.MeterCheck * COALESCE(cd.kFactor, a.kavg) * 1.51, 6) AS Tow_volume
 FROM tows t LEFT JOIN cd ON t.Year = cd.Year AND t.Serial = cd.Serial
 LEFT JOIN avgk a ON t.Serial = a.Serial"""
+
+# -- filters ----------------------------------------------------------------------
+
+_NO_SAMPLING = "|".join([
+    r"no\s*(count|cnt|fish\s*(count|cnt|salvage))",
+    r"(shut\s*down|shutdown|facilityshutdown)",
+    r"down\s*for\s*(maintenance|repairs)",
+    r"no\s*(pumping|water|flow|salvage|export|TFF.*salvage)",
+    r"(zero|0)\s*(count|slvg|export|flow|pumping|salvage|units|bapp)",
+    r"(power\s*outage|equipment\s*failure)",
+    r"stopped\s*pumping\s*water",
+    r"no\s+(fish\s+|10\s+(min(ute)?\.?\s+)?)?(count)",
+])
+_NOTE_HITS = r"licen[cs]e|@|\d{3}-\d{4}"
+
+_DOCS = """WITH ds AS (
+  SELECT d.doc_id AS SampleID, d.text AS Notes_tow, CAST(l.quality AS DOUBLE) AS Count,
+         CASE WHEN d.lang = 'en' THEN 'Normal count' ELSE 'Second flush' END AS Method
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT SampleID, Count, Method FROM ds
+WHERE NOT COALESCE(COALESCE(regexp_matches(Notes_tow, '{p}', 'i'), false)
+                   AND Count = 0 AND Method = 'Normal count', false)"""
+
+SQL["notes_regex"] = _DOCS.format(p=_NO_SAMPLING)
+SQL["notes_regex_hits"] = _DOCS.format(p=_NOTE_HITS)
+
+SQL["drop_spurious_no_fish"] = with_(LINES, """r AS (SELECT SampleID, Taxa, Length,
+       CAST(linenumber - 1 AS DOUBLE) AS Count FROM lines),
+v AS (SELECT SampleID, COALESCE(sum(Count), 0.0) AS valid FROM r GROUP BY SampleID)""") + """
+SELECT r.SampleID, r.Taxa, r.Length, r.Count FROM r JOIN v ON r.SampleID = v.SampleID
+WHERE NOT (v.valid > 0 AND COALESCE(r.Taxa = 'UnID', false))"""
+
+SQL["drop_totals"] = """WITH r AS (
+  SELECT l_orderkey AS SampleID, l_linenumber AS OrganismCode, l_quantity AS quantity FROM lineitem),
+ps AS (SELECT SampleID, count(*) AS n, max(CASE WHEN OrganismCode = 5 THEN 1 ELSE 0 END) AS x
+       FROM (SELECT DISTINCT SampleID, OrganismCode FROM r) t GROUP BY SampleID),
+fl AS (SELECT SampleID FROM ps WHERE n <> 1 OR x = 1)
+SELECT SampleID, OrganismCode, quantity FROM r WHERE OrganismCode NOT IN (5, 6, 7)
+UNION ALL
+SELECT SampleID, OrganismCode, quantity FROM r
+WHERE OrganismCode IN (6, 7) AND SampleID NOT IN (SELECT SampleID FROM fl)"""
+
+SQL["exclusion_windows"] = """WITH s AS (
+  SELECT o.o_orderkey AS SampleID, o.o_orderstatus AS Source, n.n_name AS Station,
+         CAST(o.o_orderdate AS DATE) AS Date
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+w AS (SELECT Station, min(Date) AS st, min(Date) + 30 AS en FROM s GROUP BY Station
+      UNION ALL SELECT Station, max(Date), max(Date) FROM s GROUP BY Station)
+SELECT SampleID, Source, Station, Date FROM s
+WHERE NOT (Source = 'F' AND EXISTS (SELECT 1 FROM w WHERE w.Station = s.Station
+                                    AND s.Date BETWEEN w.st AND w.en))"""
+
+SQL["patch_table"] = """WITH p AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_quantity * 2 AS q2 FROM lineitem WHERE l_discount = 0.1)
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, COALESCE(p.q2, l.l_quantity) AS l_quantity
+FROM lineitem l LEFT JOIN p ON l.l_orderkey = p.l_orderkey AND l.l_linenumber = p.l_linenumber
+                            AND l.l_partkey = p.l_partkey"""
+
+SQL["partial_lengths"] = with_(LINES, """r AS (SELECT SampleID, Taxa, Length,
+       CASE WHEN Length = 0 THEN NULL ELSE 1.0::DOUBLE END AS LF, discount > 0.02 AS FishCaught,
+       CAST(SampleID AS VARCHAR) || ' ' || Taxa AS k FROM lines),
+per AS (SELECT k, count(*) FILTER (WHERE LF IS NULL OR LF = 0) AS nas FROM r GROUP BY k),
+j AS (SELECT r.*, CASE WHEN r.k IS NOT NULL AND COALESCE(r.FishCaught = true, false)
+                       THEN per.nas ELSE 0 END AS nas
+      FROM r LEFT JOIN per ON r.k = per.k)""") + """
+SELECT SampleID, Taxa, Length, LF AS LengthFrequency FROM j
+WHERE NOT (nas = 1 AND (LF IS NULL OR LF = 0))"""
+
+# -- row-level derivations ----------------------------------------------------------
+
+SQL["salinity"] = """WITH b AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice / 2 * 0.001::DOUBLE AS C FROM lineitem),
+k AS (SELECT 25.0::DOUBLE AS t),
+c AS (SELECT b.*, C / 42.914::DOUBLE /
+         (0.6766097::DOUBLE + 0.0200564::DOUBLE * t + 0.0001104259::DOUBLE * t * t
+          + (-6.9698e-7)::DOUBLE * t * t * t + 1.0031e-9::DOUBLE * t * t * t * t) AS Rt,
+         (t - 15.0::DOUBLE) / (1.0::DOUBLE + 0.0162::DOUBLE * (t - 15.0::DOUBLE)) AS f
+      FROM b, k),
+s AS (SELECT *, 0.0080::DOUBLE + (-0.1692)::DOUBLE * sqrt(Rt) + 25.3851::DOUBLE * Rt
+          + 14.0941::DOUBLE * (Rt * sqrt(Rt)) + (-7.0261)::DOUBLE * (Rt * Rt)
+          + 2.7081::DOUBLE * (Rt * Rt * sqrt(Rt))
+          + f * (0.0005::DOUBLE + (-0.0056)::DOUBLE * sqrt(Rt) + (-0.0066)::DOUBLE * Rt
+                 + (-0.0375)::DOUBLE * (Rt * sqrt(Rt)) + 0.0636::DOUBLE * (Rt * Rt)
+                 + (-0.0144)::DOUBLE * (Rt * Rt * sqrt(Rt))) AS S0
+      FROM c),
+h AS (SELECT *, CASE WHEN C IS NULL OR C < 0 THEN NULL
+                     WHEN S0 < 2 THEN S0 - 0.0080::DOUBLE / (1.0::DOUBLE + 1.5::DOUBLE * (400.0::DOUBLE * Rt)
+                                          + (400.0::DOUBLE * Rt) * (400.0::DOUBLE * Rt))
+                                   - 0.0005::DOUBLE * f / (1.0::DOUBLE + sqrt(100.0::DOUBLE * Rt)
+                                          + 100.0::DOUBLE * Rt + (100.0::DOUBLE * Rt) * sqrt(100.0::DOUBLE * Rt))
+                     ELSE S0 END AS sal
+      FROM s)
+SELECT l_orderkey, l_linenumber, round(sal, 6) AS Sal_surf,
+       round(CASE WHEN sal < 0 AND sal > -0.1 THEN 0.0 WHEN sal > 40 THEN NULL ELSE sal END, 6) AS Sal_clamped
+FROM h"""
+
+SQL["dms_units"] = """SELECT c.c_custkey AS custkey,
+  round((37 + n.n_regionkey) + c.c_nationkey / 60.0::DOUBLE + abs(c.c_acctbal) / 200 / 3600.0::DOUBLE, 6) AS Latitude,
+  round(-(121 + c.c_nationkey / 60.0::DOUBLE + abs(c.c_acctbal) / 200 / 3600.0::DOUBLE), 6) AS Longitude,
+  round(c.c_acctbal * 0.3048::DOUBLE, 6) AS Depth,
+  round((c.c_acctbal - 32.0::DOUBLE) * 5.0::DOUBLE / 9.0::DOUBLE, 6) AS Temp_surf,
+  round(c.c_acctbal * 100.0::DOUBLE, 6) AS Secchi,
+  round(c.c_acctbal * 1233.48::DOUBLE, 6) AS Tow_volume,
+  round(c.c_acctbal * 1852.0::DOUBLE, 6) AS Distance
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+SQL["meter_effort"] = """WITH b AS (
+  SELECT l_orderkey, l_linenumber, l_returnflag, l_tax, l_extendedprice,
+         l_quantity * 1000 - l_extendedprice AS d0 FROM lineitem),
+c AS (SELECT *, CASE WHEN d0 < 0 THEN d0 + 1000000.0::DOUBLE ELSE d0 END AS d FROM b),
+v AS (SELECT *, d * 0.026873027::DOUBLE * 13.95::DOUBLE AS vol,
+             CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice END AS st,
+             CASE l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS debris FROM c),
+e AS (SELECT *, CASE WHEN debris IS NULL THEN vol WHEN debris IN ('Y', 'Yes') THEN NULL ELSE vol END AS inv
+      FROM v)
+SELECT l_orderkey, l_linenumber, round(d, 6) AS Meter_total, round(vol, 6) AS Tow_volume,
+       round(CASE WHEN l_linenumber = 7 THEN 735.0::DOUBLE
+                  ELSE COALESCE(CASE WHEN st IS NULL THEN 735.0::DOUBLE ELSE vol END, 735.0::DOUBLE) END, 6)
+         AS Tow_volume_default,
+       round(CASE WHEN inv = 0 THEN NULL ELSE inv END, 6) AS Tow_volume_valid
+FROM e"""
+
+SQL["compose_datetime"] = """WITH b AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d,
+         CAST(l_quantity AS INTEGER) % 24 AS h, (l_linenumber - 1) * 7 AS m FROM lineitem),
+c AS (SELECT *, CASE WHEN h = 0 AND m = 0 THEN NULL
+                     ELSE make_timestamp(year(d), month(d), day(d), h, m, 0) END AS dt FROM b),
+g AS (SELECT *, COALESCE(timezone('America/Los_Angeles', timezone('America/Los_Angeles', dt)) <> dt, false)
+                AS gap FROM c),
+f AS (SELECT *, CASE WHEN gap AND hour(dt) = 2 AND minute(dt) = 0 AND second(dt) = 0
+                     THEN dt + INTERVAL 1 HOUR WHEN gap THEN NULL ELSE dt END AS fx FROM g)
+SELECT l_orderkey, l_linenumber, strftime(dt, '%Y-%m-%d %H:%M:%S') AS Datetime,
+       strftime(fx, '%Y-%m-%d %H:%M:%S') AS Datetime_fixed,
+       CAST(year(fx) AS INTEGER) AS year, CAST(month(fx) AS INTEGER) AS month,
+       CAST(hour(fx) AS INTEGER) AS hour, CAST(minute(fx) AS INTEGER) AS minute
+FROM f"""
+
+SQL["codes_labels"] = r"""WITH p AS (
+  SELECT *, CASE WHEN stage IS NOT NULL THEN p_name || ' (' || stage || ')' ELSE p_name END AS label
+  FROM (SELECT *, CASE WHEN p_size < 10 THEN 'Age-0' WHEN p_size < 20 THEN 'Juvenile' END AS stage
+        FROM part) t)
+SELECT p_partkey,
+  CASE p_size WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END AS Tide,
+  CASE WHEN p_size IN (1, 2, 51, 54, 55, 56, 57) THEN 'Valid'
+       WHEN p_size IN (0, 52, 53, 58) THEN 'Invalid' END AS Tow_status,
+  CASE WHEN regexp_matches(p_type, '^ECO') THEN 'Economy'
+       WHEN regexp_matches(p_type, '^(SMALL|MEDIUM)') THEN 'Sized' END AS Class,
+  label AS Taxa_label, regexp_replace(label, ' \(.*$', '') AS Taxa,
+  lpad(CAST(p_size AS VARCHAR), 3, '0') AS Station, upper(p_name) AS Name_upper
+FROM p"""
+
+SQL["sample_ids"] = """WITH o AS (
+  SELECT o_orderkey, o_orderstatus, o_orderdate,
+         CASE WHEN starts_with(o_orderpriority, '5') THEN NULL ELSE o_orderpriority END AS priority,
+         CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders),
+n AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus, yr ORDER BY o_orderdate, o_orderkey) AS n
+      FROM o)
+SELECT o_orderkey,
+       concat_ws(' ', o_orderstatus, CAST(o_orderkey AS VARCHAR), COALESCE(priority, 'NA')) AS SampleID,
+       concat_ws(' ', o_orderstatus, CAST(yr AS VARCHAR), CAST(n AS VARCHAR)) AS NumberedID
+FROM n"""
+
+SQL["facility_station"] = r"""WITH o AS (
+  SELECT o_orderkey,
+         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS method,
+         CASE WHEN starts_with(o_orderpriority, '1') THEN NULL ELSE substring(o_orderpriority, 3, 20) END AS location,
+         CASE WHEN starts_with(o_orderpriority, '2') THEN 'SWP' END AS fallback
+  FROM orders),
+f AS (SELECT o_orderkey, concat_ws(' ', CASE WHEN method = 1 THEN 'SWP' WHEN method = 2 THEN 'CVP'
+                                             WHEN method IS NULL AND fallback IS NOT NULL THEN fallback END,
+                                   COALESCE(location, 'NA')) AS st0 FROM o),
+g AS (SELECT o_orderkey, CASE WHEN st0 = 'CVP NA' THEN 'CVP Federal Facility' ELSE st0 END AS Station FROM f)
+SELECT o_orderkey, Station,
+       NULLIF(regexp_extract(Station, '\b(CVP|SWP)\b', 1), '') AS Facility FROM g"""
+
+SQL["size_comments"] = r"""WITH d AS (SELECT doc_id, text,
+  CASE WHEN instr(text, 'age 0') > 0 THEN 'Age-0' WHEN instr(text, 'age 1') > 0 THEN 'Age-1'
+       WHEN instr(text, 'age 2') > 0 THEN 'Age-2+' END AS age,
+  CASE WHEN instr(text, 'YOY') > 0 THEN 'YOY' WHEN instr(text, 'larva') > 0 THEN 'Larval'
+       WHEN instr(text, 'uvenile') > 0 THEN 'Juvenile' WHEN instr(text, 'dult') > 0 THEN 'Adult' END AS stage,
+  regexp_extract(text, '(\d+(\.\d+)?)', 1) AS num
+  FROM documents)
+SELECT doc_id, COALESCE(instr(text, '>') > 0, false) AS min_length,
+       COALESCE(instr(text, '~') > 0, false) OR COALESCE(instr(text, 'about') > 0, false) AS approx_length,
+       COALESCE(instr(text, '<') > 0, false) AS max_length,
+       CASE WHEN num = '' THEN NULL ELSE TRY_CAST(num AS DOUBLE) END AS number,
+       COALESCE(age, stage) AS lifestage,
+       COALESCE(instr(text, 'egg') > 0, false) OR COALESCE(instr(text, 'ovi') > 0, false)
+         OR COALESCE(instr(text, 'OVI') > 0, false) AS ignore
+FROM d"""

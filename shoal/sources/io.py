@@ -103,9 +103,11 @@ def format_local(df: DataFrame, cols: Sequence[str] = ("Datetime",), tz: str = S
         if c not in df.columns:
             continue
         dt = df.schema[c].dataType
-        v = F.col(c) if isinstance(dt, T.TimestampNTZType) else \
-            F.convert_timezone(F.lit(tz), F.col(c).cast("timestamp_ntz"))
-        out = out.withColumn(c, F.date_format(v, "yyyy-MM-dd HH:mm:ss"))
+        # NTZ is formatted as is (date_format would pass it through the
+        # session zone and move nonexistent local times); instants are first
+        # turned into wall-clock time in ``tz``.
+        v = F.col(c) if isinstance(dt, T.TimestampNTZType) else F.convert_timezone(F.lit(tz), F.col(c))
+        out = out.withColumn(c, F.substring(v.cast("string"), 1, 19))
     return out
 
 
