@@ -127,7 +127,7 @@ def golden_bounds(df: DataFrame, bounds: DataFrame, taxon: str = "Taxa",
     ``bounds`` holds (taxon, min_rows, min_sum)."""
     got = df.groupBy(taxon).agg(F.count(F.lit(1)).alias("rows"), F.sum(value).alias("total"))
     j = join(bounds, got, [taxon], "left")
-    return j.filter(F.coalesce(F.col("rows"), F.lit(0)) < F.col("min_rows")
+    return j.filter((F.coalesce(F.col("rows"), F.lit(0)) < F.col("min_rows"))
                     | (F.coalesce(F.col("total"), F.lit(0.0)) < F.col("min_sum")))
 
 

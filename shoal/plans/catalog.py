@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.functions import exprs, salinity
-from shoal.operators import expand, fill, filters, joins, windows
+from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
 from shoal.plans import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -424,3 +424,279 @@ def q_size_comments(spark: SparkSession, d: str) -> DataFrame:
                        p["approx_length"].alias("approx_length"),
                        p["max_length"].alias("max_length"), p["number"].alias("number"),
                        p["lifestage"].alias("lifestage"), p["ignore"].alias("ignore"))
+
+
+# -- integrate, slice, summaries ----------------------------------------------------
+
+def _survey_fish(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return reshape.normalise([roles.dataset(spark, d)])
+
+
+@register("normalise_survey")
+def q_normalise_survey(spark: SparkSession, d: str) -> DataFrame:
+    """R4 + P2 + A23: the survey table (known columns, contract order, distinct)."""
+    survey, _ = _survey_fish(spark, d)
+    return survey.withColumn("Sal_surf", r6("Sal_surf")).withColumn(
+        "Temp_surf", r6("Temp_surf")).withColumn("Tow_volume", r6("Tow_volume")).withColumn(
+        "Latitude", r6("Latitude")).withColumn("Longitude", r6("Longitude"))
+
+
+@register("normalise_fish")
+def q_normalise_fish(spark: SparkSession, d: str) -> DataFrame:
+    """R4 + A23: the fish table (Source, SampleID, Taxa, Length, Count), distinct."""
+    _, fish_t = _survey_fish(spark, d)
+    return fish_t.withColumn("Count", r6("Count"))
+
+
+@register("measured_lengths")
+def q_measured_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """K11 (F4, J11, P23, A1): measured fish of the samples that survived."""
+    kept = roles.dataset(spark, d).filter(F.col("Source") != "P")
+    ln = filters.measured_only(roles.lengths(spark, d))
+    ln = joins.semi(ln, kept, ["SampleID"]).withColumn("Taxa", exprs.strip_lifestage("Taxa"))
+    return expand.length_frequency(ln, ["SampleID", "Taxa"], "Length", "Frequency", out="Count")
+
+
+@register("slice_aggregate")
+def q_slice_aggregate(spark: SparkSession, d: str) -> DataFrame:
+    """K14 (F14, F15, A15, J14): sources x months x years slice, per-source
+    length windows, counts summed over lengths, survey-left join."""
+    survey, fish_t = _survey_fish(spark, d)
+    out = analyze.slice_query(survey.select("Source", "SampleID", "Date"), fish_t.drop("Source"),
+                              sources=["F", "O"], months=[1, 2, 3, 4, 5, 6], years=(1996, 2000),
+                              bounds={"O": (10.0, 40.0)}, default_bounds=(5.0, 45.0),
+                              aggregate=True)
+    return out.select("SampleID", "Source", "Date", "Taxa", r6("Count").alias("Count"))
+
+
+@register("yearly_catch")
+def q_yearly_catch(spark: SparkSession, d: str) -> DataFrame:
+    """Total count per (year, taxon)."""
+    ds = roles.dataset(spark, d).withColumn("Year", F.year("Date"))
+    return analyze.yearly_catch(ds).withColumn("Count", r6("Count"))
+
+
+@register("taxon_totals")
+def q_taxon_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Total per taxon, positives only."""
+    _, fish_t = _survey_fish(spark, d)
+    return analyze.taxon_totals(fish_t).withColumn("Count", r6("Count"))
+
+
+@register("length_window")
+def q_length_window(spark: SparkSession, d: str) -> DataFrame:
+    """F15 + F16: per-source length windows, unknown lengths kept; size cutoff."""
+    _, fish_t = _survey_fish(spark, d)
+    w = filters.length_window(fish_t, {"F": (10.0, 30.0), "O": (20.0, 45.0)}, (0.0, 50.0))
+    return filters.size_cutoff(w, 3.0).withColumn("Count", r6("Count"))
+
+
+@register("convert_length")
+def q_convert_length(spark: SparkSession, d: str) -> DataFrame:
+    """Fork length from standard length by per-species equations."""
+    eq = (roles.lines(spark, d).groupBy(F.col("Taxa").alias("Species"))
+          .agg((F.avg("tax") * 10).alias("Intercept"), (1 + F.avg("discount")).alias("Slope")))
+    ds = roles.dataset(spark, d).select("Source", "SampleID", "Taxa", "Length")
+    out = analyze.convert_length(ds, eq, sources=["O"])
+    return out.select("Source", "SampleID", "Taxa", r6("Length").alias("Length"))
+
+
+@register("coverage")
+def q_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """Bounding box and date range of the survey table."""
+    c = analyze.coverage(roles.dataset(spark, d))
+    return c.select(r6("south").alias("south"), r6("north").alias("north"), r6("west").alias("west"),
+                    r6("east").alias("east"), "begin", "end")
+
+
+@register("profile")
+def q_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Per-source profile (rows, zeros, lengths, samples, taxa)."""
+    p = analyze.profile(roles.dataset(spark, d))
+    return p.withColumn("taxa_list", F.array_join("taxa_list", ","))
+
+
+@register("dimensions")
+def q_dimensions(spark: SparkSession, d: str) -> DataFrame:
+    """Slice dimensions: sources, taxa, year range, longest fish."""
+    survey, fish_t = _survey_fish(spark, d)
+    return analyze.dimensions(survey, fish_t)
+
+
+def _website(spark: SparkSession, d: str) -> DataFrame:
+    """An outside daily series to reconcile with: per (date, source, taxon)
+    quantities straight from the line table, one source missing."""
+    ln = joins.join(roles.lines(spark, d), roles.samples(spark, d).select("SampleID", "Source", "Date"),
+                    ["SampleID"], "inner", null_safe=False)
+    return (ln.filter(F.col("Source") != "P")
+            .groupBy("Date", "Source", "Taxa").agg((F.sum("quantity") / 10).alias("Salvage_web")))
+
+
+@register("reconcile")
+def q_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    """K15 (A19, J16, P38): our totals vs an outside series per (taxon, source)."""
+    ours = analyze.summarise_by(roles.dataset(spark, d).filter(F.col("Taxa") != "UnID"),
+                                ["Taxa", "Source"], "Tow_volume", "Count", "Volume_db", "Salvage_db")
+    theirs = _website(spark, d).groupBy("Taxa", "Source").agg(F.sum("Salvage_web").alias("Salvage_web"))
+    out = analyze.reconcile(ours.drop("Volume_db"), theirs, ["Taxa", "Source"], "Salvage_db", "Salvage_web")
+    return out.select("Taxa", "Source", r6("Salvage_db").alias("Salvage_db"),
+                      r6("Salvage_web").alias("Salvage_web"), r6("difference").alias("difference"),
+                      r6("prop_difference").alias("prop_difference"))
+
+
+@register("cumulative")
+def q_cumulative(spark: SparkSession, d: str) -> DataFrame:
+    """K15 (R1 + W4): daily totals of both series unpivoted, running sums by date."""
+    ours = (roles.dataset(spark, d).groupBy("Date", "Source")
+            .agg(F.sum("Count").alias("Salvage_db")))
+    theirs = _website(spark, d).groupBy("Date", "Source").agg(F.sum("Salvage_web").alias("Salvage_web"))
+    both = joins.compare(ours, theirs, ["Date", "Source"])
+    out = analyze.cumulative_compare(both, ["Source"], "Date", ["Salvage_db", "Salvage_web"])
+    return out.select("Source", "Date", "series", r6("value").alias("value"),
+                      r6("cumulative").alias("cumulative"))
+
+
+@register("daily_total")
+def q_daily_total(spark: SparkSession, d: str) -> DataFrame:
+    """Per (date, source) total attached to each row."""
+    ds = roles.dataset(spark, d).select("Date", "Source", "SampleID", "Taxa", "Length", "Count")
+    out = analyze.daily_total(ds, ["Date", "Source"], "Count")
+    return out.select("Date", "Source", "SampleID", "Taxa", "Length", r6("Count").alias("Count"),
+                      r6("dailySalvage").alias("dailySalvage"))
+
+
+@register("domain_fill")
+def q_domain_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Z3: complete every taxon of the domain per (date, source), marking
+    original rows."""
+    ds = roles.dataset(spark, d).select("Date", "Source", "Taxa", "Count")
+    levels = roles.lines(spark, d).select("Taxa")
+    out = fill.domain_fill(ds, ["Date", "Source"], "Taxa", levels, "Count")
+    return out.select("Date", "Source", "Taxa", r6("Count").alias("Count"), "originalData")
+
+
+@register("quality_report")
+def q_quality_report(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q10: one pass of violation counts over the dataset."""
+    return quality.quality_report(roles.dataset(spark, d))
+
+
+@register("range_checks")
+def q_range_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Q11 + Q17: per-column value ranges."""
+    rules = quality.range_rules({"Length": (1.0, 45.0), "Survey": (1, 6), "Tow_volume": (None, 4000.0),
+                                 "Temp_surf": (0.0, 20.0)})
+    return quality.check(roles.dataset(spark, d), rules)
+
+
+@register("crosswalk_duplicates")
+def q_crosswalk_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """Q15: codes duplicated within a crosswalk column, checked per column."""
+    return quality.crosswalk_duplicates(roles.read(spark, d, "part"), ["p_size", "p_brand", "p_type"])
+
+
+@register("unknown_codes")
+def q_unknown_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Q15: codes used in the data that the lookup does not know."""
+    nat = roles.read(spark, d, "nation").filter(F.col("n_regionkey") != 0)
+    return quality.unknown_codes(roles.read(spark, d, "customer"), nat, "c_nationkey", "n_nationkey")
+
+
+@register("salmon_loss")
+def q_salmon_loss(spark: SparkSession, d: str) -> DataFrame:
+    """Encounter, entrainment, release and loss per salvaged row."""
+    ln = joins.join(roles.lines(spark, d), roles.samples(spark, d).select("SampleID", "Source"),
+                    ["SampleID"], "inner", null_safe=False)
+    rows = ln.select(
+        "SampleID", "linenumber",
+        F.when(F.col("Source") == "F", F.lit("SWP")).otherwise(F.lit("CVP")).alias("Facility"),
+        *[(F.col("linenumber") >= i).alias(f"BayPump{i}") for i in range(1, 6)],
+        (F.col("price") / 100).alias("PrimaryFlow"), (F.col("quantity") / 10).alias("PrimaryDepth"),
+        (F.col("quantity") * 3).alias("Length"), F.col("linenumber").cast("double").alias("Count"),
+        F.when(F.col("returnflag") == "N", F.lit("0000")).otherwise(F.lit("9999")).alias("Method"))
+    out = analyze.salmon_loss(rows)
+    return out.select("SampleID", "linenumber", "Facility", "TotalWidth",
+                      *[r6(c).alias(c) for c in ("Encounter", "Entrain", "Release", "Loss")])
+
+
+@register("extract_profile")
+def q_extract_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, spreadsheet fit and CSV size estimate of a slice."""
+    p = analyze.extract_profile(roles.dataset(spark, d))
+    return p.withColumn("bytes_estimate", r6("bytes_estimate"))
+
+
+@register("fill_audit")
+def q_fill_audit(spark: SparkSession, d: str) -> DataFrame:
+    """A22 + Z4: count sums before and after zero-fill are equal."""
+    f = roles.fish(spark, d)
+    before = analyze.numeric_checksum(f.filter(F.col("Taxa").isNotNull()), ["Count"]).withColumn(
+        "stage", F.lit("before"))
+    after = analyze.numeric_checksum(fill.zero_fill(f, "Source", "SampleID", "Taxa"), ["Count"]) \
+        .withColumn("stage", F.lit("after"))
+    return before.unionByName(after).select("stage", r6("Count").alias("Count"))
+
+
+@register("same_set")
+def q_same_set(spark: SparkSession, d: str) -> DataFrame:
+    """Ids only in the sample table / only in the catch lines."""
+    return reshape.same_set(roles.samples(spark, d), roles.lines(spark, d), ["SampleID"])
+
+
+@register("first_per_group")
+def q_first_per_group(spark: SparkSession, d: str) -> DataFrame:
+    """First line per sample by (line number, taxon, quantity)."""
+    ln = roles.lines(spark, d).select("SampleID", "linenumber", "Taxa", "quantity")
+    ln = ln.withColumn("_ord", F.struct("linenumber", "Taxa", "quantity"))
+    return windows.first_per_group(ln, ["SampleID"], "_ord").drop("_ord")
+
+
+@register("count_over")
+def q_count_over(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per sample attached to each line."""
+    ln = roles.lines(spark, d).select("SampleID", "linenumber", "Taxa")
+    return windows.count_over(ln, ["SampleID"])
+
+
+@register("integrity")
+def q_integrity(spark: SparkSession, d: str) -> DataFrame:
+    """Q12 + Q14: duplicate survey ids, duplicate fish keys, samples lost by
+    zero-fill, samples missing a taxon, rows removed by distinct."""
+    survey, fish_t = _survey_fish(spark, d)
+    filled = fill.zero_fill(fish_t, "Source", "SampleID", "Taxa")
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("value")).withColumn("check", F.lit(name))  # noqa
+    parts = [
+        n(quality.duplicate_keys(survey, ["SampleID"]), "duplicate_sample_ids"),
+        n(quality.duplicate_keys(filled, ["SampleID", "Taxa", "Length"]), "duplicate_fish_keys"),
+        n(quality.missing_keys(survey, filled, ["SampleID"]), "samples_lost"),
+        n(quality.incomplete_samples(filled), "incomplete_samples"),
+        quality.row_loss(fish_t, fish_t.distinct()).select(F.col("lost").alias("value"))
+        .withColumn("check", F.lit("rows_removed_by_distinct")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("check", "value")
+
+
+@register("golden_bounds")
+def q_golden_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """Q13: taxa below their recorded minimum rows or total."""
+    ln = roles.lines(spark, d)
+    bounds = ln.groupBy("Taxa").agg((F.count_if(F.col("returnflag") == "R") * 3).alias("min_rows"),
+                                    (F.sum("quantity") / 20).alias("min_sum"))
+    _, fish_t = _survey_fish(spark, d)
+    out = quality.golden_bounds(fish_t, bounds)
+    return out.select("Taxa", "min_rows", r6("min_sum").alias("min_sum"), "rows", r6("total").alias("total"))
+
+
+@register("measured_exceeds_catch")
+def q_measured_exceeds_catch(spark: SparkSession, d: str) -> DataFrame:
+    """Q16: catches with more fish measured than caught."""
+    ln = roles.lines(spark, d)
+    catch = (ln.groupBy("SampleID", "Taxa")
+             .agg(F.count_if(F.col("discount") >= 0.05).cast("double").alias("Catch")))
+    lengths = ln.select("SampleID", "Taxa", F.when(F.col("Length") == 0, F.lit(None).cast("double"))
+                        .otherwise(F.col("Length")).alias("Length"))
+    out = quality.measured_exceeds_catch(expand.expand_raise_catch(catch, lengths, ["SampleID", "Taxa"]))
+    return out.select("SampleID", "Taxa", "TotalMeasured", "Catch").distinct()

@@ -35,6 +35,29 @@ FISH = """fish AS (
   FROM samples s LEFT JOIN lines ln ON s.SampleID = ln.SampleID)"""
 
 
+DATASET = """sv AS (
+  SELECT o.o_orderstatus AS Source, n.n_name AS Station,
+         37.0::DOUBLE + n.n_nationkey * 0.09::DOUBLE AS Latitude,
+         -123.0::DOUBLE + n.n_regionkey * 0.45::DOUBLE AS Longitude,
+         CAST(o.o_orderdate AS DATE) AS Date, CAST(month(o.o_orderdate) AS INTEGER) AS Survey,
+         o.o_orderkey AS SampleID, o.o_orderpriority AS Method,
+         CASE CAST(month(o.o_orderdate) AS INTEGER) WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb'
+              WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END AS Tide,
+         abs(c.c_acctbal) / 300.0::DOUBLE AS Sal_surf, abs(c.c_acctbal) / 400.0::DOUBLE AS Temp_surf,
+         o.o_totalprice / 100 AS Tow_volume
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+ds0 AS (
+  SELECT sv.*, ex.Taxa, ex.Length, ex.Count,
+         CASE WHEN ex.Length IS NULL AND ex.Count IS NULL THEN 'No fish caught'
+              WHEN ex.Length IS NULL AND ex.Count > 0 THEN 'Unknown length' END AS Length_NA_flag
+  FROM sv LEFT JOIN ex ON sv.SampleID = ex.SampleID),
+dataset AS (
+  SELECT Source, Station, Latitude, Longitude, Date, Survey, SampleID, Method, Tide, Sal_surf,
+         Temp_surf, Tow_volume, Taxa, Length,
+         CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, Length_NA_flag
+  FROM ds0)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -403,3 +426,248 @@ SELECT doc_id, COALESCE(instr(text, '>') > 0, false) AS min_length,
        COALESCE(instr(text, 'egg') > 0, false) OR COALESCE(instr(text, 'ovi') > 0, false)
          OR COALESCE(instr(text, 'OVI') > 0, false) AS ignore
 FROM d"""
+
+# -- integrate, slice, summaries ----------------------------------------------------
+
+DS = with_(LINES, SAMPLES, CATCH, EXPAND, DATASET)
+FISH_T = "ft AS (SELECT DISTINCT Source, SampleID, Taxa, Length, Count FROM dataset)"
+WEB = """web AS (SELECT s.Date, s.Source, l.Taxa, sum(l.quantity) / 10 AS Salvage_web
+        FROM lines l JOIN samples s ON l.SampleID = s.SampleID WHERE s.Source <> 'P'
+        GROUP BY s.Date, s.Source, l.Taxa)"""
+
+
+def ds_with(*ctes: str) -> str:
+    return DS.rstrip("\n") + (",\n" + ",\n".join(ctes) if ctes else "") + "\n"
+
+
+SQL["normalise_survey"] = ds_with() + """
+SELECT Source, Station, round(Latitude, 6) AS Latitude, round(Longitude, 6) AS Longitude, Date, Survey,
+       SampleID, Method, Tide, round(Sal_surf, 6) AS Sal_surf, round(Temp_surf, 6) AS Temp_surf,
+       round(Tow_volume, 6) AS Tow_volume
+FROM (SELECT DISTINCT Source, Station, Latitude, Longitude, Date, Survey, SampleID, Method, Tide,
+                      Sal_surf, Temp_surf, Tow_volume FROM dataset) t"""
+
+SQL["normalise_fish"] = ds_with(FISH_T) + """
+SELECT Source, SampleID, Taxa, Length, round(Count, 6) AS Count FROM ft"""
+
+SQL["measured_lengths"] = ds_with("kept AS (SELECT DISTINCT SampleID FROM dataset WHERE Source <> 'P')") + r"""
+SELECT SampleID, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+       CASE WHEN count(*) = count(Frequency) THEN sum(Frequency) END AS Count
+FROM lines WHERE Length <> 0 AND SampleID IN (SELECT SampleID FROM kept)
+GROUP BY SampleID, regexp_replace(Taxa, ' \(.*$', ''), Length"""
+
+SQL["slice_aggregate"] = ds_with(FISH_T, """s AS (SELECT DISTINCT Source, SampleID, Date FROM dataset
+       WHERE Source IN ('F', 'O') AND month(Date) IN (1, 2, 3, 4, 5, 6) AND year(Date) BETWEEN 1996 AND 2000),
+fj AS (SELECT ft.SampleID, ft.Taxa, ft.Length, ft.Count, s.Source AS src FROM ft JOIN s ON ft.SampleID = s.SampleID),
+fw AS (SELECT * FROM fj WHERE Length IS NULL OR
+         (Length >= CASE WHEN src = 'O' THEN 10.0 ELSE 5.0 END AND Length <= CASE WHEN src = 'O' THEN 40.0 ELSE 45.0 END)),
+fa AS (SELECT SampleID, Taxa, COALESCE(sum(Count), 0.0) AS Count FROM fw GROUP BY SampleID, Taxa)""") + """
+SELECT s.SampleID, s.Source, s.Date, fa.Taxa, round(fa.Count, 6) AS Count
+FROM s LEFT JOIN fa ON s.SampleID = fa.SampleID"""
+
+SQL["yearly_catch"] = ds_with() + """
+SELECT CAST(year(Date) AS INTEGER) AS Year, Taxa, round(COALESCE(sum(Count), 0.0), 6) AS Count
+FROM dataset GROUP BY 1, 2"""
+
+SQL["taxon_totals"] = ds_with(FISH_T) + """
+SELECT Taxa, round(Count, 6) AS Count FROM (
+  SELECT Taxa, COALESCE(sum(Count), 0.0) AS Count FROM ft GROUP BY Taxa) t WHERE Count > 0"""
+
+SQL["length_window"] = ds_with(FISH_T) + """
+SELECT Source, SampleID, Taxa, Length, round(Count, 6) AS Count FROM ft
+WHERE (Length IS NULL OR (Length >= CASE Source WHEN 'F' THEN 10.0 WHEN 'O' THEN 20.0 ELSE 0.0 END
+                          AND Length <= CASE Source WHEN 'F' THEN 30.0 WHEN 'O' THEN 45.0 ELSE 50.0 END))
+  AND (Length IS NULL OR Length >= 3.0)"""
+
+SQL["convert_length"] = ds_with("""eq AS (SELECT Taxa AS Species, avg(tax) * 10 AS Intercept,
+       1 + avg(discount) AS Slope FROM lines GROUP BY Taxa)""") + """
+SELECT d.Source, d.SampleID, d.Taxa,
+       round(CASE WHEN d.Source IN ('O') AND eq.Slope IS NOT NULL THEN eq.Intercept + eq.Slope * d.Length
+                  ELSE d.Length END, 6) AS Length
+FROM dataset d LEFT JOIN eq ON d.Taxa IS NOT DISTINCT FROM eq.Species"""
+
+SQL["coverage"] = ds_with() + """
+SELECT round(min(Latitude), 6) AS south, round(max(Latitude), 6) AS north, round(min(Longitude), 6) AS west,
+       round(max(Longitude), 6) AS east, min(Date) AS "begin", max(Date) AS "end" FROM dataset"""
+
+SQL["profile"] = ds_with() + """
+SELECT Source, count(*) AS rows, count(*) FILTER (WHERE Count = 0) AS zero_counts,
+       count(*) FILTER (WHERE Length > 0) AS positive_lengths,
+       count(*) FILTER (WHERE Length IS NULL) AS null_lengths,
+       count(DISTINCT SampleID) AS samples, count(DISTINCT Taxa) AS taxa,
+       COALESCE(string_agg(DISTINCT Taxa, ',' ORDER BY Taxa), '') AS taxa_list
+FROM dataset GROUP BY Source"""
+
+SQL["dimensions"] = ds_with(FISH_T) + """
+SELECT DISTINCT 'source' AS dimension, Source AS value FROM dataset
+UNION ALL SELECT DISTINCT 'taxon', Taxa FROM ft
+UNION ALL SELECT 'year_min', CAST(min(year(Date)) AS VARCHAR) FROM dataset
+UNION ALL SELECT 'year_max', CAST(max(year(Date)) AS VARCHAR) FROM dataset
+UNION ALL SELECT 'length_max', CAST(max(CASE WHEN Length > 0 THEN Length END) AS VARCHAR) FROM ft"""
+
+SQL["reconcile"] = ds_with(WEB, """ours AS (SELECT Taxa, Source, COALESCE(sum(Count), 0.0) AS Salvage_db
+        FROM dataset WHERE Taxa <> 'UnID' GROUP BY Taxa, Source),
+theirs AS (SELECT Taxa, Source, sum(Salvage_web) AS Salvage_web FROM web GROUP BY Taxa, Source)""") + """
+SELECT COALESCE(o.Taxa, t.Taxa) AS Taxa, COALESCE(o.Source, t.Source) AS Source,
+       round(o.Salvage_db, 6) AS Salvage_db, round(t.Salvage_web, 6) AS Salvage_web,
+       round(o.Salvage_db - t.Salvage_web, 6) AS difference,
+       round((o.Salvage_db - t.Salvage_web) / NULLIF(t.Salvage_web, 0), 6) AS prop_difference
+FROM ours o FULL JOIN theirs t ON o.Taxa IS NOT DISTINCT FROM t.Taxa AND o.Source IS NOT DISTINCT FROM t.Source"""
+
+SQL["cumulative"] = ds_with(WEB, """ours AS (SELECT Date, Source, sum(Count) AS Salvage_db FROM dataset GROUP BY Date, Source),
+th AS (SELECT Date, Source, sum(Salvage_web) AS Salvage_web FROM web GROUP BY Date, Source),
+b AS (SELECT COALESCE(o.Date, t.Date) AS Date, COALESCE(o.Source, t.Source) AS Source, o.Salvage_db, t.Salvage_web
+      FROM ours o FULL JOIN th t ON o.Date IS NOT DISTINCT FROM t.Date AND o.Source IS NOT DISTINCT FROM t.Source),
+lng AS (SELECT Source, Date, 'Salvage_db' AS series, Salvage_db AS value FROM b
+        UNION ALL SELECT Source, Date, 'Salvage_web', Salvage_web FROM b),
+daily AS (SELECT Source, series, Date, sum(value) AS value FROM lng GROUP BY Source, series, Date)""") + """
+SELECT Source, Date, series, round(value, 6) AS value,
+       round(sum(value) OVER (PARTITION BY Source, series ORDER BY Date
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cumulative
+FROM daily"""
+
+SQL["daily_total"] = ds_with() + """
+SELECT Date, Source, SampleID, Taxa, Length, round(Count, 6) AS Count,
+       round(COALESCE(sum(Count) OVER (PARTITION BY Date, Source), 0.0), 6) AS dailySalvage
+FROM dataset"""
+
+SQL["domain_fill"] = ds_with("""o AS (SELECT Date, Source, Taxa, Count FROM dataset),
+lv AS (SELECT DISTINCT Taxa FROM lines),
+k AS (SELECT DISTINCT Date, Source FROM o),
+pres AS (SELECT DISTINCT Date, Source, Taxa FROM o WHERE Taxa IS NOT NULL)""") + """
+SELECT Date, Source, Taxa, round(Count, 6) AS Count, true AS originalData FROM o
+UNION ALL
+SELECT k.Date, k.Source, lv.Taxa, 0.0::DOUBLE AS Count, NULL::BOOLEAN AS originalData FROM k CROSS JOIN lv
+WHERE NOT EXISTS (SELECT 1 FROM pres p WHERE p.Date = k.Date AND p.Source = k.Source AND p.Taxa = lv.Taxa)"""
+
+_NF = "COALESCE(Length_NA_flag = 'No fish caught', false)"
+_UL = "COALESCE(Length_NA_flag = 'Unknown length', false)"
+_QUALITY_RULES = [
+    ("q1_latitude_box", "Latitude IS NOT NULL AND NOT (Latitude < 39.3 AND Latitude > 37.0)"),
+    ("q1_longitude_box", "Longitude IS NOT NULL AND NOT (Longitude < -121.0 AND Longitude > -123.0)"),
+    ("q3_tide_domain", "Tide IS NOT NULL AND NOT COALESCE(Tide IN ('Low Slack', 'Ebb', 'High Slack', 'Flood'), false)"),
+    ("q3_method_domain", "NOT COALESCE(Method IN ('Midwater trawl', 'Otter trawl', 'Kodiak trawl', 'Beach seine', "
+                         "'20mm net', 'Oblique tow', 'STN net', 'Normal count', 'Second flush'), false)"),
+    ("q3_flag_domain", "Length_NA_flag IS NOT NULL AND NOT COALESCE(Length_NA_flag IN ('No fish caught', 'Unknown length'), false)"),
+    ("q4_empty_not_flagged", f"(Length IS NULL AND Count = 0) AND NOT {_NF}"),
+    ("q4_flagged_not_empty", f"{_NF} AND NOT COALESCE(Length IS NULL AND Count = 0, false)"),
+    ("q4_flagged_with_taxon", f"{_NF} AND Taxa IS NOT NULL"),
+    ("q4_null_taxon_not_flagged", f"Taxa IS NULL AND Length_NA_flag IS NOT NULL AND NOT {_NF}"),
+    ("q5_unknown_not_flagged", f"Length IS NULL AND Count > 0 AND NOT {_UL}"),
+    ("q5_flagged_not_unknown", f"{_UL} AND NOT COALESCE(Length IS NULL AND Count > 0, false)"),
+    ("q6_unflagged_missing", "Length_NA_flag IS NULL AND (Count IS NULL OR Taxa IS NULL)"),
+    ("q6_count_without_taxon", "Count > 0 AND Taxa IS NULL"),
+    ("q7_zero_not_flagged", f"Count = 0 AND NOT {_NF}"),
+    ("q7_flagged_not_zero", f"{_NF} AND NOT COALESCE(Count = 0, false)"),
+    ("q7_null_count", "Count IS NULL"),
+    ("q8_negative_volume", "Tow_volume < 0"),
+    ("q8_zero_volume", "Tow_volume = 0 AND Source <> 'Salvage'"),
+    ("q10_sal_surf_negative", "Sal_surf < 0"),
+    ("q10_sal_surf_high", "Sal_surf > 40"),
+    ("q10_temp_negative", "Temp_surf < 0"),
+    ("q10_temp_high", "Temp_surf > 40"),
+]
+
+
+def _rule_union(rules, table="dataset"):
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) FILTER (WHERE {cond}) AS violations FROM {table}"
+        for name, cond in rules)
+
+
+SQL["quality_report"] = ds_with() + _rule_union(_QUALITY_RULES)
+
+SQL["range_checks"] = ds_with() + _rule_union([
+    ("range_Length", "false OR Length < 1.0 OR Length > 45.0"),
+    ("range_Survey", "false OR Survey < 1 OR Survey > 6"),
+    ("range_Tow_volume", "false OR Tow_volume > 4000.0"),
+    ("range_Temp_surf", "false OR Temp_surf < 0.0 OR Temp_surf > 20.0"),
+])
+
+SQL["crosswalk_duplicates"] = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS code_column, CAST({c} AS VARCHAR) AS code, count(*) AS n FROM part "
+    f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1" for c in ("p_size", "p_brand", "p_type"))
+
+SQL["unknown_codes"] = """SELECT DISTINCT c_nationkey FROM customer
+WHERE c_nationkey IS NOT NULL
+  AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0 AND n_nationkey IS NOT NULL)"""
+
+SQL["salmon_loss"] = with_(LINES, SAMPLES, """r AS (
+  SELECT l.SampleID, l.linenumber, CASE WHEN s.Source = 'F' THEN 'SWP' ELSE 'CVP' END AS Facility,
+         (CASE WHEN l.linenumber >= 1 THEN 21 ELSE 0 END) + (CASE WHEN l.linenumber >= 2 THEN 21 ELSE 0 END)
+         + (CASE WHEN l.linenumber >= 3 THEN 43 ELSE 0 END) + (CASE WHEN l.linenumber >= 4 THEN 43 ELSE 0 END)
+         + (CASE WHEN l.linenumber >= 5 THEN 21 ELSE 0 END) AS w,
+         l.price / 100 AS flow, l.quantity / 10 AS depth, l.quantity * 3 AS Length,
+         CAST(l.linenumber AS DOUBLE) AS Count,
+         CASE WHEN l.returnflag = 'N' THEN '0000' ELSE '9999' END AS Method
+  FROM lines l JOIN samples s ON l.SampleID = s.SampleID),
+a AS (SELECT *, CAST(CASE WHEN Facility = 'SWP' THEN w ELSE 84 END AS INTEGER) AS TotalWidth FROM r),
+b AS (SELECT *, flow / NULLIF(depth * TotalWidth, 0) AS vel FROM a),
+c AS (SELECT *, Count / NULLIF(CASE WHEN Length < 101 THEN 0.630::DOUBLE + 0.0494::DOUBLE * vel
+                                     ELSE 0.568::DOUBLE + 0.0579::DOUBLE * vel END, 0) AS Encounter FROM b),
+e AS (SELECT *, CASE WHEN Facility = 'SWP' THEN Encounter / 0.25::DOUBLE ELSE Encounter / 0.85::DOUBLE END AS Entrain,
+             CASE WHEN Length < 101 THEN Count * 0.98::DOUBLE ELSE Count END AS Release FROM c)""") + """
+SELECT SampleID, linenumber, Facility, TotalWidth, round(Encounter, 6) AS Encounter, round(Entrain, 6) AS Entrain,
+       round(Release, 6) AS Release,
+       round(CASE WHEN Method = '0000' THEN Entrain - Release
+                  WHEN Facility = 'SWP' AND Method = '9999' THEN Count * 4.33::DOUBLE
+                  WHEN Facility = 'CVP' AND Method = '9999' THEN Count * 0.569::DOUBLE END, 6) AS Loss
+FROM e"""
+
+SQL["extract_profile"] = ds_with() + """
+SELECT count(*) AS rows, count(*) <= 1048576 AS fits_spreadsheet,
+       round(count(*) * (0.00025::DOUBLE * 1048576), 6) AS bytes_estimate FROM dataset"""
+
+SQL["fill_audit"] = with_(LINES, SAMPLES, FISH) + """
+SELECT 'before' AS stage, round(sum(Count), 6) AS Count FROM fish WHERE Taxa IS NOT NULL
+UNION ALL SELECT 'after', round(sum(COALESCE(Count, 0.0)), 6) FROM fish WHERE Taxa IS NOT NULL"""
+
+SQL["same_set"] = with_(LINES, SAMPLES) + """
+SELECT count(*) FILTER (WHERE b.SampleID IS NULL) AS only_left, count(*) FILTER (WHERE a.SampleID IS NULL) AS only_right
+FROM (SELECT DISTINCT SampleID FROM samples) a FULL JOIN (SELECT DISTINCT SampleID FROM lines) b
+  ON a.SampleID = b.SampleID"""
+
+SQL["first_per_group"] = with_(LINES) + """
+SELECT SampleID, linenumber, Taxa, quantity FROM (
+  SELECT SampleID, linenumber, Taxa, quantity,
+         row_number() OVER (PARTITION BY SampleID ORDER BY linenumber, Taxa, quantity) AS rn FROM lines) t
+WHERE rn = 1"""
+
+SQL["count_over"] = with_(LINES) + """
+SELECT SampleID, linenumber, Taxa, count(*) OVER (PARTITION BY SampleID) AS n FROM lines"""
+
+SQL["integrity"] = ds_with(FISH_T, """sv2 AS (SELECT DISTINCT Source, Station, Latitude, Longitude, Date, Survey, SampleID,
+        Method, Tide, Sal_surf, Temp_surf, Tow_volume FROM dataset),
+gs AS (SELECT DISTINCT Source, SampleID FROM ft),
+gt AS (SELECT DISTINCT Source, Taxa FROM ft WHERE Taxa IS NOT NULL),
+filled AS (
+  SELECT g.Source, g.SampleID, g.Taxa, f.Length, COALESCE(f.Count, 0.0) AS Count
+  FROM (SELECT gs.Source, gs.SampleID, gt.Taxa FROM gs JOIN gt ON gs.Source = gt.Source) g
+  LEFT JOIN ft f ON f.Source = g.Source AND f.SampleID = g.SampleID AND f.Taxa = g.Taxa)""") + """
+SELECT 'duplicate_sample_ids' AS "check", count(*) AS value FROM (
+  SELECT SampleID FROM sv2 GROUP BY SampleID HAVING count(*) > 1) t
+UNION ALL SELECT 'duplicate_fish_keys', count(*) FROM (
+  SELECT SampleID, Taxa, Length FROM filled GROUP BY SampleID, Taxa, Length HAVING count(*) > 1) t
+UNION ALL SELECT 'samples_lost', count(*) FROM (
+  SELECT DISTINCT SampleID FROM sv2 WHERE SampleID NOT IN (SELECT SampleID FROM filled)) t
+UNION ALL SELECT 'incomplete_samples', count(*) FROM (
+  SELECT s.Source, s.SampleID FROM (SELECT Source, SampleID, count(DISTINCT Taxa) AS tp FROM filled GROUP BY 1, 2) s
+  JOIN (SELECT Source, count(DISTINCT Taxa) AS tg FROM filled GROUP BY 1) g ON s.Source = g.Source
+  WHERE s.tp <> g.tg) t
+UNION ALL SELECT 'rows_removed_by_distinct', (SELECT count(*) FROM ft) - (SELECT count(*) FROM (SELECT DISTINCT * FROM ft) t)"""
+
+SQL["golden_bounds"] = ds_with(FISH_T, """bounds AS (SELECT Taxa, count(*) FILTER (WHERE returnflag = 'R') * 3 AS min_rows,
+       sum(quantity) / 20 AS min_sum FROM lines GROUP BY Taxa),
+got AS (SELECT Taxa, count(*) AS rows, sum(Count) AS total FROM ft GROUP BY Taxa)""") + """
+SELECT b.Taxa, b.min_rows, round(b.min_sum, 6) AS min_sum, g.rows, round(g.total, 6) AS total
+FROM bounds b LEFT JOIN got g ON b.Taxa IS NOT DISTINCT FROM g.Taxa
+WHERE COALESCE(g.rows, 0) < b.min_rows OR COALESCE(g.total, 0.0) < b.min_sum"""
+
+SQL["measured_exceeds_catch"] = with_(LINES, """measured AS (
+  SELECT SampleID, Taxa, Length, CAST(count(*) AS DOUBLE) AS LengthFrequency
+  FROM lines WHERE Length <> 0 GROUP BY SampleID, Taxa, Length),
+tot AS (SELECT SampleID, Taxa, sum(LengthFrequency) AS TM FROM measured GROUP BY SampleID, Taxa),
+c2 AS (SELECT SampleID, Taxa, CAST(count(*) FILTER (WHERE discount >= 0.05) AS DOUBLE) AS Catch
+       FROM lines GROUP BY SampleID, Taxa)""") + """
+SELECT DISTINCT c.SampleID, c.Taxa, t.TM AS TotalMeasured, c.Catch
+FROM c2 c JOIN tot t ON c.SampleID = t.SampleID AND c.Taxa = t.Taxa WHERE t.TM > c.Catch"""

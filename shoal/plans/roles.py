@@ -66,6 +66,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(37.0) + F.col("n_nationkey") * F.lit(0.09)).alias("Latitude"),
         (F.lit(-123.0) + F.col("n_regionkey") * F.lit(0.45)).alias("Longitude"),
         (F.abs(F.col("c_acctbal")) / F.lit(400.0)).alias("Temperature"),
+        (F.abs(F.col("c_acctbal")) / F.lit(300.0)).alias("Salinity"),
     )
 
 
@@ -120,3 +121,23 @@ def fish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (out.withColumn("Count", F.when(F.col("_caught").isNull(), F.lit(0.0))
                            .otherwise(F.col("Count")))
             .drop("_caught"))
+
+
+def dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A survey-level dataset as one survey job publishes it: sample columns
+    (Source, Station, Latitude, Longitude, Date, Survey, SampleID, Method,
+    Tide, Sal_surf, Temp_surf, Tow_volume) + Taxa, Length, Count,
+    Length_NA_flag; empty samples kept as "No fish caught" rows."""
+    from shoal.functions import exprs
+    from shoal.operators import expand
+    sv = join(samples(spark, sf_dir), stations(spark, sf_dir), ["custkey"], "inner",
+              null_safe=False)
+    sv = sv.select("Source", "Station", "Latitude", "Longitude", "Date", "Survey", "SampleID",
+                   "Method", exprs.tide("Survey").alias("Tide"),
+                   F.col("Salinity").alias("Sal_surf"), F.col("Temperature").alias("Temp_surf"),
+                   (F.col("totalprice") / 100).alias("Tow_volume"))
+    ex = expand.expand_counts(catch(spark, sf_dir), lengths(spark, sf_dir), ["SampleID", "Taxa"])
+    ds = join(sv, ex.select("SampleID", "Taxa", "Length", "Count"), ["SampleID"], "left",
+              null_safe=False)
+    ds = ds.withColumn("Length_NA_flag", exprs.length_flag("Length", "Count"))
+    return ds.withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag"))
