@@ -168,27 +168,28 @@ def invalidate_effort(volume: str | Column, debris_flag: str | Column,
 
 # -- P18-P22: time and identifiers -------------------------------------------
 
-# Accepted time-of-day layouts (ISO and the SKT export layout).
-TIME_FORMATS = ["HH:mm:ss", "HH:mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
-                "MM/dd/yyyy HH:mm"]
 
 def compose_datetime(date: str | Column, time: str | Column,
                      midnight_is_null: bool = False, with_seconds: bool = False) -> Column:
     """Local timestamp (TIMESTAMP_NTZ) from a date and a time of day.
 
-    ``time`` is a timestamp or ``HH:mm[:ss]`` text; only its clock part is
-    used (hour and minute, plus seconds if ``with_seconds``).  Null time gives
-    null; with ``midnight_is_null`` a 00:00 time is treated as unknown.
+    ``time`` is a timestamp or text holding ``H:mm[:ss]`` (ISO, or the
+    ``MM/dd/yyyy HH:mm`` export layout); only its clock part is used (hour
+    and minute, plus seconds if ``with_seconds``).  Null or unparsable time
+    gives null; with ``midnight_is_null`` a 00:00 time is treated as unknown.
     """
     text = col_of(time).cast("string")
-    t = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in TIME_FORMATS])
-    h, m, s = F.hour(t), F.minute(t), F.second(t)
+    clock = r"(\d{1,2}):(\d{2})(?::(\d{2}))?"
+    part = lambda i: F.regexp_extract(text, clock, i)
+    h, m, s = part(1).try_cast("int"), part(2).try_cast("int"), part(3).try_cast("int")
+    s = F.coalesce(s, F.lit(0))
     secs = s if with_seconds else F.lit(0)
-    ts = F.make_timestamp_ntz(F.year(date), F.month(date), F.dayofmonth(date), h, m, secs)
-    out = F.when(t.isNull() | col_of(date).isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
+    d = col_of(date)
+    ts = F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), h, m, secs)
+    out = F.when(h.isNull() | m.isNull() | d.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(ts)
     if midnight_is_null:
-        out = F.when((h == 0) & (m == 0) & (s == 0 if with_seconds else F.lit(True)),
-                     F.lit(None).cast("timestamp_ntz")).otherwise(out)
+        zero = (h == 0) & (m == 0) & ((s == 0) if with_seconds else F.lit(True))
+        out = F.when(F.coalesce(zero, F.lit(False)), F.lit(None).cast("timestamp_ntz")).otherwise(out)
     return out
 
 

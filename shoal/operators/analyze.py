@@ -68,21 +68,22 @@ def dimensions(survey: DataFrame, fish: DataFrame, date: str = "Date",
                source: str = "Source", taxon: str = "Taxa",
                length: str = "Length") -> DataFrame:
     """The slice dimensions as (dimension, value) rows: the distinct
-    sources and taxa, the year range and the largest positive length.
-    Each list is bounded by its domain (ten sources, the taxon crosswalk)."""
-    as_text = lambda c: c.cast("string")
-    parts = [
-        survey.select(F.lit("source").alias("dimension"), as_text(F.col(source)).alias("value")).distinct(),
-        fish.select(F.lit("taxon").alias("dimension"), as_text(F.col(taxon)).alias("value")).distinct(),
-        survey.agg(F.lit("year_min").alias("dimension"), as_text(F.min(F.year(date))).alias("value")),
-        survey.agg(F.lit("year_max").alias("dimension"), as_text(F.max(F.year(date))).alias("value")),
-        fish.agg(F.lit("length_max").alias("dimension"),
-                 as_text(F.max(F.when(F.col(length) > 0, F.col(length)))).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    sources and taxa (nulls dropped, as R's ``sort`` does), the year range
+    and the largest positive length.  One aggregation per table; the
+    distinct lists are bounded by their domains (sources, the taxon
+    crosswalk), not by the data volume."""
+    s = survey.agg(F.collect_set(source).alias("v"), F.min(F.year(date)).alias("lo"),
+                   F.max(F.year(date)).alias("hi"))
+    f = fish.agg(F.collect_set(taxon).alias("v"),
+                 F.max(F.when(F.col(length) > 0, F.col(length))).alias("mx"))
+    entry = lambda name, value: F.struct(F.lit(name).alias("dimension"), value.cast("string").alias("value"))
+    s_rows = s.select(F.explode(F.concat(
+        F.transform("v", lambda x: entry("source", x)),
+        F.array(entry("year_min", F.col("lo")), entry("year_max", F.col("hi"))))).alias("e"))
+    f_rows = f.select(F.explode(F.concat(
+        F.transform("v", lambda x: entry("taxon", x)),
+        F.array(entry("length_max", F.col("mx"))))).alias("e"))
+    return s_rows.unionByName(f_rows).select("e.dimension", "e.value")
 
 
 def extract_profile(df: DataFrame) -> DataFrame:

@@ -307,9 +307,10 @@ def q_salinity(spark: SparkSession, d: str) -> DataFrame:
     """P10 + P11: conductivity (uS/cm = price / 2) -> PSS-78 salinity at 25 C."""
     li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
     ec_ms = exprs.convert(F.col("l_extendedprice") / 2, "us_cm", "ms_cm")
-    sal = salinity.ec_to_salinity(ec_ms, 25.0)
-    return li.select("l_orderkey", "l_linenumber", r6(sal).alias("Sal_surf"),
-                     r6(salinity.clamp_salinity(sal)).alias("Sal_clamped"))
+    out = salinity.with_salinity(li, ec_ms, "Sal_surf", 25.0)
+    out = out.withColumn("Sal_clamped", salinity.clamp_salinity(F.col("Sal_surf")))
+    return out.select("l_orderkey", "l_linenumber", r6("Sal_surf").alias("Sal_surf"),
+                      r6("Sal_clamped").alias("Sal_clamped"))
 
 
 @register("dms_units")
@@ -356,14 +357,16 @@ def q_compose_datetime(spark: SparkSession, d: str) -> DataFrame:
     hh = F.lpad((F.col("l_quantity").cast("int") % 24).cast("string"), 2, "0")
     mm = F.lpad(((F.col("l_linenumber") - 1) * 7).cast("string"), 2, "0")
     clock = F.concat_ws(":", hh, mm, F.lit("00"))
-    dt = exprs.compose_datetime(F.to_date("l_shipdate"), clock, midnight_is_null=True)
-    fixed = exprs.fix_dst_gap(dt)
+    staged = (li.withColumn("dt", exprs.compose_datetime(F.to_date("l_shipdate"), clock,
+                                                         midnight_is_null=True))
+              .withColumn("fixed", exprs.fix_dst_gap(F.col("dt"))))
+    fixed = F.col("fixed")
     # NTZ -> text without passing through the session time zone
-    return li.select("l_orderkey", "l_linenumber",
-                     dt.cast("string").alias("Datetime"),
-                     fixed.cast("string").alias("Datetime_fixed"),
-                     F.year(fixed).alias("year"), F.month(fixed).alias("month"),
-                     F.hour(fixed).alias("hour"), F.minute(fixed).alias("minute"))
+    return staged.select("l_orderkey", "l_linenumber",
+                         F.col("dt").cast("string").alias("Datetime"),
+                         fixed.cast("string").alias("Datetime_fixed"),
+                         F.year(fixed).alias("year"), F.month(fixed).alias("month"),
+                         F.hour(fixed).alias("hour"), F.minute(fixed).alias("minute"))
 
 
 @register("codes_labels")

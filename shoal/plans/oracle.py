@@ -500,7 +500,7 @@ FROM dataset GROUP BY Source"""
 
 SQL["dimensions"] = ds_with(FISH_T) + """
 SELECT DISTINCT 'source' AS dimension, Source AS value FROM dataset
-UNION ALL SELECT DISTINCT 'taxon', Taxa FROM ft
+UNION ALL SELECT DISTINCT 'taxon', Taxa FROM ft WHERE Taxa IS NOT NULL
 UNION ALL SELECT 'year_min', CAST(min(year(Date)) AS VARCHAR) FROM dataset
 UNION ALL SELECT 'year_max', CAST(max(year(Date)) AS VARCHAR) FROM dataset
 UNION ALL SELECT 'length_max', CAST(max(CASE WHEN Length > 0 THEN Length END) AS VARCHAR) FROM ft"""
