@@ -220,7 +220,7 @@ NOTE_HIT_PATTERNS = [r"licen[cs]e", r"@", r"\d{3}-\d{4}"]
 
 
 def _doc_samples(spark: SparkSession, d: str) -> DataFrame:
-    docs = roles.read(spark, d, "documents").select("doc_id", "text", "lang")
+    docs = roles.read(spark, d, "documents", spread=True).select("doc_id", "text", "lang")
     lab = roles.read(spark, d, "labels").select("doc_id", "quality")
     j = joins.join(docs, lab, ["doc_id"], "left", null_safe=False)
     return j.select(
@@ -352,8 +352,8 @@ def q_meter_effort(spark: SparkSession, d: str) -> DataFrame:
 def q_compose_datetime(spark: SparkSession, d: str) -> DataFrame:
     """P18 + P19 + P36: local datetime from ship date + a clock time, with
     the midnight rule and the spring-forward gap repair."""
-    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                                 "l_shipdate")
+    li = roles.read(spark, d, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_quantity",
+                                                              "l_shipdate")
     hh = F.lpad((F.col("l_quantity").cast("int") % 24).cast("string"), 2, "0")
     mm = F.lpad(((F.col("l_linenumber") - 1) * 7).cast("string"), 2, "0")
     clock = F.concat_ws(":", hh, mm, F.lit("00"))
@@ -421,7 +421,7 @@ def q_facility_station(spark: SparkSession, d: str) -> DataFrame:
 @register("size_comments")
 def q_size_comments(spark: SparkSession, d: str) -> DataFrame:
     """Parse size/life-stage hints from whole note texts."""
-    docs = roles.read(spark, d, "documents").select("doc_id", "text")
+    docs = roles.read(spark, d, "documents", spread=True).select("doc_id", "text")
     p = exprs.parse_size_comment("text")
     return docs.select("doc_id", p["min_length"].alias("min_length"),
                        p["approx_length"].alias("approx_length"),

@@ -37,16 +37,21 @@ from shoal.operators.joins import bounded_broadcast, join
 UNID_BRAND = "Brand#1"
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table.  Large inputs split into many scan tasks by
-    themselves; a table stored as fewer splits than the session has cores
-    (one file, one row group) is spread round-robin so the row-level work
-    before the first shuffle is not single-threaded.  Planning only: the
-    split count comes from the file listing, no job runs."""
+def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Scan one driver table.
+
+    Large inputs split into many scan tasks by themselves.  ``spread=True``
+    is for CPU-heavy row work (regex over whole texts, time-zone maths): a
+    table stored as fewer splits than the session has cores (one file, one
+    row group) is then spread round-robin first, so that work is not
+    single-threaded.  It is a no-op on inputs that already have enough
+    splits; the split count comes from planning, no job runs.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return df
 
 
