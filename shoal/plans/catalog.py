@@ -703,3 +703,121 @@ def q_measured_exceeds_catch(spark: SparkSession, d: str) -> DataFrame:
                         .otherwise(F.col("Length")).alias("Length"))
     out = quality.measured_exceeds_catch(expand.expand_raise_catch(catch, lengths, ["SampleID", "Taxa"]))
     return out.select("SampleID", "Taxa", "TotalMeasured", "Catch").distinct()
+
+
+# -- more inventory items ---------------------------------------------------------
+
+@register("assemble_chain")
+def q_assemble_chain(spark: SparkSession, d: str) -> DataFrame:
+    """J4 + J13 + P2: sample -> station -> region assembly chain (inner joins),
+    projected onto the survey contract with absent columns null-filled."""
+    o = roles.read(spark, d, "orders").select(F.col("o_orderkey").alias("SampleID"),
+                                               F.col("o_custkey").alias("custkey"),
+                                               F.col("o_orderstatus").alias("Source"))
+    c = roles.read(spark, d, "customer").select(F.col("c_custkey").alias("custkey"),
+                                                 F.col("c_nationkey").alias("nationkey"))
+    n = roles.read(spark, d, "nation").select(F.col("n_nationkey").alias("nationkey"),
+                                               F.col("n_name").alias("Station"), F.col("n_regionkey").alias("regionkey"))
+    r = roles.read(spark, d, "region").select(F.col("r_regionkey").alias("regionkey"),
+                                               F.col("r_name").alias("Tow_direction"))
+    out = joins.assemble([(o, [], ""), (c, ["custkey"], "inner"), (n, ["nationkey"], "inner"),
+                          (r, ["regionkey"], "left")])
+    return exprs.canonical(out, ["Source", "Station", "SampleID", "Method", "Tow_direction"], fill_missing=True) \
+        .withColumn("Method", F.col("Method").cast("string"))
+
+
+@register("union_split")
+def q_union_split(spark: SparkSession, d: str) -> DataFrame:
+    """U1 + R2 + S5: bind two exports with different columns and types by
+    name (int widened to double, absent columns null), split a text column."""
+    p = roles.read(spark, d, "part")
+    a = p.filter(F.col("p_size") <= 25).select("p_partkey", F.col("p_size").alias("Size"), "p_name")
+    b = p.filter(F.col("p_size") > 25).select("p_partkey", (F.col("p_size") / 2).alias("Size"), "p_type")
+    from shoal.sources.io import scan_union
+    u = scan_union([(a, {}), (b, {"p_type": "Kind"})])
+    u = reshape.split_cols(u, "p_name", ["colour", "thing"], " ", cast=None)
+    return u.select("p_partkey", "Size", "Kind", "colour", "thing")
+
+
+@register("catch_filters")
+def q_catch_filters(spark: SparkSession, d: str) -> DataFrame:
+    """F5 + F11 + F18 + F16: positive known catch, dated rows only, date
+    range, size cutoff (unknown lengths kept)."""
+    c = roles.catch(spark, d).withColumn("Catch", F.col("Catch") - 1)
+    c = filters.positive_catch(c)
+    s = roles.samples(spark, d).select("SampleID", "Date")
+    j = joins.join(c, s, ["SampleID"], "left", null_safe=False)
+    j = filters.not_null(j, "Date")
+    j = filters.date_range(j, "Date", "1996-01-01", "1998-12-31")
+    ln = roles.lines(spark, d).select("SampleID", "Taxa", F.when(F.col("Length") == 0, F.lit(None).cast("double"))
+                                      .otherwise(F.col("Length")).alias("Length"))
+    ln = filters.size_cutoff(ln, 25.0)
+    out = joins.join(j, ln.groupBy("SampleID", "Taxa").agg(F.count(F.lit(1)).alias("n_lengths")),
+                     ["SampleID", "Taxa"], "left")
+    return out.select("SampleID", "Taxa", "Catch", "Date", "n_lengths")
+
+
+@register("tow_filters")
+def q_tow_filters(spark: SparkSession, d: str) -> DataFrame:
+    """F1 + F3 + P5 + F12 + F17 + F20: method whitelist, valid tows only,
+    complete cases, taxon restriction, record removal with NA-drops rule."""
+    ln = roles.lines(spark, d)
+    rows = ln.select("SampleID", "Taxa", "linenumber", "quantity",
+                     F.when(F.col("returnflag") == "R", F.lit(None).cast("string"))
+                     .otherwise(F.col("returnflag")).alias("Method"),
+                     exprs.tow_status(F.col("linenumber")).alias("Tow_status"),
+                     F.when(F.col("tax") == 0, F.lit(None).cast("double")).otherwise(F.col("tax")).alias("tax"))
+    rows = filters.keep_methods(rows, "Method", ["A", "N"])
+    rows = filters.valid_tows(rows)
+    rows = filters.complete_cases(rows, ["tax"])
+    rows = filters.keep_taxa(rows, ["Brand#2", "Brand#3", "Brand#5", "UnID"])
+    limit = F.when(F.col("Taxa") == "UnID", F.lit(10.0)).when(F.col("Taxa") == "Brand#2", F.lit(45.0))
+    rows = filters.drop_where(rows, F.col("quantity") > limit)
+    return rows.select("SampleID", "Taxa", "linenumber", "quantity", "Method", "Tow_status")
+
+
+@register("effort_geometry")
+def q_effort_geometry(spark: SparkSession, d: str) -> DataFrame:
+    """P8 + P15 + P34 + P35: deg-min text coordinates, swept area from
+    distance and from duration, life-stage harmonisation, R-style rounding."""
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    txt = F.concat(F.lit("-122"), F.lit("°"), (F.abs(F.col("c_acctbal")) / 200).cast("string"))
+    stage = (F.when(F.col("c_mktsegment") == "BUILDING", F.lit("YOY"))
+             .when(F.col("c_mktsegment") == "MACHINERY", F.lit("Adult"))
+             .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("Larval")))
+    taxa = F.when(F.col("c_nationkey") < 10, F.lit("Morone saxatilis")).otherwise(F.lit("Other"))
+    return c.select(
+        "c_custkey",
+        F.round(exprs.degmin_text_to_decimal(txt, subtract=True), 6).alias("Longitude"),
+        F.round(exprs.swept_area_distance(F.abs(F.col("c_acctbal")) / 1000), 6).alias("Tow_area"),
+        F.round(exprs.swept_area_duration(F.col("c_nationkey")), 6).alias("Tow_area_duration"),
+        exprs.harmonise_lifestage(stage, taxa, {"Age-2+": ["Morone saxatilis"]}).alias("Lifestage"),
+        F.bround(F.col("c_acctbal") / 3, 2).alias("Rounded"))
+
+
+@register("size_bounds")
+def q_size_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """J9 + J12: comments without explicit bounds take the size bounds of
+    their (class, month, organism); ids already present are excluded."""
+    ln = roles.lines(spark, d)
+    s = roles.samples(spark, d).select("SampleID", F.month("Date").alias("Month"))
+    com = joins.join(ln.filter(F.col("Length") == 0), s, ["SampleID"], "inner", null_safe=False).select(
+        "SampleID", "Taxa", "Month",
+        F.when(F.col("returnflag") == "A", F.lit("Age-0")).otherwise(F.lit("Age-1")).alias("Lifestage"),
+        F.when(F.col("discount") > 0.05, F.col("quantity")).alias("Min_length"),
+        F.lit(None).cast("double").alias("Max_length"))
+    ages = (joins.join(ln, s, ["SampleID"], "inner", null_safe=False)
+            .groupBy("Month", "Taxa").agg(F.min("quantity").alias("Min"), F.max("quantity").alias("Max"))
+            .withColumn("Lifestage", F.lit("Age-0")))
+    out = joins.size_bounds(com, ages, ["Lifestage", "Month", "Taxa"])
+    present = ln.filter(F.col("linenumber") == 2).select("SampleID", "Taxa")
+    out = joins.anti(out, present, ["SampleID", "Taxa"])
+    return out.select("SampleID", "Taxa", "Month", "Lifestage", "Min_length", "Max_length")
+
+
+@register("sorted_taxa")
+def q_sorted_taxa(spark: SparkSession, d: str) -> DataFrame:
+    """O1 + O2: sorted distinct taxa per source (as text), sources in order."""
+    f = roles.fish(spark, d)
+    per = f.groupBy("Source").agg(F.array_join(F.sort_array(F.collect_set("Taxa")), ",").alias("taxa"))
+    return reshape.ordered(per, ["Source"])

@@ -671,3 +671,62 @@ c2 AS (SELECT SampleID, Taxa, CAST(count(*) FILTER (WHERE discount >= 0.05) AS D
        FROM lines GROUP BY SampleID, Taxa)""") + """
 SELECT DISTINCT c.SampleID, c.Taxa, t.TM AS TotalMeasured, c.Catch
 FROM c2 c JOIN tot t ON c.SampleID = t.SampleID AND c.Taxa = t.Taxa WHERE t.TM > c.Catch"""
+
+# -- more inventory items ---------------------------------------------------------
+
+SQL["assemble_chain"] = """SELECT o.o_orderstatus AS Source, n.n_name AS Station, o.o_orderkey AS SampleID,
+       CAST(NULL AS VARCHAR) AS Method, r.r_name AS Tow_direction
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+SQL["union_split"] = """WITH a AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS Size, p_name, CAST(NULL AS VARCHAR) AS Kind
+           FROM part WHERE p_size <= 25),
+b AS (SELECT p_partkey, p_size / 2 AS Size, CAST(NULL AS VARCHAR) AS p_name, p_type AS Kind FROM part WHERE p_size > 25),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT p_partkey, Size, Kind, trim(string_split(p_name, ' ')[1]) AS colour,
+       trim(string_split(p_name, ' ')[2]) AS thing FROM u"""
+
+SQL["catch_filters"] = with_(LINES, CATCH, """c AS (SELECT SampleID, Taxa, Catch - 1 AS Catch FROM catch WHERE Catch - 1 > 0),
+j AS (SELECT c.*, CAST(o.o_orderdate AS DATE) AS Date FROM c LEFT JOIN orders o ON c.SampleID = o.o_orderkey),
+j2 AS (SELECT * FROM j WHERE Date IS NOT NULL AND Date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'),
+ln AS (SELECT SampleID, Taxa, count(*) AS n_lengths FROM (
+         SELECT SampleID, Taxa, CASE WHEN Length = 0 THEN NULL ELSE Length END AS L FROM lines) t
+       WHERE L IS NULL OR L >= 25.0 GROUP BY SampleID, Taxa)""") + """
+SELECT j2.SampleID, j2.Taxa, j2.Catch, j2.Date, ln.n_lengths
+FROM j2 LEFT JOIN ln ON j2.SampleID = ln.SampleID AND j2.Taxa IS NOT DISTINCT FROM ln.Taxa"""
+
+SQL["tow_filters"] = with_(LINES, """r AS (SELECT SampleID, Taxa, linenumber, quantity,
+       CASE WHEN returnflag = 'R' THEN NULL ELSE returnflag END AS Method,
+       CASE WHEN linenumber IN (1, 2, 51, 54, 55, 56, 57) THEN 'Valid'
+            WHEN linenumber IN (0, 52, 53, 58) THEN 'Invalid' END AS Tow_status,
+       CASE WHEN tax = 0 THEN NULL ELSE tax END AS tax FROM lines)""") + """
+SELECT SampleID, Taxa, linenumber, quantity, Method, Tow_status FROM r
+WHERE COALESCE(Method IN ('A', 'N'), false) AND Tow_status = 'Valid' AND tax IS NOT NULL
+  AND Taxa IN ('Brand#2', 'Brand#3', 'Brand#5', 'UnID')
+  AND NOT (quantity > CASE WHEN Taxa = 'UnID' THEN 10.0 WHEN Taxa = 'Brand#2' THEN 45.0 END)"""
+
+SQL["effort_geometry"] = """SELECT c_custkey,
+  round(-122.0::DOUBLE - abs(c_acctbal) / 200 / 60.0::DOUBLE, 6) AS Longitude,
+  round(abs(c_acctbal) / 1000 * 1852.0::DOUBLE * 3.42::DOUBLE, 6) AS Tow_area,
+  round(c_nationkey / 60.0::DOUBLE * 4000.0::DOUBLE * 4.3::DOUBLE * 0.7::DOUBLE, 6) AS Tow_area_duration,
+  CASE WHEN st = 'Adult' AND c_nationkey < 10 THEN 'Age-2+' ELSE st END AS Lifestage,
+  round_even(c_acctbal / 3, 2) AS Rounded
+FROM (SELECT *, CASE mk WHEN 'YOY' THEN 'Age-0' WHEN 'Larval' THEN 'Age-0' WHEN 'Yearling' THEN 'Age-1' ELSE mk END AS st
+      FROM (SELECT *, CASE c_mktsegment WHEN 'BUILDING' THEN 'YOY' WHEN 'MACHINERY' THEN 'Adult'
+                                        WHEN 'AUTOMOBILE' THEN 'Larval' END AS mk FROM customer) t) u"""
+
+SQL["size_bounds"] = with_(LINES, SAMPLES, """s AS (SELECT SampleID, CAST(month(Date) AS INTEGER) AS Month FROM samples),
+com AS (SELECT l.SampleID, l.Taxa, s.Month,
+               CASE WHEN l.returnflag = 'A' THEN 'Age-0' ELSE 'Age-1' END AS Lifestage,
+               CASE WHEN l.discount > 0.05 THEN l.quantity END AS Min_length, CAST(NULL AS DOUBLE) AS Max_length
+        FROM lines l JOIN s ON l.SampleID = s.SampleID WHERE l.Length = 0),
+ages AS (SELECT s.Month, l.Taxa, min(l.quantity) AS mn, max(l.quantity) AS mx, 'Age-0' AS Lifestage
+         FROM lines l JOIN s ON l.SampleID = s.SampleID GROUP BY s.Month, l.Taxa),
+present AS (SELECT SampleID, Taxa FROM lines WHERE linenumber = 2)""") + """
+SELECT c.SampleID, c.Taxa, c.Month, c.Lifestage, COALESCE(c.Min_length, a.mn) AS Min_length,
+       COALESCE(c.Max_length, a.mx) AS Max_length
+FROM com c LEFT JOIN ages a ON c.Lifestage = a.Lifestage AND c.Month = a.Month AND c.Taxa = a.Taxa
+WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.SampleID = c.SampleID AND p.Taxa = c.Taxa)"""
+
+SQL["sorted_taxa"] = with_(LINES, SAMPLES, FISH) + """
+SELECT Source, COALESCE(string_agg(DISTINCT Taxa, ',' ORDER BY Taxa), '') AS taxa FROM fish GROUP BY Source"""
