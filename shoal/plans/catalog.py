@@ -32,6 +32,15 @@ def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def q6(c) -> F.Column:
+    """Round half up to 6 places with plain IEEE steps (multiply, add,
+    floor, divide), which every engine evaluates bit-identically; used where
+    values with short decimal expansions make exact ties common, on which
+    engines' ``round`` implementations disagree."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.floor(x * 1000000.0 + 0.5) / 1000000.0
+
+
 @register("zero_fill")
 def q_zero_fill(spark: SparkSession, d: str) -> DataFrame:
     """Z1 + F10 (+U1): the integrate step's fish table."""
@@ -821,3 +830,65 @@ def q_sorted_taxa(spark: SparkSession, d: str) -> DataFrame:
     f = roles.fish(spark, d)
     per = f.groupBy("Source").agg(F.array_join(F.sort_array(F.collect_set("Taxa")), ",").alias("taxa"))
     return reshape.ordered(per, ["Source"])
+
+
+# -- a whole survey job on role-mapped tables ---------------------------------------
+
+def _brand_no(c: str) -> F.Column:
+    return F.regexp_extract(F.col(c), r"#(\d+)", 1).cast("int")
+
+
+def fmwt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The FMWT source database played by the driver tables: orders are
+    tows, (order, brand) pairs are catches, lines are measured fish (line 1
+    unmeasured, zero tax exported as the "n/p" token); brands are species
+    (brands 1-3 carry a life stage in the crosswalk)."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    stations = n.select(F.col("n_nationkey").alias("StationCode"),
+                        (F.lit(37.0) + F.col("n_nationkey") * F.lit(0.09)).alias("DD_Latitude"),
+                        (F.lit(-123.0) + F.col("n_regionkey") * F.lit(0.45)).alias("DD_Longitude"))
+    ocn = o.join(c, o.o_custkey == c.c_custkey).join(joins.bounded_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    clock = F.concat_ws(":", F.lpad((F.col("c_nationkey") % 24).cast("string"), 2, "0"),
+                        F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"), F.lit("00"))
+    sample = ocn.select(
+        F.col("o_orderkey").alias("SampleRowID"), F.col("c_nationkey").alias("StationCode"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("OTHER")).otherwise(F.lit("MWTR")).alias("MethodCode"),
+        F.col("o_orderdate").alias("SampleDate"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(clock).alias("SampleTimeStart"),
+        F.month("o_orderdate").alias("SurveyNumber"),
+        (F.abs(F.col("c_acctbal")) / 400).alias("WaterTemperature"),
+        (F.col("o_totalprice") / 50000).alias("Turbidity"), F.lit(0.5).alias("Secchi"),
+        (F.col("o_orderstatus") == "F").alias("SecchiEstimated"),
+        (F.col("o_totalprice") / 10).alias("ConductivityTop"), (F.col("o_totalprice") / 8).alias("ConductivityBottom"),
+        F.col("n_regionkey").alias("TowDirectionCode"), F.lit(1000.0).alias("MeterStart"),
+        (F.lit(1000.0) + F.col("o_totalprice") / 10).alias("MeterEnd"), F.lit(100.0).alias("CableOut"),
+        F.col("n_regionkey").alias("TideCode"), (F.col("c_acctbal") / 100).alias("DepthBottom"))
+    ln = roles.lines(spark, d)
+    key = F.concat_ws("-", F.col("SampleID").cast("string"), _brand_no("brand").cast("string"))
+    catch = ln.groupBy("SampleID", "brand").agg(
+        (F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Catch"))
+    catch = catch.select(key.alias("CatchRowID"), F.col("SampleID").alias("SampleRowID"),
+                         _brand_no("brand").alias("OrganismCode"), "Catch")
+    length = ln.select(key.alias("CatchRowID"),
+                       F.when(F.col("tax") == 0, F.lit("n/p")).when(F.col("linenumber") == 1, F.lit("0"))
+                       .otherwise(F.col("quantity").cast("string")).alias("ForkLength"),
+                       F.lit("1").alias("LengthFrequency"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("FMWT_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(F.col("FMWT_Code") <= 3, F.lit("Age 0"))))
+    return {"StationsLookUp": stations, "Sample": sample, "Catch": catch, "Length": length}, species
+
+
+@register("fmwt_job")
+def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
+    """K3 end to end (P1-P4, P9-P10, P14, P18, P23, P25-P27, J1, J7, A1, A4,
+    A11, S2) on the driver tables in the FMWT roles."""
+    from shoal.plans import surveys
+    tables, species = fmwt_tables(spark, d)
+    ds = surveys.fmwt(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "TurbidityNTU", "Secchi",
+           "Tow_volume", "Cable_length", "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

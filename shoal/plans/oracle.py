@@ -441,14 +441,14 @@ def ds_with(*ctes: str) -> str:
 
 
 SQL["normalise_survey"] = ds_with() + """
-SELECT Source, Station, round(Latitude, 6) AS Latitude, round(Longitude, 6) AS Longitude, Date, Survey,
-       SampleID, Method, Tide, round(Sal_surf, 6) AS Sal_surf, round(Temp_surf, 6) AS Temp_surf,
-       round(Tow_volume, 6) AS Tow_volume
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude, floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, Survey,
+       SampleID, Method, Tide, floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume
 FROM (SELECT DISTINCT Source, Station, Latitude, Longitude, Date, Survey, SampleID, Method, Tide,
                       Sal_surf, Temp_surf, Tow_volume FROM dataset) t"""
 
 SQL["normalise_fish"] = ds_with(FISH_T) + """
-SELECT Source, SampleID, Taxa, Length, round(Count, 6) AS Count FROM ft"""
+SELECT Source, SampleID, Taxa, Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count FROM ft"""
 
 SQL["measured_lengths"] = ds_with("kept AS (SELECT DISTINCT SampleID FROM dataset WHERE Source <> 'P')") + r"""
 SELECT SampleID, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
@@ -470,11 +470,11 @@ SELECT CAST(year(Date) AS INTEGER) AS Year, Taxa, round(COALESCE(sum(Count), 0.0
 FROM dataset GROUP BY 1, 2"""
 
 SQL["taxon_totals"] = ds_with(FISH_T) + """
-SELECT Taxa, round(Count, 6) AS Count FROM (
+SELECT Taxa, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count FROM (
   SELECT Taxa, COALESCE(sum(Count), 0.0) AS Count FROM ft GROUP BY Taxa) t WHERE Count > 0"""
 
 SQL["length_window"] = ds_with(FISH_T) + """
-SELECT Source, SampleID, Taxa, Length, round(Count, 6) AS Count FROM ft
+SELECT Source, SampleID, Taxa, Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count FROM ft
 WHERE (Length IS NULL OR (Length >= CASE Source WHEN 'F' THEN 10.0 WHEN 'O' THEN 20.0 ELSE 0.0 END
                           AND Length <= CASE Source WHEN 'F' THEN 30.0 WHEN 'O' THEN 45.0 ELSE 50.0 END))
   AND (Length IS NULL OR Length >= 3.0)"""
@@ -521,13 +521,13 @@ b AS (SELECT COALESCE(o.Date, t.Date) AS Date, COALESCE(o.Source, t.Source) AS S
 lng AS (SELECT Source, Date, 'Salvage_db' AS series, Salvage_db AS value FROM b
         UNION ALL SELECT Source, Date, 'Salvage_web', Salvage_web FROM b),
 daily AS (SELECT Source, series, Date, sum(value) AS value FROM lng GROUP BY Source, series, Date)""") + """
-SELECT Source, Date, series, round(value, 6) AS value,
+SELECT Source, Date, series, floor(value * 1000000.0 + 0.5) / 1000000.0 AS value,
        round(sum(value) OVER (PARTITION BY Source, series ORDER BY Date
                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cumulative
 FROM daily"""
 
 SQL["daily_total"] = ds_with() + """
-SELECT Date, Source, SampleID, Taxa, Length, round(Count, 6) AS Count,
+SELECT Date, Source, SampleID, Taxa, Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        round(COALESCE(sum(Count) OVER (PARTITION BY Date, Source), 0.0), 6) AS dailySalvage
 FROM dataset"""
 
@@ -535,7 +535,7 @@ SQL["domain_fill"] = ds_with("""o AS (SELECT Date, Source, Taxa, Count FROM data
 lv AS (SELECT DISTINCT Taxa FROM lines),
 k AS (SELECT DISTINCT Date, Source FROM o),
 pres AS (SELECT DISTINCT Date, Source, Taxa FROM o WHERE Taxa IS NOT NULL)""") + """
-SELECT Date, Source, Taxa, round(Count, 6) AS Count, true AS originalData FROM o
+SELECT Date, Source, Taxa, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, true AS originalData FROM o
 UNION ALL
 SELECT k.Date, k.Source, lv.Taxa, 0.0::DOUBLE AS Count, NULL::BOOLEAN AS originalData FROM k CROSS JOIN lv
 WHERE NOT EXISTS (SELECT 1 FROM pres p WHERE p.Date = k.Date AND p.Source = k.Source AND p.Taxa = lv.Taxa)"""
@@ -607,8 +607,8 @@ c AS (SELECT *, Count / NULLIF(CASE WHEN Length < 101 THEN 0.630::DOUBLE + 0.049
                                      ELSE 0.568::DOUBLE + 0.0579::DOUBLE * vel END, 0) AS Encounter FROM b),
 e AS (SELECT *, CASE WHEN Facility = 'SWP' THEN Encounter / 0.25::DOUBLE ELSE Encounter / 0.85::DOUBLE END AS Entrain,
              CASE WHEN Length < 101 THEN Count * 0.98::DOUBLE ELSE Count END AS Release FROM c)""") + """
-SELECT SampleID, linenumber, Facility, TotalWidth, round(Encounter, 6) AS Encounter, round(Entrain, 6) AS Entrain,
-       round(Release, 6) AS Release,
+SELECT SampleID, linenumber, Facility, TotalWidth, floor(Encounter * 1000000.0 + 0.5) / 1000000.0 AS Encounter, floor(Entrain * 1000000.0 + 0.5) / 1000000.0 AS Entrain,
+       floor(Release * 1000000.0 + 0.5) / 1000000.0 AS Release,
        round(CASE WHEN Method = '0000' THEN Entrain - Release
                   WHEN Facility = 'SWP' AND Method = '9999' THEN Count * 4.33::DOUBLE
                   WHEN Facility = 'CVP' AND Method = '9999' THEN Count * 0.569::DOUBLE END, 6) AS Loss
@@ -730,3 +730,101 @@ WHERE NOT EXISTS (SELECT 1 FROM present p WHERE p.SampleID = c.SampleID AND p.Ta
 
 SQL["sorted_taxa"] = with_(LINES, SAMPLES, FISH) + """
 SELECT Source, COALESCE(string_agg(DISTINCT Taxa, ',' ORDER BY Taxa), '') AS taxa FROM fish GROUP BY Source"""
+
+_SAL_CHAIN = """k AS (SELECT 25.0::DOUBLE AS t),
+sc AS (SELECT sal_in.*, C / 42.914::DOUBLE /
+         (0.6766097::DOUBLE + 0.0200564::DOUBLE * t + 0.0001104259::DOUBLE * t * t
+          + (-6.9698e-7)::DOUBLE * t * t * t + 1.0031e-9::DOUBLE * t * t * t * t) AS Rt,
+         (t - 15.0::DOUBLE) / (1.0::DOUBLE + 0.0162::DOUBLE * (t - 15.0::DOUBLE)) AS f
+      FROM sal_in, k),
+ss AS (SELECT *, 0.0080::DOUBLE + (-0.1692)::DOUBLE * sqrt(Rt) + 25.3851::DOUBLE * Rt
+          + 14.0941::DOUBLE * (Rt * sqrt(Rt)) + (-7.0261)::DOUBLE * (Rt * Rt)
+          + 2.7081::DOUBLE * (Rt * Rt * sqrt(Rt))
+          + f * (0.0005::DOUBLE + (-0.0056)::DOUBLE * sqrt(Rt) + (-0.0066)::DOUBLE * Rt
+                 + (-0.0375)::DOUBLE * (Rt * sqrt(Rt)) + 0.0636::DOUBLE * (Rt * Rt)
+                 + (-0.0144)::DOUBLE * (Rt * Rt * sqrt(Rt))) AS S0
+      FROM sc),
+sh AS (SELECT *, CASE WHEN C IS NULL OR C < 0 THEN NULL
+                     WHEN S0 < 2 THEN S0 - 0.0080::DOUBLE / (1.0::DOUBLE + 1.5::DOUBLE * (400.0::DOUBLE * Rt)
+                                          + (400.0::DOUBLE * Rt) * (400.0::DOUBLE * Rt))
+                                   - 0.0005::DOUBLE * f / (1.0::DOUBLE + sqrt(100.0::DOUBLE * Rt)
+                                          + 100.0::DOUBLE * Rt + (100.0::DOUBLE * Rt) * sqrt(100.0::DOUBLE * Rt))
+                     ELSE S0 END AS sal
+      FROM ss)"""
+
+SQL["fmwt_job"] = r"""WITH st AS (
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS Station,
+         37.0::DOUBLE + n_nationkey * 0.09::DOUBLE AS Latitude,
+         -123.0::DOUBLE + n_regionkey * 0.45::DOUBLE AS Longitude FROM nation),
+src AS (SELECT o.o_orderkey AS SampleRowID, c.c_nationkey AS StationCode, o.o_orderpriority, o.o_orderstatus,
+               o.o_orderdate, o.o_custkey, o.o_totalprice, c.c_acctbal, n.n_regionkey
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+s0 AS (SELECT SampleRowID, lpad(CAST(StationCode AS VARCHAR), 3, '0') AS Station, CAST(o_orderdate AS DATE) AS Date,
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE StationCode % 24 END AS h,
+              CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey % 60 END AS m,
+              CAST(month(o_orderdate) AS INTEGER) AS Survey,
+              abs(c_acctbal) / 400 AS Temp_surf, o_totalprice / 50000 AS TurbidityNTU,
+              0.5::DOUBLE * 100.0::DOUBLE AS Secchi, o_orderstatus = 'F' AS Secchi_estimated,
+              o_totalprice / 10 AS CT, o_totalprice / 8 AS CB,
+              CASE n_regionkey WHEN 1 THEN 'With current' WHEN 2 THEN 'Against current' WHEN 3 THEN 'Unknown' END
+                AS Tow_direction,
+              CASE WHEN (1000.0::DOUBLE + o_totalprice / 10) - 1000.0::DOUBLE = 0 THEN NULL
+                   ELSE ((1000.0::DOUBLE + o_totalprice / 10) - 1000.0::DOUBLE) * 0.02687::DOUBLE * 10.7::DOUBLE
+              END AS Tow_volume,
+              100.0::DOUBLE * 0.3048::DOUBLE AS Cable_length,
+              CASE n_regionkey WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END
+                AS Tide,
+              c_acctbal / 100 * 0.3048::DOUBLE AS Depth
+       FROM src WHERE o_orderpriority <> '5-LOW'),
+s1 AS (SELECT *, CASE WHEN h IS NULL OR m IS NULL OR (h = 0 AND m = 0) THEN NULL
+                      ELSE make_timestamp(year(Date), month(Date), day(Date), h, m, 0) END AS dt FROM s0),
+sal_in AS (SELECT SampleRowID, 'top' AS w, CT * 0.001::DOUBLE AS C FROM s0
+           UNION ALL SELECT SampleRowID, 'bot', CB * 0.001::DOUBLE FROM s0),
+""" + _SAL_CHAIN + r""",
+sal AS (SELECT SampleRowID, max(CASE WHEN w = 'top' THEN sal END) AS Sal_surf,
+               max(CASE WHEN w = 'bot' THEN sal END) AS Sal_bot FROM sh GROUP BY SampleRowID),
+s AS (SELECT s1.*, st.Latitude, st.Longitude, sal.Sal_surf, sal.Sal_bot
+      FROM s1 LEFT JOIN st ON s1.Station = st.Station LEFT JOIN sal ON s1.SampleRowID = sal.SampleRowID),
+ln AS (SELECT l.l_orderkey AS SampleID, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no,
+              l.l_linenumber, l.l_quantity, l.l_discount, l.l_tax
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+spt AS (SELECT FMWT_Code, CASE WHEN FMWT_Code <= 3 THEN ScientificName || ' (Age 0)' ELSE ScientificName END AS Taxa
+        FROM (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS FMWT_Code,
+                              p_brand AS ScientificName FROM part) t),
+catch AS (SELECT SampleID AS SampleRowID, brand_no AS OrganismCode,
+                 CAST(count(*) + count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Catch
+          FROM ln GROUP BY SampleID, brand_no),
+ct AS (SELECT c.*, spt.Taxa FROM catch c LEFT JOIN spt ON c.OrganismCode = spt.FMWT_Code),
+len AS (SELECT SampleID AS SampleRowID, brand_no AS OrganismCode,
+               CASE WHEN l_tax = 0 THEN NULL WHEN l_linenumber = 1 THEN 0.0 ELSE l_quantity END AS ForkLength,
+               1.0::DOUBLE AS LF FROM ln),
+meas AS (SELECT SampleRowID, OrganismCode, ForkLength, CASE WHEN count(*) = count(LF) THEN sum(LF) END AS LF
+         FROM len WHERE ForkLength <> 0 GROUP BY SampleRowID, OrganismCode, ForkLength),
+tot AS (SELECT SampleRowID, OrganismCode, COALESCE(sum(LF), 0.0) AS TM FROM meas GROUP BY SampleRowID, OrganismCode),
+mt AS (SELECT meas.*, tot.TM FROM meas JOIN tot ON meas.SampleRowID = tot.SampleRowID
+                                         AND meas.OrganismCode = tot.OrganismCode),
+cl AS (SELECT * FROM (
+         SELECT ct.SampleRowID, ct.Taxa, mt.ForkLength,
+                CASE WHEN mt.ForkLength IS NULL THEN ct.Catch ELSE mt.LF / mt.TM * ct.Catch END AS Count
+         FROM ct LEFT JOIN mt ON ct.SampleRowID = mt.SampleRowID AND ct.OrganismCode = mt.OrganismCode) t
+       WHERE Count IS NOT NULL),
+d1 AS (SELECT s.*, cl.Taxa, cl.ForkLength AS Length, cl.Count,
+              CASE WHEN cl.ForkLength IS NULL AND cl.Count IS NULL THEN 'No fish caught'
+                   WHEN cl.ForkLength IS NULL THEN 'Unknown length' END AS flag
+       FROM s LEFT JOIN cl ON s.SampleRowID = cl.SampleRowID),
+d2 AS (SELECT 'FMWT' AS Source, Station, Latitude, Longitude, Date, dt AS Datetime, Survey, Depth,
+              'FMWT ' || CAST(SampleRowID AS VARCHAR) AS SampleID, 'Midwater trawl' AS Method, Tide, Sal_surf, Sal_bot,
+              Temp_surf, TurbidityNTU, Secchi, Secchi_estimated, Tow_volume, Tow_direction, Cable_length,
+              regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+              CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d1),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Sal_bot, Temp_surf, TurbidityNTU, Secchi, Secchi_estimated, Tow_volume, Tow_direction, Cable_length,
+              Taxa, Length, Length_NA_flag, CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude, floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date,
+       CAST(Datetime AS VARCHAR) AS Datetime, Survey, floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Sal_bot * 1000000.0 + 0.5) / 1000000.0 AS Sal_bot, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU, floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, Secchi_estimated,
+       floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Tow_direction, floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
+FROM mg"""

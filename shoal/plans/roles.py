@@ -104,6 +104,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").alias("quantity"),
         F.col("l_returnflag").alias("returnflag"),
         F.col("l_shipdate").alias("shipdate"),
+        F.col("p_brand").alias("brand"),
     )
 
 

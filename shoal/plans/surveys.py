@@ -59,7 +59,7 @@ def _finish(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
     """K3: Fall Midwater Trawl."""
-    st = (t["StationsLookUp"].select(F.col("StationCode").cast("string").alias("Station"),
+    st = (t["StationsLookUp"].select(exprs.pad_station("StationCode", 3).alias("Station"),
                                      F.col("DD_Latitude").cast("double").alias("Latitude"),
                                      F.col("DD_Longitude").cast("double").alias("Longitude"))
           .dropna())
