@@ -892,3 +892,14 @@ def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
            "Tow_volume", "Cable_length", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+@register("integrate_fish")
+def q_integrate_fish(spark: SparkSession, d: str) -> DataFrame:
+    """One dataset per source bound, normalised and zero-filled; the
+    integrated fish table."""
+    from shoal.plans.integrate import integrate
+    ds = roles.dataset(spark, d)
+    datasets = {src: ds.filter(F.col("Source") == src) for src in ("F", "O", "P")}
+    out = integrate(datasets)
+    return out.fish.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"))

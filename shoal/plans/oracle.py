@@ -828,3 +828,13 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Tow_direction, floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
 FROM mg"""
+
+SQL["integrate_fish"] = ds_with(FISH_T, """s AS (SELECT DISTINCT Source, SampleID FROM ft),
+t AS (SELECT DISTINCT Source, Taxa FROM ft),
+grid AS (SELECT s.Source, s.SampleID, t.Taxa FROM s JOIN t ON s.Source = t.Source),
+filled AS (
+  SELECT g.SampleID, g.Taxa, f.Length, COALESCE(f.Count, 0.0) AS Count
+  FROM grid g LEFT JOIN ft f
+    ON f.Source = g.Source AND f.SampleID = g.SampleID AND f.Taxa IS NOT DISTINCT FROM g.Taxa)""") + """
+SELECT SampleID, Taxa, Length, round(Count, 6) AS Count FROM filled
+WHERE Taxa IS NOT NULL AND NOT (Taxa = 'UnID' AND Count = 0)"""
