@@ -147,9 +147,13 @@ def expand_plus_count_group(df: DataFrame, keys: Sequence[str], length: str = "L
         df = df.withColumn(count, F.when(F.col(empty_code[0]) == empty_code[1], null_double())
                            .otherwise(C))
     df = merge_duplicates(df, count)
-    measured = totals(df, keys, count, "_measured", strict=True, where=(L != 0))
-    total = totals(df, keys, count, "_total", strict=True)
-    j = join(join(df, measured, keys, "left"), total, keys, "left")
+    # one aggregation gives both totals: measured (strict over rows with a
+    # nonzero length, R's sum(x[which(cond)])) and the whole catch (strict)
+    sel = F.coalesce(L != 0, F.lit(False))
+    measured = F.when(F.count_if(sel) == F.count_if(sel & C.isNotNull()),
+                      F.coalesce(F.sum(F.when(sel, C)), F.lit(0.0)))
+    agg = df.groupBy(*keys).agg(measured.alias("_measured"), strict_sum(count).alias("_total"))
+    j = join(df, agg, keys, "left")
     inf = F.coalesce((F.col("_measured") == 0) & (C > 0), F.lit(False))
     ratio = F.try_divide(C, F.col("_measured")) * F.col("_total")
     new_length = F.when(inf & (L == 0), null_double()).otherwise(L)
@@ -176,9 +180,12 @@ def expand_size_groups(df: DataFrame, keys: Sequence[str], length: str = "Length
     keys = list(keys)
     L = F.col(length)
     is_measured = (L != 0) | L.isNull()
-    tm = totals(df.filter(is_measured), keys, count, "TotalMeasured")
-    tc = totals(df, keys, count, "TotalCatch")
-    j = join(join(df, tm, keys, "left"), tc, keys, "left")
+    # one aggregation: measured total (null when the group has no measured
+    # row) and total catch
+    agg = df.groupBy(*keys).agg(
+        F.when(F.count_if(is_measured) > 0, sum0(F.when(is_measured, F.col(count)))).alias("TotalMeasured"),
+        sum0(count).alias("TotalCatch"))
+    j = join(df, agg, keys, "left")
     has_measured = F.col("TotalMeasured").isNotNull()
     kept = j.filter(F.coalesce(is_measured, F.lit(False)) | ~has_measured)
     kept = (kept.withColumn("Length_NA_flag", F.when(~has_measured, F.lit(UNKNOWN_LENGTH)))
