@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shoal.functions.exprs import diff_cols
 from shoal.functions.nulls import sum0
 from shoal.operators.filters import length_window, slice_filter
-from shoal.operators.joins import bounded_broadcast, join
+from shoal.operators.joins import join, lookup
 from shoal.operators.windows import daily_running_sum
 
 # Spreadsheet row limit and CSV bytes-per-row estimate.
@@ -153,11 +153,11 @@ def cumulative_compare(df: DataFrame, partition: Sequence[str], date: str,
 
 def convert_length(df: DataFrame, equations: DataFrame, sources: Sequence[str] = ("Suisun",),
                    source: str = "Source", taxon: str = "Taxa",
-                   length: str = "Length") -> DataFrame:
+                   length: str = "Length", max_rows: int | None = None) -> DataFrame:
     """Standard -> fork length, ``Intercept + Slope * SL`` by species,
     for the standard-length surveys; unmatched species keep their length."""
-    eq = bounded_broadcast(equations.select(F.col("Species").alias(taxon), "Intercept", "Slope"))
-    j = join(df, eq, [taxon], "left")
+    eq = equations.select(F.col("Species").alias(taxon), "Intercept", "Slope")
+    j = lookup(df, eq, [taxon], max_rows=max_rows)
     applies = F.col(source).isin(list(sources)) & F.col("Slope").isNotNull()
     return (j.withColumn(length, F.when(applies, F.col("Intercept") + F.col("Slope") * F.col(length))
                          .otherwise(F.col(length)))

@@ -1,9 +1,13 @@
 """Join operators.
 
-All joins are equi-joins on declared keys.  Lookups are broadcast only after
-their row count has been checked against a bound (``bounded_broadcast``);
-anything larger is left to the planner (sort-merge join, AQE skew splitting).
-Keys that may be null are matched null-safely, as dplyr does.
+All joins are equi-joins on declared keys.  Broadcasting is size-checked by
+Spark itself: a lookup read from storage is broadcast when its file size is
+under ``spark.sql.autoBroadcastJoinThreshold``, and a derived one when its
+materialised size is under AQE's threshold; anything larger stays a
+sort-merge join, with skewed partitions split by AQE.  ``bounded_broadcast``
+forces a broadcast after counting the side against an explicit row bound,
+for callers who want the guarantee without adaptive execution.  Keys that
+may be null are matched null-safely, as dplyr does.
 """
 
 from __future__ import annotations
@@ -62,9 +66,11 @@ def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner
 
 
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left join a small, size-checked lookup table."""
-    return join(df, bounded_broadcast(table, max_rows), on, how)
+           max_rows: int | None = None) -> DataFrame:
+    """Left join a lookup table (J2, J3).  The planner broadcasts it when its
+    size is under the broadcast thresholds; ``max_rows`` forces a broadcast
+    after an explicit row-count check instead."""
+    return join(df, table if max_rows is None else bounded_broadcast(table, max_rows), on, how)
 
 
 def unique_keys(table: DataFrame, key: str) -> DataFrame:
@@ -76,7 +82,7 @@ def unique_keys(table: DataFrame, key: str) -> DataFrame:
 
 def to_taxa(df: DataFrame, species: DataFrame, code_col: str, species_code_col: str,
             taxa_col: str = "Taxa", exclude_pattern: str | None = None,
-            distinct: bool = False) -> DataFrame:
+            distinct: bool = False, max_rows: int | None = None) -> DataFrame:
     """Decode a survey's organism code to a taxon through the crosswalk.
 
     The crosswalk is restricted to rows with a code in this survey's column
@@ -89,14 +95,14 @@ def to_taxa(df: DataFrame, species: DataFrame, code_col: str, species_code_col:
         xw = xw.filter(~F.coalesce(F.col(taxa_col).rlike(exclude_pattern), F.lit(False)))
     if distinct:
         xw = xw.distinct()
-    return lookup(df, xw, [code_col])
+    return lookup(df, xw, [code_col], max_rows=max_rows)
 
 
 def decode(df: DataFrame, table: DataFrame, code_col: str, table_code_col: str,
-           label_col: str, out_col: str) -> DataFrame:
+           label_col: str, out_col: str, max_rows: int | None = None) -> DataFrame:
     """Replace a code by its label from a code table (left, null-safe)."""
     t = table.select(F.col(table_code_col).alias(code_col), F.col(label_col).alias(out_col))
-    return lookup(df, t, [code_col])
+    return lookup(df, t, [code_col], max_rows=max_rows)
 
 
 def assemble(tables: Sequence[tuple[DataFrame, Sequence[str], str]]) -> DataFrame:
@@ -181,10 +187,11 @@ def assign_size_groups(measured: DataFrame, ranges: DataFrame, on: Sequence[str]
 
 def size_bounds(comments: DataFrame, bounds: DataFrame, on: Sequence[str],
                 min_col: str = "Min_length", max_col: str = "Max_length",
-                bound_min: str = "Min", bound_max: str = "Max") -> DataFrame:
+                bound_min: str = "Min", bound_max: str = "Max",
+                max_rows: int | None = None) -> DataFrame:
     """Fill missing min/max lengths from a life-stage size table."""
     b = bounds.select(*on, F.col(bound_min).alias("_bmin"), F.col(bound_max).alias("_bmax"))
-    out = lookup(comments, b, on)
+    out = lookup(comments, b, on, max_rows=max_rows)
     return (out.withColumn(min_col, F.coalesce(F.col(min_col), F.col("_bmin")))
             .withColumn(max_col, F.coalesce(F.col(max_col), F.col("_bmax")))
             .drop("_bmin", "_bmax"))
@@ -205,7 +212,7 @@ def apply_patches(df: DataFrame, patches: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if mode == "drop":
-        return join(df, bounded_broadcast(patches.select(*keys)), keys, "left_anti")
+        return join(df, patches.select(*keys), keys, "left_anti")
     cols = list(columns)
     p = patches.select(*keys, *[F.col(c).alias(f"_p_{c}") for c in cols])
     out = lookup(df, p, keys)
@@ -218,19 +225,20 @@ def apply_patches(df: DataFrame, patches: DataFrame, keys: Sequence[str],
 
 def exclude(df: DataFrame, windows: DataFrame, on: Sequence[str], date_col: str,
             start_col: str = "start", end_col: str = "end",
-            conditions: Column | None = None) -> DataFrame:
+            conditions: Column | None = None, max_rows: int | None = None) -> DataFrame:
     """drop rows falling in an exclusion window of their station.
 
     ``windows`` holds (keys, start, end); a day list is a window with
     start = end.  ``conditions`` further restricts which rows may be dropped
     (e.g. zero count; null counts as false).  The windows of a key are
-    gathered into one array (a small, size-checked lookup), joined once per
-    key, and tested with ``exists`` - no row ids, no cross product.
+    gathered into one array (one small row per key, broadcast by the planner
+    when small), joined once per key, and tested with ``exists`` - no row
+    ids, no cross product.
     """
     w = (windows.groupBy(*on)
          .agg(F.collect_list(F.struct(F.col(start_col).alias("s"),
                                       F.col(end_col).alias("e"))).alias("_windows")))
-    out = join(df, bounded_broadcast(w), on, "left")
+    out = lookup(df, w, on, max_rows=max_rows)
     d = F.col(date_col)
     inside = F.coalesce(F.exists(F.col("_windows"), lambda x: d.between(x["s"], x["e"])),
                         F.lit(False))

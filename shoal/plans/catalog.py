@@ -169,7 +169,9 @@ def q_null_safe_lookup(spark: SparkSession, d: str) -> DataFrame:
         "l_partkey", F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
         .otherwise(F.col("l_returnflag")).alias("code"))
     species = roles.read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("Taxa"))
-    t = joins.to_taxa(li, species, "l_partkey", "p_partkey")
+    # the crosswalk here is the part table, which grows with the data: count
+    # it against the bound rather than trusting the planner's estimate
+    t = joins.to_taxa(li, species, "l_partkey", "p_partkey", max_rows=joins.MAX_BROADCAST_ROWS)
     codes = li.select("code").distinct().withColumn(
         "label", F.coalesce(F.concat(F.lit("flag "), F.col("code")), F.lit("missing")))
     dec = joins.decode(t, codes, "code", "code", "label", "label")
@@ -279,7 +281,7 @@ def q_exclusion_windows(spark: SparkSession, d: str) -> DataFrame:
         "end", F.date_add("start", 30))
     last = s.groupBy("Station").agg(F.max("Date").alias("start")).withColumn("end", F.col("start"))
     out = joins.exclude(s, first.unionByName(last), ["Station"], "Date",
-                        conditions=F.col("Source") == "F")
+                        conditions=F.col("Source") == "F", max_rows=joins.MAX_BROADCAST_ROWS)
     return out.select("SampleID", "Source", "Station", "Date")
 
 
@@ -509,7 +511,7 @@ def q_convert_length(spark: SparkSession, d: str) -> DataFrame:
     eq = (roles.lines(spark, d).groupBy(F.col("Taxa").alias("Species"))
           .agg((F.avg("tax") * 10).alias("Intercept"), (1 + F.avg("discount")).alias("Slope")))
     ds = roles.dataset(spark, d).select("Source", "SampleID", "Taxa", "Length")
-    out = analyze.convert_length(ds, eq, sources=["O"])
+    out = analyze.convert_length(ds, eq, sources=["O"], max_rows=joins.MAX_BROADCAST_ROWS)
     return out.select("Source", "SampleID", "Taxa", r6("Length").alias("Length"))
 
 
@@ -818,7 +820,7 @@ def q_size_bounds(spark: SparkSession, d: str) -> DataFrame:
     ages = (joins.join(ln, s, ["SampleID"], "inner", null_safe=False)
             .groupBy("Month", "Taxa").agg(F.min("quantity").alias("Min"), F.max("quantity").alias("Max"))
             .withColumn("Lifestage", F.lit("Age-0")))
-    out = joins.size_bounds(com, ages, ["Lifestage", "Month", "Taxa"])
+    out = joins.size_bounds(com, ages, ["Lifestage", "Month", "Taxa"], max_rows=joins.MAX_BROADCAST_ROWS)
     present = ln.filter(F.col("linenumber") == 2).select("SampleID", "Taxa")
     out = joins.anti(out, present, ["SampleID", "Taxa"])
     return out.select("SampleID", "Taxa", "Month", "Lifestage", "Min_length", "Max_length")
@@ -849,7 +851,7 @@ def fmwt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
     stations = n.select(F.col("n_nationkey").alias("StationCode"),
                         (F.lit(37.0) + F.col("n_nationkey") * F.lit(0.09)).alias("DD_Latitude"),
                         (F.lit(-123.0) + F.col("n_regionkey") * F.lit(0.45)).alias("DD_Longitude"))
-    ocn = o.join(c, o.o_custkey == c.c_custkey).join(joins.bounded_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    ocn = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     clock = F.concat_ws(":", F.lpad((F.col("c_nationkey") % 24).cast("string"), 2, "0"),
                         F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"), F.lit("00"))
     sample = ocn.select(

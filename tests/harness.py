@@ -85,7 +85,14 @@ def main(argv):
     from shoal.plans.oracle import SQL
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = argv or sorted(REGISTRY)
-    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    if os.environ.get("PLAIN_SESSION"):
+        # a bare session like the driver's: none of the library defaults
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+                 .getOrCreate())
+    else:
+        spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     bad = 0
