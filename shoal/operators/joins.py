@@ -18,7 +18,7 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoal.functions.nulls import quoted, r_ifelse
+from shoal.functions.nulls import quoted
 
 # Lookup tables above this many rows are not broadcast.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -245,12 +245,3 @@ def exclude(df: DataFrame, windows: DataFrame, on: Sequence[str], date_col: str,
     if conditions is not None:
         inside = inside & F.coalesce(conditions, F.lit(False))
     return out.filter(~inside).drop("_windows")
-
-
-def tow_width_join(df: DataFrame, widths: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Attach per-facility constants (K16 helper)."""
-    return lookup(df, widths, on)
-
-
-def ifelse_join_value(cond: Column, a: Column, b: Column) -> Column:
-    return r_ifelse(cond, a, b)

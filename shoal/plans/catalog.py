@@ -905,3 +905,69 @@ def q_integrate_fish(spark: SparkSession, d: str) -> DataFrame:
     datasets = {src: ds.filter(F.col("Source") == src) for src in ("F", "O", "P")}
     out = integrate(datasets)
     return out.fish.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"))
+
+
+# The salvage study and station code tables.
+SALVAGE_STUDIES = [("0000", "Normal count"), ("9999", "Second flush"), ("8888", "Special study")]
+SALVAGE_STATIONS = [(1, "SWP"), (2, "CVP")]
+
+
+def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The salvage database played by the driver tables: orders are samples
+    (urgent ones second flushes, low ones special studies; pending orders
+    did not pump), an order's return flags are its buildings, (building,
+    brand) pairs are catches and lines are measured fish.  Brand 24 plays
+    the total-count pseudo-organism (98), brand 25 the excluded organism
+    (81); brand 2 is an "Age" class the crosswalk filter drops."""
+    o = roles.read(spark, d, "orders")
+    clock = F.concat(F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0"), F.lit(":"),
+                     F.lpad(((F.col("o_custkey") % 6) * 10).cast("string"), 2, "0"), F.lit(":00.0000000"))
+    sample = o.select(
+        F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderdate").alias("SampleDate"),
+        clock.alias("SampleTime"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("9999"))
+         .when(F.col("o_orderpriority") == "5-LOW", F.lit("8888")).otherwise(F.lit("0000")).alias("StudyRowID"),
+        (F.col("o_totalprice") / 1000).alias("AcreFeet"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.lit(60.0)).alias("MinutesPumping"),
+        (F.lit(10.0) + (F.col("o_custkey") % 3) * 5).alias("SampleTimeLength"),
+        (F.col("o_totalprice") % 80).alias("WaterTemperature"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(1)).when(F.col("o_orderstatus") == "O", F.lit(2))
+         .alias("SampleMethod"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("no count, shut down"))
+         .alias("Comments_Sample"))
+    ln = roles.lines(spark, d)
+    flag_no = F.when(F.col("returnflag") == "A", F.lit(1)).when(F.col("returnflag") == "N", F.lit(2)).otherwise(F.lit(3))
+    building_id = F.col("SampleID") * 10 + flag_no
+    brand = _brand_no("brand")
+    organism = F.when(brand == 24, F.lit(98)).when(brand == 25, F.lit(81)).otherwise(brand)
+    ln = ln.withColumn("BuildingRowID", building_id).withColumn("OrganismCode", organism)
+    building = ln.select("BuildingRowID", F.col("SampleID").alias("SampleRowID"),
+                         F.when(F.col("returnflag") == "R", F.lit(2)).otherwise(F.lit(1)).alias("BuildingCode"),
+                         F.col("returnflag").alias("Location")).distinct()
+    catch_id = F.col("BuildingRowID") * 100 + F.col("OrganismCode")
+    catch = (ln.groupBy("BuildingRowID", "OrganismCode")
+             .agg((F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Count"))
+             .withColumn("CatchRowID", catch_id))
+    length = ln.select(catch_id.alias("CatchRowID"), F.col("linenumber").alias("LengthRowID"),
+                       F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity")).alias("ForkLength"),
+                       F.when(F.col("tax") == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("LengthFrequency"))
+    studies = spark.createDataFrame(SALVAGE_STUDIES, "StudyRowID string, Description string")
+    stations = spark.createDataFrame(SALVAGE_STATIONS, "FacilityCode int, Comments_StationsLookUp string")
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("Salvage_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName",
+                                                    F.when(F.col("Salvage_Code") == 2, F.lit("Age 1"))))
+    return ({"Sample": sample, "Building": building, "Catch": catch, "Length": length,
+             "StudiesLookUp": studies, "StationsLookUp": stations}, species)
+
+
+@register("salvage_job")
+def q_salvage_job(spark: SparkSession, d: str) -> DataFrame:
+    """K10 end to end (J6, F8, P31, W2, W1, J1, A1, P19, A10, P25, F11, F19,
+    P22, F6) on the driver tables in the salvage roles."""
+    from shoal.plans import surveys
+    tables, species = salvage_tables(spark, d)
+    ds = surveys.salvage(tables, species, no_sampling_patterns=NO_SAMPLING_PATTERNS).dataset
+    dbl = ["Latitude", "Longitude", "Tow_volume", "Temp_surf", "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

@@ -838,3 +838,138 @@ filled AS (
     ON f.Source = g.Source AND f.SampleID = g.SampleID AND f.Taxa IS NOT DISTINCT FROM g.Taxa)""") + """
 SELECT SampleID, Taxa, Length, round(Count, 6) AS Count FROM filled
 WHERE Taxa IS NOT NULL AND NOT (Taxa = 'UnID' AND Count = 0)"""
+
+SQL["salvage_job"] = r"""WITH smp AS (
+  SELECT o_orderkey AS SampleRowID, o_orderdate AS SampleDate,
+         lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST((o_custkey % 6) * 10 AS VARCHAR), 2, '0')
+           || ':00.0000000' AS SampleTime,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN '9999' WHEN o_orderpriority = '5-LOW' THEN '8888' ELSE '0000' END
+           AS StudyRowID,
+         o_totalprice / 1000 AS AcreFeet,
+         CASE WHEN o_orderstatus = 'P' THEN 0.0::DOUBLE ELSE 60.0::DOUBLE END AS MinutesPumping,
+         10.0::DOUBLE + (o_custkey % 3) * 5 AS SampleTimeLength,
+         o_totalprice % 80 AS WaterTemperature,
+         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS SampleMethod,
+         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'no count, shut down' END AS Comments_Sample
+  FROM orders),
+ln AS (SELECT l.l_orderkey AS SampleID, l.l_linenumber, l.l_quantity, l.l_discount, l.l_tax, l.l_returnflag,
+              CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+ln2 AS (SELECT *, SampleID * 10 + CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS BuildingRowID,
+               CASE WHEN brand_no = 24 THEN 98 WHEN brand_no = 25 THEN 81 ELSE brand_no END AS OrganismCode FROM ln),
+bld AS (SELECT DISTINCT BuildingRowID, SampleID AS SampleRowID,
+               CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END AS BuildingCode, l_returnflag AS Location FROM ln2),
+cat AS (SELECT BuildingRowID, OrganismCode,
+               CAST(count(*) + count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Count,
+               BuildingRowID * 100 + OrganismCode AS CatchRowID
+        FROM ln2 GROUP BY BuildingRowID, OrganismCode),
+len AS (SELECT BuildingRowID * 100 + OrganismCode AS CatchRowID, l_linenumber AS LengthRowID,
+               CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_quantity END AS ForkLength,
+               CASE WHEN l_tax = 0 THEN NULL ELSE 1.0::DOUBLE END AS LengthFrequency FROM ln2),
+xw AS (SELECT DISTINCT Salvage_Code, Taxa FROM (
+         SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS Salvage_Code,
+                CASE WHEN CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) = 2 THEN p_brand || ' (Age 1)'
+                     ELSE p_brand END AS Taxa FROM part) t
+       WHERE NOT COALESCE(regexp_matches(Taxa, 'Age'), false)),
+j1 AS (SELECT COALESCE(s.SampleRowID, b.SampleRowID) AS SampleRowID, s.SampleDate, s.SampleTime, s.StudyRowID,
+              s.AcreFeet, s.MinutesPumping, s.SampleTimeLength, s.WaterTemperature, s.SampleMethod, s.Comments_Sample,
+              b.BuildingRowID, b.BuildingCode, b.Location
+       FROM smp s FULL JOIN bld b ON s.SampleRowID IS NOT DISTINCT FROM b.SampleRowID),
+j2 AS (SELECT j1.* EXCLUDE (BuildingRowID), COALESCE(j1.BuildingRowID, c.BuildingRowID) AS BuildingRowID,
+              c.OrganismCode, c.Count, c.CatchRowID
+       FROM j1 FULL JOIN cat c ON j1.BuildingRowID IS NOT DISTINCT FROM c.BuildingRowID),
+j3 AS (SELECT j2.* EXCLUDE (CatchRowID), COALESCE(j2.CatchRowID, l.CatchRowID) AS CatchRowID,
+              l.LengthRowID, l.ForkLength, l.LengthFrequency
+       FROM j2 FULL JOIN len l ON j2.CatchRowID IS NOT DISTINCT FROM l.CatchRowID),
+j4 AS (SELECT j3.*, CASE j3.StudyRowID WHEN '0000' THEN 'Normal count' WHEN '9999' THEN 'Second flush'
+                                        WHEN '8888' THEN 'Special study' END AS Description,
+              CASE j3.BuildingCode WHEN 1 THEN 'SWP' WHEN 2 THEN 'CVP' END AS Comments_StationsLookUp
+       FROM j3),
+j5 AS (SELECT * FROM j4 WHERE COALESCE(Description IN ('Normal count', 'Second flush'), false)),
+ps AS (SELECT SampleRowID, count(*) AS n, max(CASE WHEN COALESCE(OrganismCode IN (81), false) THEN 1 ELSE 0 END) AS x
+       FROM (SELECT DISTINCT SampleRowID, OrganismCode FROM j5) t GROUP BY SampleRowID),
+fl AS (SELECT SampleRowID FROM ps WHERE n <> 1 OR x = 1),
+j6 AS (SELECT * FROM j5 WHERE NOT COALESCE(OrganismCode IN (98, 99), false)
+       UNION ALL
+       SELECT * FROM j5 WHERE COALESCE(OrganismCode IN (98, 99), false)
+         AND NOT EXISTS (SELECT 1 FROM fl WHERE fl.SampleRowID IS NOT DISTINCT FROM j5.SampleRowID)),
+j7 AS (SELECT * FROM j6 WHERE NOT COALESCE(OrganismCode IN (81), false)),
+j8 AS (SELECT *, CASE WHEN st0 = 'CVP NA' THEN 'CVP Federal Facility' ELSE st0 END AS Station FROM (
+         SELECT *, concat_ws(' ', CASE WHEN SampleMethod = 1 THEN 'SWP' WHEN SampleMethod = 2 THEN 'CVP'
+                                       WHEN SampleMethod IS NULL AND Comments_StationsLookUp IS NOT NULL
+                                         THEN Comments_StationsLookUp END,
+                             COALESCE(Location, 'NA')) AS st0 FROM j7) t),
+j9 AS (SELECT j8.* EXCLUDE (st0), NULLIF(regexp_extract(Station, '\b(CVP|SWP)\b', 1), '') AS Facility FROM j8),
+cg AS (SELECT SampleRowID, Station,
+              (COALESCE(sum(LengthFrequency), 0) > 0) OR (COALESCE(sum(Count), 0) > 0) AS FishCaught
+       FROM j9 GROUP BY SampleRowID, Station),
+tmq AS (SELECT CatchRowID, COALESCE(sum(LengthFrequency), 0.0) AS TotalMeasured FROM j9 GROUP BY CatchRowID),
+j10 AS (SELECT j9.*, cg.FishCaught, tmq.TotalMeasured, xw.Taxa
+        FROM j9 LEFT JOIN cg ON j9.SampleRowID IS NOT DISTINCT FROM cg.SampleRowID
+                            AND j9.Station IS NOT DISTINCT FROM cg.Station
+        LEFT JOIN tmq ON j9.CatchRowID IS NOT DISTINCT FROM tmq.CatchRowID
+        LEFT JOIN xw ON j9.OrganismCode IS NOT DISTINCT FROM xw.Salvage_Code),
+j11 AS (SELECT SampleRowID, SampleDate, SampleTime, StudyRowID, AcreFeet, MinutesPumping, SampleTimeLength,
+               WaterTemperature, SampleMethod, Comments_Sample, BuildingRowID, BuildingCode, Location, OrganismCode,
+               Count, CatchRowID, ForkLength, Description, Comments_StationsLookUp, Station, Facility, FishCaught,
+               TotalMeasured, Taxa,
+               CASE WHEN count(*) = count(LengthFrequency) THEN sum(LengthFrequency) END AS LengthFrequency
+        FROM j10 GROUP BY ALL),
+j12 AS (SELECT *, TRY_CAST(concat_ws(' ', CAST(CAST(SampleDate AS DATE) AS VARCHAR), substr(SampleTime, 1, 8))
+                           AS TIMESTAMP) AS lt,
+               CAST(SampleDate AS DATE) AS Date FROM j11),
+j13 AS (SELECT *, COALESCE(timezone('America/Los_Angeles', timezone('America/Los_Angeles', lt)) <> lt, false) AS gap
+        FROM j12),
+j14 AS (SELECT *,
+          CASE WHEN gap AND hour(lt) = 2 AND minute(lt) = 0 AND second(lt) = 0 THEN lt + INTERVAL 1 HOUR
+               WHEN gap THEN NULL ELSE lt END AS Datetime,
+          AcreFeet * 1233.48::DOUBLE AS Tow_volume,
+          CASE WHEN (WaterTemperature - 32.0::DOUBLE) * 5.0::DOUBLE / 9.0::DOUBLE < 0 THEN NULL
+               ELSE (WaterTemperature - 32.0::DOUBLE) * 5.0::DOUBLE / 9.0::DOUBLE END AS Temp_surf,
+          CASE WHEN Taxa IS NOT NULL AND FishCaught <> true THEN NULL ELSE Taxa END AS Taxa2,
+          CASE WHEN ForkLength = 0 THEN NULL ELSE ForkLength END AS Length
+        FROM j13),
+e1 AS (SELECT *, CASE WHEN TotalMeasured IS NOT NULL AND (COALESCE(TotalMeasured > Count, false) OR Count IS NULL)
+                      THEN TotalMeasured ELSE Count END AS Count1 FROM j14),
+e2 AS (SELECT *, CASE WHEN TotalMeasured IS NOT NULL AND TotalMeasured <> 0 AND COALESCE(Count1 >= TotalMeasured, false)
+                      THEN LengthFrequency / TotalMeasured * Count1 ELSE Count1 END AS Ex FROM e1),
+e3 AS (SELECT *, CASE
+          WHEN (MinutesPumping IS NULL OR MinutesPumping = 0 OR SampleTimeLength = 0 OR SampleTimeLength IS NULL)
+               AND COALESCE(FishCaught <> true, false) THEN 0.0
+          WHEN Station IS NULL AND COALESCE(FishCaught <> true, false) THEN 0.0
+          WHEN StudyRowID = '0000' THEN Ex * (MinutesPumping / NULLIF(SampleTimeLength, 0))
+          WHEN StudyRowID = '9999' THEN Ex
+          WHEN StudyRowID = '8888' THEN 0.0
+          WHEN OrganismCode IN (98, 99) THEN 0.0
+          ELSE 0.0 END AS Cnt FROM e2),
+e4 AS (SELECT *, CASE WHEN COALESCE(FishCaught <> true, false) THEN 'No fish caught'
+                      WHEN Length IS NULL AND Cnt > 0 THEN 'Unknown length' END AS flag
+       FROM e3 WHERE Date IS NOT NULL),
+pl AS (SELECT CatchRowID, count(*) FILTER (WHERE (LengthFrequency IS NULL OR LengthFrequency = 0) AND flag IS NULL) AS nas
+       FROM e4 GROUP BY CatchRowID),
+e5 AS (SELECT e4.* FROM e4 LEFT JOIN pl ON e4.CatchRowID IS NOT DISTINCT FROM pl.CatchRowID
+       WHERE NOT ((CASE WHEN e4.CatchRowID IS NOT NULL AND COALESCE(e4.FishCaught = true, false) THEN pl.nas ELSE 0 END) = 1
+                  AND (e4.LengthFrequency IS NULL OR e4.LengthFrequency = 0))),
+ids AS (SELECT *, 'Salvage ' || CAST(SampleRowID AS VARCHAR) || ' ' ||
+                  CAST(row_number() OVER (PARTITION BY Facility, SampleRowID ORDER BY Location ASC NULLS LAST) AS VARCHAR)
+                  AS SampleID
+        FROM (SELECT DISTINCT Facility, Location, SampleRowID FROM e5) t),
+e6 AS (SELECT DISTINCT 'Salvage' AS Source, e5.Station,
+              CASE e5.Comments_StationsLookUp WHEN 'SWP' THEN 37.825612769565474::DOUBLE WHEN 'CVP' THEN 37.81667106195238::DOUBLE END
+                AS Latitude,
+              CASE e5.Comments_StationsLookUp WHEN 'SWP' THEN -121.59584120116043::DOUBLE WHEN 'CVP' THEN -121.55857777929133::DOUBLE END
+                AS Longitude,
+              e5.Date, e5.Datetime, ids.SampleID, e5.Description AS Method, e5.Tow_volume, e5.Temp_surf,
+              e5.Comments_Sample AS Notes_tow, e5.Taxa2 AS Taxa, e5.Length, e5.Cnt AS Count, e5.flag AS Length_NA_flag
+       FROM e5 LEFT JOIN ids ON e5.Facility IS NOT DISTINCT FROM ids.Facility
+                            AND e5.Location IS NOT DISTINCT FROM ids.Location
+                            AND e5.SampleRowID IS NOT DISTINCT FROM ids.SampleRowID),
+e7 AS (SELECT * FROM e6 WHERE NOT COALESCE(COALESCE(regexp_matches(Notes_tow, '""" + _NO_SAMPLING + r"""', 'i'), false)
+                                           AND Count = 0 AND Method = 'Normal count', false))
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime,
+       SampleID, Method, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf, Notes_tow, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM e7"""

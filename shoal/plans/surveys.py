@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoal.functions import exprs
-from shoal.functions.nulls import r_ifelse, recode
+from shoal.functions.nulls import recode, strict_sum
 from shoal.functions.salinity import clamp_salinity, with_salinity
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
 from shoal.operators import expand, filters, joins, windows
@@ -557,9 +557,10 @@ def salvage(t: Tables, species: DataFrame, no_sampling_patterns=(), exclusions:
     j = windows.total_over(j, ["CatchRowID"], "LengthFrequency", "TotalMeasured")
     j = joins.to_taxa(j, species, "OrganismCode", "Salvage_Code", exclude_pattern="Age", distinct=True)
     keys = [c for c in j.columns if c not in ("LengthFrequency", "LengthRowID")]
-    j = j.groupBy(*keys).agg(F.sum("LengthFrequency").alias("LengthFrequency"))
+    j = j.groupBy(*keys).agg(strict_sum("LengthFrequency").alias("LengthFrequency"))
     j = j.withColumn("Date", F.to_date("SampleDate"))
-    local = F.to_timestamp_ntz(F.concat_ws(" ", F.col("Date").cast("string"), F.substring("SampleTime", 1, 8)))
+    # a malformed time parses to null, not an error
+    local = F.concat_ws(" ", F.col("Date").cast("string"), F.substring("SampleTime", 1, 8)).try_cast("timestamp_ntz")
     j = (j.withColumn("_dt", local).withColumn("Datetime", exprs.fix_dst_gap(F.col("_dt"))).drop("_dt")
          .withColumn("Tow_volume", exprs.convert("AcreFeet", "acre_ft", "m3"))
          .withColumn("Temp_surf", exprs.convert("WaterTemperature", "F", "C"))
