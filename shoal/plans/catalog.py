@@ -971,3 +971,73 @@ def q_salvage_job(spark: SparkSession, d: str) -> DataFrame:
     dbl = ["Latitude", "Longitude", "Tow_volume", "Temp_surf", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+# STN tide and tow-direction code tables.
+STN_TIDES = [(1, "High Tide"), (2, "Ebb"), (3, "Low Tide")]
+STN_DIRECTIONS = [(1, "With Current"), (2, "Against Current"), (3, "Neither")]
+
+
+def stn_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The STN database played by the driver tables: orders are samples at
+    the customer's nation, an order's return flags are its tows (flag number
+    = tow number = meter serial), (tow, brand) pairs are catches (catch =
+    lines with discount >= 0.05, so some are zero and some smaller than the
+    number measured), lines are measured fish (line 1 unmeasured).  Meter
+    calibrations exist only for (ship year, serial) pairs of finished lines."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    sample = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderdate").alias("SampleDate"),
+        F.month("o_orderdate").alias("Survey"), F.col("c_nationkey").alias("StationCode"),
+        (F.abs(F.col("c_acctbal")) / 400).alias("TemperatureTop"), (F.col("o_totalprice") / 10).alias("ConductivityTop"),
+        F.lit(3.0).alias("TurbidityTop"), F.lit(50.0).alias("Secchi"),
+        ((F.col("o_custkey") % 3) + 1).alias("TideCode"), (F.col("c_acctbal") / 100).alias("DepthBottom"))
+    li = roles.read(spark, d, "lineitem")
+    flag_no = F.when(F.col("l_returnflag") == "A", F.lit(1)).when(F.col("l_returnflag") == "N", F.lit(2)).otherwise(F.lit(3))
+    li = li.withColumn("flag_no", flag_no).withColumn("TowRowID", F.col("l_orderkey") * 10 + F.col("flag_no"))
+    clock = F.concat_ws(":", F.lpad((F.col("l_orderkey") % 24).cast("string"), 2, "0"),
+                        F.lpad((F.col("flag_no") * 7).cast("string"), 2, "0"), F.lit("30"))
+    tow = li.groupBy("TowRowID", "l_orderkey", "flag_no").agg(
+        F.when(F.min("l_tax") == 0, F.lit(None).cast("double")).otherwise(F.min("l_extendedprice")).alias("MeterIn"),
+        (F.max("l_quantity") * 1000).alias("MeterOut"))
+    tow = tow.select("TowRowID", F.col("l_orderkey").alias("SampleRowID"), F.col("flag_no").alias("TowNumber"),
+                     clock.alias("TimeStart"), F.col("flag_no").alias("MeterSerial"), "MeterIn", "MeterOut",
+                     F.lit(100.0).alias("CableOut"), F.col("flag_no").alias("TowDirection"))
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").alias("StationCode"), F.lit(38).alias("LatD"),
+                        F.col("n_nationkey").alias("LatM"), F.lit(0.0).alias("LatS"), F.lit(121).alias("LonD"),
+                        (F.col("n_regionkey") * 10).alias("LonM"), F.lit(30.0).alias("LonS"))
+    corr = (li.filter(F.col("l_linestatus") == "F")
+            .groupBy(F.year("l_shipdate").alias("StudyYear"), F.col("flag_no").alias("MeterSerial"))
+            .agg((F.avg("l_discount") + 0.01).alias("kFactor")))
+    ln = roles.lines(spark, d)
+    ln = ln.withColumn("CatchRowID", (F.col("SampleID") * 10 + F.when(F.col("returnflag") == "A", 1)
+                                      .when(F.col("returnflag") == "N", 2).otherwise(3)) * 100 + _brand_no("brand"))
+    catch = ln.groupBy("CatchRowID").agg(
+        F.first((F.col("CatchRowID") / 100).cast("bigint")).alias("TowRowID"),
+        F.first(_brand_no("brand")).alias("OrganismCode"),
+        F.count_if(F.col("discount") >= 0.05).cast("double").alias("Catch"))
+    length = ln.select("CatchRowID", F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity"))
+                       .alias("ForkLength"), F.lit(1.0).alias("LengthFrequency"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("STN_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName",
+                                                    F.when(F.col("STN_Code") == 3, F.lit("Age 0"))))
+    return ({"Sample": sample, "TowEffort": tow, "luStation": stations, "Web_Local_Meter_Corrections": corr,
+             "luTide": spark.createDataFrame(STN_TIDES, "TideRowID int, TideDesc string"),
+             "luTowDirection": spark.createDataFrame(STN_DIRECTIONS, "TowDirectionID int, TowDirection_label string"),
+             "Catch": catch, "Length": length}, species)
+
+
+@register("stn_job")
+def q_stn_job(spark: SparkSession, d: str) -> DataFrame:
+    """K7 end to end (J4, J5, P7, P9, P11, P13, P16, P18, P21, J2, F4, F5,
+    A1, A6, J1, J7, P25, P26, A11) on the driver tables in the STN roles."""
+    from shoal.plans import surveys
+    tables, species = stn_tables(spark, d)
+    ds = surveys.stn(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
+           "Cable_length", "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

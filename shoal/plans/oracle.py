@@ -973,3 +973,98 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM e7"""
+
+SQL["stn_job"] = r"""WITH smp AS (
+  SELECT o.o_orderkey AS SampleRowID, o.o_orderdate AS SampleDate, CAST(month(o.o_orderdate) AS INTEGER) AS Survey,
+         c.c_nationkey AS StationCode, abs(c.c_acctbal) / 400 AS TemperatureTop, o.o_totalprice / 10 AS ConductivityTop,
+         3.0::DOUBLE AS TurbidityTop, 50.0::DOUBLE AS Secchi, (o.o_custkey % 3) + 1 AS TideCode,
+         c.c_acctbal / 100 AS DepthBottom
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+li AS (SELECT *, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS flag_no FROM lineitem),
+tow AS (SELECT l_orderkey * 10 + flag_no AS TowRowID, l_orderkey AS SampleRowID, flag_no AS TowNumber,
+               lpad(CAST(l_orderkey % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(flag_no * 7 AS VARCHAR), 2, '0')
+                 || ':30' AS TimeStart,
+               flag_no AS MeterSerial,
+               CASE WHEN min(l_tax) = 0 THEN NULL ELSE min(l_extendedprice) END AS MeterIn,
+               max(l_quantity) * 1000 AS MeterOut, 100.0::DOUBLE AS CableOut, flag_no AS TowDirection
+        FROM li GROUP BY l_orderkey, flag_no),
+st AS (SELECT n_nationkey AS StationCode, 38 AS LatD, n_nationkey AS LatM, 0.0::DOUBLE AS LatS, 121 AS LonD,
+              n_regionkey * 10 AS LonM, 30.0::DOUBLE AS LonS FROM nation),
+corr AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS Year, flag_no AS MeterSerial, avg(l_discount) + 0.01 AS k
+         FROM li WHERE l_linestatus = 'F' GROUP BY 1, 2),
+s1 AS (SELECT smp.*, tow.TowRowID, tow.TowNumber, tow.TimeStart, tow.MeterSerial, tow.MeterIn, tow.MeterOut,
+              tow.CableOut, tow.TowDirection, st.LatD, st.LatM, st.LatS, st.LonD, st.LonM, st.LonS,
+              CAST(year(smp.SampleDate) AS INTEGER) AS Year
+       FROM smp JOIN tow ON smp.SampleRowID = tow.SampleRowID LEFT JOIN st ON smp.StationCode = st.StationCode),
+s2 AS (SELECT s1.*, corr.k,
+              CASE WHEN MeterOut - MeterIn < 0 THEN MeterOut - MeterIn + 1000000.0::DOUBLE ELSE MeterOut - MeterIn END AS total
+       FROM s1 LEFT JOIN corr ON s1.Year = corr.Year AND s1.MeterSerial = corr.MeterSerial),
+s3 AS (SELECT TowRowID, 'STN' AS Source, CAST(StationCode AS VARCHAR) AS Station,
+              LatD + LatM / 60.0::DOUBLE + LatS / 3600.0::DOUBLE AS Latitude,
+              -(LonD + LonM / 60.0::DOUBLE + LonS / 3600.0::DOUBLE) AS Longitude,
+              CAST(SampleDate AS DATE) AS Date,
+              make_timestamp(year(SampleDate), month(SampleDate), day(SampleDate),
+                             CAST(split_part(TimeStart, ':', 1) AS INTEGER), CAST(split_part(TimeStart, ':', 2) AS INTEGER),
+                             CAST(split_part(TimeStart, ':', 3) AS INTEGER)) AS Datetime,
+              Survey, DepthBottom * 0.3048::DOUBLE AS Depth,
+              'STN ' || CAST(CAST(SampleDate AS DATE) AS VARCHAR) || ' ' || CAST(Survey AS VARCHAR) || ' '
+                || CAST(StationCode AS VARCHAR) || ' ' || CAST(TowNumber AS VARCHAR) AS SampleID,
+              'STN net' AS Method, TideCode, TowDirection, ConductivityTop * 0.001::DOUBLE AS C,
+              TemperatureTop AS Temp_surf, TurbidityTop AS TurbidityNTU, Secchi,
+              CASE WHEN TowRowID IN (6612, 12815, 2551, 12786, 8031, 1857) THEN 735.0::DOUBLE
+                   ELSE COALESCE(CASE WHEN MeterIn IS NULL THEN 735.0::DOUBLE ELSE k * total * 1.49::DOUBLE END,
+                                 735.0::DOUBLE) END AS Tow_volume,
+              CableOut * 0.3048::DOUBLE AS Cable_length
+       FROM s2),
+sal_in AS (SELECT TowRowID, C FROM s3),
+""" + _SAL_CHAIN + r""",
+s AS (SELECT s3.*, CASE WHEN sh.sal > 40 THEN NULL ELSE sh.sal END AS Sal_surf,
+             CASE s3.TideCode WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' END AS Tide,
+             CASE s3.TowDirection WHEN 1 THEN 'With current' WHEN 2 THEN 'Against current' WHEN 3 THEN 'Neither' END
+               AS Tow_direction
+      FROM s3 JOIN sh ON s3.TowRowID = sh.TowRowID),
+ln AS (SELECT l.l_orderkey AS SampleID, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no,
+              l.l_linenumber, l.l_quantity, l.l_discount, l.l_returnflag
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+ln2 AS (SELECT *, (SampleID * 10 + CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) * 100 + brand_no
+                    AS CatchRowID FROM ln),
+cat AS (SELECT CatchRowID, CatchRowID // 100 AS TowRowID, brand_no AS OrganismCode,
+               CAST(count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Catch
+        FROM ln2 GROUP BY CatchRowID, brand_no),
+pc AS (SELECT * FROM cat WHERE Catch IS NOT NULL AND Catch > 0),
+meas AS (SELECT CatchRowID, ForkLength, sum(1.0::DOUBLE) AS LF FROM (
+           SELECT CatchRowID, CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_quantity END AS ForkLength FROM ln2) t
+         WHERE ForkLength <> 0 GROUP BY CatchRowID, ForkLength),
+tot AS (SELECT CatchRowID, sum(LF) AS TM FROM meas GROUP BY CatchRowID),
+j AS (SELECT pc.*, meas.ForkLength, meas.LF, COALESCE(tot.TM, 0.0) AS TM
+      FROM pc LEFT JOIN meas ON pc.CatchRowID = meas.CatchRowID LEFT JOIN tot ON pc.CatchRowID = tot.CatchRowID),
+k2 AS (SELECT *, CASE WHEN TM > Catch THEN TM ELSE Catch END AS CatchNew FROM j),
+e AS (SELECT *, LF / NULLIF(TM, 0) * CatchNew AS ex FROM k2),
+cl AS (SELECT e.TowRowID, xw.Taxa, e.ForkLength, e.LF, e.Catch,
+              CASE WHEN e.Catch IS NOT NULL AND e.ex IS NULL THEN e.Catch ELSE e.ex END AS Count,
+              CASE WHEN e.Catch IS NOT NULL AND e.ex IS NULL THEN 'Unknown length' END AS fl
+       FROM e LEFT JOIN (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS STN_Code,
+                                CASE WHEN CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) = 3 THEN p_brand || ' (Age 0)'
+                                     ELSE p_brand END AS Taxa FROM part) xw
+         ON e.OrganismCode = xw.STN_Code),
+d AS (SELECT s.*, cl.Taxa, cl.ForkLength AS Length, cl.Catch, cl.Count,
+             CASE WHEN cl.Catch IS NULL THEN 'No fish caught' ELSE cl.fl END AS flag
+      FROM s LEFT JOIN cl ON s.TowRowID = cl.TowRowID),
+d2 AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, TurbidityNTU, Secchi, Tow_volume, Tow_direction, Cable_length,
+              regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+              CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, TurbidityNTU, Secchi, Tow_volume, Tow_direction, Cable_length, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       Tow_direction, floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM mg"""
