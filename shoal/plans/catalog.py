@@ -898,12 +898,12 @@ def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
 
 @register("integrate_fish")
 def q_integrate_fish(spark: SparkSession, d: str) -> DataFrame:
-    """One dataset per source bound, normalised and zero-filled; the
-    integrated fish table."""
+    """The survey dataset bound, normalised and zero-filled per source;
+    the integrated fish table.  The role dataset already holds all three
+    sources (disjoint), so it is passed whole rather than split and rebound,
+    which would evaluate its plan once per source."""
     from shoal.plans.integrate import integrate
-    ds = roles.dataset(spark, d)
-    datasets = {src: ds.filter(F.col("Source") == src) for src in ("F", "O", "P")}
-    out = integrate(datasets)
+    out = integrate({"surveys": roles.dataset(spark, d)})
     return out.fish.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"))
 
 
