@@ -23,6 +23,12 @@ SPREADSHEET_ROWS = 1_048_576
 MIB_PER_ROW = 0.00025
 
 
+def mean_by(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
+    """Mean per key (several depths per sample, k-factors per meter);
+    nulls are skipped, an all-null group is null."""
+    return df.groupBy(*keys).agg(F.avg(value).alias(out or value))
+
+
 def taxon_totals(fish: DataFrame, taxon: str = "Taxa", value: str = "Count") -> DataFrame:
     """Total per taxon, positives only (ascending order is presentation)."""
     return (fish.groupBy(taxon).agg(sum0(value).alias(value))

@@ -122,7 +122,7 @@ def calibrate(df: DataFrame, corrections: DataFrame, year_col: str, serial_col:
     mean factor over all years; duplicate calibration rows are removed first."""
     corr = corrections.select(year_col, serial_col, k_col).distinct()
     by_year = corr.select(year_col, serial_col, F.col(k_col).alias("_k_year"))
-    by_serial = corr.groupBy(serial_col).agg(F.avg(k_col).alias("_k_avg"))
+    by_serial = corr.groupBy(serial_col).agg(F.avg(k_col).alias("_k_avg"))  # A12 mean per meter
     out = join(df, by_year, [year_col, serial_col], "left")
     out = join(out, by_serial, [serial_col], "left")
     return (out.withColumn(out_col, F.coalesce("_k_year", "_k_avg"))

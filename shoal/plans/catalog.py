@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from shoal.functions import exprs, salinity
 from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
-from shoal.plans import roles
+from shoal.plans import roles, surveys
+from shoal.plans.integrate import integrate
+from shoal.sources.io import scan_union
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -744,7 +746,6 @@ def q_union_split(spark: SparkSession, d: str) -> DataFrame:
     p = roles.read(spark, d, "part")
     a = p.filter(F.col("p_size") <= 25).select("p_partkey", F.col("p_size").alias("Size"), "p_name")
     b = p.filter(F.col("p_size") > 25).select("p_partkey", (F.col("p_size") / 2).alias("Size"), "p_type")
-    from shoal.sources.io import scan_union
     u = scan_union([(a, {}), (b, {"p_type": "Kind"})])
     u = reshape.split_cols(u, "p_name", ["colour", "thing"], " ", cast=None)
     return u.select("p_partkey", "Size", "Kind", "colour", "thing")
@@ -887,7 +888,6 @@ def fmwt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
 def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
     """K3 end to end (P1-P4, P9-P10, P14, P18, P23, P25-P27, J1, J7, A1, A4,
     A11, S2) on the driver tables in the FMWT roles."""
-    from shoal.plans import surveys
     tables, species = fmwt_tables(spark, d)
     ds = surveys.fmwt(tables, species).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "TurbidityNTU", "Secchi",
@@ -902,7 +902,6 @@ def q_integrate_fish(spark: SparkSession, d: str) -> DataFrame:
     the integrated fish table.  The role dataset already holds all three
     sources (disjoint), so it is passed whole rather than split and rebound,
     which would evaluate its plan once per source."""
-    from shoal.plans.integrate import integrate
     out = integrate({"surveys": roles.dataset(spark, d)})
     return out.fish.select("SampleID", "Taxa", "Length", r6("Count").alias("Count"))
 
@@ -965,7 +964,6 @@ def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], D
 def q_salvage_job(spark: SparkSession, d: str) -> DataFrame:
     """K10 end to end (J6, F8, P31, W2, W1, J1, A1, P19, A10, P25, F11, F19,
     P22, F6) on the driver tables in the salvage roles."""
-    from shoal.plans import surveys
     tables, species = salvage_tables(spark, d)
     ds = surveys.salvage(tables, species, no_sampling_patterns=NO_SAMPLING_PATTERNS).dataset
     dbl = ["Latitude", "Longitude", "Tow_volume", "Temp_surf", "Length", "Count"]
@@ -1034,10 +1032,78 @@ def stn_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
 def q_stn_job(spark: SparkSession, d: str) -> DataFrame:
     """K7 end to end (J4, J5, P7, P9, P11, P13, P16, P18, P21, J2, F4, F5,
     A1, A6, J1, J7, P25, P26, A11) on the driver tables in the STN roles."""
-    from shoal.plans import surveys
     tables, species = stn_tables(spark, d)
     ds = surveys.stn(tables, species).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
            "Cable_length", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+# Bay Study tide code table.
+BAY_TIDES = [(1, "High Slack"), (2, "Ebb"), (3, "Low Slack"), (4, "Flood")]
+
+
+def baystudy_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The Bay Study database played by the driver tables: a station visit
+    is (order year, month, customer nation); the net is the order priority
+    (urgent/high midwater, medium/unspecified otter, low the EL net that is
+    filtered out); lines are fish in size group 1 (< 25) or 2, line 1 is the
+    plus count of unmeasured fish.  Codes in the length table are lower-case
+    and upper-cased before the crosswalk."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    oc = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.year("o_orderdate").alias("Year"), F.month("o_orderdate").alias("Survey"),
+        F.col("c_nationkey").cast("string").alias("Station"), "o_orderkey", "o_orderdate", "o_orderstatus",
+        "o_totalprice", "c_acctbal",
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit(1))
+         .when(F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED"), F.lit(2)).otherwise(F.lit(3)).alias("Net"))
+    visit = ["Year", "Survey", "Station"]
+    boat_station = oc.groupBy(*visit).agg(
+        F.min("o_orderdate").cast("date").cast("string").alias("Date"), (F.avg("c_acctbal") / 100).alias("Depth"),
+        F.lit(50.0).alias("Secchi"), ((F.min("Survey") % 4) + 1).alias("Tide"))
+    boat_tow = oc.groupBy(*visit, "Net").agg(
+        F.when(F.min("o_orderstatus") == "P", F.lit(52)).otherwise(F.lit(1)).alias("Tow"),
+        F.max("o_orderdate").cast("string").alias("Time"),
+        (F.sum("o_totalprice") / 100).alias("TotalMeter"), (F.count(F.lit(1)) * 0.5).alias("Distance"),
+        F.lit(10.0).alias("Duration"))
+    boat_tow = boat_tow.select(*visit, "Net", "Tow", "Time",
+                               F.when(F.col("Net") == 1, F.lit(None).cast("int")).otherwise(F.lit(2)).alias("Tide"),
+                               F.col("Net").alias("Direction"), "Duration", "TotalMeter", "Distance",
+                               F.lit(None).cast("string").alias("TowComment"))
+    salin = oc.groupBy(*visit).agg((F.avg("o_totalprice") / 10).alias("ECSurf"),
+                                   (F.avg(F.abs(F.col("c_acctbal"))) / 400).alias("TempSurf"))
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").cast("string").alias("Station"),
+                        F.concat(F.lit("37°"), (F.col("n_nationkey") * 2).cast("string")).alias("Latitude"),
+                        F.concat(F.lit("-122°"), (F.col("n_regionkey") * 5).cast("string")).alias("Longitude"))
+    ln = joins.join(roles.lines(spark, d), oc.select(F.col("o_orderkey").alias("SampleID"), *visit, "Net"),
+                    ["SampleID"], "inner", null_safe=False)
+    ln = ln.withColumn("SizeGroup", F.when(F.col("quantity") < 25, F.lit(1)).otherwise(F.lit(2)))
+    keys = [*visit, "Net", "SizeGroup"]
+    catch = ln.groupBy(*keys, F.upper("brand").alias("AlphaCode")).agg(
+        (F.sum("quantity") / 10).alias("QtsCaught"), F.count(F.lit(1)).cast("double").alias("QtsSubsampled"),
+        F.when(F.max("tax") == 0, F.lit(None).cast("double"))
+         .otherwise(F.count_if(F.col("linenumber") == 1).cast("double")).alias("PlusCount"))
+    length = ln.filter(F.col("linenumber") != 1).select(
+        *keys, F.lower("brand").alias("AlphaCode"), F.col("quantity").alias("Length"), F.lit(1.0).alias("Frequency"))
+    p = roles.read(spark, d, "part").select(F.upper("p_brand").alias("Baystudy_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(
+        F.col("Baystudy_Code") == "BRAND#4", F.lit("Age 0"))))
+    return ({"stations": stations, "TideCodes": spark.createDataFrame(BAY_TIDES, "Tide int, Description string"),
+             "BoatStation": boat_station, "BoatTow": boat_tow, "SalinTemp": salin,
+             "Fish Catch Data": catch, "Fish Length Data": length}, species)
+
+
+@register("baystudy_job")
+def q_baystudy_job(spark: SparkSession, d: str) -> DataFrame:
+    """K1 end to end (J2, P4, P5, P8, P14, P15, P18, P28, J1, A3, J7, P25,
+    A11, F1, F3, P26) on the driver tables in the Bay Study roles."""
+    tables, species = baystudy_tables(spark, d)
+    ds = surveys.baystudy(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area",
+           "Tow_volume", "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

@@ -1068,3 +1068,99 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg"""
+
+SQL["baystudy_job"] = r"""WITH oc AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS Year, CAST(month(o.o_orderdate) AS INTEGER) AS Survey,
+         CAST(c.c_nationkey AS VARCHAR) AS Station, o.o_orderkey, o.o_orderdate, o.o_orderstatus, o.o_totalprice,
+         c.c_acctbal,
+         CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1
+              WHEN o.o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 2 ELSE 3 END AS Net
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+tc AS (SELECT * FROM (VALUES (1, 'High Slack'), (2, 'Ebb'), (3, 'Low Slack'), (4, 'Flood')) t(Tide, Description)),
+bs AS (SELECT Year, Survey, Station, CAST(min(o_orderdate) AS DATE) AS Date, avg(c_acctbal) / 100 AS Depth,
+              50.0::DOUBLE AS Secchi, (min(Survey) % 4) + 1 AS Tide
+       FROM oc GROUP BY Year, Survey, Station),
+bsd AS (SELECT bs.Year, bs.Survey, bs.Station, bs.Date, bs.Depth, bs.Secchi, tc.Description AS Tidestation
+        FROM bs LEFT JOIN tc ON bs.Tide = tc.Tide),
+bt0 AS (SELECT Year, Survey, Station, Net, CASE WHEN min(o_orderstatus) = 'P' THEN 52 ELSE 1 END AS Tow,
+               max(o_orderdate) AS Time, sum(o_totalprice) / 100 AS TotalMeter, count(*) * 0.5::DOUBLE AS Distance
+        FROM oc GROUP BY Year, Survey, Station, Net),
+bt AS (SELECT b.Year, b.Survey, b.Station,
+              CASE b.Net WHEN 1 THEN 'Midwater trawl' WHEN 2 THEN 'Otter trawl' WHEN 3 THEN 'EL' END AS Method,
+              b.Time, tc.Description AS Tidetow,
+              CASE b.Net WHEN 1 THEN 'With current' WHEN 2 THEN 'Against current' WHEN 3 THEN 'Slack or cross-current' END
+                AS Tow_direction,
+              CASE WHEN b.Net = 1 THEN b.TotalMeter * 0.02687::DOUBLE * 10.7::DOUBLE END AS Tow_volume,
+              CASE WHEN b.Net = 2 THEN b.Distance * 1852.0::DOUBLE * 3.42::DOUBLE END AS Tow_area,
+              CASE WHEN b.Tow IN (1, 2, 51, 54, 55, 56, 57) THEN 'Valid' WHEN b.Tow IN (0, 52, 53, 58) THEN 'Invalid' END
+                AS Tow_status,
+              10.0::DOUBLE AS Tow_duration, CAST(NULL AS VARCHAR) AS Notes_tow
+       FROM bt0 b LEFT JOIN tc ON (CASE WHEN b.Net = 1 THEN NULL ELSE 2 END) = tc.Tide
+       WHERE b.Net IN (1, 2)),
+sal AS (SELECT Year, Survey, Station, avg(o_totalprice) / 10 AS ECSurf, avg(abs(c_acctbal)) / 400 AS TempSurf
+        FROM oc GROUP BY Year, Survey, Station),
+st AS (SELECT CAST(n_nationkey AS VARCHAR) AS Station,
+              37.0::DOUBLE + CAST(n_nationkey * 2 AS DOUBLE) / 60.0::DOUBLE AS Latitude,
+              -122.0::DOUBLE - CAST(n_regionkey * 5 AS DOUBLE) / 60.0::DOUBLE AS Longitude FROM nation),
+env AS (SELECT bt.*, bsd.Date, bsd.Depth, bsd.Secchi, COALESCE(bt.Tidetow, bsd.Tidestation) AS Tide,
+               make_timestamp(year(bsd.Date), month(bsd.Date), day(bsd.Date), hour(bt.Time), minute(bt.Time), 0)
+                 AS Datetime,
+               'Bay Study ' || CAST(bt.Year AS VARCHAR) || ' ' || CAST(bt.Survey AS VARCHAR) || ' ' || bt.Station || ' '
+                 || bt.Method AS SampleID,
+               st.Latitude, st.Longitude, sal.ECSurf, sal.TempSurf AS Temp_surf
+        FROM bt LEFT JOIN bsd ON bt.Year = bsd.Year AND bt.Survey = bsd.Survey AND bt.Station = bsd.Station
+        LEFT JOIN st ON bt.Station = st.Station
+        LEFT JOIN sal ON bt.Year = sal.Year AND bt.Survey = sal.Survey AND bt.Station = sal.Station),
+sal_in AS (SELECT Year, Survey, Station, ECSurf * 0.001::DOUBLE AS C FROM sal),
+""" + _SAL_CHAIN + r""",
+ln AS (SELECT oc.Year, oc.Survey, oc.Station, oc.Net, l.l_quantity AS quantity, l.l_linenumber, l.l_tax,
+              p.p_brand AS brand, CASE WHEN l.l_quantity < 25 THEN 1 ELSE 2 END AS SizeGroup
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN oc ON l.l_orderkey = oc.o_orderkey),
+xw AS (SELECT DISTINCT upper(p_brand) AS code,
+              CASE WHEN upper(p_brand) = 'BRAND#4' THEN p_brand || ' (Age 0)' ELSE p_brand END AS Taxa FROM part),
+cat AS (SELECT c.Year, c.Survey, c.Station,
+               CASE c.Net WHEN 1 THEN 'Midwater trawl' WHEN 2 THEN 'Otter trawl' END AS Method, c.SizeGroup, xw.Taxa,
+               c.QtsCaught, c.QtsSubsampled, c.PlusCount
+        FROM (SELECT Year, Survey, Station, Net, SizeGroup, upper(brand) AS AlphaCode, sum(quantity) / 10 AS QtsCaught,
+                     CAST(count(*) AS DOUBLE) AS QtsSubsampled,
+                     CASE WHEN max(l_tax) = 0 THEN NULL
+                          ELSE CAST(count(*) FILTER (WHERE l_linenumber = 1) AS DOUBLE) END AS PlusCount
+              FROM ln GROUP BY Year, Survey, Station, Net, SizeGroup, upper(brand)) c
+        LEFT JOIN xw ON c.AlphaCode = xw.code WHERE c.Net IN (1, 2)),
+len AS (SELECT l.Year, l.Survey, l.Station, CASE l.Net WHEN 1 THEN 'Midwater trawl' WHEN 2 THEN 'Otter trawl' END AS Method,
+               l.SizeGroup, xw.Taxa, l.quantity AS Length, 1.0::DOUBLE AS Frequency
+        FROM ln l LEFT JOIN xw ON upper(lower(l.brand)) = xw.code WHERE l.l_linenumber <> 1 AND l.Net IN (1, 2)),
+tot AS (SELECT Year, Survey, Station, Method, SizeGroup, Taxa,
+               CASE WHEN count(*) = count(Frequency) THEN sum(Frequency) END AS TM
+        FROM len GROUP BY Year, Survey, Station, Method, SizeGroup, Taxa),
+tcx AS (SELECT c.Year, c.Survey, c.Station, c.Method, c.SizeGroup, c.Taxa, t.TM,
+               (t.TM + c.PlusCount) * (c.QtsCaught / NULLIF(c.QtsSubsampled, 0)) AS TotalCatch
+        FROM cat c JOIN tot t ON c.Year = t.Year AND c.Survey = t.Survey AND c.Station = t.Station AND c.Method = t.Method
+                            AND c.SizeGroup = t.SizeGroup AND c.Taxa IS NOT DISTINCT FROM t.Taxa
+        WHERE c.PlusCount IS NOT NULL AND t.TM IS NOT NULL),
+lc AS (SELECT l.Year, l.Survey, l.Station, l.Method, l.Taxa, l.Length,
+              l.Frequency / NULLIF(x.TM, 0) * x.TotalCatch AS Count
+       FROM len l LEFT JOIN tcx x ON l.Year = x.Year AND l.Survey = x.Survey AND l.Station = x.Station
+                               AND l.Method = x.Method AND l.SizeGroup = x.SizeGroup AND l.Taxa IS NOT DISTINCT FROM x.Taxa),
+d AS (SELECT 'Bay Study' AS Source, e.Station, e.Latitude, e.Longitude, e.Date, e.Datetime, e.Survey, e.Depth, e.SampleID,
+             e.Method, e.Tide, sh.sal AS Sal_surf, e.Temp_surf, e.Secchi, e.Tow_duration, e.Tow_area, e.Tow_volume,
+             e.Tow_direction, e.Notes_tow, e.Tow_status, regexp_replace(lc.Taxa, ' \(.*$', '') AS Taxa, lc.Length,
+             lc.Count, CASE WHEN lc.Length IS NULL THEN 'No fish caught' END AS Length_NA_flag
+      FROM env e LEFT JOIN lc ON e.Year = lc.Year AND e.Survey = lc.Survey AND e.Station = lc.Station AND e.Method = lc.Method
+      LEFT JOIN sh ON e.Year = sh.Year AND e.Survey = sh.Survey AND e.Station = sh.Station),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, Secchi, Tow_duration, Tow_area, Tow_volume, Tow_direction, Notes_tow, Tow_status, Taxa, Length,
+              Length_NA_flag, CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi,
+       floor(Tow_duration * 1000000.0 + 0.5) / 1000000.0 AS Tow_duration,
+       floor(Tow_area * 1000000.0 + 0.5) / 1000000.0 AS Tow_area,
+       floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Tow_direction, Notes_tow, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
+       floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM mg WHERE Tow_status = 'Valid'"""

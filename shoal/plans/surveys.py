@@ -20,6 +20,7 @@ from shoal.functions.nulls import recode, strict_sum
 from shoal.functions.salinity import clamp_salinity, with_salinity
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
 from shoal.operators import expand, filters, joins, windows
+from shoal.operators.analyze import mean_by
 from shoal.sources.io import normalize_na
 
 Tables = Mapping[str, DataFrame]
@@ -477,7 +478,7 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
     ``t["comments"]`` holds the translated comments of unmeasured fish:
     SampleID, Taxa, Count, Min_length, Length, Max_length (null when absent).
     """
-    depth = t["Depth"].groupBy("SampleRowID").agg(F.avg("Depth").alias("Depth"))
+    depth = mean_by(t["Depth"], ["SampleRowID"], "Depth")
     s = normalize_na(t["Sample"])
     s = filters.keep_methods(s, "MethodCode", ["MWTR", "OTR"])
     s = s.select(
