@@ -1107,3 +1107,56 @@ def q_baystudy_job(spark: SparkSession, d: str) -> DataFrame:
            "Tow_volume", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The SLS database played by the driver tables: a (order date, customer
+    nation) pair is a station visit, the order priority number is the tow;
+    water data exist only for nations below 20 (so the full outer chain keeps
+    tows without water data); the meter corrections come twice, as the
+    source's duplicated rows do; lines are measured fish except line 1."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    oc = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.to_date("o_orderdate").alias("Date"), F.col("c_nationkey").alias("Station"), "o_orderkey", "o_totalprice",
+        "o_orderstatus", "c_acctbal", F.substring("o_orderpriority", 1, 1).cast("int").alias("Tow"),
+        F.month("o_orderdate").alias("Survey"))
+    water = (oc.filter(F.col("Station") < 20).groupBy("Date", "Station").agg(
+        (F.avg("o_totalprice") / 10).alias("TopEC"), (F.avg("o_totalprice") / 8).alias("BottomEC"),
+        (F.avg(F.abs(F.col("c_acctbal"))) / 300).alias("TopTemp"), F.lit(50.0).alias("Secchi"),
+        F.when(F.min("o_orderstatus") == "F", F.lit("calm")).alias("Comments")))
+    tow = oc.groupBy("Date", "Station", "Tow").agg(
+        F.min("Survey").alias("Survey"),
+        F.concat_ws(":", F.lpad((F.min("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("15"), F.lit("00")).alias("Time"),
+        ((F.col("Tow") % 4) + 1).alias("Tide"), (F.avg("c_acctbal") / 100).alias("BottomDepth"),
+        F.col("Tow").alias("NetMeterSerial"), (F.sum("o_totalprice") / 10).alias("NetMeterCheck"),
+        F.when(F.count(F.lit(1)) > 1, F.lit("several")).alias("Comments"))
+    li = roles.read(spark, d, "lineitem")
+    corr = li.groupBy(F.year("l_shipdate").alias("StudyYear"), F.col("l_linenumber").alias("MeterSerial")).agg(
+        (F.avg("l_discount") + 0.01).alias("kfactor"))
+    ln = joins.join(roles.lines(spark, d), oc.select(F.col("o_orderkey").alias("SampleID"), "Date", "Station", "Tow"),
+                    ["SampleID"], "inner", null_safe=False).withColumn("FishCode", _brand_no("brand"))
+    catch = ln.groupBy("Date", "Station", "Tow", "FishCode").agg(
+        (F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Catch"))
+    lengths = ln.filter(F.col("linenumber") != 1).select("Date", "Station", "Tow", "FishCode",
+                                                          F.col("quantity").alias("Length"))
+    n = roles.read(spark, d, "nation")
+    st = n.select(F.col("n_nationkey").alias("Station"), (F.lit(38.0) + F.col("n_nationkey") * F.lit(0.01)).alias("Latitude"),
+                  (F.lit(-121.5) - F.col("n_regionkey") * F.lit(0.1)).alias("Longitude"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("SLS_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(F.col("SLS_Code") == 5, F.lit("Age 0"))))
+    return ({"Water Info": water, "Tow Info": tow, "Meter Corrections": corr.unionByName(corr),
+             "Catch": catch, "Lengths": lengths, "SLS Stations": st}, species)
+
+
+@register("sls_job")
+def q_sls_job(spark: SparkSession, d: str) -> DataFrame:
+    """K6 end to end (J6, J5, J3, P10, P14, P18, P21, P29, P35, A1, A8, W1,
+    J1, P25, P26, A11) on the driver tables in the SLS roles."""
+    tables, species = sls_tables(spark, d)
+    ds = surveys.sls(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "Secchi", "Tow_volume",
+           "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

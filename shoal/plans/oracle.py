@@ -1164,3 +1164,84 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg WHERE Tow_status = 'Valid'"""
+
+SQL["sls_job"] = r"""WITH oc AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS Date, c.c_nationkey AS Station, o.o_orderkey, o.o_totalprice, o.o_orderstatus,
+         c.c_acctbal, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS Tow, CAST(month(o.o_orderdate) AS INTEGER) AS Survey
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+water AS (SELECT Date, Station, avg(o_totalprice) / 10 AS TopEC, avg(o_totalprice) / 8 AS BottomEC,
+                 round_even(avg(abs(c_acctbal)) / 300, 2) AS Temp_surf, 50.0::DOUBLE AS Secchi,
+                 CASE WHEN min(o_orderstatus) = 'F' THEN 'calm' END AS Notes_env
+          FROM oc WHERE Station < 20 GROUP BY Date, Station),
+corr AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS StudyYear, l_linenumber AS NetMeterSerial,
+                avg(l_discount) + 0.01 AS kfactor FROM lineitem GROUP BY 1, 2),
+tow0 AS (SELECT Date, Station, Tow, min(Survey) AS Survey, min(o_orderkey) % 24 AS h,
+                (Tow % 4) + 1 AS TideCode, avg(c_acctbal) / 100 AS BottomDepth, Tow AS NetMeterSerial,
+                sum(o_totalprice) / 10 AS NetMeterCheck, CASE WHEN count(*) > 1 THEN 'several' END AS Notes_tow
+         FROM oc GROUP BY Date, Station, Tow),
+tow AS (SELECT t.Date, t.Station, t.Tow, t.Survey, make_timestamp(year(t.Date), month(t.Date), day(t.Date), t.h, 15, 0)
+                 AS Datetime,
+               CASE t.TideCode WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END
+                 AS Tide,
+               t.BottomDepth * 0.3048::DOUBLE AS Depth, t.NetMeterCheck * c.kfactor * 0.37::DOUBLE AS Tow_volume,
+               t.Notes_tow
+        FROM tow0 t LEFT JOIN corr c ON CAST(year(t.Date) AS INTEGER) = c.StudyYear AND t.NetMeterSerial = c.NetMeterSerial),
+ln AS (SELECT oc.Date, oc.Station, oc.Tow, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS FishCode,
+              l.l_quantity, l.l_discount, l.l_linenumber
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN oc ON l.l_orderkey = oc.o_orderkey),
+cat AS (SELECT Date, Station, Tow, FishCode, CAST(count(*) + count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Catch
+        FROM ln GROUP BY Date, Station, Tow, FishCode),
+lf AS (SELECT Date, Station, Tow, FishCode, l_quantity AS Length, CAST(count(*) AS DOUBLE) AS LengthFrequency
+       FROM ln WHERE l_linenumber <> 1 GROUP BY Date, Station, Tow, FishCode, l_quantity),
+lf2 AS (SELECT lf.*, sum(LengthFrequency) OVER (PARTITION BY Date, Station, Tow, FishCode) AS TLM FROM lf),
+sal_in AS (SELECT Date, Station, 'top' AS w, TopEC * 0.001::DOUBLE AS C FROM water
+           UNION ALL SELECT Date, Station, 'bot', BottomEC * 0.001::DOUBLE FROM water),
+""" + _SAL_CHAIN + r""",
+sal AS (SELECT Date, Station, max(CASE WHEN w = 'top' THEN sal END) AS Sal_surf,
+               max(CASE WHEN w = 'bot' THEN sal END) AS Sal_bot FROM sh GROUP BY Date, Station),
+w2 AS (SELECT water.*, sal.Sal_surf, sal.Sal_bot FROM water JOIN sal ON water.Date = sal.Date AND water.Station = sal.Station),
+c1 AS (SELECT COALESCE(w2.Date, tow.Date) AS Date, COALESCE(w2.Station, tow.Station) AS Station,
+              w2.Temp_surf, w2.Secchi, w2.Notes_env, w2.Sal_surf, w2.Sal_bot,
+              tow.Tow, tow.Survey, tow.Datetime, tow.Tide, tow.Depth, tow.Tow_volume, tow.Notes_tow
+       FROM w2 FULL JOIN tow ON w2.Date IS NOT DISTINCT FROM tow.Date AND w2.Station IS NOT DISTINCT FROM tow.Station),
+c2 AS (SELECT COALESCE(c1.Date, cat.Date) AS Date, COALESCE(c1.Station, cat.Station) AS Station,
+              COALESCE(c1.Tow, cat.Tow) AS Tow, c1.* EXCLUDE (Date, Station, Tow), cat.FishCode, cat.Catch
+       FROM c1 FULL JOIN cat ON c1.Date IS NOT DISTINCT FROM cat.Date AND c1.Station IS NOT DISTINCT FROM cat.Station
+                            AND c1.Tow IS NOT DISTINCT FROM cat.Tow),
+c3 AS (SELECT COALESCE(c2.Date, lf2.Date) AS Date, COALESCE(c2.Station, lf2.Station) AS Station,
+              COALESCE(c2.Tow, lf2.Tow) AS Tow, COALESCE(c2.FishCode, lf2.FishCode) AS FishCode,
+              c2.* EXCLUDE (Date, Station, Tow, FishCode), lf2.Length, lf2.LengthFrequency, lf2.TLM
+       FROM c2 FULL JOIN lf2 ON c2.Date IS NOT DISTINCT FROM lf2.Date AND c2.Station IS NOT DISTINCT FROM lf2.Station
+                             AND c2.Tow IS NOT DISTINCT FROM lf2.Tow AND c2.FishCode IS NOT DISTINCT FROM lf2.FishCode),
+xw AS (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS SLS_Code,
+              CASE WHEN CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) = 5 THEN p_brand || ' (Age 0)'
+                   ELSE p_brand END AS Taxa FROM part),
+st AS (SELECT n_nationkey AS Station, 38.0::DOUBLE + n_nationkey * 0.01::DOUBLE AS Latitude,
+              -121.5::DOUBLE - n_regionkey * 0.1::DOUBLE AS Longitude FROM nation),
+c4 AS (SELECT c3.*, xw.Taxa, st.Latitude, st.Longitude,
+              CASE WHEN c3.Length IS NULL THEN c3.Catch ELSE c3.LengthFrequency / NULLIF(c3.TLM, 0) * c3.Catch END AS Cnt,
+              CASE WHEN COALESCE(c3.Notes_tow, c3.Notes_env) IS NULL THEN NULL
+                   ELSE concat_ws('; ', c3.Notes_tow, c3.Notes_env) END AS Notes
+       FROM c3 LEFT JOIN xw ON c3.FishCode IS NOT DISTINCT FROM xw.SLS_Code
+       LEFT JOIN st ON c3.Station IS NOT DISTINCT FROM st.Station),
+c5 AS (SELECT *, CASE WHEN Cnt IS NULL THEN 'No fish caught' WHEN Length IS NULL AND Cnt > 0 THEN 'Unknown length' END
+                   AS flag FROM c4),
+d2 AS (SELECT 'SLS' AS Source, CAST(Station AS VARCHAR) AS Station, Latitude, Longitude, Date, Datetime, Survey, Depth,
+              concat_ws(' ', 'SLS', COALESCE(CAST(Date AS VARCHAR), 'NA'), COALESCE(CAST(Station AS VARCHAR), 'NA'),
+                        COALESCE(CAST(Tow AS VARCHAR), 'NA')) AS SampleID,
+              'Oblique tow' AS Method, Tide, Sal_surf, Sal_bot, Temp_surf, Secchi, Tow_volume, Notes AS Notes_tow,
+              regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+              CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Cnt END AS Count, flag AS Length_NA_flag FROM c5),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Sal_bot, Temp_surf, Secchi, Tow_volume, Notes_tow, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Sal_bot * 1000000.0 + 0.5) / 1000000.0 AS Sal_bot,
+       floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf, floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi,
+       floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Notes_tow, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM mg"""
