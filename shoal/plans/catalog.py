@@ -1160,3 +1160,60 @@ def q_sls_job(spark: SparkSession, d: str) -> DataFrame:
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def skt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The SKT database played by the driver tables: orders are tows at the
+    customer's nation (times in the export layout MM/dd/yyyy HH:mm), (order,
+    brand) pairs are catches, orders without lines get the empty-net catch
+    row (organism 0, no catch), lines are fish (line 1 unmeasured).  The
+    crosswalk's SKT codes are text while the catch codes are numbers."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    clock = F.concat(F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit(" "),
+                     F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":"),
+                     F.lpad(((F.col("o_custkey") % 4) * 15).cast("string"), 2, "0"))
+    sample = oc.select(
+        F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderdate").alias("SampleDate"),
+        F.col("c_nationkey").alias("Station"), clock.alias("SampleTimeStart"),
+        F.month("o_orderdate").alias("SurveyNumber"), (F.abs(F.col("c_acctbal")) / 400).alias("WaterTemperature"),
+        (F.col("o_custkey") % 5).cast("int").alias("TideCode"), (F.col("c_acctbal") / 100).alias("DepthBottom"),
+        F.lit(40.0).alias("Secchi"), (F.col("o_totalprice") / 10).alias("ConductivityTop"),
+        (F.col("o_custkey") % 4).cast("int").alias("TowDirectionCode"),
+        ((F.col("o_orderkey") % 100) * 10000).cast("double").alias("MeterStart"),
+        (((F.col("o_orderkey") + 37) % 100) * 10000).cast("double").alias("MeterEnd"),
+        F.lit(5.0).alias("NTU"), F.lit(6.0).alias("FNU"))
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").alias("Station"), F.lit(38).alias("LatDeg"),
+                        F.col("n_nationkey").cast("double").alias("LatMin"), F.lit(0.0).alias("LatSec"),
+                        F.lit(121).alias("LongDec"), (F.col("n_regionkey") * 10).cast("double").alias("LongMin"),
+                        F.lit(15.0).alias("LongSec"))
+    ln = roles.lines(spark, d).withColumn("OrganismCode", _brand_no("brand"))
+    catch_id = F.col("SampleID") * 100 + F.col("OrganismCode")
+    catch = ln.groupBy("SampleID", "OrganismCode").agg(
+        (F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Catch"))
+    catch = catch.select(catch_id.alias("CatchRowID"), F.col("SampleID").alias("SampleRowID"), "OrganismCode", "Catch")
+    empty = joins.join(o.select(F.col("o_orderkey").alias("SampleRowID")), ln.select(F.col("SampleID").alias("SampleRowID")),
+                       ["SampleRowID"], "left_anti", null_safe=False)
+    empty = empty.select((F.col("SampleRowID") * 100).alias("CatchRowID"), "SampleRowID",
+                         F.lit(0).alias("OrganismCode"), F.lit(None).cast("double").alias("Catch"))
+    fish = ln.select(catch_id.alias("CatchRowID"), F.when(F.col("linenumber") == 1, F.lit(0.0))
+                     .otherwise(F.col("quantity")).alias("ForkLength"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").cast("string").alias("SKT_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(F.col("SKT_Code") == "6", F.lit("Age 0"))))
+    return ({"StationsSKT": stations, "tblSample": sample, "tblCatch": catch.unionByName(empty),
+             "tblFishInfo": fish}, species)
+
+
+@register("skt_job")
+def q_skt_job(spark: SparkSession, d: str) -> DataFrame:
+    """K4 end to end (P7, P9, P10, P13, P14, P18 with the export time layout,
+    J3, A1, A5, J1, J7, P25, P26, A11) on the driver tables in the SKT roles."""
+    tables, species = skt_tables(spark, d)
+    ds = surveys.skt(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "TurbidityFNU", "Secchi",
+           "Tow_volume", "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

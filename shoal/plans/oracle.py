@@ -1245,3 +1245,75 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg"""
+
+SQL["skt_job"] = r"""WITH oc AS (
+  SELECT o.o_orderkey AS SampleRowID, o.o_orderdate, c.c_nationkey AS StationCode, o.o_custkey, c.c_acctbal, o.o_totalprice
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+smp AS (SELECT SampleRowID, CAST(StationCode AS VARCHAR) AS Station, CAST(o_orderdate AS DATE) AS Date,
+               SampleRowID % 24 AS h, (o_custkey % 4) * 15 AS m,
+               CAST(month(o_orderdate) AS INTEGER) AS Survey, abs(c_acctbal) / 400 AS Temp_surf,
+               CASE CAST(o_custkey % 5 AS INTEGER) WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack'
+                    WHEN 4 THEN 'Flood' END AS Tide,
+               c_acctbal / 100 * 0.3048::DOUBLE AS Depth, 40.0::DOUBLE AS Secchi, o_totalprice / 10 AS CT,
+               CAST(((SampleRowID + 37) % 100) * 10000 AS DOUBLE) - CAST((SampleRowID % 100) * 10000 AS DOUBLE) AS d0,
+               CASE CAST(o_custkey % 4 AS INTEGER) WHEN 1 THEN 'With current' WHEN 2 THEN 'Against current'
+                    WHEN 3 THEN 'Unknown' END AS Tow_direction,
+               5.0::DOUBLE AS TurbidityNTU, 6.0::DOUBLE AS TurbidityFNU
+        FROM oc),
+st AS (SELECT CAST(n_nationkey AS VARCHAR) AS Station,
+              38 + CAST(n_nationkey AS DOUBLE) / 60.0::DOUBLE + 0.0::DOUBLE / 3600.0::DOUBLE AS Latitude,
+              -(121 + CAST(n_regionkey * 10 AS DOUBLE) / 60.0::DOUBLE + 15.0::DOUBLE / 3600.0::DOUBLE) AS Longitude
+       FROM nation),
+sal_in AS (SELECT SampleRowID, CT * 0.001::DOUBLE AS C FROM smp),
+""" + _SAL_CHAIN + r""",
+s AS (SELECT smp.*, st.Latitude, st.Longitude, sh.sal AS Sal_surf,
+             CASE WHEN smp.h = 0 AND smp.m = 0 THEN NULL
+                  ELSE make_timestamp(year(smp.Date), month(smp.Date), day(smp.Date), smp.h, smp.m, 0) END AS Datetime,
+             (CASE WHEN smp.d0 < 0 THEN smp.d0 + 1000000.0::DOUBLE ELSE smp.d0 END) * 0.026873027::DOUBLE * 13.95::DOUBLE
+               AS Tow_volume
+      FROM smp LEFT JOIN st ON smp.Station = st.Station JOIN sh ON smp.SampleRowID = sh.SampleRowID),
+ln AS (SELECT l.l_orderkey AS SampleID, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS OrganismCode,
+              l.l_linenumber, l.l_quantity, l.l_discount
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+cat AS (SELECT SampleID * 100 + OrganismCode AS CatchRowID, SampleID AS SampleRowID, OrganismCode,
+               CAST(count(*) + count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Catch
+        FROM ln GROUP BY SampleID, OrganismCode
+        UNION ALL
+        SELECT o_orderkey * 100, o_orderkey, 0, CAST(NULL AS DOUBLE) FROM orders
+        WHERE o_orderkey NOT IN (SELECT SampleID FROM ln)),
+meas AS (SELECT CatchRowID, ForkLength, sum(1.0::DOUBLE) AS LF FROM (
+           SELECT SampleID * 100 + OrganismCode AS CatchRowID,
+                  CASE WHEN l_linenumber = 1 THEN 0.0 ELSE l_quantity END AS ForkLength FROM ln) t
+         WHERE ForkLength <> 0 GROUP BY CatchRowID, ForkLength),
+tot AS (SELECT CatchRowID, sum(LF) AS TM FROM meas GROUP BY CatchRowID),
+cl0 AS (SELECT cat.*, meas.ForkLength, meas.LF, tot.TM,
+               CASE WHEN tot.TM IS NULL THEN cat.Catch ELSE meas.LF / tot.TM * cat.Catch END AS Count
+        FROM cat LEFT JOIN (meas JOIN tot ON meas.CatchRowID = tot.CatchRowID) ON cat.CatchRowID = meas.CatchRowID),
+cl AS (SELECT cl0.SampleRowID, cl0.OrganismCode, xw.Taxa, cl0.ForkLength, cl0.Count
+       FROM cl0 LEFT JOIN (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS code,
+                                  CASE WHEN CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) = 6
+                                       THEN p_brand || ' (Age 0)' ELSE p_brand END AS Taxa FROM part) xw
+         ON cl0.OrganismCode = xw.code
+       WHERE NOT (cl0.Count IS NULL AND COALESCE(cl0.OrganismCode <> 0, false))),
+d AS (SELECT s.*, cl.OrganismCode, cl.Taxa, cl.ForkLength AS Length, cl.Count,
+             CASE WHEN cl.OrganismCode = 0 THEN 'No fish caught'
+                  WHEN cl.ForkLength IS NULL AND cl.Count > 0 THEN 'Unknown length' END AS flag
+      FROM s LEFT JOIN cl ON s.SampleRowID = cl.SampleRowID),
+d2 AS (SELECT 'SKT' AS Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth,
+              'SKT ' || CAST(SampleRowID AS VARCHAR) AS SampleID, 'Kodiak trawl' AS Method, Tide, Sal_surf, Temp_surf,
+              TurbidityNTU, TurbidityFNU, Secchi, Tow_volume, Tow_direction, regexp_replace(Taxa, ' \(.*$', '') AS Taxa,
+              Length, CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, TurbidityNTU, TurbidityFNU, Secchi, Tow_volume, Tow_direction, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU,
+       floor(TurbidityFNU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityFNU,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       Tow_direction, Taxa, floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
+       floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
+FROM mg"""
