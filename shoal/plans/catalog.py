@@ -1217,3 +1217,69 @@ def q_skt_job(spark: SparkSession, d: str) -> DataFrame:
            "Tow_volume", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def tmm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The 20mm database played by the driver tables: a survey is an order
+    month, a station a (month, customer nation) pair, a tow an order, and
+    each tow has the fish net (gear 2) and another gear (1, filtered out);
+    meter calibrations come from returned lines only, so some (year, meter)
+    pairs fall back to the meter's mean; (order, brand) pairs are fish
+    samples (catch = lines with discount >= 0.05), lines are fish whose
+    length is missing on line 1."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    oc = o.join(c, o.o_custkey == c.c_custkey).withColumn(
+        "SurveyID", F.year("o_orderdate") * 100 + F.month("o_orderdate"))
+    survey = oc.groupBy("SurveyID").agg(F.min("o_orderdate").alias("SampleDate"),
+                                        F.min(F.month("o_orderdate")).alias("Survey"))
+    station = oc.groupBy("SurveyID", "c_nationkey").agg(
+        (F.avg(F.abs(F.col("c_acctbal"))) / 400).alias("Temp"), (F.avg("o_totalprice") / 10).alias("TopEC"),
+        (F.avg("c_acctbal") / 100).alias("BottomDepth"))
+    station = station.select((F.col("SurveyID") * 100 + F.col("c_nationkey")).alias("StationID"), "SurveyID",
+                             F.col("c_nationkey").alias("Station"), "Temp", "TopEC", "BottomDepth",
+                             F.lit(30.0).alias("Secchi"), ((F.col("c_nationkey") % 4) + 1).alias("Tide"))
+    tow = oc.select(F.col("o_orderkey").alias("TowID"), (F.col("SurveyID") * 100 + F.col("c_nationkey")).alias("StationID"),
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("TowNum"),
+                    F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("20"),
+                                F.lit("10")).alias("TowTime"), F.lit(50.0).alias("CableOut"))
+    gear = o.select("o_orderkey", "o_totalprice")
+    gear = gear.select((F.col("o_orderkey") * 10 + 2).alias("GearID"), F.col("o_orderkey").alias("TowID"),
+                       F.lit(2).alias("GearCode"), (F.col("o_orderkey") % 7).cast("int").alias("MeterSerial"),
+                       (F.col("o_totalprice") / 100).alias("MeterCheck")).unionByName(
+        gear.select((F.col("o_orderkey") * 10 + 1).alias("GearID"), F.col("o_orderkey").alias("TowID"),
+                    F.lit(1).alias("GearCode"), (F.col("o_orderkey") % 7).cast("int").alias("MeterSerial"),
+                    F.lit(1.0).alias("MeterCheck")))
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").alias("Station"), F.lit(38).alias("LatD"), F.col("n_nationkey").alias("LatM"),
+                        F.lit(30.0).alias("LatS"), F.lit(121).alias("LonD"), (F.col("n_regionkey") * 7).alias("LonM"),
+                        F.lit(0.0).alias("LonS"))
+    li = roles.read(spark, d, "lineitem")
+    corr = (li.filter(F.col("l_returnflag") == "R")
+            .groupBy(F.year("l_shipdate").alias("StudyYear"), (F.col("l_linenumber") - 1).alias("MeterSerial"))
+            .agg((F.avg("l_discount") + 0.01).alias("kFactor")))
+    ln = roles.lines(spark, d).withColumn("FishCode", _brand_no("brand"))
+    fish_sample = ln.groupBy("SampleID", "FishCode").agg(
+        F.count_if(F.col("discount") >= 0.05).cast("double").alias("Catch")).select(
+        (F.col("SampleID") * 100 + F.col("FishCode")).alias("FishSampleID"),
+        (F.col("SampleID") * 10 + 2).alias("GearID"), "FishCode", "Catch")
+    fish_length = ln.select((F.col("SampleID") * 100 + F.col("FishCode")).alias("FishSampleID"),
+                            F.when(F.col("linenumber") == 1, F.lit(None).cast("double"))
+                            .otherwise(F.col("quantity")).alias("Length"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("TMM_Code"),
+                                             F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(F.col("TMM_Code") == 7, F.lit("Age 0"))))
+    return ({"Survey": survey, "Station": station, "Tow": tow, "Gear": gear, "20mmStations": stations,
+             "MeterCorrections": corr, "FishSample": fish_sample, "FishLength": fish_length}, species)
+
+
+@register("tmm_job")
+def q_tmm_job(spark: SparkSession, d: str) -> DataFrame:
+    """K5 end to end (J4, J3, J5, A12, F1, P7, P9, P10, P14, P18, A1, A6, J1,
+    J7, P25, P26, A11) on the driver tables in the 20mm roles."""
+    tables, species = tmm_tables(spark, d)
+    ds = surveys.tmm(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "Secchi", "Tow_volume", "Cable_length",
+           "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

@@ -1317,3 +1317,84 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        Tow_direction, Taxa, floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
        floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
 FROM mg"""
+
+SQL["tmm_job"] = r"""WITH oc AS (
+  SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, c.c_nationkey, c.c_acctbal,
+         CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS INTEGER) AS SurveyID
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+sv AS (SELECT SurveyID, min(o_orderdate) AS SampleDate, min(CAST(month(o_orderdate) AS INTEGER)) AS Survey
+       FROM oc GROUP BY SurveyID),
+stn AS (SELECT SurveyID * 100 + c_nationkey AS StationID, SurveyID, c_nationkey AS Station,
+               avg(abs(c_acctbal)) / 400 AS Temp, avg(o_totalprice) / 10 AS TopEC, avg(c_acctbal) / 100 AS BottomDepth,
+               30.0::DOUBLE AS Secchi, (c_nationkey % 4) + 1 AS Tide
+        FROM oc GROUP BY SurveyID, c_nationkey),
+tw AS (SELECT o_orderkey AS TowID, SurveyID * 100 + c_nationkey AS StationID, o_orderkey % 24 AS h FROM oc),
+gear AS (SELECT o_orderkey * 10 + 2 AS GearID, o_orderkey AS TowID, 2 AS GearCode,
+                CAST(o_orderkey % 7 AS INTEGER) AS MeterSerial, o_totalprice / 100 AS MeterCheck FROM orders
+         UNION ALL SELECT o_orderkey * 10 + 1, o_orderkey, 1, CAST(o_orderkey % 7 AS INTEGER), 1.0::DOUBLE FROM orders),
+corr AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS StudyYear, l_linenumber - 1 AS MeterSerial,
+                avg(l_discount) + 0.01 AS kFactor FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+kavg AS (SELECT MeterSerial, avg(kFactor) AS kavg FROM corr GROUP BY MeterSerial),
+ms AS (SELECT n_nationkey AS Station, 38 AS LatD, n_nationkey AS LatM, 30.0::DOUBLE AS LatS, 121 AS LonD,
+              n_regionkey * 7 AS LonM, 0.0::DOUBLE AS LonS FROM nation),
+s AS (SELECT g.GearID, g.MeterCheck, t.h, st.Station, st.Temp, st.TopEC, st.BottomDepth, st.Secchi, st.Tide,
+             sv.SampleDate, sv.Survey, COALESCE(cy.kFactor, ka.kavg) AS k,
+             ms.LatD, ms.LatM, ms.LatS, ms.LonD, ms.LonM, ms.LonS
+      FROM sv JOIN stn st ON sv.SurveyID = st.SurveyID JOIN tw t ON st.StationID = t.StationID
+      JOIN gear g ON t.TowID = g.TowID
+      LEFT JOIN ms ON st.Station = ms.Station
+      LEFT JOIN corr cy ON CAST(year(sv.SampleDate) AS INTEGER) = cy.StudyYear AND g.MeterSerial = cy.MeterSerial
+      LEFT JOIN kavg ka ON g.MeterSerial = ka.MeterSerial
+      WHERE g.GearCode = 2),
+s3 AS (SELECT GearID, '20mm' AS Source, CAST(Station AS VARCHAR) AS Station,
+              LatD + LatM / 60.0::DOUBLE + LatS / 3600.0::DOUBLE AS Latitude,
+              -(LonD + LonM / 60.0::DOUBLE + LonS / 3600.0::DOUBLE) AS Longitude,
+              CAST(SampleDate AS DATE) AS Date,
+              make_timestamp(year(SampleDate), month(SampleDate), day(SampleDate), h, 20, 10) AS Datetime,
+              Survey, BottomDepth * 0.3048::DOUBLE AS Depth, '20mm ' || CAST(GearID AS VARCHAR) AS SampleID,
+              '20mm net' AS Method,
+              CASE Tide WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END AS Tide,
+              Temp AS Temp_surf, TopEC * 0.001::DOUBLE AS C, Secchi, MeterCheck * k * 1.51::DOUBLE AS Tow_volume,
+              50.0::DOUBLE * 0.3048::DOUBLE AS Cable_length
+       FROM s),
+sal_in AS (SELECT GearID, C FROM s3),
+""" + _SAL_CHAIN + r""",
+ln AS (SELECT l.l_orderkey AS SampleID, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS FishCode,
+              l.l_linenumber, l.l_quantity, l.l_discount
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+fs AS (SELECT SampleID * 100 + FishCode AS FishSampleID, SampleID * 10 + 2 AS GearID, FishCode,
+              CAST(count(*) FILTER (WHERE l_discount >= 0.05) AS DOUBLE) AS Catch
+       FROM ln GROUP BY SampleID, FishCode),
+meas AS (SELECT FishSampleID, Length, CAST(count(*) AS DOUBLE) AS LF FROM (
+           SELECT SampleID * 100 + FishCode AS FishSampleID,
+                  CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS Length FROM ln) t
+         WHERE Length IS NOT NULL GROUP BY FishSampleID, Length),
+tot AS (SELECT FishSampleID, sum(LF) AS TM FROM meas GROUP BY FishSampleID),
+j AS (SELECT fs.*, meas.Length, meas.LF, COALESCE(tot.TM, 0.0) AS TM
+      FROM fs LEFT JOIN meas ON fs.FishSampleID = meas.FishSampleID LEFT JOIN tot ON fs.FishSampleID = tot.FishSampleID),
+e AS (SELECT *, LF / NULLIF(TM, 0) * (CASE WHEN TM > Catch THEN TM ELSE Catch END) AS ex FROM j),
+cl AS (SELECT e.GearID, xw.Taxa, e.Length, e.Catch,
+              CASE WHEN e.Catch IS NOT NULL AND e.ex IS NULL THEN e.Catch ELSE e.ex END AS Count,
+              CASE WHEN e.Catch IS NOT NULL AND e.ex IS NULL THEN 'Unknown length' END AS fl
+       FROM e LEFT JOIN (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS code,
+                                CASE WHEN CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) = 7 THEN p_brand || ' (Age 0)'
+                                     ELSE p_brand END AS Taxa FROM part) xw ON e.FishCode = xw.code),
+d AS (SELECT s3.*, sh.sal AS Sal_surf, cl.Taxa, cl.Length, cl.Catch, cl.Count,
+             CASE WHEN cl.Catch IS NULL THEN 'No fish caught' ELSE cl.fl END AS flag
+      FROM s3 JOIN sh ON s3.GearID = sh.GearID LEFT JOIN cl ON s3.GearID = cl.GearID),
+d2 AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, Secchi, Tow_volume, Cable_length, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+              CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
+              Temp_surf, Secchi, Tow_volume, Cable_length, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
+       FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM mg"""
