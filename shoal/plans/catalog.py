@@ -1283,3 +1283,77 @@ def q_tmm_job(spark: SparkSession, d: str) -> DataFrame:
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def edsm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The EDSM exports played by the driver tables: each line is a catch
+    record of its order's tow; brand 1 plays Chinook (line 7 tagged, race by
+    length); orders without lines are empty-net records, and finished orders
+    also carry a spurious empty-net record.  Urgent orders come from the
+    20 mm export, whose count column is named Catch (S5 renames it back)."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
+    ocn = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    prio = F.substring("o_orderpriority", 1, 1)
+    sample_cols = [
+        F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderstatus").alias("status"),
+        F.col("c_nationkey").cast("string").alias("StationCode"),
+        F.to_date("o_orderdate").cast("string").alias("SampleDate"),
+        F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("15"), F.lit("30")).alias("SampleTime"),
+        F.when(F.col("o_custkey") % 3 == 0, F.lit("HS")).when(F.col("o_custkey") % 3 == 1, F.lit("LS"))
+         .otherwise(F.lit("Flood")).alias("Tide"),
+        (F.lit(-121.0) - F.col("n_regionkey")).alias("LongitudeStart"),
+        (F.lit(38.0) + F.col("c_nationkey")).alias("LatitudeStart"), prio.cast("double").alias("TowNumber"),
+        F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("int"))
+         .otherwise((F.col("o_custkey") % 10).cast("int")).alias("GearConditionCode"),
+        (F.col("o_totalprice") / 10).alias("SpecificConductanceTop"), (F.abs(F.col("c_acctbal")) / 400).alias("WaterTempTop"),
+        F.lit(5.0).alias("TurbidityTop"), F.lit(0.5).alias("Secchi"), (F.col("c_acctbal") / 100).alias("BottomDepth"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("U")).when(F.col("o_orderstatus") == "O", F.lit("D"))
+         .otherwise(F.lit("X")).alias("SamplingDirection"),
+        F.when(prio == "1", F.lit("20mm")).when(prio == "2", F.lit("KTS12")).otherwise(F.lit("KDTR")).alias("MethodCode"),
+        (F.col("o_totalprice") / 1000).alias("sample_volume")]
+    sa = ocn.select(*sample_cols)
+    ln = roles.lines(spark, d)
+    brand = _brand_no("brand")
+    fish = joins.join(ln, sa.withColumnRenamed("SampleRowID", "SampleID"), ["SampleID"], "inner", null_safe=False).select(
+        "*", F.when(F.col("returnflag") == "R", F.lit("Y")).when(F.col("returnflag") == "A", F.lit("N")).alias("FlowDebris"),
+        F.when(F.col("tax") == 0, F.lit(0.0)).otherwise(F.col("price") / 100).alias("Volume"),
+        F.when(brand == 1, F.lit("CHN")).otherwise(F.concat(F.lit("B"), brand.cast("string"))).alias("OrganismCode"),
+        F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity")).alias("ForkLength"),
+        F.ceil(F.col("quantity") / 10).cast("double").alias("Count"),
+        F.when(F.col("linenumber") == 7, F.lit("AD")).alias("MarkCode"),
+        F.when(F.col("quantity") < 25, F.lit("Fall")).otherwise(F.lit("Spring")).alias("RaceByLength"))
+    cols = ["StationCode", "SampleDate", "SampleTime", "Tide", "LongitudeStart", "LatitudeStart", "TowNumber",
+            "GearConditionCode", "FlowDebris", "SpecificConductanceTop", "WaterTempTop", "TurbidityTop", "Secchi",
+            "BottomDepth", "Volume", "SamplingDirection", "MethodCode", "OrganismCode", "ForkLength", "Count",
+            "MarkCode", "RaceByLength"]
+    fish = fish.withColumnRenamed("SampleID", "SampleRowID").select(*cols)
+    empty_attrs = [F.lit(None).cast("string").alias("FlowDebris"), F.col("sample_volume").alias("Volume"),
+                   F.lit("NOFISH").alias("OrganismCode"), F.lit(None).cast("double").alias("ForkLength"),
+                   F.lit(None).cast("double").alias("Count"), F.lit(None).cast("string").alias("MarkCode"),
+                   F.lit(None).cast("string").alias("RaceByLength")]
+    with_lines = ln.select(F.col("SampleID").alias("SampleRowID")).distinct()
+    empty = joins.join(sa, with_lines, ["SampleRowID"], "left_anti", null_safe=False).select("*", *empty_attrs).select(*cols)
+    spurious = (joins.join(sa.filter(F.col("status") == "F"), with_lines, ["SampleRowID"], "left_semi", null_safe=False)
+                .select("*", *empty_attrs).select(*cols))
+    allrows = fish.unionByName(empty).unionByName(spurious)
+    kdtr = allrows.filter(F.col("MethodCode") != "20mm")
+    mm = allrows.filter(F.col("MethodCode") == "20mm").withColumnRenamed("Count", "Catch")
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("code"), F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.select(F.when(F.col("code") == 1, F.lit("CHN")).otherwise(F.concat(F.lit("B"), F.col("code").cast("string")))
+                       .alias("USFWS_Code"),
+                       exprs.taxa_label("ScientificName", F.when(F.col("code") == 9, F.lit("Age 0"))).alias("Taxa"))
+    return {"EDSM": scan_union([(kdtr, {}), (mm, {"Catch": "Count"})])}, species
+
+
+@register("edsm_job")
+def q_edsm_job(spark: SparkSession, d: str) -> DataFrame:
+    """K8 end to end (S5, F2, P17, P12, P10, P11, P6, P9, P4, P21, A7, A11, F9,
+    J1, P23, P26) on the driver tables in the EDSM roles."""
+    tables, species = edsm_tables(spark, d)
+    ds = surveys.edsm(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
+           "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

@@ -1398,3 +1398,109 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg"""
+
+SQL["edsm_job"] = r"""WITH sa AS (
+  SELECT o.o_orderkey AS SampleRowID, o.o_orderstatus AS status, CAST(c.c_nationkey AS VARCHAR) AS StationCode,
+         CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS SampleDate,
+         lpad(CAST(o.o_orderkey % 24 AS VARCHAR), 2, '0') || ':15:30' AS SampleTime,
+         CASE WHEN o.o_custkey % 3 = 0 THEN 'HS' WHEN o.o_custkey % 3 = 1 THEN 'LS' ELSE 'Flood' END AS Tide,
+         -121.0::DOUBLE - n.n_regionkey AS LongitudeStart, 38.0::DOUBLE + c.c_nationkey AS LatitudeStart,
+         CAST(substr(o.o_orderpriority, 1, 1) AS DOUBLE) AS TowNumber,
+         CASE WHEN o.o_custkey % 10 = 0 THEN NULL ELSE CAST(o.o_custkey % 10 AS INTEGER) END AS GearConditionCode,
+         o.o_totalprice / 10 AS SpecificConductanceTop, abs(c.c_acctbal) / 400 AS WaterTempTop,
+         5.0::DOUBLE AS TurbidityTop, 0.5::DOUBLE AS Secchi, c.c_acctbal / 100 AS BottomDepth,
+         CASE o.o_orderstatus WHEN 'F' THEN 'U' WHEN 'O' THEN 'D' ELSE 'X' END AS SamplingDirection,
+         CASE substr(o.o_orderpriority, 1, 1) WHEN '1' THEN '20mm' WHEN '2' THEN 'KTS12' ELSE 'KDTR' END AS MethodCode,
+         o.o_totalprice / 1000 AS sample_volume
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+ln AS (SELECT l.l_orderkey AS SampleRowID, l.l_linenumber, l.l_quantity, l.l_tax, l.l_extendedprice, l.l_returnflag,
+              CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+fish AS (SELECT sa.* EXCLUDE (SampleRowID, status, sample_volume),
+                CASE ln.l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS FlowDebris,
+                CASE WHEN ln.l_tax = 0 THEN 0.0::DOUBLE ELSE ln.l_extendedprice / 100 END AS Volume,
+                CASE WHEN ln.brand_no = 1 THEN 'CHN' ELSE 'B' || CAST(ln.brand_no AS VARCHAR) END AS OrganismCode,
+                CASE WHEN ln.l_linenumber = 1 THEN 0.0 ELSE ln.l_quantity END AS ForkLength,
+                CAST(ceil(ln.l_quantity / 10) AS DOUBLE) AS Count,
+                CASE WHEN ln.l_linenumber = 7 THEN 'AD' END AS MarkCode,
+                CASE WHEN ln.l_quantity < 25 THEN 'Fall' ELSE 'Spring' END AS RaceByLength
+         FROM ln JOIN sa ON ln.SampleRowID = sa.SampleRowID),
+empt AS (SELECT sa.* EXCLUDE (SampleRowID, status, sample_volume), CAST(NULL AS VARCHAR) AS FlowDebris,
+                sa.sample_volume AS Volume, 'NOFISH' AS OrganismCode, CAST(NULL AS DOUBLE) AS ForkLength,
+                CAST(NULL AS DOUBLE) AS Count, CAST(NULL AS VARCHAR) AS MarkCode, CAST(NULL AS VARCHAR) AS RaceByLength
+         FROM sa WHERE SampleRowID NOT IN (SELECT SampleRowID FROM ln)
+            OR (status = 'F' AND SampleRowID IN (SELECT SampleRowID FROM ln))),
+allr AS (SELECT * FROM fish UNION ALL SELECT * FROM empt),
+e1 AS (SELECT * FROM allr WHERE GearConditionCode IS NULL OR GearConditionCode NOT IN (3, 4, 9)),
+e2 AS (SELECT StationCode AS Station, CAST(SampleDate AS DATE) AS Date, SampleTime, Tide, LongitudeStart AS Longitude,
+              LatitudeStart AS Latitude, TowNumber AS Tow,
+              CASE WHEN FlowDebris IS NULL THEN Volume WHEN FlowDebris IN ('Y', 'Yes') THEN NULL ELSE Volume END AS v,
+              SpecificConductanceTop AS Conductivity, WaterTempTop AS Temp_surf, TurbidityTop AS TurbidityNTU,
+              Secchi * 100.0::DOUBLE AS Secchi, BottomDepth AS Depth0, SamplingDirection, MethodCode, OrganismCode,
+              ForkLength AS Length, Count, MarkCode, RaceByLength
+       FROM e1),
+e3 AS (SELECT *, CASE WHEN v = 0 THEN NULL ELSE v END AS Tow_volume,
+              make_timestamp(year(Date), month(Date), day(Date), CAST(split_part(SampleTime, ':', 1) AS INTEGER),
+                             CAST(split_part(SampleTime, ':', 2) AS INTEGER), 0) AS Datetime,
+              CASE WHEN Date < DATE '2019-06-01' THEN NULL ELSE Conductivity END * 0.001::DOUBLE AS C,
+              CASE WHEN regexp_matches(MethodCode, '^K(D)?T(R|S\d+)') THEN 'Kodiak trawl'
+                   WHEN regexp_matches(MethodCode, '^20mm$') THEN '20mm net' END AS Method
+       FROM e2),
+sal_in AS (SELECT DISTINCT C FROM e3 WHERE C IS NOT NULL),
+""" + _SAL_CHAIN + r""",
+e4 AS (SELECT e3.*, CASE WHEN sh.sal < 0 AND sh.sal > -0.1 THEN 0.0 WHEN sh.sal > 40 THEN NULL ELSE sh.sal END AS Sal_surf,
+              CASE SamplingDirection WHEN 'U' THEN 'Upstream' WHEN 'D' THEN 'Downstream' ELSE SamplingDirection END
+                AS Tow_direction,
+              CASE WHEN Method = '20mm net' THEN Depth0 * 0.3048::DOUBLE ELSE Depth0 END AS Depth,
+              CASE Tide WHEN 'HS' THEN 'High Slack' WHEN 'LS' THEN 'Low Slack' ELSE Tide END AS Tide2,
+              concat_ws(' ', CAST(Datetime AS VARCHAR), COALESCE(Station, 'NA'), COALESCE(CAST(Tow AS VARCHAR), 'NA'),
+                        COALESCE(Method, 'NA'), COALESCE(CAST(Latitude AS VARCHAR), 'NA'),
+                        COALESCE(CAST(Longitude AS VARCHAR), 'NA')) AS SampleID,
+              CASE WHEN COALESCE(MarkCode, 'None') = 'None' AND OrganismCode = 'CHN' THEN RaceByLength
+                   WHEN COALESCE(MarkCode, 'None') <> 'None' THEN 'Tag ' || CAST(row_number() OVER () AS VARCHAR) END AS Grp
+       FROM e3 LEFT JOIN sh ON e3.C = sh.C),
+p0 AS (SELECT Station, Date, Tide2 AS Tide, Longitude, Latitude, Tow, Tow_volume, Temp_surf, TurbidityNTU, Secchi, Depth,
+              Tow_direction, Method, OrganismCode, Length, Datetime, Sal_surf, SampleID, Grp,
+              CASE WHEN OrganismCode = 'NOFISH' THEN NULL ELSE Count END AS Count FROM e4),
+m AS (SELECT Station, Date, Tide, Longitude, Latitude, Tow, Tow_volume, Temp_surf, TurbidityNTU, Secchi, Depth,
+             Tow_direction, Method, OrganismCode, Length, Datetime, Sal_surf, SampleID, Grp,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM p0 GROUP BY ALL),
+g AS (SELECT SampleID, OrganismCode, Grp,
+             CASE WHEN count(*) FILTER (WHERE COALESCE(Length <> 0, false))
+                       = count(Count) FILTER (WHERE COALESCE(Length <> 0, false))
+                  THEN COALESCE(sum(Count) FILTER (WHERE COALESCE(Length <> 0, false)), 0.0) END AS measured,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS total
+      FROM m GROUP BY SampleID, OrganismCode, Grp),
+j AS (SELECT m.*, g.measured, g.total, COALESCE(g.measured = 0 AND m.Count > 0, false) AS inf
+      FROM m JOIN g ON m.SampleID IS NOT DISTINCT FROM g.SampleID AND m.OrganismCode IS NOT DISTINCT FROM g.OrganismCode
+                   AND m.Grp IS NOT DISTINCT FROM g.Grp),
+kx AS (SELECT j.* EXCLUDE (Length, Count),
+             CASE WHEN OrganismCode = 'NOFISH' THEN NULL WHEN inf AND Length = 0 THEN NULL ELSE Length END AS Length,
+             CASE WHEN inf THEN total ELSE Count / NULLIF(measured, 0) * total END AS Count FROM j),
+k2 AS (SELECT *, CASE WHEN inf THEN 'Unknown length' WHEN Length IS NULL THEN 'No fish caught' END AS Length_NA_flag
+       FROM kx WHERE (Length <> 0 OR Length IS NULL)),
+k3 AS (SELECT * FROM k2 WHERE Count <> 0 OR Count IS NULL),
+mm AS (SELECT Station, Date, Tide, Longitude, Latitude, Tow, Tow_volume, Temp_surf, TurbidityNTU, Secchi, Depth,
+              Tow_direction, Method, OrganismCode, Length, Datetime, Sal_surf, SampleID, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM k3 GROUP BY ALL),
+v AS (SELECT SampleID, COALESCE(sum(Count), 0.0) AS valid FROM mm GROUP BY SampleID),
+sp AS (SELECT mm.* FROM mm LEFT JOIN v ON mm.SampleID IS NOT DISTINCT FROM v.SampleID
+       WHERE NOT (v.valid > 0 AND COALESCE(mm.OrganismCode = 'NOFISH', false))),
+xw AS (SELECT DISTINCT CASE WHEN code = 1 THEN 'CHN' ELSE 'B' || CAST(code AS VARCHAR) END AS USFWS_Code,
+              CASE WHEN code = 9 THEN p_brand || ' (Age 0)' ELSE p_brand END AS Taxa
+       FROM (SELECT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS code, p_brand FROM part) t),
+fin AS (SELECT 'EDSM' AS Source, sp.Station, sp.Latitude, sp.Longitude, sp.Date, sp.Datetime, sp.Depth,
+               'EDSM ' || sp.SampleID AS SampleID, sp.Method, sp.Tide, sp.Sal_surf, sp.Temp_surf, sp.TurbidityNTU, sp.Secchi,
+               sp.Tow_volume, sp.Tow_direction, regexp_replace(xw.Taxa, ' \(.*$', '') AS Taxa, sp.Length,
+               CASE WHEN sp.Length_NA_flag = 'No fish caught' THEN 0.0 ELSE sp.Count END AS Count, sp.Length_NA_flag
+        FROM sp LEFT JOIN xw ON sp.OrganismCode IS NOT DISTINCT FROM xw.USFWS_Code
+        WHERE sp.Method IS NOT NULL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       Tow_direction, Taxa, floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
+       floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
+FROM fin"""
