@@ -1357,3 +1357,68 @@ def q_edsm_job(spark: SparkSession, d: str) -> DataFrame:
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def djfmp_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The DJFMP export played by the driver tables: each line is a catch
+    record of its order's haul at the customer's nation (hauls at hour 0 are
+    midnight, i.e. unknown times); brand 1 plays Chinook (line 7 tagged, race
+    by length); orders without lines are empty-net records.  Every organism
+    code is in the crosswalk, so the new-species guard passes."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    prio = F.substring("o_orderpriority", 1, 1)
+    sa = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("SampleRowID"), F.col("c_nationkey").cast("string").alias("StationCode"),
+        F.to_date("o_orderdate").cast("string").alias("SampleDate"),
+        F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("SampleTime"),
+        prio.cast("int").alias("TowNumber"), (F.abs(F.col("c_acctbal")) / 400).alias("WaterTemp"),
+        F.lit(3.0).alias("Turbidity"),
+        F.when(prio == "1", F.lit("SEIN")).when(prio == "2", F.lit("MWTR")).otherwise(F.lit("KDTR")).alias("MethodCode"),
+        (F.col("c_acctbal") / 100).alias("SeineDepth"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("U")).when(F.col("o_orderstatus") == "O", F.lit("D"))
+         .otherwise(F.lit("X")).alias("SamplingDirection"),
+        (F.col("o_totalprice") / 10).alias("SpecificConductance"), F.lit(0.4).alias("Secchi"),
+        F.when(F.col("o_custkey") % 10 == 0, F.lit(None).cast("int"))
+         .otherwise((F.col("o_custkey") % 10).cast("int")).alias("GearConditionCode"),
+        (F.col("o_totalprice") / 1000).alias("sample_volume"))
+    ln = roles.lines(spark, d)
+    brand = _brand_no("brand")
+    cols = ["StationCode", "SampleDate", "SampleTime", "TowNumber", "WaterTemp", "Turbidity", "MethodCode", "Volume",
+            "FlowDebris", "SeineDepth", "SamplingDirection", "ForkLength", "SpecificConductance", "Secchi",
+            "OrganismCode", "Count", "MarkCode", "RaceByLength", "GearConditionCode"]
+    fish = joins.join(ln, sa.withColumnRenamed("SampleRowID", "SampleID"), ["SampleID"], "inner", null_safe=False).select(
+        "*", F.when(F.col("returnflag") == "R", F.lit("Y")).when(F.col("returnflag") == "A", F.lit("N")).alias("FlowDebris"),
+        (F.col("price") / 100).alias("Volume"),
+        F.when(brand == 1, F.lit("CHN")).otherwise(F.concat(F.lit("B"), brand.cast("string"))).alias("OrganismCode"),
+        F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity")).alias("ForkLength"),
+        F.ceil(F.col("quantity") / 10).cast("double").alias("Count"),
+        F.when(F.col("linenumber") == 7, F.lit("AD")).alias("MarkCode"),
+        F.when(F.col("quantity") < 25, F.lit("Fall")).otherwise(F.lit("Spring")).alias("RaceByLength")).select(*cols)
+    with_lines = ln.select(F.col("SampleID").alias("SampleRowID")).distinct()
+    empty = joins.join(sa, with_lines, ["SampleRowID"], "left_anti", null_safe=False).select(
+        "*", F.col("sample_volume").alias("Volume"), F.lit(None).cast("string").alias("FlowDebris"),
+        F.lit(None).cast("double").alias("ForkLength"), F.lit("NOFISH").alias("OrganismCode"),
+        F.lit(None).cast("double").alias("Count"), F.lit(None).cast("string").alias("MarkCode"),
+        F.lit(None).cast("string").alias("RaceByLength")).select(*cols)
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").cast("string").alias("StationCode"),
+                        (F.lit(38.0) + F.col("n_nationkey") * F.lit(0.01)).alias("Latitude"),
+                        (F.lit(-121.5) - F.col("n_regionkey") * F.lit(0.1)).alias("Longitude"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("code"), F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.select(F.when(F.col("code") == 1, F.lit("CHN")).otherwise(F.concat(F.lit("B"), F.col("code").cast("string")))
+                       .alias("USFWS_Code"),
+                       exprs.taxa_label("ScientificName", F.when(F.col("code") == 11, F.lit("Age 0"))).alias("Taxa"))
+    return {"DJFMP": fish.unionByName(empty), "DJFMP_stations": stations}, species
+
+
+@register("djfmp_job")
+def q_djfmp_job(spark: SparkSession, d: str) -> DataFrame:
+    """K9 end to end (Q15 guard, F2, P17, P18 midnight rule, P12, P10, P4, P21,
+    A7, A11, J3, J1, P23, P26) on the driver tables in the DJFMP roles."""
+    tables, species = djfmp_tables(spark, d)
+    ds = surveys.djfmp(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
+           "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

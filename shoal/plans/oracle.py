@@ -1504,3 +1504,97 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        Tow_direction, Taxa, floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
        floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
 FROM fin"""
+
+SQL["djfmp_job"] = r"""WITH sa AS (
+  SELECT o.o_orderkey AS SampleRowID, CAST(c.c_nationkey AS VARCHAR) AS StationCode,
+         CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS SampleDate, o.o_orderkey % 24 AS h,
+         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS TowNumber, abs(c.c_acctbal) / 400 AS WaterTemp,
+         3.0::DOUBLE AS Turbidity,
+         CASE substr(o.o_orderpriority, 1, 1) WHEN '1' THEN 'SEIN' WHEN '2' THEN 'MWTR' ELSE 'KDTR' END AS MethodCode,
+         c.c_acctbal / 100 AS SeineDepth,
+         CASE o.o_orderstatus WHEN 'F' THEN 'U' WHEN 'O' THEN 'D' ELSE 'X' END AS SamplingDirection,
+         o.o_totalprice / 10 AS SpecificConductance, 0.4::DOUBLE AS Secchi,
+         CASE WHEN o.o_custkey % 10 = 0 THEN NULL ELSE CAST(o.o_custkey % 10 AS INTEGER) END AS GearConditionCode,
+         o.o_totalprice / 1000 AS sample_volume
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+ln AS (SELECT l.l_orderkey AS SampleRowID, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_returnflag,
+              CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+fish AS (SELECT sa.* EXCLUDE (SampleRowID, sample_volume), ln.l_extendedprice / 100 AS Volume,
+                CASE ln.l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS FlowDebris,
+                CASE WHEN ln.l_linenumber = 1 THEN 0.0 ELSE ln.l_quantity END AS ForkLength,
+                CASE WHEN ln.brand_no = 1 THEN 'CHN' ELSE 'B' || CAST(ln.brand_no AS VARCHAR) END AS OrganismCode,
+                CAST(ceil(ln.l_quantity / 10) AS DOUBLE) AS Count,
+                CASE WHEN ln.l_linenumber = 7 THEN 'AD' END AS MarkCode,
+                CASE WHEN ln.l_quantity < 25 THEN 'Fall' ELSE 'Spring' END AS RaceByLength
+         FROM ln JOIN sa ON ln.SampleRowID = sa.SampleRowID),
+empt AS (SELECT sa.* EXCLUDE (SampleRowID, sample_volume), sa.sample_volume AS Volume, CAST(NULL AS VARCHAR) AS FlowDebris,
+                CAST(NULL AS DOUBLE) AS ForkLength, 'NOFISH' AS OrganismCode, CAST(NULL AS DOUBLE) AS Count,
+                CAST(NULL AS VARCHAR) AS MarkCode, CAST(NULL AS VARCHAR) AS RaceByLength
+         FROM sa WHERE SampleRowID NOT IN (SELECT SampleRowID FROM ln)),
+allr AS (SELECT * FROM fish UNION ALL SELECT * FROM empt),
+e1 AS (SELECT * FROM allr WHERE GearConditionCode IS NULL OR GearConditionCode NOT IN (3, 4, 9)),
+e2 AS (SELECT StationCode AS Station, CAST(SampleDate AS DATE) AS Date, h, TowNumber, WaterTemp AS Temp_surf,
+              Turbidity AS TurbidityNTU,
+              CASE MethodCode WHEN 'MWTR' THEN 'Midwater trawl' WHEN 'KDTR' THEN 'Kodiak trawl'
+                              WHEN 'SEIN' THEN 'Beach seine' ELSE MethodCode END AS Method,
+              CASE WHEN FlowDebris IS NULL THEN Volume WHEN FlowDebris IN ('Y', 'Yes') THEN NULL ELSE Volume END
+                AS Tow_volume,
+              SeineDepth AS Depth,
+              CASE SamplingDirection WHEN 'U' THEN 'Upstream' WHEN 'D' THEN 'Downstream' WHEN 'X' THEN 'Neither'
+                   ELSE SamplingDirection END AS Tow_direction,
+              ForkLength AS Length, SpecificConductance AS Conductivity, Secchi * 100.0::DOUBLE AS Secchi, OrganismCode,
+              Count, CASE WHEN OrganismCode = 'NOFISH' THEN 'None' ELSE MarkCode END AS MarkCode, RaceByLength
+       FROM e1),
+e3 AS (SELECT *, CASE WHEN h = 0 THEN NULL ELSE make_timestamp(year(Date), month(Date), day(Date), h, 0, 0) END
+                   AS Datetime,
+              CASE WHEN Date < DATE '2019-06-01' THEN NULL ELSE Conductivity END * 0.001::DOUBLE AS C FROM e2),
+sal_in AS (SELECT DISTINCT C FROM e3 WHERE C IS NOT NULL),
+""" + _SAL_CHAIN + r""",
+e4 AS (SELECT e3.*, sh.sal AS Sal_surf,
+              concat_ws(' ', COALESCE(CAST(Datetime AS VARCHAR), CAST(Date AS VARCHAR)), COALESCE(Station, 'NA'),
+                        COALESCE(CAST(TowNumber AS VARCHAR), 'NA'), COALESCE(Method, 'NA')) AS SampleID,
+              CASE WHEN COALESCE(MarkCode, 'None') = 'None' AND OrganismCode = 'CHN' THEN RaceByLength
+                   WHEN COALESCE(MarkCode, 'None') <> 'None' THEN 'Tag ' || CAST(row_number() OVER () AS VARCHAR) END AS Grp
+       FROM e3 LEFT JOIN sh ON e3.C = sh.C),
+m AS (SELECT Station, Date, TowNumber, Temp_surf, TurbidityNTU, Method, Tow_volume, Depth, Tow_direction, Length, Secchi,
+             OrganismCode, Datetime, Sal_surf, SampleID, Grp,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM e4 GROUP BY ALL),
+g AS (SELECT SampleID, OrganismCode, Grp,
+             CASE WHEN count(*) FILTER (WHERE COALESCE(Length <> 0, false))
+                       = count(Count) FILTER (WHERE COALESCE(Length <> 0, false))
+                  THEN COALESCE(sum(Count) FILTER (WHERE COALESCE(Length <> 0, false)), 0.0) END AS measured,
+             CASE WHEN count(*) = count(Count) THEN sum(Count) END AS total
+      FROM m GROUP BY SampleID, OrganismCode, Grp),
+j AS (SELECT m.*, g.measured, g.total, COALESCE(g.measured = 0 AND m.Count > 0, false) AS inf
+      FROM m JOIN g ON m.SampleID IS NOT DISTINCT FROM g.SampleID AND m.OrganismCode IS NOT DISTINCT FROM g.OrganismCode
+                   AND m.Grp IS NOT DISTINCT FROM g.Grp),
+kx AS (SELECT j.* EXCLUDE (Length, Count), CASE WHEN inf AND Length = 0 THEN NULL ELSE Length END AS Length,
+              CASE WHEN inf THEN total ELSE Count / NULLIF(measured, 0) * total END AS Count FROM j),
+k2 AS (SELECT *, CASE WHEN inf THEN 'Unknown length' WHEN Length IS NULL THEN 'No fish caught' END AS Length_NA_flag
+       FROM kx WHERE Length <> 0 OR Length IS NULL),
+st AS (SELECT CAST(n_nationkey AS VARCHAR) AS Station, 38.0::DOUBLE + n_nationkey * 0.01::DOUBLE AS Latitude,
+              -121.5::DOUBLE - n_regionkey * 0.1::DOUBLE AS Longitude FROM nation),
+xw AS (SELECT DISTINCT CASE WHEN code = 1 THEN 'CHN' ELSE 'B' || CAST(code AS VARCHAR) END AS USFWS_Code,
+              CASE WHEN code = 11 THEN p_brand || ' (Age 0)' ELSE p_brand END AS Taxa
+       FROM (SELECT CAST(regexp_extract(p_brand, '#(\d+)', 1) AS INTEGER) AS code, p_brand FROM part) t),
+d2 AS (SELECT 'DJFMP' AS Source, k2.Station, st.Latitude, st.Longitude, k2.Date, k2.Datetime, k2.Depth,
+              'DJFMP ' || k2.SampleID AS SampleID, k2.Method, k2.Sal_surf, k2.Temp_surf, k2.TurbidityNTU, k2.Secchi,
+              k2.Tow_volume, k2.Tow_direction, regexp_replace(xw.Taxa, ' \(.*$', '') AS Taxa, k2.Length, k2.Count,
+              k2.Length_NA_flag
+       FROM k2 LEFT JOIN st ON k2.Station IS NOT DISTINCT FROM st.Station
+       LEFT JOIN xw ON k2.OrganismCode IS NOT DISTINCT FROM xw.USFWS_Code),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Depth, SampleID, Method, Sal_surf, Temp_surf,
+              TurbidityNTU, Secchi, Tow_volume, Tow_direction, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM d2 GROUP BY ALL)
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       Tow_direction, CASE WHEN Length_NA_flag = 'No fish caught' THEN NULL ELSE Taxa END AS Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
+       floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM mg"""
