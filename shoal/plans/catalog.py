@@ -1422,3 +1422,62 @@ def q_djfmp_job(spark: SparkSession, d: str) -> DataFrame:
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+def suisun_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The Suisun database played by the driver tables: orders are samples
+    (urgent/high midwater, medium/unspecified otter, low a beach seine that
+    is filtered out; a quarter carry the "NA" tide token), lines are catch
+    rows (line 1 unmeasured, length 0), several depth readings per sample
+    (one per line) are averaged; an unmeasured line with discount above 0.05
+    has a translated comment "< quantity mm", which defines a size group."""
+    o = roles.read(spark, d, "orders")
+    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    prio = F.substring("o_orderpriority", 1, 1)
+    sample = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").cast("string").alias("SampleRowID"),
+        F.when(prio.isin("1", "2"), F.lit("MWTR")).when(prio.isin("3", "4"), F.lit("OTR"))
+         .otherwise(F.lit("BSEIN")).alias("MethodCode"),
+        F.col("c_nationkey").cast("string").alias("StationCode"),
+        F.to_date("o_orderdate").cast("string").alias("SampleDate"),
+        F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":30:00")).alias("SampleTime"),
+        F.lit(True).alias("QADone"), (F.abs(F.col("c_acctbal")) / 400).alias("WaterTemperature"),
+        F.lit(45.0).alias("Secchi"), (F.col("o_totalprice") / 10).alias("SpecificConductance"),
+        F.when(F.col("o_custkey") % 4 == 0, F.lit("flood")).when(F.col("o_custkey") % 4 == 1, F.lit("ebb"))
+         .when(F.col("o_custkey") % 4 == 2, F.lit("NA")).otherwise(F.lit("outgoing")).alias("TideCode"))
+    li = roles.read(spark, d, "lineitem")
+    depth = li.select(F.col("l_orderkey").cast("string").alias("SampleRowID"), (F.col("l_quantity") / 10).alias("Depth"))
+    effort = o.select(F.col("o_orderkey").cast("string").alias("SampleRowID"),
+                      (F.lit(5.0) + F.col("o_orderkey") % 10).alias("TowDuration"))
+    n = roles.read(spark, d, "nation")
+    stations = n.select(F.col("n_nationkey").cast("string").alias("Station"),
+                        (F.lit(38.0) + F.col("n_nationkey") * F.lit(0.01)).alias("Latitude"),
+                        (F.lit(-122.0) - F.col("n_regionkey") * F.lit(0.01)).alias("Longitude"))
+    ln = roles.lines(spark, d).withColumn("code", _brand_no("brand"))
+    catch = ln.select(F.col("SampleID").cast("string").alias("SampleRowID"), F.col("code").cast("string").alias("OrganismCode"),
+                      F.col("Length").alias("StandardLength"), F.lit("N").alias("Dead"),
+                      F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count"),
+                      F.lit(None).cast("string").alias("CatchComments"))
+    label = exprs.taxa_label(F.col("brand"), F.when(F.col("code") == 13, F.lit("Age 0")))
+    comments = ln.filter((F.col("Length") == 0) & (F.col("discount") > 0.05)).select(
+        exprs.sample_id(F.lit("Suisun"), exprs.braced("SampleID")).alias("SampleID"), label.alias("Taxa"),
+        F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count"),
+        F.lit(None).cast("double").alias("Min_length"), F.lit(None).cast("double").alias("Length"),
+        F.col("quantity").alias("Max_length"))
+    p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("code"), F.col("p_brand").alias("ScientificName")).distinct()
+    species = p.select(F.col("code").cast("string").alias("SMF_Code"),
+                       exprs.taxa_label("ScientificName", F.when(F.col("code") == 13, F.lit("Age 0"))).alias("Taxa"))
+    return ({"Sample": sample, "Depth": depth, "StationsLookUp": stations, "TrawlEffort": effort,
+             "Catch": catch, "comments": comments}, species)
+
+
+@register("suisun_job")
+def q_suisun_job(spark: SparkSession, d: str) -> DataFrame:
+    """K2 end to end (S2, A12, P15, P21 braced ids, J8 size groups, A9, F9,
+    W2, J1, J7, A11, P25, P26) on the driver tables in the Suisun roles."""
+    tables, species = suisun_tables(spark, d)
+    ds = surveys.suisun(tables, species).dataset
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area",
+           "Length", "Count"]
+    return ds.select(*[q6(c).alias(c) if c in dbl else
+                       (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

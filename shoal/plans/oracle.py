@@ -1598,3 +1598,80 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg"""
+
+SQL["suisun_job"] = r"""WITH smp AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS SampleRowID,
+         CASE WHEN substr(o.o_orderpriority, 1, 1) IN ('1', '2') THEN 'MWTR'
+              WHEN substr(o.o_orderpriority, 1, 1) IN ('3', '4') THEN 'OTR' ELSE 'BSEIN' END AS MethodCode,
+         CAST(c.c_nationkey AS VARCHAR) AS Station, CAST(o.o_orderdate AS DATE) AS Date, o.o_orderkey % 24 AS h,
+         abs(c.c_acctbal) / 400 AS Temp_surf, 45.0::DOUBLE AS Secchi, o.o_totalprice / 10 AS SC,
+         CASE o.o_custkey % 4 WHEN 0 THEN 'Flood' WHEN 1 THEN 'Ebb' WHEN 2 THEN NULL ELSE 'Ebb' END AS Tide,
+         5.0::DOUBLE + o.o_orderkey % 10 AS TowDuration
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+dep AS (SELECT CAST(l_orderkey AS VARCHAR) AS SampleRowID, avg(l_quantity / 10) AS Depth FROM lineitem GROUP BY l_orderkey),
+st AS (SELECT CAST(n_nationkey AS VARCHAR) AS Station, 38.0::DOUBLE + n_nationkey * 0.01::DOUBLE AS Latitude,
+              -122.0::DOUBLE - n_regionkey * 0.01::DOUBLE AS Longitude FROM nation),
+s0 AS (SELECT smp.*, 'Suisun {' || smp.SampleRowID || '}' AS SampleID,
+              CASE smp.MethodCode WHEN 'MWTR' THEN 'Midwater trawl' WHEN 'OTR' THEN 'Otter trawl' END AS Method,
+              make_timestamp(year(smp.Date), month(smp.Date), day(smp.Date), smp.h, 30, 0) AS Datetime,
+              SC * 0.001::DOUBLE AS C, dep.Depth, st.Latitude, st.Longitude, smp.TowDuration AS Tow_duration,
+              smp.TowDuration / 60.0::DOUBLE * 4000.0::DOUBLE * 4.3::DOUBLE * 0.7::DOUBLE AS Tow_area
+       FROM smp LEFT JOIN dep ON smp.SampleRowID = dep.SampleRowID LEFT JOIN st ON smp.Station = st.Station
+       WHERE smp.MethodCode IN ('MWTR', 'OTR')),
+sal_in AS (SELECT SampleID, C FROM s0),
+""" + _SAL_CHAIN + r""",
+s AS (SELECT s0.*, sh.sal AS Sal_surf FROM s0 JOIN sh ON s0.SampleID = sh.SampleID),
+ln AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_discount,
+              CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS code,
+              CASE WHEN CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) = 13 THEN p.p_brand || ' (Age 0)'
+                   ELSE p.p_brand END AS Taxa
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+c AS (SELECT s.SampleID, ln.Taxa, CASE WHEN ln.l_linenumber = 1 THEN 0.0 ELSE ln.l_quantity END AS SL,
+             CASE WHEN ln.l_discount >= 0.05 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS Count
+      FROM ln JOIN s ON CAST(ln.l_orderkey AS VARCHAR) = s.SampleRowID),
+rng AS (SELECT 'Suisun {' || CAST(l_orderkey AS VARCHAR) || '}' AS SampleID, Taxa,
+               CASE WHEN l_discount >= 0.05 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS Count, l_quantity AS mx
+        FROM ln WHERE l_linenumber = 1 AND l_discount > 0.05),
+rng2 AS (SELECT *, CAST(row_number() OVER (PARTITION BY SampleID, Taxa ORDER BY mx, Count) + 1 AS INTEGER) AS g FROM rng),
+rows_ AS (
+  SELECT c.SampleID, c.Taxa, c.SL, c.Count,
+         COALESCE((SELECT min(r.g) FROM rng2 r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa AND c.SL < r.mx), 1)
+           AS SizeGroup
+  FROM c WHERE c.SL > 0
+  UNION ALL SELECT SampleID, Taxa, 0.0, Count, g FROM rng2
+  UNION ALL SELECT c.SampleID, c.Taxa, c.SL, c.Count, 1 FROM c
+            WHERE c.SL = 0 AND NOT EXISTS (SELECT 1 FROM rng2 r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa)),
+agg AS (SELECT SampleID, Taxa, SizeGroup,
+               CASE WHEN count(*) FILTER (WHERE SL <> 0 OR SL IS NULL) > 0
+                    THEN COALESCE(sum(Count) FILTER (WHERE SL <> 0 OR SL IS NULL), 0.0) END AS TM,
+               COALESCE(sum(Count), 0.0) AS TC
+        FROM rows_ GROUP BY SampleID, Taxa, SizeGroup),
+ex AS (SELECT r.SampleID, r.Taxa, CASE WHEN a.TM IS NULL THEN NULL ELSE r.SL END AS Length,
+              CASE WHEN a.TM IS NULL OR a.TM = 0 THEN r.Count ELSE r.Count / a.TM * a.TC END AS Count,
+              CASE WHEN a.TM IS NULL THEN 'Unknown length' END AS Length_NA_flag
+       FROM rows_ r JOIN agg a ON r.SampleID = a.SampleID AND r.Taxa = a.Taxa AND r.SizeGroup = a.SizeGroup
+       WHERE (r.SL <> 0 OR r.SL IS NULL) OR a.TM IS NULL),
+d AS (SELECT 'Suisun' AS Source, s.Station, s.Latitude, s.Longitude, s.Date, s.Datetime, s.Depth, s.SampleID, s.Method,
+             s.Tide, s.Sal_surf, s.Temp_surf, s.Secchi, s.Tow_duration, s.Tow_area,
+             regexp_replace(ex.Taxa, ' \(.*$', '') AS Taxa, ex.Length,
+             CASE WHEN ex.Count = 0 OR ex.Taxa IS NULL THEN NULL ELSE ex.Count END AS Count, ex.Length_NA_flag
+      FROM s LEFT JOIN ex ON s.SampleID = ex.SampleID),
+mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Depth, SampleID, Method, Tide, Sal_surf, Temp_surf,
+              Secchi, Tow_duration, Tow_area, Taxa, Length, Length_NA_flag,
+              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM d GROUP BY ALL),
+v AS (SELECT SampleID, COALESCE(sum(Count), 0.0) > 0 AS valid FROM mg GROUP BY SampleID),
+f AS (SELECT DISTINCT mg.* EXCLUDE (Length_NA_flag), v.valid,
+             CASE WHEN v.valid THEN mg.Length_NA_flag ELSE 'No fish caught' END AS Length_NA_flag
+      FROM mg JOIN v ON mg.SampleID = v.SampleID),
+f2 AS (SELECT * FROM f WHERE NOT (valid AND Count IS NULL))
+SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
+       floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime,
+       floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi,
+       floor(Tow_duration * 1000000.0 + 0.5) / 1000000.0 AS Tow_duration,
+       floor(Tow_area * 1000000.0 + 0.5) / 1000000.0 AS Tow_area, Taxa,
+       floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
+       floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
+       Length_NA_flag
+FROM f2"""
