@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoal.llm import exact_dedup
+from shoal.llm import bpe, exact_dedup
 from shoal.llm.common import shared_dir, table
 
 
@@ -21,8 +22,14 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_copies(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of ids and decoded text of every row left."""
+    return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("exact_dedup", exact_copies),
+    ("byte_bpe", tokens),
 ]
 
 #: Language-model scores and near copies are not expressible in SQL.

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from shoal.llm import bpe
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -28,3 +30,12 @@ def register(name: str):
 def op6(spark: SparkSession, d: str) -> DataFrame:
     """Equal texts of ``documents`` by block naming; one row per document."""
     return dedup.exact_dedup(table(spark, d, "documents"))
+
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("op10_byte_bpe")
+def op10(spark: SparkSession, d: str) -> DataFrame:
+    """Token ids of every text of ``documents`` and the texts decoded back."""
+    return bpe.token_digests(table(spark, d, "documents"), VOCABULARY, public_tokenizers.PATTERN)
