@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoal.llm import bpe
+from shoal.llm import bpe, chat, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -39,3 +39,24 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 def op10(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every text of ``documents`` and the texts decoded back."""
     return bpe.token_digests(table(spark, d, "documents"), VOCABULARY, public_tokenizers.PATTERN)
+
+
+#: Names of the output shards; a power of two splits evenly over writers.
+SHARDS = [f"shard-{k:03d}" for k in range(256)]
+
+
+@register("op1_sharding")
+def op1(spark: SparkSession, d: str) -> DataFrame:
+    """Shard of every row of ``documents``."""
+    return sharding.assign(table(spark, d, "documents"), SHARDS)
+
+
+@register("op3_chat_format")
+def op3(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation, and -7 whose texts hold control strings, folded
+    from its log, rendered and read back."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    probe = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.segments(chat.fold(chat.log_of(rows.unionByName(extra)))))

@@ -15,3 +15,22 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM d
 """
+
+# Escapes: backslash first, then # and < (and : in the role).
+_ESC = r"replace(replace(replace({0}, '\', '\\'), '#', '\#'), '<', '\<')"
+SQL["op3_chat_format"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + length(replace({_ESC.format('role')}, ':', '\:')) + 2
+                + length({_ESC.format('text')}) + 8) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
