@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shoal.llm import bpe, chat, sharding
+from shoal.llm import bpe, chat, pii, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -60,3 +60,9 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
                                   "conv_id long, turn long, role string, text string")
     return chat.read_back(chat.segments(chat.fold(chat.log_of(rows.unionByName(extra)))))
+
+
+@register("op7_pii_skip_chain")
+def op7(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in every text of ``documents``."""
+    return pii.find(table(spark, d, "documents"))
