@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoal.llm import bpe, chat, pii, sharding
+from shoal.llm import bpe, chat, license, mixing, pii, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -66,3 +67,24 @@ def op3(spark: SparkSession, d: str) -> DataFrame:
 def op7(spark: SparkSession, d: str) -> DataFrame:
     """Personal data in every text of ``documents``."""
     return pii.find(table(spark, d, "documents"))
+
+
+@register("op5_license_scan")
+def op5(spark: SparkSession, d: str) -> DataFrame:
+    """Licences of every text of ``documents``."""
+    return license.scan(table(spark, d, "documents"))
+
+
+#: Of the mixture query: nine tenths and a half of the largest entropy.
+MIX_ENTROPY = 0.95
+
+
+@register("op8_temperature_mixing")
+def op8(spark: SparkSession, d: str) -> DataFrame:
+    """How often a mixture of as many tokens as ``documents`` has uses each
+    of its rows, and the weight of the row's source."""
+    docs = table(spark, d, "documents").select("doc_id", "source", "text")
+    m = mixing.mixture(docs, entropy=MIX_ENTROPY)
+    return (mixing.counted(docs, m)
+            .select("doc_id", "source", F.col("__block").alias("block"),
+                    F.round("__weight", 6).alias("weight"), F.col("__copies").alias("copies")))
