@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import bpe, chat, license, mixing, pii, sharding
+from shoal.llm import bpe, chat, license, mixing, pii, quality, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -88,3 +88,9 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
     return (mixing.counted(docs, m)
             .select("doc_id", "source", F.col("__block").alias("block"),
                     F.round("__weight", 6).alias("weight"), F.col("__copies").alias("copies")))
+
+
+@register("op9_quality_kneser_ney")
+def op9(spark: SparkSession, d: str) -> DataFrame:
+    """Perplexity of every text of ``documents`` and whether it is kept."""
+    return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from shoal.llm.common import text_of
 
-TRIGGER = ("licen[sc]e|copyright|warrant|permission|redistribut|(released|distributed|available) under|"
-           "public domain|all rights reserved|free software")
+TRIGGER = ("licen[sc]e|copyright|warrant|permission|redistribut|(released|distributed|available)[^a-z0-9]+under|"
+           "public[^a-z0-9]+domain|all[^a-z0-9]+rights|free[^a-z0-9]+software")
 
 # Identifier and names of licences.
 NAMES: dict[str, tuple[str, ...]] = {
