@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import bpe, chat, license, mixing, pii, quality, sharding
+from shoal.llm import ann, bpe, chat, license, mixing, pii, quality, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -94,3 +94,9 @@ def op8(spark: SparkSession, d: str) -> DataFrame:
 def op9(spark: SparkSession, d: str) -> DataFrame:
     """Perplexity of every text of ``documents`` and whether it is kept."""
     return quality.classify(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@register("op2_kmeans_tree_ann")
+def op2(spark: SparkSession, d: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth of ``embeddings``."""
+    return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
