@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import ann, bpe, chat, license, mixing, pii, quality, sharding
+from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -100,3 +100,9 @@ def op9(spark: SparkSession, d: str) -> DataFrame:
 def op2(spark: SparkSession, d: str) -> DataFrame:
     """Ten nearest vectors of every hundredth of ``embeddings``."""
     return ann.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@register("op4_ngram_jaccard_join")
+def op4(spark: SparkSession, d: str) -> DataFrame:
+    """Groups and number of links of every row of ``documents``."""
+    return ngram_join.join(table(spark, d, "documents")).drop("text_key")

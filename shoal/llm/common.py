@@ -60,3 +60,23 @@ def lower_ascii(text: Column) -> Column:
 
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
+
+
+def keep_once(docs: DataFrame, keep: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """The rows of ``docs``, all columns, whose (id, key) is in ``keep``
+    (``doc_id, key``), one row per pair.
+
+    ``keep`` has a pair as often as ``docs`` has the row, so rows that are
+    repeated show there; only those are compared again row by row."""
+    pairs = cut(keep.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")))
+    keyed, cols = docs.withColumn("__of", key), docs.columns
+
+    def rows(which: DataFrame) -> DataFrame:
+        hit = (F.col("__of") == F.col("__key")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
+        return keyed.join(which, hit, "left_semi")
+
+    once = rows(pairs.filter("__n = 1")).select(*cols)
+    repeated = pairs.filter("__n > 1")
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(rows(repeated).dropDuplicates([id_col, "__of"]).select(*cols))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, lower_ascii, text_of
+from shoal.llm.common import cut, keep_once, lower_ascii, text_of
 
 BLOCK_BYTES = 8192
 
@@ -135,26 +135,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts (largest id).
-
-    Repeated rows of a kept (id, text) become one.  Only rows whose id occurs
-    more than once are compared again row by row; all others pass by an
-    equi-join on the id, without moving their texts' copies.
-    """
+    """``docs`` with one row of each group of equal texts, the one with the
+    largest id (of a group without ids, one row)."""
     marked = cut(exact_dedup(docs, id_col, text_col))
-    keep = marked.filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
-    unclear = marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 or doc_id is null")
-    keep = (keep.join(unclear.select(F.col("doc_id").alias("u"), F.lit(True).alias("again")),
-                      F.col("doc_id").eqNullSafe(F.col("u")), "left")
-            .select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "again"))
-    cols = docs.columns
-    plain = keep.filter("again is null").select("__id")
-    first = docs.join(plain, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi").select(*cols)
-    doubt = cut(keep.filter("again").select("__id", "__sha"))
-    if doubt.isEmpty():
-        return first
-    sha = F.sha2(F.encode(lower_ascii(text_of(text_col)), "UTF-8"), 256)
-    one = (docs.withColumn("__key", sha)
-           .join(doubt, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha")), "left_semi")
-           .dropDuplicates([id_col, "__key"]).select(*cols))
-    return first.unionByName(one)
+    keep = marked.filter("kept").select("doc_id", F.col("text_sha256").alias("key"))
+    return keep_once(docs, keep, id_col, F.sha2(F.encode(lower_ascii(text_of(text_col)), "UTF-8"), 256))
