@@ -33,6 +33,7 @@ import unicodedata
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -183,28 +184,32 @@ def bits_table(model: list) -> np.ndarray:
 _TABLES: dict[str, np.ndarray] = {}
 
 
+def _table(key: str, model: list) -> np.ndarray:
+    """One table per model and Python worker."""
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = bits_table(model)
+    return _TABLES[key]
+
+
+def _score(text: str, table: np.ndarray) -> tuple[int, float | None, float | None]:
+    """Symbols, mean bits and score of a text."""
+    if not text:
+        return 0, None, None
+    each = table[grams(text)]
+    mean = float(each.mean(dtype=np.float64))
+    return len(each), mean, mean - MARGIN * float(each.std(dtype=np.float64)) / len(each) ** 0.5
+
+
 def score(docs: DataFrame, model: list, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> DataFrame:
     """``doc_id, lang, n_symbols, bits, score``, one row per input row."""
-    tables = docs.sparkSession.sparkContext.broadcast(model)
-    key = uuid.uuid4().hex  # one table per model and Python worker
+    tables, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches):
-        if key not in _TABLES:
-            _TABLES.clear()
-            _TABLES[key] = bits_table(tables.value)
-        table = _TABLES[key]
+        table = _table(key, tables.value)
         for b in batches:
-            n, bits, low = [], [], []
-            for t in b.column(2).to_pylist():
-                if not t:
-                    n.append(0), bits.append(None), low.append(None)
-                    continue
-                each = table[grams(t)]
-                mean = float(each.mean(dtype=np.float64))
-                n.append(len(each))
-                bits.append(mean)
-                low.append(mean - MARGIN * float(each.std(dtype=np.float64)) / len(each) ** 0.5)
+            n, bits, low = zip(*(_score(t, table) for t in b.column(2).to_pylist())) if len(b) else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(bits, pa.float64()), pa.array(low, pa.float64())],
                 ["doc_id", "lang", "n_symbols", "bits", "score"])
@@ -214,6 +219,18 @@ def score(docs: DataFrame, model: list, id_col: str = "doc_id", text_col: str =
             .mapInArrow(run, "doc_id long, lang string, n_symbols long, bits double, score double"))
 
 
+def score_column(spark, model: list, text):
+    """The score as a column, for filtering rows where they are."""
+    tables, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        table = _table(key, tables.value)
+        return pd.Series([_score(t, table)[2] for t in texts], dtype="float64")
+
+    return run(text)
+
+
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """``lang, threshold`` from trusted documents' scores, and one row with
     ``everywhere`` true for all languages together."""
@@ -230,25 +247,51 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
             .filter(f"everywhere or total >= {MIN_TRUSTED}").select("everywhere", "lang", "threshold"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: ``doc_id, lang, n_symbols, perplexity, score,
-    threshold, kept``."""
+def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, text_col: str, lang_col: str):
+    """Model, scores of all rows, thresholds by language and overall; None
+    without trusted text."""
     ids = cut(trusted_ids(labels))
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
              .join(ids, "doc_id", "left_semi").select("text"))
     model = train(texts)
     if model is None:
-        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
-                           F.length(text_of(text_col)).cast("long").alias("n_symbols"),
-                           F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("score"),
-                           F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
+        return None
     scored = cut(score(docs, model, id_col, text_col, lang_col))
     borders = cut(thresholds(scored.join(ids, "doc_id", "left_semi"), quantile))
     overall = borders.filter("everywhere").first()
     overall = F.lit(overall.threshold if overall else None).cast("double")
-    own = borders.filter("not everywhere").select(F.col("lang").alias("l"), "threshold")
-    out = scored.join(own, scored["lang"].eqNullSafe(own["l"]), "left").withColumn("threshold", F.coalesce("threshold", overall))
+    own = borders.filter("not everywhere").select(F.col("lang").alias("__lang"), F.col("threshold").alias("__own"))
+    return model, scored, own, overall
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
+             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """One row per input row: ``doc_id, lang, n_symbols, perplexity, score,
+    threshold, kept``."""
+    fitted = _fitted(docs, labels, quantile, id_col, text_col, lang_col)
+    if fitted is None:
+        nothing = F.lit(None).cast("double")
+        return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
+                           F.length(text_of(text_col)).cast("long").alias("n_symbols"), nothing.alias("perplexity"),
+                           nothing.alias("score"), nothing.alias("threshold"), F.lit(True).alias("kept"))
+    _, scored, own, overall = fitted
+    out = (scored.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left")
+           .withColumn("threshold", F.coalesce("__own", overall)))
     kept = F.col("score").isNull() | F.col("threshold").isNull() | (F.col("score") <= F.col("threshold"))
     return out.select("doc_id", "lang", "n_symbols", F.pow(F.lit(2.0), "bits").alias("perplexity"), "score", "threshold",
                       kept.alias("kept"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
+              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps, all columns.  Rows are
+    scored again where they are, so texts are not joined by id."""
+    fitted = _fitted(docs, labels, quantile, id_col, text_col, lang_col)
+    if fitted is None:
+        return docs
+    model, _, own, overall = fitted
+    marked = (docs.withColumn("__score", score_column(docs.sparkSession, model, text_of(text_col)))
+              .join(own, F.col(f"`{lang_col}`").cast("string").eqNullSafe(F.col("__lang")), "left")
+              .withColumn("__limit", F.coalesce("__own", overall)))
+    return (marked.filter("__score is null or __limit is null or __score <= __limit")
+            .select(*docs.columns))
