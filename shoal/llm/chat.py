@@ -21,8 +21,9 @@ conversation that holds a third of the log needs no more memory than any
 other (its turns have to be hashed in order, so one task reads them).
 
 Template: ``### <role>: <text></turn>`` and a newline.  Inside role and text
-``\\``, ``#`` and ``<`` (in the role also ``:``) are preceded by ``\\``; so no
-control string occurs inside a turn, and dropping the escapes restores it.
+``\\`` and ``#`` (in the role also ``:``) are preceded by ``\\`` and ``<`` is
+written ``\\l``; so no control string occurs inside a turn, and undoing the
+escapes restores it.
 The loss mask covers the text of assistant turns.
 
 Null rules: null text is empty, null role is the empty role, rows with null
@@ -93,10 +94,14 @@ def fold(log: DataFrame) -> DataFrame:
 
 def escaped(col, more: str = ""):
     for mark in ("\\", "#", "<", *more):
-        col = F.replace(col, F.lit(mark), F.lit("\\" + mark))
+        col = F.replace(col, F.lit(mark), F.lit("\\" + ("l" if mark == "<" else mark)))
     return col
 
 
+def unescaped(text: str) -> str:
+    return _ESCAPE.sub(lambda m: "<" if m[1] == "l" else m[1], text)
+
+
 def segments(messages: DataFrame) -> DataFrame:
     """``conv_id, msg_id, opened, segment, loss_start, loss_end``: the
     formatted turn and the loss mask in it (code points, end exclusive; null
@@ -122,7 +127,7 @@ def parse(formatted: str) -> Iterator[tuple[str, str]]:
         m = _TURN.match(formatted, at)
         if m is None:
             raise ValueError("not a formatted conversation")
-        yield _ESCAPE.sub(r"\1", m[1]), _ESCAPE.sub(r"\1", m[2])
+        yield unescaped(m[1]), unescaped(m[2])
         at = m.end()
 
 
@@ -150,7 +155,7 @@ def read_back(rendered: DataFrame) -> DataFrame:
                     n += 1
                     turns.update(f"{role}\n{text}\n".encode())
                 if start == start and start is not None:
-                    text = _ESCAPE.sub(r"\1", segment[int(start):int(end)])
+                    text = unescaped(segment[int(start):int(end)])
                     trained += len(text)
                     loss.update(text.encode())
             if out:

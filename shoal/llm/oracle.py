@@ -16,8 +16,8 @@ SELECT doc_id,
 FROM d
 """
 
-# Escapes: backslash first, then # and < (and : in the role).
-_ESC = r"replace(replace(replace({0}, '\', '\\'), '#', '\#'), '<', '\<')"
+# Escapes: backslash first, then # and < (written l; : in the role).
+_ESC = r"replace(replace(replace({0}, '\', '\\'), '#', '\#'), '<', '\l')"
 SQL["op3_chat_format"] = rf"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
