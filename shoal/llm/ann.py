@@ -17,12 +17,13 @@ the tree with a priority queue (nearest unopened centre first) and visit as
 many leaves as calibrated, and further ones until those hold enough
 candidates, so small tables give all they have.
 
-Search.  A leaf is dealt into blocks of about ``BLOCK`` vectors by a hash of
-the id, so a leaf that holds a third of all vectors (copies of one vector,
-say) is many tasks' work and none is capped; queries of a leaf are dealt into
-chunks the same way.  Each (leaf, block, chunk) is compared in double
-precision on the original vectors and gives its best ``k`` per query; the best
-of these by (distance, id) are the result.
+Search.  Neighbouring leaves are gathered to shards of about ``BLOCK`` vectors.
+A larger leaf is a shard of its own, dealt into blocks by a hash of the id, so
+a leaf that holds a third of all vectors (copies of one vector, say) is many
+tasks' work and none is capped; queries are dealt into chunks the same way.
+In each (shard, block, chunk) a query is compared with the vectors of the
+leaves it visits, in double precision on the original vectors, and gets its
+best ``k``; the best of these by (distance, id) are the result.
 
 Vectors take no part if their id is null, or they are null, zero, of another
 length than most, or hold null or non-finite components.  Of rows that share
@@ -39,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut
+from shoal.llm.common import cut, ship
 
 SAMPLE, SAMPLE_FLOATS = 20_000, 1 << 23
 BRANCH, LEAF, ITERATIONS = 8, 40, 12
@@ -165,6 +166,18 @@ def calibrate(tree: Tree, x: np.ndarray, k: int, recall: float = RECALL, seed: i
     return visits
 
 
+def gather(counts: dict[int, int], most: int = BLOCK) -> dict[int, tuple[int, int]]:
+    """Leaf to (shard, blocks of the shard); leaf numbers of neighbours in
+    the tree are close."""
+    out, shard, held = {}, 0, 0
+    for leaf, n in sorted(counts.items()):
+        if held and held + n > most:
+            shard, held = shard + 1, 0
+        out[leaf] = (shard, -(-n // most))
+        held += n
+    return out
+
+
 def valid(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``vec_id, vec`` of the rows that take part, one per id."""
     v = (vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
@@ -186,6 +199,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
     ``is_query`` (a condition on ``vec_id``) the ``k`` nearest other rows
     found, by Euclidean distance, ties to the smaller id."""
     spark = vectors.sparkSession
+    ship(spark)
     points = cut(valid(vectors, id_col, vec_col))
     schema = "query_id long, rank int, vec_id long, score double"
     some = points.first()
@@ -204,58 +218,64 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
 
     placed = cut(points.mapInPandas(to_leaf, "vec_id long, vec array<double>, leaf int"))
     counts = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most n_leaves
-    blocks = {leaf: -(-n // BLOCK) for leaf, n in counts.items()}
+    shards = gather(counts)
     queries = points.filter(is_query)
-    n_queries = queries.count()
-    chunks = max(1, -(-n_queries * visits // (max(tree.n_leaves, 1) * CHUNK)))
-    plan = spark.sparkContext.broadcast((visits, counts, blocks))
+    chunks = max(1, -(-queries.count() // CHUNK))
+    plan = spark.sparkContext.broadcast((visits, counts, shards))
 
     def to_bins(batches):
-        visits, counts, blocks = plan.value
+        visits, counts, shards = plan.value
+        names = ["query_id", "q", "shard", "block", "leaves"]
         for b in batches:
             out = []
             for i, vec in zip(b["vec_id"], b["vec"]):
-                seen = opened = 0
+                seen, wanted = 0, {}
                 q = np.asarray(vec, dtype=np.float64)
-                for leaf in best_bins(shared.value, q):
-                    opened += 1
+                for opened, leaf in enumerate(best_bins(shared.value, q), start=1):
                     if leaf in counts:
                         seen += counts[leaf]
-                        out += [(i, vec, leaf, block) for block in range(blocks[leaf])]
+                        wanted.setdefault(shards[leaf], []).append(leaf)
                     if opened >= visits and seen > k:
                         break
-                if len(out) >= 20_000:
-                    yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "block"])
+                out += [(i, vec, shard, block, leaves) for (shard, blocks), leaves in wanted.items()
+                        for block in range(blocks)]
+                if len(out) >= 5_000:
+                    yield pd.DataFrame(out, columns=names)
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "block"])
+                yield pd.DataFrame(out, columns=names)
 
     asked = (queries.repartition(spark.sparkContext.defaultParallelism, "vec_id")
-             .mapInPandas(to_bins, "query_id long, q array<double>, leaf int, block int")
+             .mapInPandas(to_bins, "query_id long, q array<double>, shard int, block int, leaves array<int>")
              .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")))
-    sizes = spark.createDataFrame(sorted(blocks.items()), "leaf int, blocks int")  # at most n_leaves
+    sizes = spark.createDataFrame([(leaf, *at) for leaf, at in sorted(shards.items())],
+                                  "leaf int, shard int, blocks int")  # at most n_leaves
     dealt = (placed.join(F.broadcast(sizes), "leaf")
              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-             .select("vec_id", "vec", "leaf", "block", "chunk"))
+             .select("vec_id", "vec", "leaf", "shard", "block", "chunk"))
 
-    def nearest(key, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+    def nearest(key: tuple, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(p) and len(q):
-            x, ids = _matrix(p["vec"]), p["vec_id"].to_numpy()
-            for i, vec in zip(q["query_id"], q["q"]):
-                away = np.sqrt(((x - np.asarray(vec, dtype=np.float64)) ** 2).sum(1))
-                away[ids == i] = np.inf
-                if len(away) > 4 * k:  # all at the k-th distance stay for the tie rule
-                    among = np.flatnonzero(away <= np.partition(away, k - 1)[k - 1])
-                else:
-                    among = np.arange(len(away))
-                best = among[np.lexsort((ids[among], away[among]))][:k]
-                out += [(i, ids[j], away[j]) for j in best if np.isfinite(away[j])]
+            p = p.sort_values("leaf")
+            x, ids, leaf = _matrix(p["vec"]), p["vec_id"].to_numpy(), p["leaf"].to_numpy()
+            start = dict(zip(*np.unique(leaf, return_index=True)))
+            stop = {b: s + n for b, s, n in zip(*np.unique(leaf, return_index=True, return_counts=True))}
+            for i, vec, leaves in zip(q["query_id"], q["q"], q["leaves"]):
+                rows = [np.arange(start[b], stop[b]) for b in leaves if b in start]
+                rows = np.concatenate(rows) if rows else np.zeros(0, dtype=int)
+                rows = rows[ids[rows] != i]
+                away = np.sqrt(((x[rows] - np.asarray(vec, dtype=np.float64)) ** 2).sum(1))
+                if len(rows) > k:  # all at the k-th distance stay for the tie rule
+                    near = away <= np.partition(away, k - 1)[k - 1]
+                    rows, away = rows[near], away[near]
+                best = np.lexsort((ids[rows], away))[:k]
+                out += [(i, ids[rows[j]], away[j]) for j in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    where = ["leaf", "block", "chunk"]
+    where = ["shard", "block", "chunk"]
     found = (dealt.groupBy(*where).cogroup(asked.groupBy(*where))
              .applyInPandas(nearest, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
