@@ -42,6 +42,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoal.llm.common import ship
+
 CHUNK = 512
 _SEQ_STEP = 1 << 32
 
@@ -135,6 +137,7 @@ def read_back(rendered: DataFrame) -> DataFrame:
     """Digests of each conversation as parsed from its formatted text:
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars``."""
+    ship(rendered.sparkSession)
     ordered = (rendered.select("conv_id", "opened", "msg_id", "segment", "loss_start", "loss_end")
                .repartition("conv_id").sortWithinPartitions("conv_id", "opened", "msg_id"))
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]

@@ -11,6 +11,11 @@ Conventions of every operator in this subpackage
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +47,43 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, unless they inherit its path.
+
+    Spark distributes the archive; nothing else is read from local folders."""
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    if top in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_shoal_shipped", False):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="shoal-code-"), "shoal-code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "shoal")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+    sc._shoal_shipped = True
+
+
+_RESIDENT: dict = {}
+
+
+def resident(key: str, make):
+    """In a Python worker: the object made for ``key``, kept for later tasks.
+    There is room for one, so models of different operators do not add up."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def strings(column, step: int = 256) -> Iterator:
+    """Values of an Arrow column as Python objects, a few at a time."""
+    for k in range(0, len(column), step):
+        yield from column.slice(k, step).to_pylist()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,8 +100,13 @@ def lower_ascii(text: Column) -> Column:
         F.translate(text, UPPER, UPPER.lower()))
 
 
-def same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def small(df: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
+    """``df``, to be broadcast if its values take at most ``most_bytes``; a
+    larger one is joined by shuffle.  For tables that have been cut: their
+    estimates are those of the plan before, which are far too high."""
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    size = F.lit(16 * len(df.columns)) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most_bytes else df
 
 
 def keep_once(docs: DataFrame, keep: DataFrame, id_col: str, key: Column) -> DataFrame:

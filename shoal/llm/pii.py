@@ -42,6 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoal.llm.common import ship, strings
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS, SAMPLE_NODES = 4000, 20_000, 64
 THRESHOLD = 0.8
@@ -228,10 +230,12 @@ def train(docs: DataFrame) -> dict | None:
 
     Executors send the nodes of the sample, at most ``SAMPLE_NODES`` of a
     document; the driver fits some hundred weights."""
+    ship(docs.sparkSession)
+
     def run(batches):
         for b in batches:
             label, feats, pairs = [], [], []
-            for t in b.column(0).to_pylist():
+            for t in strings(b.column(0)):
                 _, nodes = nodes_of(t)
                 nodes = nodes[:SAMPLE_NODES]
                 tokens = [t[s:e] for s, _, e in nodes]
@@ -289,13 +293,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model:
     spans), ``base_sha256``, ``spans`` (all), ``n_added``.  Without ``model``
     one is trained on ``docs``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ship(docs.sparkSession)
     field = docs.sparkSession.sparkContext.broadcast(model or train(docs))
 
     def run(batches):
         for b in batches:
             counts: dict[int, list[int]] = defaultdict(list)
             digests, spans, added = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in strings(b.column(1)):
                 base, nodes = nodes_of(t)
                 more = added_spans(t, nodes, field.value)
                 for k in range(len(KINDS)):

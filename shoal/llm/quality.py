@@ -38,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, text_of
+from shoal.llm.common import cut, resident, ship, small, strings, text_of
 
 ORDER, SYMBOLS = 4, 64
 QUANTILE, MARGIN, MIN_TRUSTED = 0.995, 2.0, 20
 BIN = 0.001
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 
 # Letters with a class of their own besides a-z.
 LETTERS = "éèêàçùäöüßñíóáú"
@@ -116,7 +116,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """``gram, n`` over all rows of ``texts`` (one column ``text``)."""
     def run(batches):
         for b in batches:
-            for g in _pieces(b.column(0).to_pylist()):
+            for g in _pieces(strings(b.column(0))):
                 found, n = np.unique(g, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], ["gram", "n"])
 
@@ -181,15 +181,9 @@ def bits_table(model: list) -> np.ndarray:
     return np.negative(p, out=p)
 
 
-_TABLES: dict[str, np.ndarray] = {}
-
-
 def _table(key: str, model: list) -> np.ndarray:
     """One table per model and Python worker."""
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = bits_table(model)
-    return _TABLES[key]
+    return resident(key, lambda: bits_table(model))
 
 
 def _score(text: str, table: np.ndarray) -> tuple[int, float | None, float | None]:
@@ -209,7 +203,7 @@ def score(docs: DataFrame, model: list, id_col: str = "doc_id", text_col: str =
     def run(batches):
         table = _table(key, tables.value)
         for b in batches:
-            n, bits, low = zip(*(_score(t, table) for t in b.column(2).to_pylist())) if len(b) else ((), (), ())
+            n, bits, low = zip(*(_score(t, table) for t in strings(b.column(2)))) if len(b) else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(bits, pa.float64()), pa.array(low, pa.float64())],
                 ["doc_id", "lang", "n_symbols", "bits", "score"])
@@ -249,10 +243,15 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
 def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, text_col: str, lang_col: str):
     """Model, scores of all rows, thresholds by language and overall; None
-    without trusted text."""
+    without trusted text.
+
+    Trusted texts are picked by a sort-merge join at every size: the table of
+    ids grows with the labels, and a plan that broadcasts it would only hold
+    for a small corpus."""
+    ship(docs.sparkSession)
     ids = cut(trusted_ids(labels))
     texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-             .join(ids, "doc_id", "left_semi").select("text"))
+             .join(ids.hint("merge"), "doc_id", "left_semi").select("text"))
     model = train(texts)
     if model is None:
         return None
@@ -261,7 +260,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, te
     overall = borders.filter("everywhere").first()
     overall = F.lit(overall.threshold if overall else None).cast("double")
     own = borders.filter("not everywhere").select(F.col("lang").alias("__lang"), F.col("threshold").alias("__own"))
-    return model, scored, own, overall
+    return model, scored, small(own), overall
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
