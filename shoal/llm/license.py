@@ -1,7 +1,7 @@
 """Licence recognition by sentence rules.
 
 A text is cut into sentences (after ``. ! ? : ;`` before white space, and at
-blank lines).  A sentence that spans lines is tried whole, as wrapped text,
+blank lines; an SPDX tag stays with its value).  A sentence that spans lines is tried whole, as wrapped text,
 and if unknown line by line.  Normalised (lower case, every run of other
 characters than a-z and 0-9 one space) it is looked up among known licence
 sentences, which gives an identifier.  The identifiers of a document, in
@@ -162,7 +162,8 @@ def _norm(s: Column) -> Column:
 
 def _identifiers(text: Column, known: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    marked = F.regexp_replace(text, "([.!?;:])\\s+|\\n[ \\t\\r]*\\n", "$1\u0001")
+    whole_tags = F.regexp_replace(text, "(?i)(spdx-license-identifier):[ \\t]+", "$1 ")
+    marked = F.regexp_replace(whole_tags, "([.!?;:])\\s+|\\n[ \\t\\r]*\\n", "$1\u0001")
     sentences = F.filter(F.split(marked, "\u0001"), lambda s: F.lower(s).rlike(TRIGGER))
 
     def of(s: Column) -> Column:

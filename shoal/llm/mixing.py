@@ -35,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, text_of
+from shoal.llm.common import cut, small, text_of
 
 BLOCK_TOKENS = 1 << 20
 MIN_BLOCKS, MAX_BLOCKS = 16, 1 << 20
@@ -134,7 +134,7 @@ def mixture(docs: DataFrame, entropy: float | None = None, repeat: float | None
     order = F.md5(F.concat(F.lit(f"{seed}/"), F.col("src"), F.lit("/"), F.col("block").cast("string")))
     turn = Window.partitionBy("src").orderBy(order, "block").rowsBetween(Window.unboundedPreceding, 0)
     blocks = cut(sums.withColumn("upto", F.sum("n").over(turn)).join(sources.select("src", "rest"), "src")
-                 .select("src", "block", (F.col("upto") <= F.col("rest")).alias("taken"),
+                 .select("src", "block", ((F.col("upto") <= F.col("rest")) & (F.col("rest") > 0)).alias("taken"),
                          (F.col("rest") - F.col("upto") + F.col("n")).alias("left"),
                          ((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest"))).alias("border")))
     inside = (each.withColumn("block", block)
@@ -151,11 +151,12 @@ def counted(docs: DataFrame, m: Mixture, seed: int = 1, id_col: str = "doc_id",
     ``__block`` and ``__copies``, how often the mixture uses the row."""
     keyed = (docs.withColumn("__src", _source(source_col)).withColumn("__digest", _digest(id_col, text_col, seed))
              .withColumn("__block", _block(F.col("__digest"), m.n_blocks)))
-    per_block = (m.blocks.join(m.sources, "src")
-                 .select(F.col("src").alias("__src"), F.col("block").alias("__block"), F.col("weight").alias("__weight"),
-                         (F.col("passes") + F.col("taken").cast("long")).alias("__times")))
-    border = m.border.select(F.col("src").alias("__src"), F.col("digest").alias("__digest"),
-                             F.lit(1).cast("long").alias("__more"))
+    per_block = small(cut(m.blocks.join(m.sources, "src")
+                          .select(F.col("src").alias("__src"), F.col("block").alias("__block"),
+                                  F.col("weight").alias("__weight"),
+                                  (F.col("passes") + F.col("taken").cast("long")).alias("__times"))))
+    border = small(m.border.select(F.col("src").alias("__src"), F.col("digest").alias("__digest"),
+                                   F.lit(1).cast("long").alias("__more")))
     return (keyed.join(per_block, ["__src", "__block"]).join(border, ["__src", "__digest"], "left")
             .withColumn("__copies", F.col("__times") + F.coalesce("__more", F.lit(0).cast("long")))
             .drop("__times", "__more", "__src", "__digest")

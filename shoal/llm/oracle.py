@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shoal.llm.license import TRIGGER, known_sentences, rule_table
+
 SQL: dict[str, str] = {}
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -34,3 +36,92 @@ SELECT conv_id,
                 + length({_ESC.format('text')}) + 8) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+
+def _mixing(entropy: float, halvings: int, block_tokens: int, least: int, most: int, token: str, seed: int = 1) -> str:
+    power = "pow(p, (lo + hi) / 2)"
+    return rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS src,
+         md5('{seed}/' || coalesce(CAST(doc_id AS VARCHAR), 'text ' || md5(coalesce(text, '')))) AS digest,
+         len(regexp_extract_all(coalesce(text, ''), '{token}')) AS n
+  FROM documents),
+e AS (SELECT src, digest, sum(n) AS n FROM d GROUP BY src, digest),
+totals AS (SELECT src, sum(n)::BIGINT AS n_tokens FROM e GROUP BY src),
+whole AS (SELECT coalesce(sum(n_tokens), 0)::BIGINT AS total FROM totals),
+p AS (SELECT src, n_tokens, n_tokens::DOUBLE / total AS p FROM totals, whole WHERE n_tokens > 0),
+target AS (SELECT {entropy}::DOUBLE * ln(count(*)) AS goal, -sum(p * ln(p)) AS natural_h FROM p),
+bis(step, lo, hi) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN h >= goal THEN (lo + hi) / 2 ELSE lo END, CASE WHEN h >= goal THEN hi ELSE (lo + hi) / 2 END
+  FROM (SELECT step, lo, hi, (SELECT ln(sum({power})) - sum({power} * ((lo + hi) / 2) * ln(p)) / sum({power}) FROM p) AS h
+        FROM bis WHERE step < {halvings}), target),
+a AS (SELECT CASE WHEN natural_h >= goal THEN 1.0::DOUBLE ELSE (SELECT lo FROM bis WHERE step = {halvings}) END AS a FROM target),
+w AS (SELECT src, n_tokens, pow(p, a) AS power, sum(pow(p, a)) OVER () AS z FROM p, a),
+s AS (
+  SELECT t.src, t.n_tokens, coalesce(w.power / w.z, 0) AS weight,
+         coalesce(floor(total::DOUBLE * w.power / w.z + 0.5)::BIGINT, 0) AS goal
+  FROM totals t CROSS JOIN whole LEFT JOIN w ON w.src = t.src),
+src AS (
+  SELECT *, CASE WHEN n_tokens = 0 THEN 1 ELSE goal // n_tokens END AS passes,
+         CASE WHEN n_tokens = 0 THEN 0 ELSE goal % n_tokens END AS rest FROM s),
+n AS (SELECT least(greatest((total + {block_tokens} - 1) // {block_tokens}, {least}), {most}) AS n_blocks FROM whole),
+eb AS (SELECT e.*, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % n_blocks AS block FROM e, n),
+b AS (
+  SELECT src, block, n, sum(n) OVER (PARTITION BY src ORDER BY md5('{seed}/' || src || '/' || block), block
+                                     ROWS UNBOUNDED PRECEDING) AS upto
+  FROM (SELECT src, block, sum(n) AS n FROM eb GROUP BY src, block)),
+bb AS (SELECT b.src, block, upto <= rest AND rest > 0 AS taken, rest - upto + n AS room,
+              upto > rest AND upto - n < rest AS border FROM b JOIN src ON src.src = b.src),
+inside AS (
+  SELECT eb.src, digest, room, sum(eb.n) OVER (PARTITION BY eb.src, eb.block ORDER BY digest ROWS UNBOUNDED PRECEDING) AS upto
+  FROM eb JOIN bb ON bb.src = eb.src AND bb.block = eb.block WHERE border)
+SELECT d.doc_id, d.source, bb.block, round(src.weight, 6) AS weight,
+       CAST(passes + taken::INT + (CASE WHEN i.digest IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS copies
+FROM d JOIN src ON src.src = d.src
+JOIN eb ON eb.src = d.src AND eb.digest = d.digest
+JOIN bb ON bb.src = eb.src AND bb.block = eb.block
+LEFT JOIN (SELECT src, digest FROM inside WHERE upto <= room) i ON i.src = d.src AND i.digest = d.digest
+"""
+
+
+SQL["op8_temperature_mixing"] = _mixing(0.95, 28, 1 << 20, 16, 1 << 20, r"[^ \t\n\r\f]+")
+
+
+def _licences() -> str:
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    table = sorted(known_sentences().items())
+    known = "MAP {" + ", ".join(f"{quoted(s)}: {quoted(i)}" for s, i in table) + "}"
+    norm = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+    steps, last = [], "r0"
+    for k, (pattern, ident) in enumerate(rule_table(), start=1):
+        hit = f"regexp_matches(seq, {quoted(pattern)})"
+        steps.append(f"r{k} AS (SELECT doc_id, ids, CASE WHEN {hit} THEN regexp_replace(seq, {quoted(pattern)}, ',', 'g') ELSE seq END AS seq, "
+                     f"CASE WHEN {hit} AND NOT list_contains(found, {quoted(ident)}) THEN list_append(found, {quoted(ident)}) ELSE found END AS found "
+                     f"FROM {last})")
+        last = f"r{k}"
+    return rf"""
+WITH known AS MATERIALIZED (SELECT {known} AS k),
+t AS (
+  SELECT doc_id, list_filter(string_split(regexp_replace(regexp_replace(coalesce(text, ''), '(?i)(spdx-license-identifier):[ \t]+', '\1 ', 'g'), '([.!?;:])\s+|\n[ \t\r]*\n', '\1' || chr(1), 'g'), chr(1)),
+                             lambda s: regexp_matches(lower(s), {quoted(TRIGGER)})) AS sentences
+  FROM documents),
+i AS (
+  SELECT doc_id, list_filter(flatten(list_transform(sentences, lambda s:
+           CASE WHEN k[{norm.format('s')}] IS NULL AND contains(s, chr(10))
+                THEN list_transform(string_split(s, chr(10)), lambda x: k[{norm.format('x')}])
+                ELSE [k[{norm.format('s')}]] END)), lambda x: x IS NOT NULL) AS ids
+  FROM t, known),
+r0 AS MATERIALIZED (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS seq, CAST([] AS VARCHAR[]) AS found FROM i),
+{", ".join(steps)}
+SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_known, coalesce(array_to_string(ids, ','), '') AS identifiers,
+       coalesce(array_to_string(found, ','), '') AS licenses,
+       CAST(len(list_filter(string_split(seq, ','), lambda x: x <> '')) AS BIGINT) AS unmatched
+FROM {last}
+"""
+
+
+SQL["op5_license_scan"] = _licences()

@@ -42,12 +42,21 @@ def test_long_piece_without_break():
 
 def test_tokens_come_out_before_the_piece_ends():
     fst = bpe.Transducer(RANKS)
-    state, seen = fst.start, 0
-    for byte in ("the" * 200).encode():
-        state, out = fst.arcs[state].get(byte) or fst._determinise(state, byte)
-        seen += len(out)
-        assert len(fst.states[state][1][-1]) < 64  # what is pending stays short
-    assert seen > 100
+    for word in ("the", "a", " ", "\u00e9", "ab1", "0"):
+        read = 0
+
+        def data(text=(word * 3000).encode()):
+            nonlocal read
+            for byte in text:
+                read += 1
+                yield byte
+
+        done, ids = 0, []
+        for part in fst.stream(data()):
+            ids += part
+            done += sum(map(fst.sizes.get, part))
+            assert read - done <= bpe.LOOKAHEAD  # what is pending stays short
+        assert ids == [RANKS[p] for p in bpe.merge_bytes((word * 3000).encode()[:0], RANKS)] + PLAIN._encode_single_piece((word * 3000).encode())
 
 
 def test_decoder_holds_unfinished_code_points():
