@@ -220,15 +220,18 @@ def force_tz(ts_ntz: str | Column, tz: str = "America/Los_Angeles") -> Column:
 
 
 def sample_id(source: str | Column, *cols: str | Column, sep: str = " ") -> Column:
-    """``paste(source, ...)``: nulls spelled "NA" as R does."""
-    parts = [col_of(source).cast("string")]
+    """``paste(source, ...)``: nulls spelled "NA" as R does (N10), a
+    null first part too."""
+    parts = [F.coalesce(col_of(source).cast("string"), F.lit("NA"))]
     parts += [F.coalesce(col_of(c).cast("string"), F.lit("NA")) for c in cols]
     return F.concat_ws(sep, *parts)
 
 
 def braced(c: str | Column) -> Column:
-    """Brace-wrap a key ("{...}") as the Suisun ids are written."""
-    return F.concat(F.lit("{"), col_of(c).cast("string"), F.lit("}"))
+    """Brace-wrap a key ("{...}") as the Suisun ids are written, unless it
+    has a brace already."""
+    key = col_of(c).cast("string")
+    return F.when(key.rlike("[{}]"), key).otherwise(F.concat(F.lit("{"), key, F.lit("}")))
 
 
 def hashed_id(*cols: str | Column) -> Column:
@@ -268,8 +271,10 @@ def zero_no_catch(count: str | Column, flag: str | Column) -> Column:
 # -- P27-P31: codes and text ---------------------------------------------------
 
 def pad_station(c: str | Column, width: int = 3) -> Column:
-    """Left-pad numeric station codes with zeros."""
-    return F.lpad(col_of(c).cast("string"), width, "0")
+    """Left-pad station codes with zeros; longer codes stay as they are
+    (``lpad`` alone would cut them)."""
+    code = col_of(c).cast("string")
+    return F.when(F.length(code) < width, F.lpad(code, width, "0")).otherwise(code)
 
 
 def merge_notes(*cols: str | Column, sep: str = "; ") -> Column:

@@ -159,11 +159,11 @@ def cumulative_compare(df: DataFrame, partition: Sequence[str], date: str,
 
 def convert_length(df: DataFrame, equations: DataFrame, sources: Sequence[str] = ("Suisun",),
                    source: str = "Source", taxon: str = "Taxa",
-                   length: str = "Length", max_rows: int | None = None) -> DataFrame:
+                   length: str = "Length") -> DataFrame:
     """Standard -> fork length, ``Intercept + Slope * SL`` by species,
     for the standard-length surveys; unmatched species keep their length."""
     eq = equations.select(F.col("Species").alias(taxon), "Intercept", "Slope")
-    j = lookup(df, eq, [taxon], max_rows=max_rows)
+    j = lookup(df, eq, [taxon])
     applies = F.col(source).isin(list(sources)) & F.col("Slope").isNotNull()
     return (j.withColumn(length, F.when(applies, F.col("Intercept") + F.col("Slope") * F.col(length))
                          .otherwise(F.col(length)))

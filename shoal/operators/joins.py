@@ -4,10 +4,9 @@ All joins are equi-joins on declared keys.  Broadcasting is size-checked by
 Spark itself: a lookup read from storage is broadcast when its file size is
 under ``spark.sql.autoBroadcastJoinThreshold``, and a derived one when its
 materialised size is under AQE's threshold; anything larger stays a
-sort-merge join, with skewed partitions split by AQE.  ``bounded_broadcast``
-forces a broadcast after counting the side against an explicit row bound,
-for callers who want the guarantee without adaptive execution.  Keys that
-may be null are matched null-safely, as dplyr does.
+sort-merge join, with skewed partitions split by AQE.  Nothing is hinted and
+nothing is counted while a plan is built.  Keys that may be null are matched
+null-safely, as dplyr does.
 """
 
 from __future__ import annotations
@@ -20,25 +19,11 @@ from pyspark.sql import functions as F
 
 from shoal.functions.nulls import quoted
 
-# Lookup tables above this many rows are not broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
 _SEMI_ANTI = {"left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
 _KEEP_RIGHT_KEY = {"right", "right_outer", "rightouter", "full", "outer",
                    "full_outer", "fullouter"}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
-
-    The count runs on the small side only (``limit`` stops the scan early),
-    so the check is cheap for real lookups and bounded for accidental big
-    inputs, which then fall back to a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
          null_safe: bool = True) -> DataFrame:
     """Join on same-named keys, returning one copy of each key column.
@@ -65,12 +50,10 @@ def join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner
     return out.select(*keys, *rest)
 
 
-def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left",
-           max_rows: int | None = None) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Left join a lookup table (J2, J3).  The planner broadcasts it when its
-    size is under the broadcast thresholds; ``max_rows`` forces a broadcast
-    after an explicit row-count check instead."""
-    return join(df, table if max_rows is None else bounded_broadcast(table, max_rows), on, how)
+    size is under the broadcast thresholds."""
+    return join(df, table, on, how)
 
 
 def unique_keys(table: DataFrame, key: str) -> DataFrame:
@@ -82,7 +65,7 @@ def unique_keys(table: DataFrame, key: str) -> DataFrame:
 
 def to_taxa(df: DataFrame, species: DataFrame, code_col: str, species_code_col: str,
             taxa_col: str = "Taxa", exclude_pattern: str | None = None,
-            distinct: bool = False, max_rows: int | None = None) -> DataFrame:
+            distinct: bool = False) -> DataFrame:
     """Decode a survey's organism code to a taxon through the crosswalk.
 
     The crosswalk is restricted to rows with a code in this survey's column
@@ -95,14 +78,14 @@ def to_taxa(df: DataFrame, species: DataFrame, code_col: str, species_code_col:
         xw = xw.filter(~F.coalesce(F.col(taxa_col).rlike(exclude_pattern), F.lit(False)))
     if distinct:
         xw = xw.distinct()
-    return lookup(df, xw, [code_col], max_rows=max_rows)
+    return lookup(df, xw, [code_col])
 
 
 def decode(df: DataFrame, table: DataFrame, code_col: str, table_code_col: str,
-           label_col: str, out_col: str, max_rows: int | None = None) -> DataFrame:
+           label_col: str, out_col: str) -> DataFrame:
     """Replace a code by its label from a code table (left, null-safe)."""
     t = table.select(F.col(table_code_col).alias(code_col), F.col(label_col).alias(out_col))
-    return lookup(df, t, [code_col], max_rows=max_rows)
+    return lookup(df, t, [code_col])
 
 
 def assemble(tables: Sequence[tuple[DataFrame, Sequence[str], str]]) -> DataFrame:
@@ -167,31 +150,31 @@ def assign_size_groups(measured: DataFrame, ranges: DataFrame, on: Sequence[str]
                        default_group: int = 1) -> DataFrame:
     """Give measured fish the size group of a commented range.
 
-    ``ranges`` holds (keys, min, max, group); open ends are null.  The ranges
-    of one key (a handful of comments per sample and taxon) are gathered into
-    an array, joined once per key (no fan-out), and each measured row takes
-    the smallest group whose range strictly contains its length
-    (``min < length < max``), else ``default_group``.
+    ``ranges`` holds (keys, min, max, group); open ends are null.  Each
+    measured row takes the smallest group whose range strictly contains its
+    length (``min < length < max``), else ``default_group``.
+
+    The distinct lengths of a key are joined to its ranges by key with the
+    range as a further condition, reduced to the smallest group by a partial
+    aggregate, and joined back; no list of a key's ranges is ever gathered.
     """
-    r = (ranges.groupBy(*on)
-         .agg(F.collect_list(F.struct(F.col(min_col).alias("lo"), F.col(max_col).alias("hi"),
-                                      F.col(group_col).alias("g"))).alias("_ranges")))
-    out = join(measured, r, on, "left")
+    lengths = measured.select(*on, length_col).distinct()
+    r = ranges.select(*on, F.col(min_col).alias("_lo"), F.col(max_col).alias("_hi"), F.col(group_col).alias("_g"))
     length = F.col(length_col)
-    hits = F.filter(F.coalesce(F.col("_ranges"), F.array()),
-                    lambda x: (length > F.coalesce(x["lo"], F.lit(float("-inf"))))
-                    & (length < F.coalesce(x["hi"], F.lit(float("inf")))))
-    grp = F.array_min(F.transform(hits, lambda x: x["g"]))
-    return out.withColumn(group_col, F.coalesce(grp, F.lit(default_group))).drop("_ranges")
+    inside = ((length > F.coalesce("_lo", F.lit(float("-inf"))))
+              & (length < F.coalesce("_hi", F.lit(float("inf")))))
+    found = join(lengths, r, on, "inner").filter(inside).groupBy(*on, length_col).agg(F.min("_g").alias("_g"))
+    out = join(measured, found, [*on, length_col], "left")
+    return out.withColumn(group_col, F.coalesce("_g", F.lit(default_group))).drop("_g").select(
+        *measured.columns, group_col)
 
 
 def size_bounds(comments: DataFrame, bounds: DataFrame, on: Sequence[str],
                 min_col: str = "Min_length", max_col: str = "Max_length",
-                bound_min: str = "Min", bound_max: str = "Max",
-                max_rows: int | None = None) -> DataFrame:
+                bound_min: str = "Min", bound_max: str = "Max") -> DataFrame:
     """Fill missing min/max lengths from a life-stage size table."""
     b = bounds.select(*on, F.col(bound_min).alias("_bmin"), F.col(bound_max).alias("_bmax"))
-    out = lookup(comments, b, on, max_rows=max_rows)
+    out = lookup(comments, b, on)
     return (out.withColumn(min_col, F.coalesce(F.col(min_col), F.col("_bmin")))
             .withColumn(max_col, F.coalesce(F.col(max_col), F.col("_bmax")))
             .drop("_bmin", "_bmax"))
@@ -225,23 +208,25 @@ def apply_patches(df: DataFrame, patches: DataFrame, keys: Sequence[str],
 
 def exclude(df: DataFrame, windows: DataFrame, on: Sequence[str], date_col: str,
             start_col: str = "start", end_col: str = "end",
-            conditions: Column | None = None, max_rows: int | None = None) -> DataFrame:
+            conditions: Column | None = None) -> DataFrame:
     """drop rows falling in an exclusion window of their station.
 
     ``windows`` holds (keys, start, end); a day list is a window with
-    start = end.  ``conditions`` further restricts which rows may be dropped
-    (e.g. zero count; null counts as false).  The windows of a key are
-    gathered into one array (one small row per key, broadcast by the planner
-    when small), joined once per key, and tested with ``exists`` - no row
-    ids, no cross product.
+    start = end.  A window with further columns named like columns of ``df``
+    plus ``_is`` (say ``Count_is``) drops only rows that have that value
+    there (a null asks for nothing).  ``conditions`` restricts which rows may
+    be dropped by any window (null counts as false).  An anti-join on the
+    keys with the range as a further condition: rows are never multiplied
+    and the windows of a key are never gathered.
     """
-    w = (windows.groupBy(*on)
-         .agg(F.collect_list(F.struct(F.col(start_col).alias("s"),
-                                      F.col(end_col).alias("e"))).alias("_windows")))
-    out = lookup(df, w, on, max_rows=max_rows)
-    d = F.col(date_col)
-    inside = F.coalesce(F.exists(F.col("_windows"), lambda x: d.between(x["s"], x["e"])),
-                        F.lit(False))
+    asked = [c for c in windows.columns if c.endswith("_is") and c[:-3] in df.columns]
+    w = windows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(on)], F.col(start_col).alias("_s"),
+                       F.col(end_col).alias("_e"), *[F.col(c).alias(f"_{c}") for c in asked])
+    hit = F.col(date_col).between(F.col("_s"), F.col("_e"))
+    for i, k in enumerate(on):
+        hit = hit & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    for c in asked:
+        hit = hit & (F.col(f"_{c}").isNull() | (F.col(c[:-3]) == F.col(f"_{c}")))
     if conditions is not None:
-        inside = inside & F.coalesce(conditions, F.lit(False))
-    return out.filter(~inside).drop("_windows")
+        hit = hit & conditions
+    return df.join(w, hit, "left_anti")

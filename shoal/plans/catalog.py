@@ -171,9 +171,7 @@ def q_null_safe_lookup(spark: SparkSession, d: str) -> DataFrame:
         "l_partkey", F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
         .otherwise(F.col("l_returnflag")).alias("code"))
     species = roles.read(spark, d, "part").select("p_partkey", F.col("p_brand").alias("Taxa"))
-    # the crosswalk here is the part table, which grows with the data: count
-    # it against the bound rather than trusting the planner's estimate
-    t = joins.to_taxa(li, species, "l_partkey", "p_partkey", max_rows=joins.MAX_BROADCAST_ROWS)
+    t = joins.to_taxa(li, species, "l_partkey", "p_partkey")
     codes = li.select("code").distinct().withColumn(
         "label", F.coalesce(F.concat(F.lit("flag "), F.col("code")), F.lit("missing")))
     dec = joins.decode(t, codes, "code", "code", "label", "label")
@@ -182,13 +180,16 @@ def q_null_safe_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @register("full_outer_chain")
 def q_full_outer_chain(spark: SparkSession, d: str) -> DataFrame:
-    """Sample -> tow -> catch chain of full outer joins, keys coalesced."""
+    """Sample -> tow -> catch chain of full outer joins, keys coalesced.
+    All rows take part; pending samples and late tows have keys of their own
+    (negative), which the other tables do not know."""
     ln = roles.lines(spark, d)
-    a = roles.samples(spark, d).filter(F.col("Source") != "P").select("SampleID", "Source")
-    b = ln.filter(F.col("linenumber") <= 4).select("SampleID", F.col("linenumber").alias("Tow"),
-                                                   "quantity")
-    c = ln.filter(F.col("discount") >= 0.03).select("SampleID", F.col("linenumber").alias("Tow"),
-                                                    "Taxa", "price")
+    a = roles.samples(spark, d).select(
+        F.when(F.col("Source") == "P", -F.col("SampleID")).otherwise(F.col("SampleID")).alias("SampleID"), "Source")
+    b = ln.select("SampleID", F.when(F.col("linenumber") > 4, -F.col("linenumber"))
+                  .otherwise(F.col("linenumber")).alias("Tow"), "quantity")
+    c = ln.select("SampleID", F.when(F.col("discount") < 0.03, F.col("linenumber") + 100)
+                  .otherwise(F.col("linenumber")).alias("Tow"), "Taxa", "price")
     out = joins.full_outer_chain([(a, []), (b, ["SampleID"]), (c, ["SampleID", "Tow"])])
     return out.select("SampleID", "Source", "Tow", "quantity", "Taxa", "price")
 
@@ -196,11 +197,13 @@ def q_full_outer_chain(spark: SparkSession, d: str) -> DataFrame:
 @register("calibration_fallback")
 def q_calibration_fallback(spark: SparkSession, d: str) -> DataFrame:
     """J5 + A12 + P14: meter k-factor by (year, serial) else the serial's
-    mean, then tow volume."""
-    li = roles.read(spark, d, "lineitem").filter(F.col("l_returnflag") == "R")
+    mean, then tow volume.  The corrections of a meter's later years are
+    filed one year late, so those tows take the mean."""
+    li = roles.read(spark, d, "lineitem")
     sup = roles.read(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     corr = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-            .groupBy(F.year("l_shipdate").alias("Year"), F.col("s_nationkey").alias("Serial"))
+            .groupBy((F.year("l_shipdate") + F.when(F.col("s_nationkey") % 2 == 0, 20).otherwise(0)).alias("Year"),
+                     F.col("s_nationkey").alias("Serial"))
             .agg(F.avg("l_discount").alias("kFactor")))
     o = roles.read(spark, d, "orders")
     c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey")
@@ -215,25 +218,13 @@ def q_calibration_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 # -- filters ----------------------------------------------------------------------
 
-# Patterns marking notes of periods with no fish sampling.
-NO_SAMPLING_PATTERNS = [
-    r"no\s*(count|cnt|fish\s*(count|cnt|salvage))",
-    r"(shut\s*down|shutdown|facilityshutdown)",
-    r"down\s*for\s*(maintenance|repairs)",
-    r"no\s*(pumping|water|flow|salvage|export|TFF.*salvage)",
-    r"(zero|0)\s*(count|slvg|export|flow|pumping|salvage|units|bapp)",
-    r"(power\s*outage|equipment\s*failure)",
-    r"stopped\s*pumping\s*water",
-    r"no\s+(fish\s+|10\s+(min(ute)?\.?\s+)?)?(count)",
-]
-
 # Patterns that do occur in the driver's document text (license lines,
 # e-mail addresses, phone-like numbers), to exercise the same filter.
 NOTE_HIT_PATTERNS = [r"licen[cs]e", r"@", r"\d{3}-\d{4}"]
 
 
 def _doc_samples(spark: SparkSession, d: str) -> DataFrame:
-    docs = roles.read(spark, d, "documents", spread=True).select("doc_id", "text", "lang")
+    docs = roles.read(spark, d, "documents").select("doc_id", "text", "lang")
     lab = roles.read(spark, d, "labels").select("doc_id", "quality")
     j = joins.join(docs, lab, ["doc_id"], "left", null_safe=False)
     return j.select(
@@ -245,7 +236,7 @@ def _doc_samples(spark: SparkSession, d: str) -> DataFrame:
 @register("notes_regex")
 def q_notes_regex(spark: SparkSession, d: str) -> DataFrame:
     """drop no-sampling notes with zero count under the normal method."""
-    out = filters.drop_no_sampling(_doc_samples(spark, d), "Notes_tow", NO_SAMPLING_PATTERNS)
+    out = filters.drop_no_sampling(_doc_samples(spark, d), "Notes_tow", surveys.NO_SAMPLING_PATTERNS)
     return out.select("SampleID", "Count", "Method")
 
 
@@ -283,7 +274,7 @@ def q_exclusion_windows(spark: SparkSession, d: str) -> DataFrame:
         "end", F.date_add("start", 30))
     last = s.groupBy("Station").agg(F.max("Date").alias("start")).withColumn("end", F.col("start"))
     out = joins.exclude(s, first.unionByName(last), ["Station"], "Date",
-                        conditions=F.col("Source") == "F", max_rows=joins.MAX_BROADCAST_ROWS)
+                        conditions=F.col("Source") == "F")
     return out.select("SampleID", "Source", "Station", "Date")
 
 
@@ -331,7 +322,7 @@ def q_dms_units(spark: SparkSession, d: str) -> DataFrame:
     """P7 + P9: station coordinates from deg/min/sec; unit conversions."""
     c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
     secs = F.abs(F.col("c_acctbal")) / 200
     return j.select(
         F.col("c_custkey").alias("custkey"),
@@ -365,7 +356,7 @@ def q_meter_effort(spark: SparkSession, d: str) -> DataFrame:
 def q_compose_datetime(spark: SparkSession, d: str) -> DataFrame:
     """P18 + P19 + P36: local datetime from ship date + a clock time, with
     the midnight rule and the spring-forward gap repair."""
-    li = roles.read(spark, d, "lineitem", spread=True).select("l_orderkey", "l_linenumber", "l_quantity",
+    li = roles.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
                                                               "l_shipdate")
     hh = F.lpad((F.col("l_quantity").cast("int") % 24).cast("string"), 2, "0")
     mm = F.lpad(((F.col("l_linenumber") - 1) * 7).cast("string"), 2, "0")
@@ -404,16 +395,17 @@ def q_codes_labels(spark: SparkSession, d: str) -> DataFrame:
 @register("sample_ids")
 def q_sample_ids(spark: SparkSession, d: str) -> DataFrame:
     """P21 + P22 + W3: natural-key ids (nulls spelled NA) and ids numbered
-    within (source, year) by a total order."""
+    within (station, year) by a total order (a station's year is small, and a
+    hot source is spread over its stations)."""
     o = roles.read(spark, d, "orders").select(
-        "o_orderkey", "o_orderstatus", "o_orderdate",
+        "o_orderkey", "o_orderstatus", "o_orderdate", "o_custkey",
         F.when(F.col("o_orderpriority").startswith("5"), F.lit(None).cast("string"))
         .otherwise(F.col("o_orderpriority")).alias("priority"))
     o = o.withColumn("year", F.year("o_orderdate"))
-    n = windows.numbered(o, ["o_orderdate", "o_orderkey"], ["o_orderstatus", "year"])
+    n = windows.numbered(o, ["o_orderdate", "o_orderkey"], ["o_custkey", "year"])
     return n.select("o_orderkey",
                     exprs.sample_id("o_orderstatus", "o_orderkey", "priority").alias("SampleID"),
-                    exprs.sample_id("o_orderstatus", "year", "n").alias("NumberedID"))
+                    exprs.sample_id("o_custkey", "year", "n").alias("NumberedID"))
 
 
 @register("facility_station")
@@ -434,7 +426,7 @@ def q_facility_station(spark: SparkSession, d: str) -> DataFrame:
 @register("size_comments")
 def q_size_comments(spark: SparkSession, d: str) -> DataFrame:
     """Parse size/life-stage hints from whole note texts."""
-    docs = roles.read(spark, d, "documents", spread=True).select("doc_id", "text")
+    docs = roles.read(spark, d, "documents").select("doc_id", "text")
     p = exprs.parse_size_comment("text")
     return docs.select("doc_id", p["min_length"].alias("min_length"),
                        p["approx_length"].alias("approx_length"),
@@ -466,8 +458,10 @@ def q_normalise_fish(spark: SparkSession, d: str) -> DataFrame:
 
 @register("measured_lengths")
 def q_measured_lengths(spark: SparkSession, d: str) -> DataFrame:
-    """K11 (F4, J11, P23, A1): measured fish of the samples that survived."""
-    kept = roles.dataset(spark, d).filter(F.col("Source") != "P")
+    """K11 (F4, J11, P23, A1): measured fish of the samples that survived;
+    pending samples are known by another id and do not."""
+    kept = roles.dataset(spark, d).withColumn("SampleID", F.when(F.col("Source") == "P", -F.col("SampleID"))
+                                              .otherwise(F.col("SampleID")))
     ln = filters.measured_only(roles.lengths(spark, d))
     ln = joins.semi(ln, kept, ["SampleID"]).withColumn("Taxa", exprs.strip_lifestage("Taxa"))
     return expand.length_frequency(ln, ["SampleID", "Taxa"], "Length", "Frequency", out="Count")
@@ -513,7 +507,7 @@ def q_convert_length(spark: SparkSession, d: str) -> DataFrame:
     eq = (roles.lines(spark, d).groupBy(F.col("Taxa").alias("Species"))
           .agg((F.avg("tax") * 10).alias("Intercept"), (1 + F.avg("discount")).alias("Slope")))
     ds = roles.dataset(spark, d).select("Source", "SampleID", "Taxa", "Length")
-    out = analyze.convert_length(ds, eq, sources=["O"], max_rows=joins.MAX_BROADCAST_ROWS)
+    out = analyze.convert_length(ds, eq, sources=["O"])
     return out.select("Source", "SampleID", "Taxa", r6("Length").alias("Length"))
 
 
@@ -541,17 +535,17 @@ def q_dimensions(spark: SparkSession, d: str) -> DataFrame:
 
 def _website(spark: SparkSession, d: str) -> DataFrame:
     """An outside daily series to reconcile with: per (date, source, taxon)
-    quantities straight from the line table, one source missing."""
+    quantities straight from the line table, one source under another name."""
     ln = joins.join(roles.lines(spark, d), roles.samples(spark, d).select("SampleID", "Source", "Date"),
                     ["SampleID"], "inner", null_safe=False)
-    return (ln.filter(F.col("Source") != "P")
+    return (ln.withColumn("Source", F.when(F.col("Source") == "P", "Pending").otherwise(F.col("Source")))
             .groupBy("Date", "Source", "Taxa").agg((F.sum("quantity") / 10).alias("Salvage_web")))
 
 
 @register("reconcile")
 def q_reconcile(spark: SparkSession, d: str) -> DataFrame:
     """K15 (A19, J16, P38): our totals vs an outside series per (taxon, source)."""
-    ours = analyze.summarise_by(roles.dataset(spark, d).filter(F.col("Taxa") != "UnID"),
+    ours = analyze.summarise_by(roles.dataset(spark, d),
                                 ["Taxa", "Source"], "Tow_volume", "Count", "Volume_db", "Salvage_db")
     theirs = _website(spark, d).groupBy("Taxa", "Source").agg(F.sum("Salvage_web").alias("Salvage_web"))
     out = analyze.reconcile(ours.drop("Volume_db"), theirs, ["Taxa", "Source"], "Salvage_db", "Salvage_web")
@@ -613,8 +607,10 @@ def q_crosswalk_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 @register("unknown_codes")
 def q_unknown_codes(spark: SparkSession, d: str) -> DataFrame:
-    """Q15: codes used in the data that the lookup does not know."""
-    nat = roles.read(spark, d, "nation").filter(F.col("n_regionkey") != 0)
+    """Q15: codes used in the data that the lookup does not know (the lookup
+    files one region's codes under others)."""
+    nat = roles.read(spark, d, "nation").withColumn(
+        "n_nationkey", F.when(F.col("n_regionkey") == 0, F.col("n_nationkey") + 1000).otherwise(F.col("n_nationkey")))
     return quality.unknown_codes(roles.read(spark, d, "customer"), nat, "c_nationkey", "n_nationkey")
 
 
@@ -821,7 +817,7 @@ def q_size_bounds(spark: SparkSession, d: str) -> DataFrame:
     ages = (joins.join(ln, s, ["SampleID"], "inner", null_safe=False)
             .groupBy("Month", "Taxa").agg(F.min("quantity").alias("Min"), F.max("quantity").alias("Max"))
             .withColumn("Lifestage", F.lit("Age-0")))
-    out = joins.size_bounds(com, ages, ["Lifestage", "Month", "Taxa"], max_rows=joins.MAX_BROADCAST_ROWS)
+    out = joins.size_bounds(com, ages, ["Lifestage", "Month", "Taxa"])
     present = ln.filter(F.col("linenumber") == 2).select("SampleID", "Taxa")
     out = joins.anti(out, present, ["SampleID", "Taxa"])
     return out.select("SampleID", "Taxa", "Month", "Lifestage", "Min_length", "Max_length")
@@ -909,6 +905,8 @@ def q_integrate_fish(spark: SparkSession, d: str) -> DataFrame:
 # The salvage study and station code tables.
 SALVAGE_STUDIES = [("0000", "Normal count"), ("9999", "Second flush"), ("8888", "Special study")]
 SALVAGE_STATIONS = [(1, "SWP"), (2, "CVP")]
+# Times without sampling that occur in the driver's tables.
+SALVAGE_TIMES = [("SWP A", "1995-01-01", "1996-12-31", 0.0, 0.0), ("CVP N", "1996-03-01", "1996-03-31", None, None)]
 
 
 def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -926,7 +924,7 @@ def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], D
         clock.alias("SampleTime"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("9999"))
          .when(F.col("o_orderpriority") == "5-LOW", F.lit("8888")).otherwise(F.lit("0000")).alias("StudyRowID"),
-        (F.col("o_totalprice") / 1000).alias("AcreFeet"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.col("o_totalprice") / 1000).alias("AcreFeet"),
         F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.lit(60.0)).alias("MinutesPumping"),
         (F.lit(10.0) + (F.col("o_custkey") % 3) * 5).alias("SampleTimeLength"),
         (F.col("o_totalprice") % 80).alias("WaterTemperature"),
@@ -947,7 +945,9 @@ def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], D
     catch = (ln.groupBy("BuildingRowID", "OrganismCode")
              .agg((F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Count"))
              .withColumn("CatchRowID", catch_id))
+    # fish of one length that differ in their clip only are added up
     length = ln.select(catch_id.alias("CatchRowID"), F.col("linenumber").alias("LengthRowID"),
+                       (F.col("linenumber") % 2 == 0).alias("AdiposeClip"),
                        F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity")).alias("ForkLength"),
                        F.when(F.col("tax") == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("LengthFrequency"))
     studies = spark.createDataFrame(SALVAGE_STUDIES, "StudyRowID string, Description string")
@@ -965,7 +965,11 @@ def q_salvage_job(spark: SparkSession, d: str) -> DataFrame:
     """K10 end to end (J6, F8, P31, W2, W1, J1, A1, P19, A10, P25, F11, F19,
     P22, F6) on the driver tables in the salvage roles."""
     tables, species = salvage_tables(spark, d)
-    ds = surveys.salvage(tables, species, no_sampling_patterns=NO_SAMPLING_PATTERNS).dataset
+    times = spark.createDataFrame(SALVAGE_TIMES, "Station string, start string, end string, Count_is double, "
+                                                 "Tow_volume_is double").select(
+        "Station", F.to_date("start").alias("start"), F.to_date("end").alias("end"), "Count_is", "Tow_volume_is")
+    ds = surveys.salvage(tables, species, exclusions=times, excluded_samples=["Salvage 7 1", "Salvage 39 1"],
+                         imputed_samples=[32, 33, 34, 35]).dataset
     dbl = ["Latitude", "Longitude", "Tow_volume", "Temp_surf", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
@@ -1063,8 +1067,9 @@ def baystudy_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame],
     boat_station = oc.groupBy(*visit).agg(
         F.min("o_orderdate").cast("date").cast("string").alias("Date"), (F.avg("c_acctbal") / 100).alias("Depth"),
         F.lit(50.0).alias("Secchi"), ((F.min("Survey") % 4) + 1).alias("Tide"))
-    boat_tow = oc.groupBy(*visit, "Net").agg(
-        F.when(F.min("o_orderstatus") == "P", F.lit(52)).otherwise(F.lit(1)).alias("Tow"),
+    # a visit has up to three tows of a net, by status
+    boat_tow = oc.groupBy(*visit, "Net", "o_orderstatus").agg(
+        F.min(F.when(F.col("o_orderstatus") == "P", 52).when(F.col("o_orderstatus") == "F", 1).otherwise(2)).alias("Tow"),
         F.max("o_orderdate").cast("string").alias("Time"),
         (F.sum("o_totalprice") / 100).alias("TotalMeter"), (F.count(F.lit(1)) * 0.5).alias("Distance"),
         F.lit(10.0).alias("Duration"))
@@ -1299,7 +1304,8 @@ def edsm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
     sample_cols = [
         F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderstatus").alias("status"),
         F.col("c_nationkey").cast("string").alias("StationCode"),
-        F.to_date("o_orderdate").cast("string").alias("SampleDate"),
+        F.when(prio == "1", F.date_format("o_orderdate", "MM-dd-yyyy"))  # as the 20 mm export writes dates
+         .otherwise(F.to_date("o_orderdate").cast("string")).alias("SampleDate"),
         F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("15"), F.lit("30")).alias("SampleTime"),
         F.when(F.col("o_custkey") % 3 == 0, F.lit("HS")).when(F.col("o_custkey") % 3 == 1, F.lit("LS"))
          .otherwise(F.lit("Flood")).alias("Tide"),
@@ -1388,12 +1394,12 @@ def djfmp_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Dat
             "FlowDebris", "SeineDepth", "SamplingDirection", "ForkLength", "SpecificConductance", "Secchi",
             "OrganismCode", "Count", "MarkCode", "RaceByLength", "GearConditionCode"]
     fish = joins.join(ln, sa.withColumnRenamed("SampleRowID", "SampleID"), ["SampleID"], "inner", null_safe=False).select(
-        "*", F.when(F.col("returnflag") == "R", F.lit("Y")).when(F.col("returnflag") == "A", F.lit("N")).alias("FlowDebris"),
+        "*", F.when(F.col("returnflag") == "R", F.lit("Y")).when(F.col("returnflag") == "A", F.lit("Yes")).alias("FlowDebris"),
         (F.col("price") / 100).alias("Volume"),
         F.when(brand == 1, F.lit("CHN")).otherwise(F.concat(F.lit("B"), brand.cast("string"))).alias("OrganismCode"),
         F.when(F.col("linenumber") == 1, F.lit(0.0)).otherwise(F.col("quantity")).alias("ForkLength"),
         F.ceil(F.col("quantity") / 10).cast("double").alias("Count"),
-        F.when(F.col("linenumber") == 7, F.lit("AD")).alias("MarkCode"),
+        F.when(F.col("linenumber") == 7, F.lit("AD")).when(F.col("linenumber") % 2 == 1, F.lit("None")).alias("MarkCode"),
         F.when(F.col("quantity") < 25, F.lit("Fall")).otherwise(F.lit("Spring")).alias("RaceByLength")).select(*cols)
     with_lines = ln.select(F.col("SampleID").alias("SampleRowID")).distinct()
     empty = joins.join(sa, with_lines, ["SampleRowID"], "left_anti", null_safe=False).select(
@@ -1426,49 +1432,64 @@ def q_djfmp_job(spark: SparkSession, d: str) -> DataFrame:
 
 def suisun_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """The Suisun database played by the driver tables: orders are samples
-    (urgent/high midwater, medium/unspecified otter, low a beach seine that
-    is filtered out; a quarter carry the "NA" tide token), lines are catch
-    rows (line 1 unmeasured, length 0), several depth readings per sample
-    (one per line) are averaged; an unmeasured line with discount above 0.05
-    has a translated comment "< quantity mm", which defines a size group."""
+    (urgent ones midwater, low ones a beach seine, the rest otter trawls; a
+    quarter carry the "NA" tide token, a seventh a tide nobody knows), lines
+    are catch rows (line 1 unmeasured, length 0; tax 0.08 a trawl not made,
+    0.07 an empty one), several depth readings per sample (one per line) are
+    averaged.  An unmeasured line has a translated comment by its discount:
+    above 0.05 a bound, 0.02 a length, 0.01 a life stage that the table of
+    sizes at age bounds for half of the taxa, 0.03 one to ignore."""
     o = roles.read(spark, d, "orders")
     c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     prio = F.substring("o_orderpriority", 1, 1)
+    cust = F.col("o_custkey")
     sample = o.join(c, o.o_custkey == c.c_custkey).select(
         F.col("o_orderkey").cast("string").alias("SampleRowID"),
-        F.when(prio.isin("1", "2"), F.lit("MWTR")).when(prio.isin("3", "4"), F.lit("OTR"))
+        F.when(prio == "1", F.lit("MWTR")).when(prio.isin("2", "3", "4"), F.lit("OTR"))
          .otherwise(F.lit("BSEIN")).alias("MethodCode"),
         F.col("c_nationkey").cast("string").alias("StationCode"),
         F.to_date("o_orderdate").cast("string").alias("SampleDate"),
         F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":30:00")).alias("SampleTime"),
         F.lit(True).alias("QADone"), (F.abs(F.col("c_acctbal")) / 400).alias("WaterTemperature"),
         F.lit(45.0).alias("Secchi"), (F.col("o_totalprice") / 10).alias("SpecificConductance"),
-        F.when(F.col("o_custkey") % 4 == 0, F.lit("flood")).when(F.col("o_custkey") % 4 == 1, F.lit("ebb"))
-         .when(F.col("o_custkey") % 4 == 2, F.lit("NA")).otherwise(F.lit("outgoing")).alias("TideCode"))
+        F.when(cust % 7 == 0, F.lit("turning")).when(cust % 4 == 0, F.lit("flood")).when(cust % 4 == 1, F.lit("ebb"))
+         .when(cust % 4 == 2, F.lit("NA")).otherwise(F.lit("outgoing")).alias("TideCode"))
     li = roles.read(spark, d, "lineitem")
     depth = li.select(F.col("l_orderkey").cast("string").alias("SampleRowID"), (F.col("l_quantity") / 10).alias("Depth"))
     effort = o.select(F.col("o_orderkey").cast("string").alias("SampleRowID"),
-                      (F.lit(5.0) + F.col("o_orderkey") % 10).alias("TowDuration"))
+                      (F.lit(5.0) + F.col("o_orderkey") % 10).alias("TowDuration"),
+                      F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("net "), F.col("o_orderkey").cast("string")))
+                      .alias("TrawlComments"))
     n = roles.read(spark, d, "nation")
     stations = n.select(F.col("n_nationkey").cast("string").alias("Station"),
                         (F.lit(38.0) + F.col("n_nationkey") * F.lit(0.01)).alias("Latitude"),
                         (F.lit(-122.0) - F.col("n_regionkey") * F.lit(0.01)).alias("Longitude"))
-    ln = roles.lines(spark, d).withColumn("code", _brand_no("brand"))
-    catch = ln.select(F.col("SampleID").cast("string").alias("SampleRowID"), F.col("code").cast("string").alias("OrganismCode"),
-                      F.col("Length").alias("StandardLength"), F.lit("N").alias("Dead"),
-                      F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count"),
-                      F.lit(None).cast("string").alias("CatchComments"))
+    tax, percent = F.round(F.col("tax") * 100), F.round(F.col("discount") * 100)
+    note = F.when(F.col("linenumber") == 1, F.when(percent > 5, F.concat(F.lit("<"), F.col("linenumber").cast("string")))
+                  .when(percent == 2, F.lit("~")).when(percent == 1, F.lit("YOY")).when(percent == 3, F.lit("with eggs")))
+    ln = roles.lines(spark, d).withColumn("code", _brand_no("brand")).withColumn("note", note)
+    ln = joins.join(ln, roles.samples(spark, d).select("SampleID", F.month("Date").alias("Month")), ["SampleID"], "inner",
+                    null_safe=False)
+    fish = F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count")
+    catch = ln.select(F.col("SampleID").cast("string").alias("SampleRowID"),
+                      F.when(tax == 8, F.lit("NOTRAWL")).when(tax == 7, F.lit("NOCATCH"))
+                      .otherwise(F.col("code").cast("string")).alias("OrganismCode"),
+                      F.col("Length").alias("StandardLength"), F.lit("N").alias("Dead"), fish,
+                      F.col("note").alias("CatchComments"))
     label = exprs.taxa_label(F.col("brand"), F.when(F.col("code") == 13, F.lit("Age 0")))
-    comments = ln.filter((F.col("Length") == 0) & (F.col("discount") > 0.05)).select(
-        exprs.sample_id(F.lit("Suisun"), exprs.braced("SampleID")).alias("SampleID"), label.alias("Taxa"),
-        F.when(F.col("discount") >= 0.05, F.lit(2.0)).otherwise(F.lit(1.0)).alias("Count"),
-        F.lit(None).cast("double").alias("Min_length"), F.lit(None).cast("double").alias("Length"),
-        F.col("quantity").alias("Max_length"))
+    comments = ln.filter(F.col("note").isNotNull() & ~tax.isin(7, 8)).select(
+        exprs.sample_id(F.lit("Suisun"), exprs.braced("SampleID")).alias("SampleID"), label.alias("Taxa"), fish,
+        F.col("note").alias("CatchComments"), F.lit(None).cast("double").alias("Min_length"),
+        F.when(percent == 2, F.col("quantity")).alias("Length"), F.when(percent > 5, F.col("quantity")).alias("Max_length"),
+        F.when(percent == 1, F.lit("YOY")).alias("Lifestage"), "Month", F.when(percent == 3, F.lit(1)).alias("Ignore"))
+    ages = (ln.groupBy("Month", F.col("code").cast("string").alias("OrganismCode"))
+            .agg(F.min("quantity").alias("Min"), F.max("quantity").alias("Max"))
+            .withColumn("Class", F.when(F.col("OrganismCode").cast("int") % 2 == 0, F.lit("Age-0")).otherwise(F.lit("Age-1"))))
     p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("code"), F.col("p_brand").alias("ScientificName")).distinct()
     species = p.select(F.col("code").cast("string").alias("SMF_Code"),
                        exprs.taxa_label("ScientificName", F.when(F.col("code") == 13, F.lit("Age 0"))).alias("Taxa"))
     return ({"Sample": sample, "Depth": depth, "StationsLookUp": stations, "TrawlEffort": effort,
-             "Catch": catch, "comments": comments}, species)
+             "Catch": catch, "comments": comments, "AgesBySizeMo": ages}, species)
 
 
 @register("suisun_job")

@@ -214,9 +214,9 @@ FROM li LEFT JOIN part p ON li.l_partkey = p.p_partkey
 LEFT JOIN codes ON li.code IS NOT DISTINCT FROM codes.code
 GROUP BY li.code, codes.label, p.p_brand"""
 
-SQL["full_outer_chain"] = with_(LINES, SAMPLES, """a AS (SELECT SampleID, Source FROM samples WHERE Source <> 'P'),
-b AS (SELECT SampleID, linenumber AS Tow, quantity FROM lines WHERE linenumber <= 4),
-c AS (SELECT SampleID, linenumber AS Tow, Taxa, price FROM lines WHERE discount >= 0.03),
+SQL["full_outer_chain"] = with_(LINES, SAMPLES, """a AS (SELECT CASE WHEN Source = 'P' THEN -SampleID ELSE SampleID END AS SampleID, Source FROM samples),
+b AS (SELECT SampleID, CASE WHEN linenumber > 4 THEN -linenumber ELSE linenumber END AS Tow, quantity FROM lines),
+c AS (SELECT SampleID, CASE WHEN discount < 0.03 THEN linenumber + 100 ELSE linenumber END AS Tow, Taxa, price FROM lines),
 ab AS (SELECT COALESCE(a.SampleID, b.SampleID) AS SampleID, a.Source, b.Tow, b.quantity
        FROM a FULL JOIN b ON a.SampleID = b.SampleID)""") + """
 SELECT COALESCE(ab.SampleID, c.SampleID) AS SampleID, ab.Source, COALESCE(ab.Tow, c.Tow) AS Tow,
@@ -224,8 +224,9 @@ SELECT COALESCE(ab.SampleID, c.SampleID) AS SampleID, ab.Source, COALESCE(ab.Tow
 FROM ab FULL JOIN c ON ab.SampleID IS NOT DISTINCT FROM c.SampleID AND ab.Tow IS NOT DISTINCT FROM c.Tow"""
 
 SQL["calibration_fallback"] = """WITH corr AS (
-  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS Year, s.s_nationkey AS Serial, avg(l.l_discount) AS kFactor
-  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_returnflag = 'R'
+  SELECT CAST(year(l.l_shipdate) + CASE WHEN s.s_nationkey % 2 = 0 THEN 20 ELSE 0 END AS INTEGER) AS Year,
+         s.s_nationkey AS Serial, avg(l.l_discount) AS kFactor
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   GROUP BY 1, 2),
 cd AS (SELECT DISTINCT Year, Serial, kFactor FROM corr),
 avgk AS (SELECT Serial, avg(kFactor) AS kavg FROM cd GROUP BY Serial),
@@ -388,14 +389,14 @@ SELECT p_partkey,
 FROM p"""
 
 SQL["sample_ids"] = """WITH o AS (
-  SELECT o_orderkey, o_orderstatus, o_orderdate,
+  SELECT o_orderkey, o_orderstatus, o_orderdate, o_custkey,
          CASE WHEN starts_with(o_orderpriority, '5') THEN NULL ELSE o_orderpriority END AS priority,
          CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders),
-n AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus, yr ORDER BY o_orderdate, o_orderkey) AS n
+n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, yr ORDER BY o_orderdate, o_orderkey) AS n
       FROM o)
 SELECT o_orderkey,
        concat_ws(' ', o_orderstatus, CAST(o_orderkey AS VARCHAR), COALESCE(priority, 'NA')) AS SampleID,
-       concat_ws(' ', o_orderstatus, CAST(yr AS VARCHAR), CAST(n AS VARCHAR)) AS NumberedID
+       concat_ws(' ', CAST(o_custkey AS VARCHAR), CAST(yr AS VARCHAR), CAST(n AS VARCHAR)) AS NumberedID
 FROM n"""
 
 SQL["facility_station"] = r"""WITH o AS (
@@ -405,7 +406,7 @@ SQL["facility_station"] = r"""WITH o AS (
          CASE WHEN starts_with(o_orderpriority, '2') THEN 'SWP' END AS fallback
   FROM orders),
 f AS (SELECT o_orderkey, concat_ws(' ', CASE WHEN method = 1 THEN 'SWP' WHEN method = 2 THEN 'CVP'
-                                             WHEN method IS NULL AND fallback IS NOT NULL THEN fallback END,
+                                             WHEN method IS NULL AND fallback IS NOT NULL THEN fallback ELSE 'NA' END,
                                    COALESCE(location, 'NA')) AS st0 FROM o),
 g AS (SELECT o_orderkey, CASE WHEN st0 = 'CVP NA' THEN 'CVP Federal Facility' ELSE st0 END AS Station FROM f)
 SELECT o_orderkey, Station,
@@ -432,7 +433,8 @@ FROM d"""
 DS = with_(LINES, SAMPLES, CATCH, EXPAND, DATASET)
 FISH_T = "ft AS (SELECT DISTINCT Source, SampleID, Taxa, Length, Count FROM dataset)"
 WEB = """web AS (SELECT s.Date, s.Source, l.Taxa, sum(l.quantity) / 10 AS Salvage_web
-        FROM lines l JOIN samples s ON l.SampleID = s.SampleID WHERE s.Source <> 'P'
+        FROM lines l JOIN (SELECT * REPLACE (CASE WHEN Source = 'P' THEN 'Pending' ELSE Source END AS Source) FROM samples) s
+          ON l.SampleID = s.SampleID
         GROUP BY s.Date, s.Source, l.Taxa)"""
 
 
@@ -450,7 +452,7 @@ FROM (SELECT DISTINCT Source, Station, Latitude, Longitude, Date, Survey, Sample
 SQL["normalise_fish"] = ds_with(FISH_T) + """
 SELECT Source, SampleID, Taxa, Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count FROM ft"""
 
-SQL["measured_lengths"] = ds_with("kept AS (SELECT DISTINCT SampleID FROM dataset WHERE Source <> 'P')") + r"""
+SQL["measured_lengths"] = ds_with("kept AS (SELECT DISTINCT CASE WHEN Source = 'P' THEN -SampleID ELSE SampleID END AS SampleID FROM dataset)") + r"""
 SELECT SampleID, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
        CASE WHEN count(*) = count(Frequency) THEN sum(Frequency) END AS Count
 FROM lines WHERE Length <> 0 AND SampleID IN (SELECT SampleID FROM kept)
@@ -506,7 +508,7 @@ UNION ALL SELECT 'year_max', CAST(max(year(Date)) AS VARCHAR) FROM dataset
 UNION ALL SELECT 'length_max', CAST(max(CASE WHEN Length > 0 THEN Length END) AS VARCHAR) FROM ft"""
 
 SQL["reconcile"] = ds_with(WEB, """ours AS (SELECT Taxa, Source, COALESCE(sum(Count), 0.0) AS Salvage_db
-        FROM dataset WHERE Taxa <> 'UnID' GROUP BY Taxa, Source),
+        FROM dataset GROUP BY Taxa, Source),
 theirs AS (SELECT Taxa, Source, sum(Salvage_web) AS Salvage_web FROM web GROUP BY Taxa, Source)""") + """
 SELECT COALESCE(o.Taxa, t.Taxa) AS Taxa, COALESCE(o.Source, t.Source) AS Source,
        round(o.Salvage_db, 6) AS Salvage_db, round(t.Salvage_web, 6) AS Salvage_web,
@@ -590,7 +592,7 @@ SQL["crosswalk_duplicates"] = "\nUNION ALL ".join(
 
 SQL["unknown_codes"] = """SELECT DISTINCT c_nationkey FROM customer
 WHERE c_nationkey IS NOT NULL
-  AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 0 AND n_nationkey IS NOT NULL)"""
+  AND c_nationkey NOT IN (SELECT CASE WHEN n_regionkey = 0 THEN n_nationkey + 1000 ELSE n_nationkey END FROM nation)"""
 
 SQL["salmon_loss"] = with_(LINES, SAMPLES, """r AS (
   SELECT l.SampleID, l.linenumber, CASE WHEN s.Source = 'F' THEN 'SWP' ELSE 'CVP' END AS Facility,
@@ -845,7 +847,7 @@ SQL["salvage_job"] = r"""WITH smp AS (
            || ':00.0000000' AS SampleTime,
          CASE WHEN o_orderpriority = '1-URGENT' THEN '9999' WHEN o_orderpriority = '5-LOW' THEN '8888' ELSE '0000' END
            AS StudyRowID,
-         o_totalprice / 1000 AS AcreFeet,
+         CASE WHEN o_orderstatus = 'P' THEN 0.0::DOUBLE ELSE o_totalprice / 1000 END AS AcreFeet,
          CASE WHEN o_orderstatus = 'P' THEN 0.0::DOUBLE ELSE 60.0::DOUBLE END AS MinutesPumping,
          10.0::DOUBLE + (o_custkey % 3) * 5 AS SampleTimeLength,
          o_totalprice % 80 AS WaterTemperature,
@@ -897,7 +899,7 @@ j7 AS (SELECT * FROM j6 WHERE NOT COALESCE(OrganismCode IN (81), false)),
 j8 AS (SELECT *, CASE WHEN st0 = 'CVP NA' THEN 'CVP Federal Facility' ELSE st0 END AS Station FROM (
          SELECT *, concat_ws(' ', CASE WHEN SampleMethod = 1 THEN 'SWP' WHEN SampleMethod = 2 THEN 'CVP'
                                        WHEN SampleMethod IS NULL AND Comments_StationsLookUp IS NOT NULL
-                                         THEN Comments_StationsLookUp END,
+                                         THEN Comments_StationsLookUp ELSE 'NA' END,
                              COALESCE(Location, 'NA')) AS st0 FROM j7) t),
 j9 AS (SELECT j8.* EXCLUDE (st0), NULLIF(regexp_extract(Station, '\b(CVP|SWP)\b', 1), '') AS Facility FROM j8),
 cg AS (SELECT SampleRowID, Station,
@@ -934,6 +936,7 @@ e1 AS (SELECT *, CASE WHEN TotalMeasured IS NOT NULL AND (COALESCE(TotalMeasured
 e2 AS (SELECT *, CASE WHEN TotalMeasured IS NOT NULL AND TotalMeasured <> 0 AND COALESCE(Count1 >= TotalMeasured, false)
                       THEN LengthFrequency / TotalMeasured * Count1 ELSE Count1 END AS Ex FROM e1),
 e3 AS (SELECT *, CASE
+          WHEN SampleRowID IN (32, 33, 34, 35) THEN Ex * (MinutesPumping / 20.0::DOUBLE)
           WHEN (MinutesPumping IS NULL OR MinutesPumping = 0 OR SampleTimeLength = 0 OR SampleTimeLength IS NULL)
                AND COALESCE(FishCaught <> true, false) THEN 0.0
           WHEN Station IS NULL AND COALESCE(FishCaught <> true, false) THEN 0.0
@@ -972,7 +975,10 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf, Notes_tow, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
-FROM e7"""
+FROM e7
+WHERE NOT COALESCE(Station = 'SWP A' AND Date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND Count = 0 AND Tow_volume = 0, false)
+  AND NOT COALESCE(Station = 'CVP N' AND Date BETWEEN DATE '1996-03-01' AND DATE '1996-03-31', false)
+  AND NOT COALESCE(SampleID IN ('Salvage 7 1', 'Salvage 39 1'), false)"""
 
 SQL["stn_job"] = r"""WITH smp AS (
   SELECT o.o_orderkey AS SampleRowID, o.o_orderdate AS SampleDate, CAST(month(o.o_orderdate) AS INTEGER) AS Survey,
@@ -1082,12 +1088,12 @@ bs AS (SELECT Year, Survey, Station, CAST(min(o_orderdate) AS DATE) AS Date, avg
        FROM oc GROUP BY Year, Survey, Station),
 bsd AS (SELECT bs.Year, bs.Survey, bs.Station, bs.Date, bs.Depth, bs.Secchi, tc.Description AS Tidestation
         FROM bs LEFT JOIN tc ON bs.Tide = tc.Tide),
-bt0 AS (SELECT Year, Survey, Station, Net, CASE WHEN min(o_orderstatus) = 'P' THEN 52 ELSE 1 END AS Tow,
+bt0 AS (SELECT Year, Survey, Station, Net, CASE o_orderstatus WHEN 'P' THEN 52 WHEN 'F' THEN 1 ELSE 2 END AS Tow,
                max(o_orderdate) AS Time, sum(o_totalprice) / 100 AS TotalMeter, count(*) * 0.5::DOUBLE AS Distance
-        FROM oc GROUP BY Year, Survey, Station, Net),
+        FROM oc GROUP BY Year, Survey, Station, Net, o_orderstatus),
 bt AS (SELECT b.Year, b.Survey, b.Station,
               CASE b.Net WHEN 1 THEN 'Midwater trawl' WHEN 2 THEN 'Otter trawl' WHEN 3 THEN 'EL' END AS Method,
-              b.Time, tc.Description AS Tidetow,
+              b.Time, b.Tow, tc.Description AS Tidetow,
               CASE b.Net WHEN 1 THEN 'With current' WHEN 2 THEN 'Against current' WHEN 3 THEN 'Slack or cross-current' END
                 AS Tow_direction,
               CASE WHEN b.Net = 1 THEN b.TotalMeter * 0.02687::DOUBLE * 10.7::DOUBLE END AS Tow_volume,
@@ -1106,7 +1112,7 @@ env AS (SELECT bt.*, bsd.Date, bsd.Depth, bsd.Secchi, COALESCE(bt.Tidetow, bsd.T
                make_timestamp(year(bsd.Date), month(bsd.Date), day(bsd.Date), hour(bt.Time), minute(bt.Time), 0)
                  AS Datetime,
                'Bay Study ' || CAST(bt.Year AS VARCHAR) || ' ' || CAST(bt.Survey AS VARCHAR) || ' ' || bt.Station || ' '
-                 || bt.Method AS SampleID,
+                 || bt.Method || ' ' || CAST(bt.Tow AS VARCHAR) || ' ' || CAST(bt.Time AS VARCHAR) AS SampleID,
                st.Latitude, st.Longitude, sal.ECSurf, sal.TempSurf AS Temp_surf
         FROM bt LEFT JOIN bsd ON bt.Year = bsd.Year AND bt.Survey = bsd.Survey AND bt.Station = bsd.Station
         LEFT JOIN st ON bt.Station = st.Station
@@ -1521,11 +1527,11 @@ ln AS (SELECT l.l_orderkey AS SampleRowID, l.l_linenumber, l.l_quantity, l.l_ext
               CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS brand_no
        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 fish AS (SELECT sa.* EXCLUDE (SampleRowID, sample_volume), ln.l_extendedprice / 100 AS Volume,
-                CASE ln.l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS FlowDebris,
+                CASE ln.l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'Yes' END AS FlowDebris,
                 CASE WHEN ln.l_linenumber = 1 THEN 0.0 ELSE ln.l_quantity END AS ForkLength,
                 CASE WHEN ln.brand_no = 1 THEN 'CHN' ELSE 'B' || CAST(ln.brand_no AS VARCHAR) END AS OrganismCode,
                 CAST(ceil(ln.l_quantity / 10) AS DOUBLE) AS Count,
-                CASE WHEN ln.l_linenumber = 7 THEN 'AD' END AS MarkCode,
+                CASE WHEN ln.l_linenumber = 7 THEN 'AD' WHEN ln.l_linenumber % 2 = 1 THEN 'None' END AS MarkCode,
                 CASE WHEN ln.l_quantity < 25 THEN 'Fall' ELSE 'Spring' END AS RaceByLength
          FROM ln JOIN sa ON ln.SampleRowID = sa.SampleRowID),
 empt AS (SELECT sa.* EXCLUDE (SampleRowID, sample_volume), sa.sample_volume AS Volume, CAST(NULL AS VARCHAR) AS FlowDebris,
@@ -1538,8 +1544,7 @@ e2 AS (SELECT StationCode AS Station, CAST(SampleDate AS DATE) AS Date, h, TowNu
               Turbidity AS TurbidityNTU,
               CASE MethodCode WHEN 'MWTR' THEN 'Midwater trawl' WHEN 'KDTR' THEN 'Kodiak trawl'
                               WHEN 'SEIN' THEN 'Beach seine' ELSE MethodCode END AS Method,
-              CASE WHEN FlowDebris IS NULL THEN Volume WHEN FlowDebris IN ('Y', 'Yes') THEN NULL ELSE Volume END
-                AS Tow_volume,
+              CASE WHEN FlowDebris IS NULL THEN Volume WHEN FlowDebris = 'Y' THEN NULL ELSE Volume END AS Tow_volume,
               SeineDepth AS Depth,
               CASE SamplingDirection WHEN 'U' THEN 'Upstream' WHEN 'D' THEN 'Downstream' WHEN 'X' THEN 'Neither'
                    ELSE SamplingDirection END AS Tow_direction,
@@ -1554,8 +1559,8 @@ sal_in AS (SELECT DISTINCT C FROM e3 WHERE C IS NOT NULL),
 e4 AS (SELECT e3.*, sh.sal AS Sal_surf,
               concat_ws(' ', COALESCE(CAST(Datetime AS VARCHAR), CAST(Date AS VARCHAR)), COALESCE(Station, 'NA'),
                         COALESCE(CAST(TowNumber AS VARCHAR), 'NA'), COALESCE(Method, 'NA')) AS SampleID,
-              CASE WHEN COALESCE(MarkCode, 'None') = 'None' AND OrganismCode = 'CHN' THEN RaceByLength
-                   WHEN COALESCE(MarkCode, 'None') <> 'None' THEN 'Tag ' || CAST(row_number() OVER () AS VARCHAR) END AS Grp
+              CASE WHEN MarkCode = 'None' AND OrganismCode = 'CHN' THEN RaceByLength
+                   WHEN MarkCode <> 'None' THEN 'Tag ' || CAST(row_number() OVER () AS VARCHAR) END AS Grp
        FROM e3 LEFT JOIN sh ON e3.C = sh.C),
 m AS (SELECT Station, Date, TowNumber, Temp_surf, TurbidityNTU, Method, Tow_volume, Depth, Tow_direction, Length, Secchi,
              OrganismCode, Datetime, Sal_surf, SampleID, Grp,
@@ -1600,65 +1605,88 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
 FROM mg"""
 
 SQL["suisun_job"] = r"""WITH smp AS (
-  SELECT CAST(o.o_orderkey AS VARCHAR) AS SampleRowID,
-         CASE WHEN substr(o.o_orderpriority, 1, 1) IN ('1', '2') THEN 'MWTR'
-              WHEN substr(o.o_orderpriority, 1, 1) IN ('3', '4') THEN 'OTR' ELSE 'BSEIN' END AS MethodCode,
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS SampleRowID, substr(o.o_orderpriority, 1, 1) IN ('2', '3', '4') AS otter,
          CAST(c.c_nationkey AS VARCHAR) AS Station, CAST(o.o_orderdate AS DATE) AS Date, o.o_orderkey % 24 AS h,
          abs(c.c_acctbal) / 400 AS Temp_surf, 45.0::DOUBLE AS Secchi, o.o_totalprice / 10 AS SC,
-         CASE o.o_custkey % 4 WHEN 0 THEN 'Flood' WHEN 1 THEN 'Ebb' WHEN 2 THEN NULL ELSE 'Ebb' END AS Tide,
-         5.0::DOUBLE + o.o_orderkey % 10 AS TowDuration
+         CASE WHEN o.o_custkey % 7 = 0 THEN 'turning' ELSE
+           CASE o.o_custkey % 4 WHEN 0 THEN 'Flood' WHEN 1 THEN 'Ebb' WHEN 2 THEN NULL ELSE 'Ebb' END END AS Tide,
+         5.0::DOUBLE + o.o_orderkey % 10 AS Tow_duration,
+         CASE WHEN o.o_orderkey % 3 = 0 THEN 'net ' || CAST(o.o_orderkey AS VARCHAR) END AS Notes_tow
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
 dep AS (SELECT CAST(l_orderkey AS VARCHAR) AS SampleRowID, avg(l_quantity / 10) AS Depth FROM lineitem GROUP BY l_orderkey),
 st AS (SELECT CAST(n_nationkey AS VARCHAR) AS Station, 38.0::DOUBLE + n_nationkey * 0.01::DOUBLE AS Latitude,
               -122.0::DOUBLE - n_regionkey * 0.01::DOUBLE AS Longitude FROM nation),
-s0 AS (SELECT smp.*, 'Suisun {' || smp.SampleRowID || '}' AS SampleID,
-              CASE smp.MethodCode WHEN 'MWTR' THEN 'Midwater trawl' WHEN 'OTR' THEN 'Otter trawl' END AS Method,
+-- only otter trawls
+s0 AS (SELECT smp.*, 'Suisun {' || smp.SampleRowID || '}' AS SampleID, 'Otter trawl' AS Method,
               make_timestamp(year(smp.Date), month(smp.Date), day(smp.Date), smp.h, 30, 0) AS Datetime,
-              SC * 0.001::DOUBLE AS C, dep.Depth, st.Latitude, st.Longitude, smp.TowDuration AS Tow_duration,
-              smp.TowDuration / 60.0::DOUBLE * 4000.0::DOUBLE * 4.3::DOUBLE * 0.7::DOUBLE AS Tow_area
+              SC * 0.001::DOUBLE AS C, dep.Depth, st.Latitude, st.Longitude,
+              smp.Tow_duration / 60.0::DOUBLE * 4000.0::DOUBLE * 4.3::DOUBLE * 0.7::DOUBLE AS Tow_area
        FROM smp LEFT JOIN dep ON smp.SampleRowID = dep.SampleRowID LEFT JOIN st ON smp.Station = st.Station
-       WHERE smp.MethodCode IN ('MWTR', 'OTR')),
+       WHERE otter),
 sal_in AS (SELECT SampleID, C FROM s0),
 """ + _SAL_CHAIN + r""",
 s AS (SELECT s0.*, sh.sal AS Sal_surf FROM s0 JOIN sh ON s0.SampleID = sh.SampleID),
-ln AS (SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_discount,
-              CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS code,
+ln AS (SELECT CAST(l.l_orderkey AS VARCHAR) AS SampleRowID, 'Suisun {' || CAST(l.l_orderkey AS VARCHAR) || '}' AS SampleID,
+              l.l_linenumber, l.l_quantity, l.l_discount, month(o.o_orderdate) AS Month, round(l.l_tax * 100) AS t,
+              round(l.l_discount * 100) AS dc, p.p_brand, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS code,
               CASE WHEN CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) = 13 THEN p.p_brand || ' (Age 0)'
-                   ELSE p.p_brand END AS Taxa
-       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-c AS (SELECT s.SampleID, ln.Taxa, CASE WHEN ln.l_linenumber = 1 THEN 0.0 ELSE ln.l_quantity END AS SL,
-             CASE WHEN ln.l_discount >= 0.05 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS Count
-      FROM ln JOIN s ON CAST(ln.l_orderkey AS VARCHAR) = s.SampleRowID),
-rng AS (SELECT 'Suisun {' || CAST(l_orderkey AS VARCHAR) || '}' AS SampleID, Taxa,
-               CASE WHEN l_discount >= 0.05 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS Count, l_quantity AS mx
-        FROM ln WHERE l_linenumber = 1 AND l_discount > 0.05),
-rng2 AS (SELECT *, CAST(row_number() OVER (PARTITION BY SampleID, Taxa ORDER BY mx, Count) + 1 AS INTEGER) AS g FROM rng),
+                   ELSE p.p_brand END AS Taxa,
+              CASE WHEN l.l_linenumber = 1 THEN 0.0 ELSE l.l_quantity END AS SL,
+              CASE WHEN l.l_discount >= 0.05 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS Count,
+              CASE WHEN l.l_linenumber <> 1 THEN NULL WHEN round(l.l_discount * 100) > 5 THEN '<' || CAST(l.l_linenumber AS VARCHAR)
+                   WHEN round(l.l_discount * 100) = 2 THEN '~' WHEN round(l.l_discount * 100) = 1 THEN 'YOY'
+                   WHEN round(l.l_discount * 100) = 3 THEN 'with eggs' END AS note
+       FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey),
+-- rows of trawls that were not made go; "no catch" rows have neither fish nor length
+c AS (SELECT s.SampleID, CASE WHEN t <> 7 THEN ln.Taxa END AS Taxa, CASE WHEN t = 7 THEN 0.0 ELSE ln.Count END AS Count,
+             CASE WHEN t <> 7 THEN ln.SL END AS SL, note
+      FROM ln JOIN s ON ln.SampleRowID = s.SampleRowID WHERE t <> 8),
+ages AS (SELECT Month, code, CASE WHEN code % 2 = 0 THEN 'Age-0' ELSE 'Age-1' END AS Class, min(l_quantity) AS mn, max(l_quantity) AS mx
+         FROM ln GROUP BY Month, code),
+com AS (
+  SELECT ln.SampleID, ln.Taxa, ln.Count, ln.note, CASE WHEN dc = 2 THEN l_quantity END AS Length,
+         CASE WHEN dc = 1 THEN ages.mn END AS mn, CASE WHEN dc > 5 THEN l_quantity WHEN dc = 1 THEN ages.mx END AS mx
+  FROM ln LEFT JOIN ages ON dc = 1 AND ages.Month = ln.Month AND ages.code = ln.code AND ages.Class = 'Age-0'
+  WHERE l_linenumber = 1 AND t NOT IN (7, 8) AND (dc > 5 OR dc IN (1, 2))),  -- comments to ignore left out
+rng AS (SELECT *, CAST(row_number() OVER (PARTITION BY SampleID, Taxa ORDER BY mn NULLS FIRST, mx NULLS FIRST, Count, Length NULLS FIRST, note)
+                       + 1 AS INTEGER) AS g
+        FROM com WHERE mn IS NOT NULL OR mx IS NOT NULL),
+cc AS (
+  SELECT SampleID, Taxa, note, Count, g AS SizeGroup,
+         CASE WHEN Length IS NOT NULL THEN Length
+              WHEN NOT EXISTS (SELECT 1 FROM c WHERE c.SampleID = rng.SampleID AND c.Taxa = rng.Taxa AND c.SL > 0) THEN NULL
+              ELSE 0 END AS SL FROM rng
+  UNION ALL SELECT SampleID, Taxa, note, Count, 1, Length FROM com WHERE mn IS NULL AND mx IS NULL),
 rows_ AS (
-  SELECT c.SampleID, c.Taxa, c.SL, c.Count,
-         COALESCE((SELECT min(r.g) FROM rng2 r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa AND c.SL < r.mx), 1)
-           AS SizeGroup
+  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, NULL AS flag,
+         COALESCE((SELECT min(r.g) FROM rng r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa
+                   AND c.SL < COALESCE(r.mx, 'inf'::DOUBLE) AND c.SL > COALESCE(r.mn, '-inf'::DOUBLE)), 1) AS SizeGroup
   FROM c WHERE c.SL > 0
-  UNION ALL SELECT SampleID, Taxa, 0.0, Count, g FROM rng2
-  UNION ALL SELECT c.SampleID, c.Taxa, c.SL, c.Count, 1 FROM c
-            WHERE c.SL = 0 AND NOT EXISTS (SELECT 1 FROM rng2 r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa)),
+  UNION ALL
+  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, CASE WHEN c.SL IS NULL THEN 'No fish caught' END, 1 FROM c
+  WHERE c.SL IS NULL
+     OR c.SL = 0 AND NOT EXISTS (SELECT 1 FROM com WHERE com.SampleID = c.SampleID AND com.Taxa = c.Taxa)
+  UNION ALL
+  SELECT SampleID, Taxa, note, Count, SL, CASE WHEN SL IS NULL THEN 'Unknown length' END, SizeGroup FROM cc
+  WHERE SampleID IN (SELECT SampleID FROM s)),
 agg AS (SELECT SampleID, Taxa, SizeGroup,
                CASE WHEN count(*) FILTER (WHERE SL <> 0 OR SL IS NULL) > 0
                     THEN COALESCE(sum(Count) FILTER (WHERE SL <> 0 OR SL IS NULL), 0.0) END AS TM,
                COALESCE(sum(Count), 0.0) AS TC
         FROM rows_ GROUP BY SampleID, Taxa, SizeGroup),
-ex AS (SELECT r.SampleID, r.Taxa, CASE WHEN a.TM IS NULL THEN NULL ELSE r.SL END AS Length,
+ex AS (SELECT r.SampleID, r.Taxa, r.note, CASE WHEN a.TM IS NULL THEN NULL ELSE r.SL END AS Length,
               CASE WHEN a.TM IS NULL OR a.TM = 0 THEN r.Count ELSE r.Count / a.TM * a.TC END AS Count,
-              CASE WHEN a.TM IS NULL THEN 'Unknown length' END AS Length_NA_flag
-       FROM rows_ r JOIN agg a ON r.SampleID = a.SampleID AND r.Taxa = a.Taxa AND r.SizeGroup = a.SizeGroup
+              CASE WHEN a.TM IS NULL THEN 'Unknown length' ELSE r.flag END AS Length_NA_flag
+       FROM rows_ r JOIN agg a ON r.SampleID = a.SampleID AND r.Taxa IS NOT DISTINCT FROM a.Taxa AND r.SizeGroup = a.SizeGroup
        WHERE (r.SL <> 0 OR r.SL IS NULL) OR a.TM IS NULL),
 d AS (SELECT 'Suisun' AS Source, s.Station, s.Latitude, s.Longitude, s.Date, s.Datetime, s.Depth, s.SampleID, s.Method,
              s.Tide, s.Sal_surf, s.Temp_surf, s.Secchi, s.Tow_duration, s.Tow_area,
-             regexp_replace(ex.Taxa, ' \(.*$', '') AS Taxa, ex.Length,
-             CASE WHEN ex.Count = 0 OR ex.Taxa IS NULL THEN NULL ELSE ex.Count END AS Count, ex.Length_NA_flag
-      FROM s LEFT JOIN ex ON s.SampleID = ex.SampleID),
-mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Depth, SampleID, Method, Tide, Sal_surf, Temp_surf,
-              Secchi, Tow_duration, Tow_area, Taxa, Length, Length_NA_flag,
-              CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM d GROUP BY ALL),
+             CASE WHEN ex.Count <> 0 THEN regexp_replace(ex.Taxa, ' \(.*$', '') END AS Taxa,
+             CASE WHEN ex.Count <> 0 AND ex.Taxa IS NOT NULL THEN ex.Length END AS Length,
+             CASE WHEN ex.Count <> 0 AND ex.Taxa IS NOT NULL THEN ex.Count END AS Count, ex.Length_NA_flag,
+             CASE WHEN ex.Count <> 0 AND ex.Taxa IS NOT NULL THEN ex.note END AS Notes_catch, s.Notes_tow
+      FROM s JOIN ex ON s.SampleID = ex.SampleID),
+mg AS (SELECT * EXCLUDE (Count), CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count FROM d GROUP BY ALL),
 v AS (SELECT SampleID, COALESCE(sum(Count), 0.0) > 0 AS valid FROM mg GROUP BY SampleID),
 f AS (SELECT DISTINCT mg.* EXCLUDE (Length_NA_flag), v.valid,
              CASE WHEN v.valid THEN mg.Length_NA_flag ELSE 'No fish caught' END AS Length_NA_flag
@@ -1673,5 +1701,5 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Tow_area * 1000000.0 + 0.5) / 1000000.0 AS Tow_area, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length,
        floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
-       Length_NA_flag
+       Length_NA_flag, Notes_catch, Notes_tow
 FROM f2"""

@@ -30,7 +30,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from shoal.operators.joins import join
 
@@ -38,33 +37,9 @@ from shoal.operators.joins import join
 UNID_BRAND = "Brand#1"
 
 
-# Schemas of the (read-only) driver tables, inferred once per path.
-_SCHEMAS: dict[str, StructType] = {}
-
-
-def read(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one driver table.
-
-    The schema is inferred on the first read of a path and reused after, so
-    later reads skip the footer-reading job that inference runs.
-
-    Large inputs split into many scan tasks by themselves.  ``spread=True``
-    is for CPU-heavy row work (regex over whole texts, time-zone maths): a
-    table stored as fewer splits than the session has cores (one file, one
-    row group) is then spread round-robin first, so that work is not
-    single-threaded.  It is a no-op on inputs that already have enough
-    splits; the split count comes from planning, no job runs.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if known is None:
-        _SCHEMAS[path] = df.schema
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Mapping, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoal.functions import exprs
@@ -28,7 +28,7 @@ Tables = Mapping[str, DataFrame]
 
 class SurveyResult(NamedTuple):
     dataset: DataFrame
-    measured_lengths: DataFrame
+    measured_lengths: DataFrame | None  #: none where counts are plus-count expansions
 
 
 # Tow direction labels per survey.
@@ -308,20 +308,28 @@ def sls(t: Tables, species: DataFrame) -> SurveyResult:
 
 def _plus_count_groups(d: DataFrame, code: str = "OrganismCode") -> DataFrame:
     """Untagged Chinook are grouped by race, each marked fish is its own
-    group (a hash of the row's natural key - never pooled), others none."""
-    mark = F.coalesce(F.col("MarkCode"), F.lit("None"))
+    group (a hash of the row's natural key - never pooled), others none; fish
+    without a mark code (null) are in no group."""
+    mark = F.col("MarkCode")
     tag = F.concat(F.lit("Tag "), F.xxhash64(*[F.col(c) for c in d.columns]).cast("string"))
     return d.withColumn("Group", F.when((mark == "None") & (F.col(code) == "CHN"), F.col("RaceByLength"))
                         .when(mark != "None", tag))
 
 
+def _either_date(c: str) -> F.Column:
+    """The two exports write year-month-day and month-day-year; other text
+    is null."""
+    text = F.col(c).cast("string")
+    return F.coalesce(F.try_to_timestamp(text, F.lit("MM-dd-yyyy")), text.try_cast("timestamp")).cast("date")
+
+
 def edsm(t: Tables, species: DataFrame) -> SurveyResult:
     """K8: Enhanced Delta Smelt Monitoring (S5 union of exports, F2, P17,
     P12, P6, A7, F9)."""
     d = t["EDSM"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
     d = d.select(
-        F.col("StationCode").alias("Station"), F.to_date("SampleDate").alias("Date"),
+        F.col("StationCode").alias("Station"), _either_date("SampleDate").alias("Date"),
         F.col("SampleTime").alias("Time"), "Tide", F.col("LongitudeStart").alias("Longitude"),
         F.col("LatitudeStart").alias("Latitude"), F.col("TowNumber").alias("Tow"),
         exprs.invalidate_effort("Volume", "FlowDebris", zero_is_null=True).alias("Tow_volume"),
@@ -329,7 +337,7 @@ def edsm(t: Tables, species: DataFrame) -> SurveyResult:
         F.col("TurbidityTop").alias("TurbidityNTU"), exprs.convert("Secchi", "m", "cm").alias("Secchi"),
         F.col("BottomDepth").alias("Depth"), F.col("SamplingDirection").alias("Tow_direction"),
         F.col("MethodCode").alias("Method"), "OrganismCode", F.col("ForkLength").alias("Length"),
-        "Count", "MarkCode", "RaceByLength")
+        "Count", F.coalesce("MarkCode", F.lit("None")).alias("MarkCode"), "RaceByLength")
     d = (d.withColumn("Source", F.lit("EDSM"))
          .withColumn("Datetime", exprs.compose_datetime("Date", "Time"))
          .withColumn("Conductivity", exprs.null_before("Conductivity", "Date", CONDUCTIVITY_CUTOFF)))
@@ -355,30 +363,20 @@ def edsm(t: Tables, species: DataFrame) -> SurveyResult:
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Depth", "SampleID",
             "Method", "Tide", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
             "Tow_direction", "Taxa", "Length", "Count", "Length_NA_flag"]
-    dataset = d.withColumn("Taxa", exprs.strip_lifestage("Taxa")).select(*cols)
-    ml = dataset.filter(F.col("Length").isNotNull()).select("SampleID", "Taxa", "Length", "Count")
-    return SurveyResult(dataset, ml)
-
-
-class NewSpeciesError(ValueError):
-    pass
+    return SurveyResult(d.withColumn("Taxa", exprs.strip_lifestage("Taxa")).select(*cols), None)
 
 
 def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyResult:
-    """K9: Delta Juvenile Fish Monitoring Program; stops on organism codes
-    the crosswalk does not know (Q15), except the empty-net code."""
-    from shoal.operators.quality import unknown_codes
+    """K9: Delta Juvenile Fish Monitoring Program.  When the plan runs it
+    stops on organism codes the crosswalk does not know (Q15), except the
+    empty-net code."""
     d = t["DJFMP"]
-    if check_species:
-        new = unknown_codes(d, species, "OrganismCode", "USFWS_Code", allowed=["NOFISH"])
-        if new.limit(1).count() > 0:
-            raise NewSpeciesError("new species codes; update the crosswalk")
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
     d = d.select(
         F.col("StationCode").alias("Station"), F.to_date("SampleDate").alias("Date"),
         F.col("SampleTime").alias("Time"), F.col("TowNumber"), F.col("WaterTemp").alias("Temp_surf"),
         F.col("Turbidity").alias("TurbidityNTU"), F.col("MethodCode").alias("Method"),
-        exprs.invalidate_effort("Volume", "FlowDebris").alias("Tow_volume"),
+        exprs.invalidate_effort("Volume", "FlowDebris", ("Y",)).alias("Tow_volume"),
         F.col("SeineDepth").alias("Depth"), F.col("SamplingDirection").alias("Tow_direction"),
         F.col("ForkLength").alias("Length"), F.col("SpecificConductance").alias("Conductivity"),
         exprs.convert("Secchi", "m", "cm").alias("Secchi"), "OrganismCode", "Count",
@@ -399,6 +397,11 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyRe
     d = joins.lookup(d.drop("Group"), t["DJFMP_stations"].withColumnRenamed("StationCode", "Station"),
                      ["Station"])
     d = joins.to_taxa(d, species, "OrganismCode", "USFWS_Code")
+    if check_species:
+        code = F.col("OrganismCode")
+        d = d.withColumn("Taxa", F.when(
+            F.col("Taxa").isNull() & code.isNotNull() & (code != "NOFISH"),
+            F.raise_error(F.concat(F.lit("new species code, update the crosswalk: "), code))).otherwise(F.col("Taxa")))
     d = d.withColumn("SampleID", exprs.sample_id(F.lit("DJFMP"), "SampleID"))
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Depth", "SampleID",
             "Method", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume", "Tow_direction",
@@ -407,8 +410,7 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyRe
     no_fish = F.coalesce(F.col("Length_NA_flag") == NO_FISH, F.lit(False))
     d = (d.withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag"))
          .withColumn("Taxa", F.when(no_fish, F.lit(None).cast("string")).otherwise(F.col("Taxa"))))
-    ml = d.filter(F.col("Length").isNotNull()).select("SampleID", "Taxa", "Length", "Count")
-    return SurveyResult(d, ml)
+    return SurveyResult(d, None)
 
 
 # -- K1 Bay Study ------------------------------------------------------------------------
@@ -436,7 +438,7 @@ def baystudy(t: Tables, species: DataFrame) -> SurveyResult:
     env = joins.join(bt, bs, ["Year", "Survey", "Station"], "left")
     env = (env.withColumn("Tide", F.coalesce("Tidetow", "Tidestation"))
            .withColumn("Datetime", exprs.compose_datetime("Date", "Time"))
-           .withColumn("SampleID", exprs.sample_id(F.lit("Bay Study"), "Year", "Survey", "Station", "Method")))
+           .withColumn("SampleID", exprs.sample_id(F.lit("Bay Study"), "Year", "Survey", "Station", "Method", "Tow", "Time")))
     env = joins.lookup(env, st, ["Station"])
     env = joins.join(env, t["SalinTemp"].select("Year", "Survey", "Station", "ECSurf", "TempSurf"),
                      ["Year", "Survey", "Station"], "left")
@@ -471,60 +473,126 @@ def baystudy(t: Tables, species: DataFrame) -> SurveyResult:
 
 # -- K2 Suisun ----------------------------------------------------------------------------
 
+# Suisun method, tide words and the codes of empty trawls.
+SUISUN_METHOD = ("OTR", "Otter trawl")
+SUISUN_TIDES = {"flood": "Flood", "ebb": "Ebb", "low": "Low Slack", "high": "High Slack",
+                "outgoing": "Ebb", "incoming": "Flood"}
+NO_CATCH, NO_TRAWL = "NOCATCH", "NOTRAWL"
+# Adult fish by age class.
+SUISUN_ADULTS = {"Age-2+": ["Ameiurus melas", "Morone saxatilis"],
+                 "Age-1+": ["Tridentiger bifasciatus", "Acanthogobius flavimanus"]}
+# Record fixes - one fish more at a sample and length, a length
+# known to be mistyped, a comment that cannot be read.
+SUISUN_ADD_FISH = [("{8327B645-BC36-4405-ADB3-C6561718A17B}", 87.0, 1.0)]
+SUISUN_MISTYPED = ("Pogonichthys macrolepidotus", 8)
+SUISUN_COMMENT = ("Suisun {490F4873-8947-4352-81C9-3AA475D5FEEE}", "Gobiidae", "larval")
+
+
+def _with_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Add the missing ones of optional columns as nulls."""
+    return df.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in df.columns})
+
+
+def _suisun_comments(t: Tables, species: DataFrame) -> DataFrame:
+    """Comments of unmeasured fish that say something about size: ``Ignore``d
+    ones left out, life stages harmonised (P34), missing bounds from the sizes
+    at age (J9)."""
+    com = _with_columns(t["comments"], {"CatchComments": "string", "Lifestage": "string", "Ignore": "int",
+                                        "Month": "int"})
+    com = com.filter(F.col("Ignore").isNull())
+    com = com.withColumn("Lifestage", exprs.harmonise_lifestage("Lifestage", "Taxa", SUISUN_ADULTS))
+    codes = species.select("Taxa", F.col("SMF_Code").alias("OrganismCode")).dropna().distinct()
+    com = joins.lookup(com, codes, ["Taxa"])
+    if "AgesBySizeMo" in t:
+        ages = t["AgesBySizeMo"].filter(F.col("Class").isNotNull()).withColumnRenamed("Class", "Lifestage")
+        com = joins.size_bounds(com, ages, ["Lifestage", "Month", "OrganismCode"])
+    return com.select("SampleID", "Taxa", "Count", "CatchComments", "Min_length", "Length", "Max_length")
+
+
 def suisun(t: Tables, species: DataFrame) -> SurveyResult:
-    """K2: Suisun Marsh survey (S2, A12 mean depth, P15 swept area, P32
-    record fixes, J8 size groups from translated catch comments, A9, F9).
+    """K2: Suisun Marsh otter trawls (S2, A12 mean depth, P15 swept area, P32
+    record fixes, P34 and J9 sizes from life stages, J8 size groups from
+    translated catch comments, A9, F9, F20).
 
     ``t["comments"]`` holds the translated comments of unmeasured fish:
-    SampleID, Taxa, Count, Min_length, Length, Max_length (null when absent).
+    SampleID, Taxa, Count, Min_length, Length, Max_length (null when absent),
+    and where known CatchComments, Lifestage, Month and Ignore.  A comment
+    with a bound is a size group of its own, with length null if nothing of
+    its taxon was measured in the sample; one with neither bound nor length
+    gives fish of unknown length.  Samples without a catch row, and rows of
+    trawls that were not made, are left out.
     """
+    spark = t["Sample"].sparkSession
     depth = mean_by(t["Depth"], ["SampleRowID"], "Depth")
     s = normalize_na(t["Sample"])
-    s = filters.keep_methods(s, "MethodCode", ["MWTR", "OTR"])
+    s = filters.keep_methods(s, "MethodCode", [SUISUN_METHOD[0]])
     s = s.select(
         "SampleRowID", F.col("StationCode").alias("Station"), F.to_date("SampleDate").alias("Date"),
         exprs.compose_datetime(F.to_date("SampleDate"), "SampleTime").alias("Datetime"),
-        recode("MethodCode", {"MWTR": "Midwater trawl", "OTR": "Otter trawl"}).alias("Method"),
-        recode("TideCode", {"flood": "Flood", "ebb": "Ebb", "low": "Low Slack", "high": "High Slack",
-                            "outgoing": "Ebb", "incoming": "Flood"}, default=None).alias("Tide"),
+        F.lit(SUISUN_METHOD[1]).alias("Method"), recode("TideCode", SUISUN_TIDES).alias("Tide"),
         F.col("WaterTemperature").alias("Temp_surf"), "Secchi", "SpecificConductance", "QADone",
         exprs.sample_id(F.lit("Suisun"), exprs.braced("SampleRowID")).alias("SampleID"))
+    c = normalize_na(t["Catch"])
+    c = c.withColumn("Count", F.when(F.col("OrganismCode") == NO_CATCH, F.lit(0.0)).otherwise(F.col("Count")))
+    c = c.filter(F.col("OrganismCode") != NO_TRAWL)
+    c = joins.to_taxa(c, species, "OrganismCode", "SMF_Code", distinct=True)
+    c = joins.join(c, s.select("SampleRowID", "SampleID", "QADone"), ["SampleRowID"], "inner")
+    c = joins.apply_patches(c, spark.createDataFrame(SUISUN_ADD_FISH, "SampleRowID string, StandardLength double, Count double"),
+                            ["SampleRowID", "StandardLength"], ["Count"], "add")
+    c = c.filter(~(~F.col("QADone") & (F.col("Taxa") == SUISUN_MISTYPED[0])
+                   & (F.col("StandardLength") == SUISUN_MISTYPED[1])))
+    unread = ((F.col("SampleID") == SUISUN_COMMENT[0]) & (F.col("Taxa") == SUISUN_COMMENT[1])
+              & (F.col("StandardLength") == 0))
+    c = c.select("SampleID", "Taxa", "Dead", "Count", F.when(F.col("Taxa").isNotNull(), F.col("StandardLength")).alias("StandardLength"),
+                 F.when(unread, F.lit(SUISUN_COMMENT[2])).otherwise(F.col("CatchComments")).alias("CatchComments"))
+    # size groups: comments with a bound define groups 2, 3, ... of their sample and taxon
+    key = ["SampleID", "Taxa"]
+    com = _suisun_comments(t, species)
+    has_bound = F.col("Min_length").isNotNull() | F.col("Max_length").isNotNull()
+    bounded = windows.numbered(com.filter(has_bound), ["Min_length", "Max_length", "Count", "Length", "CatchComments"],
+                               key, out="SizeGroup").withColumn("SizeGroup", F.col("SizeGroup") + 1)
+    measured = joins.assign_size_groups(c.filter(F.col("StandardLength") > 0), bounded, key, "StandardLength")
+    known = c.filter(F.col("StandardLength") > 0).select(*key).distinct().withColumn("_known", F.lit(True))
+    told = joins.join(bounded, known, key, "left").withColumn(
+        "StandardLength", F.coalesce("Length", F.when(F.col("_known"), F.lit(0.0))))
+    untold = com.filter(~has_bound).withColumn("SizeGroup", F.lit(1)).withColumn("StandardLength", F.col("Length"))
+    cols = [*key, "StandardLength", "Count", "SizeGroup", "CatchComments", "Dead", "_flag"]
+    unknown = F.when(F.col("StandardLength").isNull(), F.lit(UNKNOWN_LENGTH)).alias("_flag")
+    nothing = F.when(F.col("StandardLength").isNull(), F.lit(NO_FISH)).alias("_flag")
+    commented = told.select(*[x for x in cols[:6]], F.lit(None).cast("string").alias("Dead"), unknown).unionByName(
+        untold.select(*cols[:6], F.lit(None).cast("string").alias("Dead"), unknown))
+    commented = joins.semi(commented, s, ["SampleID"])
+    plain = c.filter(F.col("StandardLength").isNull() | (F.col("StandardLength") <= 0)).withColumn("SizeGroup", F.lit(1))
+    plain = (joins.anti(plain.filter(F.col("StandardLength") == 0), com, key)
+             .unionByName(plain.filter(F.col("StandardLength").isNull() | (F.col("StandardLength") < 0))))
+    rows = (measured.select(*cols[:7], F.lit(None).cast("string").alias("_flag"))
+            .unionByName(plain.select(*cols[:7], nothing)).unionByName(commented))
+    ex = expand.expand_size_groups(rows, [*key, "SizeGroup"], "StandardLength", "Count")
+    ex = ex.withColumn("Length_NA_flag", F.coalesce("Length_NA_flag", "_flag"))
+    ex = ex.withColumn("Count", F.when((F.col("Count") != 0) & F.col("Taxa").isNotNull(), F.col("Count")))
+    counted = F.col("Count").isNotNull()
+    ex = ex.select("SampleID", F.when(counted, F.col("Taxa")).alias("Taxa"),
+                   F.when(counted, F.col("StandardLength")).alias("Length"),
+                   F.when(counted, F.col("CatchComments")).alias("Notes_catch"), "Count", "Length_NA_flag")
     s = with_salinity(s, _ec("SpecificConductance"), "Sal_surf")
     s = joins.join(s, depth, ["SampleRowID"], "left")
     s = joins.lookup(s, t["StationsLookUp"], ["Station"])
-    eff = t["TrawlEffort"].select("SampleRowID", F.col("TowDuration").alias("Tow_duration"),
-                                  exprs.swept_area_duration("TowDuration").alias("Tow_area"))
-    s = joins.join(s, eff, ["SampleRowID"], "left")
-    c = normalize_na(t["Catch"])
-    c = joins.to_taxa(c, species, "OrganismCode", "SMF_Code", distinct=True)
-    c = joins.join(c, s.select("SampleRowID", "SampleID"), ["SampleRowID"], "inner")
-    # size groups: translated comments with a bound define groups 2, 3, ...
-    com = t["comments"]
-    bounded = com.filter(F.col("Min_length").isNotNull() | F.col("Max_length").isNotNull())
-    bounded = windows.numbered(bounded, ["Min_length", "Max_length", "Count"], ["SampleID", "Taxa"], out="SizeGroup")
-    bounded = bounded.withColumn("SizeGroup", F.col("SizeGroup") + 1)
-    measured = c.filter(F.col("StandardLength") > 0).select("SampleID", "Taxa", "StandardLength", "Count")
-    measured = joins.assign_size_groups(measured, bounded, ["SampleID", "Taxa"], "StandardLength")
-    unmeasured = bounded.select("SampleID", "Taxa", F.lit(0.0).alias("StandardLength"), "Count", "SizeGroup")
-    others = joins.anti(c.filter(F.col("StandardLength") == 0).select("SampleID", "Taxa", "StandardLength", "Count"),
-                        bounded, ["SampleID", "Taxa"]).withColumn("SizeGroup", F.lit(1))
-    rows = measured.unionByName(unmeasured).unionByName(others)
-    ex = expand.expand_size_groups(rows, ["SampleID", "Taxa", "SizeGroup"], "StandardLength", "Count")
-    d = joins.retain_samples(s, ex.drop("SizeGroup").withColumnRenamed("StandardLength", "Length"), ["SampleID"])
-    d = d.withColumn("Source", F.lit("Suisun"))
-    d = d.withColumn("Count", F.when((F.col("Count") == 0) | F.col("Taxa").isNull(), F.lit(None).cast("double"))
-                     .otherwise(F.col("Count")))
-    cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Depth", "SampleID",
-            "Method", "Tide", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area", "Taxa",
-            "Length", "Count", "Length_NA_flag"]
-    d = _finish(d, cols)
+    eff = _with_columns(t["TrawlEffort"], {"TrawlComments": "string"}).select(
+        "SampleRowID", F.col("TowDuration").alias("Tow_duration"),
+        exprs.swept_area_duration("TowDuration").alias("Tow_area"), F.col("TrawlComments").alias("Notes_tow"))
+    s = joins.join(s, eff, ["SampleRowID"], "left").withColumn("Source", F.lit("Suisun"))
+    d = joins.join(ex, s, ["SampleID"], "inner")
+    d = _finish(d, ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Depth", "SampleID",
+                    "Method", "Tide", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area", "Taxa",
+                    "Length", "Count", "Length_NA_flag", "Notes_catch", "Notes_tow"])
     d = windows.sample_has_catch(d, ["SampleID"], "Count", out="_valid")
     d = (d.withColumn("Length_NA_flag", F.when(F.col("_valid"), F.col("Length_NA_flag")).otherwise(F.lit(NO_FISH)))
          .distinct()
          .filter(~(F.col("_valid") & F.col("Count").isNull())).drop("_valid"))
     d = d.withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag"))
-    ml = measured.select("SampleID", exprs.strip_lifestage("Taxa").alias("Taxa"),
-                         F.col("StandardLength").alias("Length"), "Count")
+    ml = rows.filter(F.col("StandardLength") != 0).select(
+        "SampleID", exprs.strip_lifestage("Taxa").alias("Taxa"), "Dead",
+        F.col("StandardLength").alias("Length"), "Count")
     return SurveyResult(d, ml)
 
 
@@ -539,68 +607,114 @@ SALVAGE_EXCLUDED_CODES = [81]
 SALVAGE_METHODS = ["Normal count", "Second flush"]
 
 
-def salvage(t: Tables, species: DataFrame, no_sampling_patterns=(), exclusions: DataFrame | None = None,
-            imputed_samples=(), expected_distinct_loss: int | None = None) -> SurveyResult:
+# Patterns marking notes of periods with no fish sampling.
+NO_SAMPLING_PATTERNS = [
+    r"no\s*(count|cnt|fish\s*(count|cnt|salvage))",
+    r"(shut\s*down|shutdown|facilityshutdown)",
+    r"down\s*for\s*(maintenance|repairs)",
+    r"no\s*(pumping|water|flow|salvage|export|TFF.*salvage)",
+    r"(zero|0)\s*(count|slvg|export|flow|pumping|salvage|units|bapp)",
+    r"(power\s*outage|equipment\s*failure)",
+    r"stopped\s*pumping\s*water",
+    r"no\s+(fish\s+|10\s+(min(ute)?\.?\s+)?)?(count)",
+]
+# Times without sampling (station, from, to, and the count and
+# volume that must be zero, if they must), one sample without, and the sample
+# whose sampled minutes are imputed.
+SALVAGE_EXCLUSIONS = [("CVP Federal Facility", "2021-06-11", "2021-06-16", 0.0, 0.0),
+                      *(("SWP NA", day, day, None, None) for day in
+                        ("2022-05-17", "2022-05-18", "2022-05-19", "2022-06-07", "2022-06-29", "2022-06-30", "2022-07-01"))]
+SALVAGE_EXCLUDED_SAMPLES = ["Salvage 219623 1"]
+SALVAGE_IMPUTED_SAMPLES = [29724]
+
+
+def salvage(t: Tables, species: DataFrame, no_sampling_patterns=NO_SAMPLING_PATTERNS,
+            exclusions: DataFrame | None = None, excluded_samples=SALVAGE_EXCLUDED_SAMPLES,
+            imputed_samples=SALVAGE_IMPUTED_SAMPLES) -> SurveyResult:
     """Fish salvage at the export facilities (J6, F8, W2, A10, P19,
-    F19, P22, F6, F7, Q14)."""
-    j = joins.full_outer_chain([(t["Sample"], []), (t["Building"], ["SampleRowID"]),
-                                (t["Catch"], ["BuildingRowID"]), (t["Length"], ["CatchRowID"])])
-    j = joins.lookup(j, t["StudiesLookUp"], ["StudyRowID"])
-    j = joins.lookup(j, t["StationsLookUp"].withColumnRenamed("FacilityCode", "BuildingCode"), ["BuildingCode"])
-    j = filters.keep_methods(j, "Description", SALVAGE_METHODS)
-    j = filters.drop_totals(j, "SampleRowID", "OrganismCode", SALVAGE_TOTAL_CODES, SALVAGE_EXCLUDED_CODES)
+    F19, P22, F6, F7).
+
+    ``exclusions`` has Station, start, end, Count_is, Tow_volume_is (null:
+    any); by default the listed times.  Unmatched sides of the sample,
+    building, catch and length tables have no study description and would be
+    filtered out, so the chain starts from the samples.  Everything per
+    sample, building label or catch is a window partitioned by the sample
+    first: a sample's rows are few, and one exchange serves them all.
+    """
+    spark = t["Sample"].sparkSession
+    s = t["Sample"].select("SampleRowID", "SampleDate", "SampleTime", "StudyRowID", "AcreFeet", "MinutesPumping",
+                           "SampleTimeLength", "WaterTemperature", "SampleMethod", "Comments_Sample")
+    s = filters.keep_methods(joins.lookup(s, t["StudiesLookUp"].select("StudyRowID", "Description"), ["StudyRowID"]),
+                             "Description", SALVAGE_METHODS)
+    b = joins.lookup(t["Building"].select("BuildingRowID", "SampleRowID", "BuildingCode", "Location"),
+                     t["StationsLookUp"].select(F.col("FacilityCode").alias("BuildingCode"), "Comments_StationsLookUp"),
+                     ["BuildingCode"]).drop("BuildingCode")
+    c = t["Catch"].select("BuildingRowID", "OrganismCode", "Count", "CatchRowID")
+    c = joins.to_taxa(c, species, "OrganismCode", "Salvage_Code", exclude_pattern="Age", distinct=True)
+    fish = t["Length"].groupBy("CatchRowID", "ForkLength").agg(
+        strict_sum("LengthFrequency").alias("LengthFrequency"), F.sum("LengthFrequency").alias("_known"))
+    j = joins.join(joins.join(joins.join(s, b, ["SampleRowID"], "left"), c, ["BuildingRowID"], "left"),
+                   fish, ["CatchRowID"], "left")
     j = j.withColumn("Station", exprs.facility_station("SampleMethod", "Location", "Comments_StationsLookUp"))
     j = j.withColumn("Facility", exprs.extract_facility("Station"))
-    caught = j.groupBy("SampleRowID", "Station").agg(
-        ((F.coalesce(F.sum("LengthFrequency"), F.lit(0.0)) > 0) | (F.coalesce(F.sum("Count"), F.lit(0.0)) > 0))
-        .alias("FishCaught"))
-    j = joins.join(j, caught, ["SampleRowID", "Station"], "left")
-    j = windows.total_over(j, ["CatchRowID"], "LengthFrequency", "TotalMeasured")
-    j = joins.to_taxa(j, species, "OrganismCode", "Salvage_Code", exclude_pattern="Age", distinct=True)
-    keys = [c for c in j.columns if c not in ("LengthFrequency", "LengthRowID")]
-    j = j.groupBy(*keys).agg(strict_sum("LengthFrequency").alias("LengthFrequency"))
+
+    sample, building, catch = (Window.partitionBy("SampleRowID", *more) for more in ([], ["Station"], ["CatchRowID"]))
+    code = F.col("OrganismCode")
+    codes = F.size(F.collect_set(code).over(sample)) + F.max(F.when(code.isNull(), 1).otherwise(0)).over(sample)
+    crab = F.max(F.when(code.isin(SALVAGE_EXCLUDED_CODES), 1).otherwise(0)).over(sample)
+    j = j.withColumn("_codes", codes).withColumn("_crab", crab)
+    total = F.coalesce(code.isin(SALVAGE_TOTAL_CODES), F.lit(False))
+    j = j.filter(~(total & ((F.col("_codes") != 1) | (F.col("_crab") == 1)))
+                 & ~F.coalesce(code.isin(SALVAGE_EXCLUDED_CODES), F.lit(False)))
+    caught = ((F.coalesce(F.sum("_known").over(building), F.lit(0.0)) > 0)
+              | (F.coalesce(F.sum("Count").over(building), F.lit(0.0)) > 0))
+    j = (j.withColumn("FishCaught", caught)
+         .withColumn("TotalMeasured", F.coalesce(F.sum("_known").over(catch), F.lit(0.0))))
+    # fish that differ in nothing listed are added up
+    listed = ["SampleRowID", "Facility", "Station", "Location", "Comments_StationsLookUp", "SampleDate", "SampleTime",
+              "Description", "AcreFeet", "WaterTemperature", "CatchRowID", "Taxa", "TotalMeasured", "Count", "ForkLength",
+              "MinutesPumping", "SampleTimeLength", "FishCaught", "StudyRowID", "OrganismCode", "Comments_Sample"]
+    j = j.groupBy(*listed).agg(strict_sum("LengthFrequency").alias("LengthFrequency"))
     j = j.withColumn("Date", F.to_date("SampleDate"))
     # a malformed time parses to null, not an error
     local = F.concat_ws(" ", F.col("Date").cast("string"), F.substring("SampleTime", 1, 8)).try_cast("timestamp_ntz")
+    fac = F.col("Comments_StationsLookUp")
     j = (j.withColumn("_dt", local).withColumn("Datetime", exprs.fix_dst_gap(F.col("_dt"))).drop("_dt")
          .withColumn("Tow_volume", exprs.convert("AcreFeet", "acre_ft", "m3"))
          .withColumn("Temp_surf", exprs.convert("WaterTemperature", "F", "C"))
          .withColumn("Temp_surf", exprs.null_if("Temp_surf", F.col("Temp_surf") < 0))
-         .withColumn("Taxa", F.when(F.col("Taxa").isNotNull() & (F.col("FishCaught") != F.lit(True)),
-                                    F.lit(None).cast("string")).otherwise(F.col("Taxa")))
-         .withColumn("Length", F.when(F.col("ForkLength") == 0, F.lit(None).cast("double"))
-                     .otherwise(F.col("ForkLength"))))
+         .withColumn("Latitude", recode(fac, {k: v[0] for k, v in FACILITY_COORDS.items()}, default=None))
+         .withColumn("Longitude", recode(fac, {k: v[1] for k, v in FACILITY_COORDS.items()}, default=None))
+         .withColumn("Taxa", F.when(F.col("FishCaught"), F.col("Taxa")))
+         .withColumn("Length", F.when(F.col("ForkLength") != 0, F.col("ForkLength"))))
     imputed = F.col("SampleRowID").isin(list(imputed_samples)) if imputed_samples else None
     j = expand.expand_time(j, imputed=imputed)
-    j = j.withColumn("Length_NA_flag",
-                     F.when(F.coalesce(F.col("FishCaught") != F.lit(True), F.lit(False)), F.lit(NO_FISH))
+    j = j.withColumn("Length_NA_flag", F.when(~F.col("FishCaught"), F.lit(NO_FISH))
                      .when(F.col("Length").isNull() & (F.col("Count") > 0), F.lit(UNKNOWN_LENGTH)))
     j = filters.not_null(j, "Date")
-    j = filters.drop_partial_lengths(j, "CatchRowID", "LengthFrequency", "Length_NA_flag", "FishCaught")
-    ids = (j.select(F.lit("Salvage").alias("Source"), "Facility", F.col("Location").alias("Salvage_building"),
-                    "SampleRowID").distinct())
-    ids = windows.numbered(ids, [F.col("Salvage_building").asc_nulls_last()], ["Facility", "SampleRowID"])
-    ids = ids.withColumn("SampleID", exprs.sample_id("Source", "SampleRowID", "n")).drop("n")
-    j = joins.join(j.withColumnRenamed("Location", "Salvage_building").withColumn("Source", F.lit("Salvage")),
-                   ids, ["Source", "Facility", "Salvage_building", "SampleRowID"], "left")
+    # the one unmeasured row of a catch whose other rows are measured
+    unmeasured = F.col("LengthFrequency").isNull() | (F.col("LengthFrequency") == 0)
+    lone = F.sum(F.when(unmeasured & F.col("Length_NA_flag").isNull(), 1).otherwise(0)).over(catch) == 1
+    j = j.withColumn("_lone", lone & F.col("CatchRowID").isNotNull() & F.col("FishCaught"))
+    j = j.filter(~(F.col("_lone") & unmeasured))
+    number = F.dense_rank().over(Window.partitionBy("SampleRowID", "Facility").orderBy(F.col("Location").asc_nulls_last()))
+    j = j.withColumn("Source", F.lit("Salvage")).withColumn("n", number).withColumn(
+        "SampleID", exprs.sample_id("Source", "SampleRowID", "n"))
     ml = (j.filter(F.col("LengthFrequency").isNotNull())
           .select("SampleID", "Taxa", "Length", F.col("LengthFrequency").alias("Count")))
-    cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "SampleID",
-            F.col("Description").alias("Method"), "Tow_volume", "Temp_surf",
-            F.col("Comments_Sample").alias("Notes_tow"), "Taxa", "Length", "Count", "Length_NA_flag"]
-    fac = F.col("Comments_StationsLookUp")
-    before = (j.withColumn("Latitude", recode(fac, {k: v[0] for k, v in FACILITY_COORDS.items()}, default=None))
-              .withColumn("Longitude", recode(fac, {k: v[1] for k, v in FACILITY_COORDS.items()}, default=None)))
-    d = before.select(*cols).distinct()
-    if expected_distinct_loss is not None:
-        from shoal.operators.quality import assert_row_loss
-        assert_row_loss(before.select(*cols), d, expected_distinct_loss)
+    d = j.select("SampleRowID", "Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "SampleID",
+                 F.col("Description").alias("Method"), "Tow_volume", "Temp_surf",
+                 F.col("Comments_Sample").alias("Notes_tow"), "Taxa", "Length", "Count", "Length_NA_flag")
+    d = d.distinct().drop("SampleRowID")  # the id of the sample names it
     if no_sampling_patterns:
         d = filters.drop_no_sampling(d, "Notes_tow", list(no_sampling_patterns))
-    if exclusions is not None:
-        d = joins.exclude(d, exclusions, ["Station"], "Date",
-                          conditions=(F.col("Count") == 0) | F.col("Tow_volume").isNull() | (F.col("Tow_volume") == 0))
-    return SurveyResult(d, ml)
+    if excluded_samples:
+        d = d.filter(~F.col("SampleID").isin(list(excluded_samples)))
+    if exclusions is None:
+        exclusions = spark.createDataFrame(SALVAGE_EXCLUSIONS, "Station string, start string, end string, "
+                                                               "Count_is double, Tow_volume_is double").select(
+            "Station", F.to_date("start").alias("start"), F.to_date("end").alias("end"), "Count_is", "Tow_volume_is")
+    return SurveyResult(joins.exclude(d, exclusions, ["Station"], "Date"), ml)
 
 
 JOBS = {"Baystudy": baystudy, "Suisun": suisun, "FMWT": fmwt, "SKT": skt, "DJFMP": djfmp,

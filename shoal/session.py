@@ -8,8 +8,6 @@ from runtime sizes, with skewed partitions split.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 SURVEY_TZ = "America/Los_Angeles"
@@ -48,17 +46,6 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return configured or spark.sparkContext.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local
-    tests) fall back to a fresh scratch folder."""
-    existing = checkpoint_dir(spark)
-    if existing:
-        return existing
-    path = tempfile.mkdtemp(prefix="shoal-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir``.
 
@@ -67,7 +54,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint folder is configured rather than silently using local disk.
     """
     if not checkpoint_dir(df.sparkSession):
-        raise RuntimeError("spark.checkpoint.dir is not set; call "
-                           "ensure_checkpoint_dir() in tests or configure "
-                           "a shared folder on the cluster")
+        raise RuntimeError("spark.checkpoint.dir is not set; name a "
+                           "folder that driver and executors share")
     return df.checkpoint(eager=True)

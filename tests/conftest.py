@@ -1,11 +1,12 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shoal.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from shoal.session import build_session, checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,7 +16,8 @@ def spark():
         "spark.default.parallelism": "4",
     })
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    if not checkpoint_dir(s):  # tests only: one machine, so any folder is shared
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shoal-tests-"))
     yield s
 
 

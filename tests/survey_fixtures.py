@@ -202,22 +202,38 @@ def baystudy(spark):
 def suisun(spark):
     return {
         "Sample": spark.createDataFrame([
-            ("A1", "MWTR", "SU1", "2017-06-01", "08:00:00", True, 18.0, 40.0, 2000.0, "flood"),
+            ("A1", "OTR", "SU1", "2017-06-01", "08:00:00", True, 18.0, 40.0, 2000.0, "flood"),
             ("A2", "OTR", "SU2", "2017-06-02", "09:00:00", True, 19.0, 45.0, 1500.0, "NA"),
-            ("A3", "BSEIN", "SU2", "2017-06-03", "09:00:00", True, 19.0, 45.0, 1500.0, "ebb")],
+            ("A3", "BSEIN", "SU2", "2017-06-03", "09:00:00", True, 19.0, 45.0, 1500.0, "ebb"),
+            ("A4", "MWTR", "SU2", "2017-06-03", "09:00:00", True, 19.0, 45.0, 1500.0, "ebb"),
+            ("A5", "OTR", "SU2", "2017-06-04", "09:00:00", True, 19.0, 45.0, 1500.0, "slackish"),
+            ("A6", "OTR", "SU2", "2017-06-05", "09:00:00", True, 19.0, 45.0, 1500.0, "ebb"),
+            ("{B9}", "OTR", "SU2", "2017-06-06", "09:00:00", True, 19.0, 45.0, 1500.0, "ebb")],
             "SampleRowID string, MethodCode string, StationCode string, SampleDate string, SampleTime string, "
             "QADone boolean, WaterTemperature double, Secchi double, SpecificConductance double, TideCode string"),
         "Depth": spark.createDataFrame([("A1", 2.0), ("A1", 4.0)], "SampleRowID string, Depth double"),
         "StationsLookUp": spark.createDataFrame([("SU1", 38.2, -122.0), ("SU2", 38.21, -122.01)],
                                                 "Station string, Latitude double, Longitude double"),
-        "TrawlEffort": spark.createDataFrame([("A1", 5.0), ("A2", 10.0)], "SampleRowID string, TowDuration double"),
+        "TrawlEffort": spark.createDataFrame([("A1", 5.0, "fine"), ("A2", 10.0, None)],
+                                             "SampleRowID string, TowDuration double, TrawlComments string"),
+        # A2 an empty net, A5 a trawl not made, A6 without any catch row
         "Catch": spark.createDataFrame([
-            ("A1", "SB", 30.0, "N", 2.0, None), ("A1", "SB", 60.0, "N", 1.0, None), ("A1", "SB", 0.0, "N", 3.0, "<40mm"),
-            ("A1", "DS", 0.0, "N", 2.0, None)],
+            ("A1", "SB", 30.0, "N", 2.0, None), ("A1", "SB", 60.0, "Y", 1.0, None), ("A1", "SB", 0.0, "N", 3.0, "<40mm"),
+            ("A1", "DS", 0.0, "N", 2.0, None), ("A2", "NOCATCH", 0.0, None, None, None),
+            ("A4", "SB", 50.0, "N", 1.0, None), ("A5", "NOTRAWL", 0.0, None, 0.0, None),
+            ("{B9}", "SB", 60.0, "N", 1.0, None), ("{B9}", "SB", 0.0, "N", 4.0, "YOY"),
+            ("{B9}", "DS", 70.0, "N", 2.0, None), ("{B9}", "DS", 0.0, "N", 1.0, "YOY")],
             "SampleRowID string, OrganismCode string, StandardLength double, Dead string, Count double, CatchComments string"),
-        "comments": spark.createDataFrame([("Suisun {A1}", "Morone saxatilis (Age 0)", 3.0, None, None, 40.0)],
-                                          "SampleID string, Taxa string, Count double, Min_length double, "
-                                          "Length double, Max_length double"),
+        # a bound; a life stage without sizes; a life stage with sizes at age
+        "comments": spark.createDataFrame([
+            ("Suisun {A1}", "Morone saxatilis (Age 0)", 3.0, None, None, 40.0, "<40mm", None, 6, None),
+            ("Suisun {B9}", "Morone saxatilis (Age 0)", 4.0, None, None, None, "YOY", "YOY", 6, None),
+            ("Suisun {B9}", "Hypomesus transpacificus", 1.0, None, None, None, "YOY", "YOY", 6, None),
+            ("Suisun {B9}", "Hypomesus transpacificus", 9.0, None, None, 99.0, "with eggs", None, 6, 1)],
+            "SampleID string, Taxa string, Count double, Min_length double, Length double, Max_length double, "
+            "CatchComments string, Lifestage string, Month int, Ignore int"),
+        "AgesBySizeMo": spark.createDataFrame([("Age-0", 6, "DS", 10.0, 80.0), (None, 6, "SB", 10.0, 80.0)],
+                                              "Class string, Month int, OrganismCode string, Min double, Max double"),
     }
 
 

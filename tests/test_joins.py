@@ -70,10 +70,21 @@ def test_apply_patches_modes(spark):
     assert rows(joins.apply_patches(df, p, ["id"], ["v"], "drop")) == [(1, 5.0), (3, 7.0)]
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    plan_small = small.join(joins.bounded_broadcast(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
-    plan_big = big.join(joins.bounded_broadcast(big, 10), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    assert "BroadcastHashJoin" not in plan_big or "AdaptiveSparkPlan" in plan_big
+def test_exclusion_windows_with_values_of_their_own(spark):
+    """One window asks for a zero count and volume, the other for nothing."""
+    df = spark.createDataFrame([(1, "CVP", "2021-06-12", 0.0, 0.0), (2, "CVP", "2021-06-12", 0.0, 5.0),
+                                (3, "CVP", "2021-06-12", 3.0, 0.0), (4, "CVP", "2021-07-12", 0.0, 0.0),
+                                (5, "SWP", "2022-05-17", 3.0, 5.0), (6, "SWP", "2022-05-16", 0.0, 0.0),
+                                (7, "CVP", "2021-06-12", None, 0.0)],
+                               "id int, Station string, Date string, Count double, Volume double")
+    w = spark.createDataFrame([("CVP", "2021-06-11", "2021-06-16", 0.0, 0.0), ("SWP", "2022-05-17", "2022-05-17", None, None)],
+                              "Station string, start string, end string, Count_is double, Volume_is double")
+    assert sorted(r.id for r in joins.exclude(df, w, ["Station"], "Date").collect()) == [2, 3, 4, 6, 7]
+
+
+def test_size_groups_keep_repeated_fish_and_take_the_smallest_group(spark):
+    fish = spark.createDataFrame([("a", 10.0), ("a", 10.0), ("a", 40.0), ("b", 10.0), (None, 10.0)], "k string, len double")
+    rng = spark.createDataFrame([("a", None, 20.0, 3), ("a", 5.0, None, 2), ("b", 20.0, None, 2), (None, None, 50.0, 4)],
+                                "k string, Min_length double, Max_length double, SizeGroup int")
+    out = joins.assign_size_groups(fish, rng, ["k"], "len")
+    assert rows(out, "k", "len", "SizeGroup") == [(None, 10.0, 4), ("a", 10.0, 2), ("a", 10.0, 2), ("a", 40.0, 2), ("b", 10.0, 1)]

@@ -126,8 +126,8 @@ def test_djfmp(spark, species):
 def test_djfmp_new_species_stops(spark, species):
     t = fx.djfmp(spark)
     t["DJFMP"] = t["DJFMP"].withColumn("OrganismCode", F.lit("ZZZ"))
-    with pytest.raises(surveys.NewSpeciesError):
-        surveys.djfmp(t, species)
+    with pytest.raises(Exception, match="new species code"):
+        surveys.djfmp(t, species).dataset.collect()
 
 
 def test_baystudy(spark, species):
@@ -135,10 +135,10 @@ def test_baystudy(spark, species):
     d = res.dataset
     got = by(d, "SampleID", "Taxa", "Length", "Count", "Length_NA_flag")
     # (3 measured + 1 plus) x 4/2 = 8 caught, spread 1:2 over the lengths
-    mid = "Bay Study 2019 3 101 Midwater trawl"
+    mid = next(r[0] for r in got if r[0].startswith("Bay Study 2019 3 101 Midwater trawl 1 2019-03-12"))
     assert (mid, "Hypomesus transpacificus", 40.0, pytest.approx(8 / 3), None) in got
     assert (mid, "Hypomesus transpacificus", 50.0, pytest.approx(16 / 3), None) in got
-    assert ("Bay Study 2019 3 101 Otter trawl", None, None, 0.0, NO_FISH) in got
+    assert [r[1:] for r in got if r[0].startswith("Bay Study 2019 3 101 Otter trawl ")] == [(None, None, 0.0, NO_FISH)]
     assert not [r for r in got if "211" in r[0]]                            # invalid tow, EL net
     coords = d.filter(F.col("SampleID") == mid).select("Latitude", "Longitude", "Tide", "Tow_volume").first()
     assert coords.Latitude == pytest.approx(37 + 50 / 60) and coords.Longitude == pytest.approx(-122 - 25 / 60)
@@ -148,14 +148,25 @@ def test_baystudy(spark, species):
 
 
 def test_suisun(spark, species):
-    d = surveys.suisun(fx.suisun(spark), species).dataset
+    res = surveys.suisun(fx.suisun(spark), species)
+    d = res.dataset
     got = by(d, "SampleID", "Taxa", "Length", "Count", "Length_NA_flag")
     # "<40mm": 3 unmeasured join the 30 mm fish in size group 2 -> 2 * 5/2
     assert ("Suisun {A1}", "Morone saxatilis", 30.0, 5.0, None) in got
     assert ("Suisun {A1}", "Morone saxatilis", 60.0, 1.0, None) in got
     assert ("Suisun {A1}", "Hypomesus transpacificus", None, 2.0, UNKNOWN_LENGTH) in got
     assert ("Suisun {A2}", None, None, 0.0, NO_FISH) in got
-    assert not [r for r in got if r[0] == "Suisun {A3}"]
+    # no seine, no midwater trawl, no trawl that was not made, none without a catch row
+    assert {r[0] for r in got} == {"Suisun {A1}", "Suisun {A2}", "Suisun {B9}"}
+    assert {r.Method for r in d.collect()} == {"Otter trawl"}
+    # "YOY" fish without sizes are not spread over the 60 mm one; with sizes they join the 70 mm ones
+    assert ("Suisun {B9}", "Morone saxatilis", 60.0, 1.0, None) in got
+    assert ("Suisun {B9}", "Morone saxatilis", None, 4.0, UNKNOWN_LENGTH) in got
+    assert ("Suisun {B9}", "Hypomesus transpacificus", 70.0, 3.0, None) in got
+    assert {r.Notes_tow for r in d.filter(F.col("SampleID") == "Suisun {A1}").collect()} == {"fine"}
+    assert d.filter("Length_NA_flag = 'Unknown length' and SampleID like '%B9%'").first().Notes_catch == "YOY"
+    assert sorted((r.Length, r.Dead) for r in res.measured_lengths.filter("SampleID = 'Suisun {A1}'").collect()) == [
+        (30.0, "N"), (60.0, "Y")]
     a1 = d.filter(F.col("SampleID") == "Suisun {A1}").first()
     assert a1.Depth == 3.0 and a1.Tow_area == pytest.approx(5 / 60 * 4000 * 4.3 * 0.7)
     check_flags(d)
