@@ -886,7 +886,7 @@ def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
     A11, S2) on the driver tables in the FMWT roles."""
     tables, species = fmwt_tables(spark, d)
     ds = surveys.fmwt(tables, species).dataset
-    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "TurbidityNTU", "Secchi",
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi",
            "Tow_volume", "Cable_length", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
@@ -986,7 +986,7 @@ def stn_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     = tow number = meter serial), (tow, brand) pairs are catches (catch =
     lines with discount >= 0.05, so some are zero and some smaller than the
     number measured), lines are measured fish (line 1 unmeasured).  Meter
-    calibrations exist only for (ship year, serial) pairs of finished lines."""
+    calibrations of open lines are filed twenty years late."""
     o = roles.read(spark, d, "orders")
     c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     sample = o.join(c, o.o_custkey == c.c_custkey).select(
@@ -1010,8 +1010,7 @@ def stn_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     stations = n.select(F.col("n_nationkey").alias("StationCode"), F.lit(38).alias("LatD"),
                         F.col("n_nationkey").alias("LatM"), F.lit(0.0).alias("LatS"), F.lit(121).alias("LonD"),
                         (F.col("n_regionkey") * 10).alias("LonM"), F.lit(30.0).alias("LonS"))
-    corr = (li.filter(F.col("l_linestatus") == "F")
-            .groupBy(F.year("l_shipdate").alias("StudyYear"), F.col("flag_no").alias("MeterSerial"))
+    corr = (li.groupBy((F.year("l_shipdate") + F.when(F.col("l_linestatus") == "F", 0).otherwise(20)).alias("StudyYear"), F.col("flag_no").alias("MeterSerial"))
             .agg((F.avg("l_discount") + 0.01).alias("kFactor")))
     ln = roles.lines(spark, d)
     ln = ln.withColumn("CatchRowID", (F.col("SampleID") * 10 + F.when(F.col("returnflag") == "A", 1)
@@ -1117,8 +1116,8 @@ def q_baystudy_job(spark: SparkSession, d: str) -> DataFrame:
 def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """The SLS database played by the driver tables: a (order date, customer
     nation) pair is a station visit, the order priority number is the tow;
-    water data exist only for nations below 20 (so the full outer chain keeps
-    tows without water data); the meter corrections come twice, as the
+    water data of nations from 20 on carry other station numbers (so the full
+    outer chain keeps tows without water data, and water data without tows); the meter corrections come twice, as the
     source's duplicated rows do; lines are measured fish except line 1."""
     o = roles.read(spark, d, "orders")
     c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -1126,19 +1125,24 @@ def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
         F.to_date("o_orderdate").alias("Date"), F.col("c_nationkey").alias("Station"), "o_orderkey", "o_totalprice",
         "o_orderstatus", "c_acctbal", F.substring("o_orderpriority", 1, 1).cast("int").alias("Tow"),
         F.month("o_orderdate").alias("Survey"))
-    water = (oc.filter(F.col("Station") < 20).groupBy("Date", "Station").agg(
+    # water data of nations from 20 on are filed under stations of their own
+    at = F.when(F.col("Station") < 20, F.col("Station")).otherwise(F.col("Station") + 100)
+    water = (oc.withColumn("Station", at).groupBy("Date", "Station").agg(
         (F.avg("o_totalprice") / 10).alias("TopEC"), (F.avg("o_totalprice") / 8).alias("BottomEC"),
         (F.avg(F.abs(F.col("c_acctbal"))) / 300).alias("TopTemp"), F.lit(50.0).alias("Secchi"),
+        F.min("Survey").alias("NTU"), (F.min("Survey") + 1).alias("FNU"),
         F.when(F.min("o_orderstatus") == "F", F.lit("calm")).alias("Comments")))
     tow = oc.groupBy("Date", "Station", "Tow").agg(
         F.min("Survey").alias("Survey"),
         F.concat_ws(":", F.lpad((F.min("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("15"), F.lit("00")).alias("Time"),
         ((F.col("Tow") % 4) + 1).alias("Tide"), (F.avg("c_acctbal") / 100).alias("BottomDepth"),
         F.col("Tow").alias("NetMeterSerial"), (F.sum("o_totalprice") / 10).alias("NetMeterCheck"),
+        F.lit(100.0).alias("CableOut"), (F.col("Tow") * 2.5).alias("Duration"),
         F.when(F.count(F.lit(1)) > 1, F.lit("several")).alias("Comments"))
     li = roles.read(spark, d, "lineitem")
     corr = li.groupBy(F.year("l_shipdate").alias("StudyYear"), F.col("l_linenumber").alias("MeterSerial")).agg(
-        (F.avg("l_discount") + 0.01).alias("kfactor"))
+        (F.avg("l_discount") + 0.01).alias("kfactor"),
+        F.concat(F.lit("meter "), F.min("l_linenumber").cast("string")).alias("Notes"))
     ln = joins.join(roles.lines(spark, d), oc.select(F.col("o_orderkey").alias("SampleID"), "Date", "Station", "Tow"),
                     ["SampleID"], "inner", null_safe=False).withColumn("FishCode", _brand_no("brand"))
     catch = ln.groupBy("Date", "Station", "Tow", "FishCode").agg(
@@ -1162,7 +1166,7 @@ def q_sls_job(spark: SparkSession, d: str) -> DataFrame:
     tables, species = sls_tables(spark, d)
     ds = surveys.sls(tables, species).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "Secchi", "Tow_volume",
-           "Length", "Count"]
+           "Cable_length", "Tow_duration", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
 
@@ -1228,7 +1232,7 @@ def tmm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     """The 20mm database played by the driver tables: a survey is an order
     month, a station a (month, customer nation) pair, a tow an order, and
     each tow has the fish net (gear 2) and another gear (1, filtered out);
-    meter calibrations come from returned lines only, so some (year, meter)
+    half of the meters are calibrated in other years, so their (year, meter)
     pairs fall back to the meter's mean; (order, brand) pairs are fish
     samples (catch = lines with discount >= 0.05), lines are fish whose
     length is missing on line 1."""
@@ -1243,7 +1247,8 @@ def tmm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
         (F.avg("c_acctbal") / 100).alias("BottomDepth"))
     station = station.select((F.col("SurveyID") * 100 + F.col("c_nationkey")).alias("StationID"), "SurveyID",
                              F.col("c_nationkey").alias("Station"), "Temp", "TopEC", "BottomDepth",
-                             F.lit(30.0).alias("Secchi"), ((F.col("c_nationkey") % 4) + 1).alias("Tide"))
+                             F.lit(30.0).alias("Secchi"), (F.col("c_nationkey") * 0.5).alias("NTU"),
+                             (F.col("c_nationkey") * 0.25).alias("FNU"), ((F.col("c_nationkey") % 4) + 1).alias("Tide"))
     tow = oc.select(F.col("o_orderkey").alias("TowID"), (F.col("SurveyID") * 100 + F.col("c_nationkey")).alias("StationID"),
                     F.substring("o_orderpriority", 1, 1).cast("int").alias("TowNum"),
                     F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit("20"),
@@ -1260,8 +1265,9 @@ def tmm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
                         F.lit(30.0).alias("LatS"), F.lit(121).alias("LonD"), (F.col("n_regionkey") * 7).alias("LonM"),
                         F.lit(0.0).alias("LonS"))
     li = roles.read(spark, d, "lineitem")
-    corr = (li.filter(F.col("l_returnflag") == "R")
-            .groupBy(F.year("l_shipdate").alias("StudyYear"), (F.col("l_linenumber") - 1).alias("MeterSerial"))
+    # even meters' calibrations are filed twenty years late
+    late = F.when(F.col("l_linenumber") % 2 == 0, 20).otherwise(0)
+    corr = (li.groupBy((F.year("l_shipdate") + late).alias("StudyYear"), (F.col("l_linenumber") - 1).alias("MeterSerial"))
             .agg((F.avg("l_discount") + 0.01).alias("kFactor")))
     ln = roles.lines(spark, d).withColumn("FishCode", _brand_no("brand"))
     fish_sample = ln.groupBy("SampleID", "FishCode").agg(
@@ -1284,7 +1290,7 @@ def q_tmm_job(spark: SparkSession, d: str) -> DataFrame:
     J7, P25, P26, A11) on the driver tables in the 20mm roles."""
     tables, species = tmm_tables(spark, d)
     ds = surveys.tmm(tables, species).dataset
-    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "Secchi", "Tow_volume", "Cable_length",
+    dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "TurbidityFNU", "Secchi", "Tow_volume", "Cable_length",
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])

@@ -815,17 +815,17 @@ d1 AS (SELECT s.*, cl.Taxa, cl.ForkLength AS Length, cl.Count,
                    WHEN cl.ForkLength IS NULL THEN 'Unknown length' END AS flag
        FROM s LEFT JOIN cl ON s.SampleRowID = cl.SampleRowID),
 d2 AS (SELECT 'FMWT' AS Source, Station, Latitude, Longitude, Date, dt AS Datetime, Survey, Depth,
-              'FMWT ' || CAST(SampleRowID AS VARCHAR) AS SampleID, 'Midwater trawl' AS Method, Tide, Sal_surf, Sal_bot,
+              'FMWT ' || CAST(SampleRowID AS VARCHAR) AS SampleID, 'Midwater trawl' AS Method, Tide, Sal_surf,
               Temp_surf, TurbidityNTU, Secchi, Secchi_estimated, Tow_volume, Tow_direction, Cable_length,
               regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
               CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d1),
 mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
-              Sal_bot, Temp_surf, TurbidityNTU, Secchi, Secchi_estimated, Tow_volume, Tow_direction, Cable_length,
+              Temp_surf, TurbidityNTU, Secchi, Secchi_estimated, Tow_volume, Tow_direction, Cable_length,
               Taxa, Length, Length_NA_flag, CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
        FROM d2 GROUP BY ALL)
 SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude, floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date,
        CAST(Datetime AS VARCHAR) AS Datetime, Survey, floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
-       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Sal_bot * 1000000.0 + 0.5) / 1000000.0 AS Sal_bot, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
+       floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
        floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU, floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, Secchi_estimated,
        floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Tow_direction, floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count, Length_NA_flag
@@ -996,8 +996,9 @@ tow AS (SELECT l_orderkey * 10 + flag_no AS TowRowID, l_orderkey AS SampleRowID,
         FROM li GROUP BY l_orderkey, flag_no),
 st AS (SELECT n_nationkey AS StationCode, 38 AS LatD, n_nationkey AS LatM, 0.0::DOUBLE AS LatS, 121 AS LonD,
               n_regionkey * 10 AS LonM, 30.0::DOUBLE AS LonS FROM nation),
-corr AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS Year, flag_no AS MeterSerial, avg(l_discount) + 0.01 AS k
-         FROM li WHERE l_linestatus = 'F' GROUP BY 1, 2),
+corr AS (SELECT CAST(year(l_shipdate) + CASE WHEN l_linestatus = 'F' THEN 0 ELSE 20 END AS INTEGER) AS Year,
+                flag_no AS MeterSerial, avg(l_discount) + 0.01 AS k
+         FROM li GROUP BY 1, 2),
 s1 AS (SELECT smp.*, tow.TowRowID, tow.TowNumber, tow.TimeStart, tow.MeterSerial, tow.MeterIn, tow.MeterOut,
               tow.CableOut, tow.TowDirection, st.LatD, st.LatM, st.LatS, st.LonD, st.LonM, st.LonS,
               CAST(year(smp.SampleDate) AS INTEGER) AS Year
@@ -1175,12 +1176,13 @@ SQL["sls_job"] = r"""WITH oc AS (
   SELECT CAST(o.o_orderdate AS DATE) AS Date, c.c_nationkey AS Station, o.o_orderkey, o.o_totalprice, o.o_orderstatus,
          c.c_acctbal, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS Tow, CAST(month(o.o_orderdate) AS INTEGER) AS Survey
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-water AS (SELECT Date, Station, avg(o_totalprice) / 10 AS TopEC, avg(o_totalprice) / 8 AS BottomEC,
-                 round_even(avg(abs(c_acctbal)) / 300, 2) AS Temp_surf, 50.0::DOUBLE AS Secchi,
-                 CASE WHEN min(o_orderstatus) = 'F' THEN 'calm' END AS Notes_env
-          FROM oc WHERE Station < 20 GROUP BY Date, Station),
+water AS (SELECT Date, CASE WHEN Station < 20 THEN Station ELSE Station + 100 END AS Station, avg(o_totalprice) / 10 AS TopEC, avg(o_totalprice) / 8 AS BottomEC,
+                 round_even(avg(abs(c_acctbal)) / 300, 2) AS Temp_surf, 50.0::DOUBLE * 0.01::DOUBLE AS Secchi,
+                 min(Survey) AS NTU, min(Survey) + 1 AS FNU, CASE WHEN min(o_orderstatus) = 'F' THEN 'calm' END AS Notes_env
+          FROM oc GROUP BY 1, 2),
 corr AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS StudyYear, l_linenumber AS NetMeterSerial,
-                avg(l_discount) + 0.01 AS kfactor FROM lineitem GROUP BY 1, 2),
+                avg(l_discount) + 0.01 AS kfactor,
+                'meter ' || CAST(min(l_linenumber) AS VARCHAR) AS Notes_flowmeter FROM lineitem GROUP BY 1, 2),
 tow0 AS (SELECT Date, Station, Tow, min(Survey) AS Survey, min(o_orderkey) % 24 AS h,
                 (Tow % 4) + 1 AS TideCode, avg(c_acctbal) / 100 AS BottomDepth, Tow AS NetMeterSerial,
                 sum(o_totalprice) / 10 AS NetMeterCheck, CASE WHEN count(*) > 1 THEN 'several' END AS Notes_tow
@@ -1190,7 +1192,7 @@ tow AS (SELECT t.Date, t.Station, t.Tow, t.Survey, make_timestamp(year(t.Date),
                CASE t.TideCode WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END
                  AS Tide,
                t.BottomDepth * 0.3048::DOUBLE AS Depth, t.NetMeterCheck * c.kfactor * 0.37::DOUBLE AS Tow_volume,
-               t.Notes_tow
+               t.Notes_tow, 100.0::DOUBLE * 0.3048::DOUBLE AS Cable_length, t.Tow * 2.5::DOUBLE AS Tow_duration, c.Notes_flowmeter
         FROM tow0 t LEFT JOIN corr c ON CAST(year(t.Date) AS INTEGER) = c.StudyYear AND t.NetMeterSerial = c.NetMeterSerial),
 ln AS (SELECT oc.Date, oc.Station, oc.Tow, CAST(regexp_extract(p.p_brand, '#(\d+)', 1) AS INTEGER) AS FishCode,
               l.l_quantity, l.l_discount, l.l_linenumber
@@ -1207,8 +1209,8 @@ sal AS (SELECT Date, Station, max(CASE WHEN w = 'top' THEN sal END) AS Sal_surf,
                max(CASE WHEN w = 'bot' THEN sal END) AS Sal_bot FROM sh GROUP BY Date, Station),
 w2 AS (SELECT water.*, sal.Sal_surf, sal.Sal_bot FROM water JOIN sal ON water.Date = sal.Date AND water.Station = sal.Station),
 c1 AS (SELECT COALESCE(w2.Date, tow.Date) AS Date, COALESCE(w2.Station, tow.Station) AS Station,
-              w2.Temp_surf, w2.Secchi, w2.Notes_env, w2.Sal_surf, w2.Sal_bot,
-              tow.Tow, tow.Survey, tow.Datetime, tow.Tide, tow.Depth, tow.Tow_volume, tow.Notes_tow
+              w2.Temp_surf, w2.Secchi, w2.Notes_env, w2.Sal_surf, w2.Sal_bot, w2.NTU, w2.FNU,
+              tow.Tow, tow.Survey, tow.Datetime, tow.Tide, tow.Depth, tow.Tow_volume, tow.Notes_tow, tow.Cable_length, tow.Tow_duration, tow.Notes_flowmeter
        FROM w2 FULL JOIN tow ON w2.Date IS NOT DISTINCT FROM tow.Date AND w2.Station IS NOT DISTINCT FROM tow.Station),
 c2 AS (SELECT COALESCE(c1.Date, cat.Date) AS Date, COALESCE(c1.Station, cat.Station) AS Station,
               COALESCE(c1.Tow, cat.Tow) AS Tow, c1.* EXCLUDE (Date, Station, Tow), cat.FishCode, cat.Catch
@@ -1235,11 +1237,13 @@ c5 AS (SELECT *, CASE WHEN Cnt IS NULL THEN 'No fish caught' WHEN Length IS NULL
 d2 AS (SELECT 'SLS' AS Source, CAST(Station AS VARCHAR) AS Station, Latitude, Longitude, Date, Datetime, Survey, Depth,
               concat_ws(' ', 'SLS', COALESCE(CAST(Date AS VARCHAR), 'NA'), COALESCE(CAST(Station AS VARCHAR), 'NA'),
                         COALESCE(CAST(Tow AS VARCHAR), 'NA')) AS SampleID,
-              'Oblique tow' AS Method, Tide, Sal_surf, Sal_bot, Temp_surf, Secchi, Tow_volume, Notes AS Notes_tow,
+              'Oblique tow' AS Method, Tide, Sal_surf, Sal_bot, Temp_surf, Secchi, NTU AS TurbidityNTU, FNU AS TurbidityFNU,
+              Tow_volume, Cable_length, Tow_duration, Notes AS Notes_tow, Notes_flowmeter,
               regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
               CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Cnt END AS Count, flag AS Length_NA_flag FROM c5),
 mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
-              Sal_bot, Temp_surf, Secchi, Tow_volume, Notes_tow, Taxa, Length, Length_NA_flag,
+              Sal_bot, Temp_surf, Secchi, TurbidityNTU, TurbidityFNU, Tow_volume, Cable_length, Tow_duration, Notes_tow,
+              Notes_flowmeter, Taxa, Length, Length_NA_flag,
               CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
        FROM d2 GROUP BY ALL)
 SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
@@ -1247,7 +1251,9 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
        floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Sal_bot * 1000000.0 + 0.5) / 1000000.0 AS Sal_bot,
        floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf, floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi,
-       floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume, Notes_tow, Taxa,
+       TurbidityNTU, TurbidityFNU, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, floor(Tow_duration * 1000000.0 + 0.5) / 1000000.0 AS Tow_duration,
+       Notes_tow, Notes_flowmeter, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag
 FROM mg"""
@@ -1332,18 +1338,18 @@ sv AS (SELECT SurveyID, min(o_orderdate) AS SampleDate, min(CAST(month(o_orderda
        FROM oc GROUP BY SurveyID),
 stn AS (SELECT SurveyID * 100 + c_nationkey AS StationID, SurveyID, c_nationkey AS Station,
                avg(abs(c_acctbal)) / 400 AS Temp, avg(o_totalprice) / 10 AS TopEC, avg(c_acctbal) / 100 AS BottomDepth,
-               30.0::DOUBLE AS Secchi, (c_nationkey % 4) + 1 AS Tide
+               30.0::DOUBLE AS Secchi, c_nationkey * 0.5::DOUBLE AS NTU, c_nationkey * 0.25::DOUBLE AS FNU, (c_nationkey % 4) + 1 AS Tide
         FROM oc GROUP BY SurveyID, c_nationkey),
 tw AS (SELECT o_orderkey AS TowID, SurveyID * 100 + c_nationkey AS StationID, o_orderkey % 24 AS h FROM oc),
 gear AS (SELECT o_orderkey * 10 + 2 AS GearID, o_orderkey AS TowID, 2 AS GearCode,
                 CAST(o_orderkey % 7 AS INTEGER) AS MeterSerial, o_totalprice / 100 AS MeterCheck FROM orders
          UNION ALL SELECT o_orderkey * 10 + 1, o_orderkey, 1, CAST(o_orderkey % 7 AS INTEGER), 1.0::DOUBLE FROM orders),
-corr AS (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS StudyYear, l_linenumber - 1 AS MeterSerial,
-                avg(l_discount) + 0.01 AS kFactor FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2),
+corr AS (SELECT DISTINCT CAST(year(l_shipdate) + CASE WHEN l_linenumber % 2 = 0 THEN 20 ELSE 0 END AS INTEGER) AS StudyYear, l_linenumber - 1 AS MeterSerial,
+                avg(l_discount) + 0.01 AS kFactor FROM lineitem GROUP BY 1, 2),
 kavg AS (SELECT MeterSerial, avg(kFactor) AS kavg FROM corr GROUP BY MeterSerial),
 ms AS (SELECT n_nationkey AS Station, 38 AS LatD, n_nationkey AS LatM, 30.0::DOUBLE AS LatS, 121 AS LonD,
               n_regionkey * 7 AS LonM, 0.0::DOUBLE AS LonS FROM nation),
-s AS (SELECT g.GearID, g.MeterCheck, t.h, st.Station, st.Temp, st.TopEC, st.BottomDepth, st.Secchi, st.Tide,
+s AS (SELECT g.GearID, g.MeterCheck, t.h, st.Station, st.Temp, st.TopEC, st.BottomDepth, st.Secchi, st.Tide, st.NTU, st.FNU,
              sv.SampleDate, sv.Survey, COALESCE(cy.kFactor, ka.kavg) AS k,
              ms.LatD, ms.LatM, ms.LatS, ms.LonD, ms.LonM, ms.LonS
       FROM sv JOIN stn st ON sv.SurveyID = st.SurveyID JOIN tw t ON st.StationID = t.StationID
@@ -1360,7 +1366,7 @@ s3 AS (SELECT GearID, '20mm' AS Source, CAST(Station AS VARCHAR) AS Station,
               Survey, BottomDepth * 0.3048::DOUBLE AS Depth, '20mm ' || CAST(GearID AS VARCHAR) AS SampleID,
               '20mm net' AS Method,
               CASE Tide WHEN 1 THEN 'High Slack' WHEN 2 THEN 'Ebb' WHEN 3 THEN 'Low Slack' WHEN 4 THEN 'Flood' END AS Tide,
-              Temp AS Temp_surf, TopEC * 0.001::DOUBLE AS C, Secchi, MeterCheck * k * 1.51::DOUBLE AS Tow_volume,
+              Temp AS Temp_surf, NTU AS TurbidityNTU, FNU AS TurbidityFNU, CAST(NULL AS VARCHAR) AS Tow_direction, TopEC * 0.001::DOUBLE AS C, Secchi, MeterCheck * k * 1.51::DOUBLE AS Tow_volume,
               50.0::DOUBLE * 0.3048::DOUBLE AS Cable_length
        FROM s),
 sal_in AS (SELECT GearID, C FROM s3),
@@ -1389,17 +1395,18 @@ d AS (SELECT s3.*, sh.sal AS Sal_surf, cl.Taxa, cl.Length, cl.Catch, cl.Count,
              CASE WHEN cl.Catch IS NULL THEN 'No fish caught' ELSE cl.fl END AS flag
       FROM s3 JOIN sh ON s3.GearID = sh.GearID LEFT JOIN cl ON s3.GearID = cl.GearID),
 d2 AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
-              Temp_surf, Secchi, Tow_volume, Cable_length, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
+              Temp_surf, TurbidityNTU, TurbidityFNU, Tow_direction, Secchi, Tow_volume, Cable_length, regexp_replace(Taxa, ' \(.*$', '') AS Taxa, Length,
               CASE WHEN flag = 'No fish caught' THEN 0.0 ELSE Count END AS Count, flag AS Length_NA_flag FROM d),
 mg AS (SELECT Source, Station, Latitude, Longitude, Date, Datetime, Survey, Depth, SampleID, Method, Tide, Sal_surf,
-              Temp_surf, Secchi, Tow_volume, Cable_length, Taxa, Length, Length_NA_flag,
+              Temp_surf, TurbidityNTU, TurbidityFNU, Tow_direction, Secchi, Tow_volume, Cable_length, Taxa, Length, Length_NA_flag,
               CASE WHEN count(*) = count(Count) THEN sum(Count) END AS Count
        FROM d2 GROUP BY ALL)
 SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitude,
        floor(Longitude * 1000000.0 + 0.5) / 1000000.0 AS Longitude, Date, CAST(Datetime AS VARCHAR) AS Datetime, Survey,
        floor(Depth * 1000000.0 + 0.5) / 1000000.0 AS Depth, SampleID, Method, Tide,
        floor(Sal_surf * 1000000.0 + 0.5) / 1000000.0 AS Sal_surf, floor(Temp_surf * 1000000.0 + 0.5) / 1000000.0 AS Temp_surf,
-       floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
+       floor(TurbidityNTU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityNTU, floor(TurbidityFNU * 1000000.0 + 0.5) / 1000000.0 AS TurbidityFNU,
+       Tow_direction, floor(Secchi * 1000000.0 + 0.5) / 1000000.0 AS Secchi, floor(Tow_volume * 1000000.0 + 0.5) / 1000000.0 AS Tow_volume,
        floor(Cable_length * 1000000.0 + 0.5) / 1000000.0 AS Cable_length, Taxa,
        floor(Length * 1000000.0 + 0.5) / 1000000.0 AS Length, floor(Count * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag

@@ -39,6 +39,11 @@ BAY_METHODS = {1: "Midwater trawl", 2: "Otter trawl", 3: "EL"}
 # STN tow volume default and flow meters known to be suspect.
 STN_DEFAULT_VOLUME = 735.0
 STN_SUSPECT_TOWS = [6612, 12815, 2551, 12786, 8031, 1857]
+# A tow number entered wrong (sample, tow, number).
+STN_TOW_NUMBERS = [(7078, 12153, 2)]
+# A record whose catch was confirmed later (date, station, tow,
+# taxon, catch).
+TMM_CATCHES = [("2021-03-23", "610", 1, "Gasterosteus aculeatus", 1.0)]
 # Gear conditions that void a tow (EDSM, DJFMP).
 BAD_GEAR_CONDITIONS = [3, 4, 9]
 # Conductivity standardisation date (EDSM, DJFMP).
@@ -56,6 +61,11 @@ def _finish(df: DataFrame, cols: list[str]) -> DataFrame:
     return expand.merge_duplicates(df.select(*cols), "Count")
 
 
+def _with_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Add the missing ones of optional columns as nulls."""
+    return df.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in df.columns})
+
+
 # -- K3 FMWT -------------------------------------------------------------------------
 
 def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
@@ -72,7 +82,7 @@ def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
         F.col("WaterTemperature").alias("Temp_surf"), F.col("Turbidity").alias("TurbidityNTU"),
         exprs.convert("Secchi", "m", "cm").alias("Secchi"),
         F.col("SecchiEstimated").alias("Secchi_estimated"),
-        "ConductivityTop", "ConductivityBottom",
+        "ConductivityTop",
         recode("TowDirectionCode", TOW_DIRECTION_FMWT, default=None).alias("Tow_direction"),
         exprs.tow_volume(F.col("MeterEnd") - F.col("MeterStart"), 0.02687, 10.7,
                          zero_is_null=True).alias("Tow_volume"),
@@ -82,7 +92,6 @@ def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
     s = s.withColumn("Datetime", exprs.compose_datetime("Date", "Time", midnight_is_null=True))
     s = joins.lookup(s, st, ["Station"]).withColumn("SampleID", exprs.sample_id(F.lit("FMWT"), "SampleRowID"))
     s = with_salinity(s, _ec("ConductivityTop"), "Sal_surf")
-    s = with_salinity(s, _ec("ConductivityBottom"), "Sal_bot")
 
     catch = t["Catch"].filter(F.col("OrganismCode").isNotNull())
     catch = joins.to_taxa(catch, species, "OrganismCode", "FMWT_Code")
@@ -98,7 +107,7 @@ def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
                      .when(F.col("Length").isNull(), F.lit(UNKNOWN_LENGTH)))
          .withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag")))
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Survey", "Depth",
-            "SampleID", "Method", "Tide", "Sal_surf", "Sal_bot", "Temp_surf", "TurbidityNTU", "Secchi",
+            "SampleID", "Method", "Tide", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi",
             "Secchi_estimated", "Tow_volume", "Tow_direction", "Cable_length", "Taxa", "Length",
             "Count", "Length_NA_flag"]
     dataset = _finish(d, cols)
@@ -165,6 +174,8 @@ def skt(t: Tables, species: DataFrame) -> SurveyResult:
 def stn(t: Tables, species: DataFrame) -> SurveyResult:
     """K7: Summer Townet."""
     s = joins.join(t["Sample"], t["TowEffort"], ["SampleRowID"], "inner")
+    fixes = s.sparkSession.createDataFrame(STN_TOW_NUMBERS, "SampleRowID long, TowRowID long, TowNumber int")
+    s = joins.apply_patches(s, fixes, ["SampleRowID", "TowRowID"], ["TowNumber"], "set")
     s = joins.lookup(s, t["luStation"], ["StationCode"])
     s = s.withColumn("Year", F.year("SampleDate"))
     corr = t["Web_Local_Meter_Corrections"].select(
@@ -220,14 +231,15 @@ def stn(t: Tables, species: DataFrame) -> SurveyResult:
 
 def tmm(t: Tables, species: DataFrame) -> SurveyResult:
     """K5: 20 mm Survey (J4 chain, J5 calibration, A6 expansion, P32 patch)."""
-    s = joins.assemble([(t["Survey"], [], ""), (t["Station"], ["SurveyID"], "inner"),
+    station = _with_columns(t["Station"], {"NTU": "double", "FNU": "double"})
+    s = joins.assemble([(t["Survey"], [], ""), (station, ["SurveyID"], "inner"),
                         (t["Tow"], ["StationID"], "inner"), (t["Gear"], ["TowID"], "inner")])
     s = joins.lookup(s, t["20mmStations"], ["Station"])
     s = s.withColumn("StudyYear", F.year("SampleDate"))
     s = joins.calibrate(s, t["MeterCorrections"], "StudyYear", "MeterSerial")
     s = s.filter(F.col("GearCode") == 2)
     s = s.select(
-        "GearID", F.lit("20mm").alias("Source"), F.col("Station").cast("string").alias("Station"),
+        "GearID", "TowNum", F.lit("20mm").alias("Source"), F.col("Station").cast("string").alias("Station"),
         exprs.dms_to_decimal("LatD", "LatM", "LatS").alias("Latitude"),
         exprs.dms_to_decimal("LonD", "LonM", "LonS", west=True).alias("Longitude"),
         F.to_date("SampleDate").alias("Date"),
@@ -235,6 +247,8 @@ def tmm(t: Tables, species: DataFrame) -> SurveyResult:
         "Survey", exprs.convert("BottomDepth", "ft", "m").alias("Depth"),
         exprs.sample_id(F.lit("20mm"), "GearID").alias("SampleID"), F.lit("20mm net").alias("Method"),
         exprs.tide("Tide").alias("Tide"), F.col("Temp").alias("Temp_surf"), "TopEC", "Secchi",
+        F.col("NTU").alias("TurbidityNTU"), F.col("FNU").alias("TurbidityFNU"),
+        F.lit(None).cast("string").alias("Tow_direction"),
         exprs.tow_volume("MeterCheck", F.col("kFactor_final"), 1.51).alias("Tow_volume"),
         exprs.convert("CableOut", "ft", "m").alias("Cable_length"))
     s = with_salinity(s, _ec("TopEC"), "Sal_surf")
@@ -246,10 +260,17 @@ def tmm(t: Tables, species: DataFrame) -> SurveyResult:
     d = joins.retain_samples(s, cl.select("GearID", "Taxa", "Length", "LengthFrequency", "Catch", "Count",
                                           F.col("Length_NA_flag").alias("_flag")), ["GearID"])
     d = (d.withColumn("Length_NA_flag", F.when(F.col("Catch").isNull(), F.lit(NO_FISH)).otherwise(F.col("_flag")))
+         .withColumn("_plain", exprs.strip_lifestage("Taxa")))
+    fixes = d.sparkSession.createDataFrame(TMM_CATCHES, "day string, Station string, TowNum int, _plain string, _confirmed double")
+    fixes = fixes.select(F.to_date("day").alias("Date"), "Station", "TowNum", "_plain", "_confirmed")
+    d = joins.lookup(d.withColumn("TowNum", F.col("TowNum").cast("int")), fixes, ["Date", "Station", "TowNum", "_plain"])
+    confirmed = F.col("_confirmed").isNotNull() & F.col("Catch").isNull()
+    d = (d.withColumn("Length_NA_flag", F.when(confirmed, F.lit(UNKNOWN_LENGTH)).otherwise(F.col("Length_NA_flag")))
+         .withColumn("Count", F.when(confirmed, F.col("_confirmed")).otherwise(F.col("Count")))
          .withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag")))
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Survey", "Depth",
-            "SampleID", "Method", "Tide", "Sal_surf", "Temp_surf", "Secchi", "Tow_volume",
-            "Cable_length", "Taxa", "Length", "Count", "Length_NA_flag"]
+            "SampleID", "Method", "Tide", "Sal_surf", "Temp_surf", "TurbidityNTU", "TurbidityFNU", "Secchi",
+            "Tow_volume", "Tow_direction", "Cable_length", "Taxa", "Length", "Count", "Length_NA_flag"]
     dataset = _finish(d, cols)
     ml = (d.filter(F.col("LengthFrequency").isNotNull())
           .select("SampleID", exprs.strip_lifestage("Taxa").alias("Taxa"), "Length",
@@ -261,20 +282,23 @@ def tmm(t: Tables, species: DataFrame) -> SurveyResult:
 
 def sls(t: Tables, species: DataFrame) -> SurveyResult:
     """K6: Smelt Larva Survey (J6 full-outer chain, J5 calibration, A8)."""
-    water = t["Water Info"].select(
+    water = _with_columns(t["Water Info"], {"NTU": "int", "FNU": "int"}).select(
         F.to_date("Date").alias("Date"), "Station", "TopEC", "BottomEC",
-        F.bround("TopTemp", 2).alias("Temp_surf"), "Secchi", F.col("Comments").alias("Notes_env"))
+        F.bround("TopTemp", 2).alias("Temp_surf"), exprs.convert("Secchi", "cm", "m").alias("Secchi"),
+        F.col("NTU").alias("TurbidityNTU"), F.col("FNU").alias("TurbidityFNU"), F.col("Comments").alias("Notes_env"))
     water = with_salinity(water, _ec("TopEC"), "Sal_surf")
     water = with_salinity(water, _ec("BottomEC"), "Sal_bot")
-    tow = t["Tow Info"].withColumn("Date", F.to_date("Date")).withColumn("StudyYear", F.year("Date"))
-    corr = t["Meter Corrections"].distinct().select("StudyYear", F.col("MeterSerial").alias("NetMeterSerial"),
-                                                    "kfactor")
+    tow = _with_columns(t["Tow Info"], {"CableOut": "double", "Duration": "double"}).withColumn("Date", F.to_date("Date")).withColumn("StudyYear", F.year("Date"))
+    corr = _with_columns(t["Meter Corrections"], {"Notes": "string"}).distinct().select(
+        "StudyYear", F.col("MeterSerial").alias("NetMeterSerial"), "kfactor", F.col("Notes").alias("Notes_flowmeter"))
     tow = joins.lookup(tow, corr, ["StudyYear", "NetMeterSerial"])
     tow = tow.select(
         "Date", "Station", "Tow", "Survey",
         exprs.compose_datetime("Date", "Time", with_seconds=True).alias("Datetime"),
         exprs.tide("Tide").alias("Tide"), exprs.convert("BottomDepth", "ft", "m").alias("Depth"),
         (F.col("NetMeterCheck") * F.col("kfactor") * 0.37).alias("Tow_volume"),
+        exprs.convert("CableOut", "ft", "m").alias("Cable_length"), F.col("Duration").alias("Tow_duration"),
+        "Notes_flowmeter",
         F.col("Comments").alias("Notes_tow"))
     catch = t["Catch"].withColumn("Date", F.to_date("Date")).select("Date", "Station", "Tow", "FishCode", "Catch")
     ln = t["Lengths"].withColumn("Date", F.to_date("Date"))
@@ -296,7 +320,8 @@ def sls(t: Tables, species: DataFrame) -> SurveyResult:
          .withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag")))
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Survey", "Depth",
             "SampleID", "Method", "Tide", "Sal_surf", "Sal_bot", "Temp_surf", "Secchi",
-            "Tow_volume", "Notes_tow", "Taxa", "Length", "Count", "Length_NA_flag"]
+            "TurbidityNTU", "TurbidityFNU", "Tow_volume", "Cable_length", "Tow_duration", "Taxa", "Length", "Count",
+            "Length_NA_flag", "Notes_tow", "Notes_flowmeter"]
     dataset = _finish(d, cols)
     ml = (d.filter(F.col("LengthFrequency").isNotNull())
           .select("SampleID", exprs.strip_lifestage("Taxa").alias("Taxa"), "Length",
@@ -488,11 +513,6 @@ SUISUN_MISTYPED = ("Pogonichthys macrolepidotus", 8)
 SUISUN_COMMENT = ("Suisun {490F4873-8947-4352-81C9-3AA475D5FEEE}", "Gobiidae", "larval")
 
 
-def _with_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """Add the missing ones of optional columns as nulls."""
-    return df.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items() if c not in df.columns})
-
-
 def _suisun_comments(t: Tables, species: DataFrame) -> DataFrame:
     """Comments of unmeasured fish that say something about size: ``Ignore``d
     ones left out, life stages harmonised (P34), missing bounds from the sizes
