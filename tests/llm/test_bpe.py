@@ -62,9 +62,9 @@ def test_tokens_come_out_before_the_piece_ends():
 def test_decoder_holds_unfinished_code_points():
     tokens = {k: bytes([k]) for k in range(256)}
     data = "é漢🙂".encode()
-    parts = list(bpe.Utf8Decoder(tokens).decode(data))
+    parts = list(bpe.Utf8Decoder(tokens).decode(data, 1))
     assert "".join(parts) == "é漢🙂" and parts[0] == "" and len(parts) == len(data)
-    assert "".join(bpe.Utf8Decoder(tokens).decode(data[:-1])) == "é漢" + data[5:-1].decode("utf-8", "replace")
+    assert "".join(bpe.Utf8Decoder(tokens).decode(data[:-1], 2)) == "é漢" + data[5:-1].decode("utf-8", "replace")
     assert "".join(bpe.Utf8Decoder(tokens).decode(b"a\xff\xc3b")) == b"a\xff\xc3b".decode("utf-8", "replace")
 
 
