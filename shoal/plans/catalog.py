@@ -8,6 +8,7 @@ both engines (parallel sums reorder floating-point additions).
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,8 @@ from shoal.functions import exprs, salinity
 from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
 from shoal.plans import roles, surveys
 from shoal.plans.integrate import integrate
-from shoal.sources.io import scan_union
+from shoal.session import checkpoint_dir
+from shoal.sources.io import Registry, publish, scan_union
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -960,16 +962,22 @@ def salvage_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], D
              "StudiesLookUp": studies, "StationsLookUp": stations}, species)
 
 
+def _salvage_here(tables: dict[str, DataFrame], species: DataFrame) -> surveys.SurveyResult:
+    """The salvage job with exclusions that occur in the driver's tables."""
+    spark = species.sparkSession
+    times = spark.createDataFrame(SALVAGE_TIMES, "Station string, start string, end string, Count_is double, "
+                                                 "Tow_volume_is double").select(
+        "Station", F.to_date("start").alias("start"), F.to_date("end").alias("end"), "Count_is", "Tow_volume_is")
+    return surveys.salvage(tables, species, exclusions=times, excluded_samples=["Salvage 7 1", "Salvage 39 1"],
+                           imputed_samples=[32, 33, 34, 35])
+
+
 @register("salvage_job")
 def q_salvage_job(spark: SparkSession, d: str) -> DataFrame:
     """K10 end to end (J6, F8, P31, W2, W1, J1, A1, P19, A10, P25, F11, F19,
     P22, F6) on the driver tables in the salvage roles."""
     tables, species = salvage_tables(spark, d)
-    times = spark.createDataFrame(SALVAGE_TIMES, "Station string, start string, end string, Count_is double, "
-                                                 "Tow_volume_is double").select(
-        "Station", F.to_date("start").alias("start"), F.to_date("end").alias("end"), "Count_is", "Tow_volume_is")
-    ds = surveys.salvage(tables, species, exclusions=times, excluded_samples=["Salvage 7 1", "Salvage 39 1"],
-                         imputed_samples=[32, 33, 34, 35]).dataset
+    ds = _salvage_here(tables, species).dataset
     dbl = ["Latitude", "Longitude", "Tow_volume", "Temp_surf", "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
@@ -1508,3 +1516,54 @@ def q_suisun_job(spark: SparkSession, d: str) -> DataFrame:
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
                        (F.col(c).cast("string").alias(c) if c == "Datetime" else F.col(c)) for c in ds.columns])
+
+
+# -- measured lengths and the ten-source integration ------------------------------
+
+#: Survey job and the tables it reads, by query prefix.
+SURVEY_JOBS = {
+    "fmwt": (surveys.fmwt, fmwt_tables), "skt": (surveys.skt, skt_tables), "stn": (surveys.stn, stn_tables),
+    "tmm": (surveys.tmm, tmm_tables), "sls": (surveys.sls, sls_tables), "edsm": (surveys.edsm, edsm_tables),
+    "djfmp": (surveys.djfmp, djfmp_tables), "baystudy": (surveys.baystudy, baystudy_tables),
+    "suisun": (surveys.suisun, suisun_tables), "salvage": (_salvage_here, salvage_tables),
+}
+
+
+def _measured(name: str) -> Query:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        job, tables = SURVEY_JOBS[name]
+        out = job(*tables(spark, d)).measured_lengths
+        return out.select(*[q6(c).alias(c) if c in ("Length", "Count") else F.col(c) for c in out.columns])
+
+    query.__doc__ = f"K11: the measured-length table of the {name} job."
+    return query
+
+
+# EDSM and DJFMP measure no fish apart from their plus counts and have none.
+for _name in ("fmwt", "skt", "stn", "tmm", "sls", "baystudy", "suisun", "salvage"):
+    register(f"measured_{_name}")(_measured(_name))
+
+
+def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Run the ten jobs, publish each dataset (S9) under the folder driver and
+    executors share, and read them back through the registry (S6)."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    root = f"{base.rstrip('/')}/surveys-{uuid.uuid4().hex}"
+    for name, (job, tables) in SURVEY_JOBS.items():
+        publish(job(*tables(spark, d)).dataset, f"{root}/{name}")
+    return Registry(spark, root, list(SURVEY_JOBS)).load()
+
+
+@register("integrate_all")
+def q_integrate_all(spark: SparkSession, d: str) -> DataFrame:
+    """K12 over all ten jobs (S6, S9, U1 across their differing columns): the
+    survey table and the zero-filled fish table, reported per survey and
+    taxon: rows, rows with catch, fish, and the survey's samples and dates."""
+    out = integrate(_published(spark, d))
+    source = F.regexp_extract("SampleID", r"^(Bay Study|\S+)", 1)
+    fish = (out.fish.groupBy(source.alias("Source"), "Taxa")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("Count") > 0).alias("n_caught"),
+                 F.round(F.sum("Count"), 3).alias("total")))
+    samples = out.survey.groupBy("Source").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.min("Date").alias("first_date"), F.max("Date").alias("last_date"))
+    return joins.join(fish, samples, ["Source"], "inner", null_safe=False)

@@ -1665,16 +1665,16 @@ cc AS (
               ELSE 0 END AS SL FROM rng
   UNION ALL SELECT SampleID, Taxa, note, Count, 1, Length FROM com WHERE mn IS NULL AND mx IS NULL),
 rows_ AS (
-  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, NULL AS flag,
+  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, NULL AS flag, 'N' AS Dead,
          COALESCE((SELECT min(r.g) FROM rng r WHERE r.SampleID = c.SampleID AND r.Taxa = c.Taxa
                    AND c.SL < COALESCE(r.mx, 'inf'::DOUBLE) AND c.SL > COALESCE(r.mn, '-inf'::DOUBLE)), 1) AS SizeGroup
   FROM c WHERE c.SL > 0
   UNION ALL
-  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, CASE WHEN c.SL IS NULL THEN 'No fish caught' END, 1 FROM c
+  SELECT c.SampleID, c.Taxa, c.note, c.Count, c.SL, CASE WHEN c.SL IS NULL THEN 'No fish caught' END, 'N', 1 FROM c
   WHERE c.SL IS NULL
      OR c.SL = 0 AND NOT EXISTS (SELECT 1 FROM com WHERE com.SampleID = c.SampleID AND com.Taxa = c.Taxa)
   UNION ALL
-  SELECT SampleID, Taxa, note, Count, SL, CASE WHEN SL IS NULL THEN 'Unknown length' END, SizeGroup FROM cc
+  SELECT SampleID, Taxa, note, Count, SL, CASE WHEN SL IS NULL THEN 'Unknown length' END, NULL, SizeGroup FROM cc
   WHERE SampleID IN (SELECT SampleID FROM s)),
 agg AS (SELECT SampleID, Taxa, SizeGroup,
                CASE WHEN count(*) FILTER (WHERE SL <> 0 OR SL IS NULL) > 0
@@ -1710,3 +1710,67 @@ SELECT Source, Station, floor(Latitude * 1000000.0 + 0.5) / 1000000.0 AS Latitud
        floor(CASE WHEN Length_NA_flag = 'No fish caught' THEN 0.0 ELSE Count END * 1000000.0 + 0.5) / 1000000.0 AS Count,
        Length_NA_flag, Notes_catch, Notes_tow
 FROM f2"""
+
+
+# -- measured lengths and the ten-source integration: the jobs' own steps, another last one --
+
+def _ending(job: str, select: str) -> str:
+    """A job's SQL with another final SELECT."""
+    text = SQL[job]
+    return text[:text.rindex("\nSELECT Source")] + "\n" + select
+
+
+def _q6(c: str) -> str:
+    return f"floor({c} * 1000000.0 + 0.5) / 1000000.0"
+
+
+_BARE = r"regexp_replace({0}, ' \(.*$', '')"
+_MEASURED = {
+    "fmwt": f"""SELECT 'FMWT ' || CAST(k.SampleRowID AS VARCHAR) AS SampleID, {_BARE.format('k.Taxa')} AS Taxa,
+       {_q6('meas.ForkLength')} AS Length, {_q6('sum(meas.LF)')} AS Count
+FROM meas LEFT JOIN (SELECT ct.* FROM ct JOIN s ON s.SampleRowID = ct.SampleRowID) k
+  ON meas.SampleRowID = k.SampleRowID AND meas.OrganismCode = k.OrganismCode
+GROUP BY k.SampleRowID, {_BARE.format('k.Taxa')}, meas.ForkLength""",
+    "skt": f"""SELECT 'SKT ' || CAST(cl0.SampleRowID AS VARCHAR) AS SampleID, {_BARE.format('p.Taxa')} AS Taxa,
+       {_q6('cl0.ForkLength')} AS Length, {_q6('sum(cl0.LF)')} AS Count
+FROM cl0 LEFT JOIN (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) AS code, p_brand AS Taxa FROM part) p
+  ON cl0.OrganismCode = p.code
+WHERE cl0.LF IS NOT NULL GROUP BY cl0.SampleRowID, {_BARE.format('p.Taxa')}, cl0.ForkLength""",
+    "stn": f"""SELECT s.SampleID, {_BARE.format('cl.Taxa')} AS Taxa, {_q6('cl.ForkLength')} AS Length, {_q6('cl.LF')} AS Count
+FROM s JOIN cl ON s.TowRowID = cl.TowRowID WHERE cl.LF IS NOT NULL""",
+    "tmm": f"""SELECT s3.SampleID, p.Taxa, {_q6('e.Length')} AS Length, {_q6('e.LF')} AS Count
+FROM s3 JOIN e ON s3.GearID = e.GearID
+LEFT JOIN (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) AS code, p_brand AS Taxa FROM part) p
+  ON e.FishCode = p.code
+WHERE e.LF IS NOT NULL""",
+    "sls": f"""SELECT 'SLS ' || CAST(Date AS VARCHAR) || ' ' || CAST(Station AS VARCHAR) || ' ' || CAST(Tow AS VARCHAR) AS SampleID,
+       {_BARE.format('Taxa')} AS Taxa, {_q6('Length')} AS Length, {_q6('LengthFrequency')} AS Count
+FROM c5 WHERE LengthFrequency IS NOT NULL""",
+    "baystudy": f"""SELECT e.SampleID, {_BARE.format('l.Taxa')} AS Taxa, l.SizeGroup AS Size_group, {_q6('l.Length')} AS Length,
+       {_q6('l.Frequency')} AS Count
+FROM len l JOIN env e ON e.Year = l.Year AND e.Survey = l.Survey AND e.Station = l.Station AND e.Method = l.Method
+WHERE e.Tow_status = 'Valid'""",
+    "suisun": f"""SELECT SampleID, {_BARE.format('Taxa')} AS Taxa, Dead, {_q6('SL')} AS Length, {_q6('Count')} AS Count
+FROM rows_ WHERE SL <> 0""",
+    "salvage": f"""SELECT ids.SampleID, e5.Taxa2 AS Taxa, {_q6('e5.Length')} AS Length, {_q6('e5.LengthFrequency')} AS Count
+FROM e5 LEFT JOIN ids ON e5.Facility IS NOT DISTINCT FROM ids.Facility AND e5.Location IS NOT DISTINCT FROM ids.Location
+                     AND e5.SampleRowID IS NOT DISTINCT FROM ids.SampleRowID
+WHERE e5.LengthFrequency IS NOT NULL""",
+}
+SQL.update({f"measured_{k}": _ending(f"{k}_job", v) for k, v in _MEASURED.items()})
+
+_ALL = " UNION ALL BY NAME ".join(
+    f"SELECT * FROM ({SQL[f'{k}_job']})"
+    for k in ("fmwt", "skt", "stn", "tmm", "sls", "edsm", "djfmp", "baystudy", "suisun", "salvage"))
+SQL["integrate_all"] = f"""WITH everything AS ({_ALL}),
+survey AS (SELECT Source, count(*) AS n_samples, min(Date) AS first_date, max(Date) AS last_date
+           FROM (SELECT DISTINCT * EXCLUDE (Taxa, Length, Count, Length_NA_flag, Notes_catch) FROM everything) GROUP BY Source),
+fish AS (SELECT DISTINCT Source, SampleID, Taxa, Length, Count, Notes_catch FROM everything),
+grid AS (SELECT s.Source, s.SampleID, t.Taxa FROM (SELECT DISTINCT Source, SampleID FROM fish) s
+         JOIN (SELECT DISTINCT Source, Taxa FROM fish WHERE Taxa IS NOT NULL) t ON s.Source = t.Source),
+filled AS (SELECT g.Source, g.SampleID, g.Taxa, COALESCE(f.Count, 0) AS Count
+           FROM grid g LEFT JOIN fish f ON f.Source = g.Source AND f.SampleID = g.SampleID AND f.Taxa = g.Taxa)
+SELECT filled.Source, Taxa, count(*) AS n_rows, count(*) FILTER (WHERE Count > 0) AS n_caught, round(sum(Count), 3) AS total,
+       any_value(n_samples) AS n_samples, any_value(first_date) AS first_date, any_value(last_date) AS last_date
+FROM filled JOIN survey ON survey.Source = filled.Source
+WHERE NOT (Taxa = 'UnID' AND Count = 0) GROUP BY filled.Source, Taxa"""
