@@ -6,22 +6,21 @@ exactly these two.  So the encoding of every prefix is fixed by its last
 token, and reading one more byte only asks which token ending here is
 compatible with the last token before it.  That makes a transducer:
 
-* a state holds the longest suffix read so far that begins some token, and
-  for every boundary inside it from which a token can still start, the tokens
-  not yet emitted on the way there;
-* reading a byte finds the token that ends at the new boundary, forgets the
-  boundaries no token can start from any more, and emits the tokens on which
-  all remaining boundaries agree.  What is pending is never longer than the
-  lookahead the vocabulary needs, so the machine has finitely many states.
+* a state holds every boundary from which a token can still start, with what
+  has been read since (shorter than a token) and the last token before it;
+* reading a byte finds the token that ends at the new boundary, which is the
+  arc's output, and forgets boundaries no token can start from any more;
+* tokens up to the last boundary that all open ones go back to are settled
+  and emitted.  Open boundaries lie within one token's length, so settling
+  needs a bounded lookahead.
 
 States and arcs are made when first needed and kept, up to ``MAX_STATES``;
 beyond that the machine starts afresh, as lazily built automata do, which
-costs time and never changes a result.  Pieces met before are composite arcs
-from the start state and are kept the same way.
+costs time and never changes a result.  Pieces that recur are composite arcs
+from the start state, at most ``MAX_PIECES`` of them.
 
 Decoding runs an incremental UTF-8 state machine over the ids: its state is
-the unfinished code point (at most three bytes), its arcs per token are kept
-as well.  Invalid bytes give U+FFFD.
+the unfinished code point (at most three bytes).  Invalid bytes give U+FFFD.
 
 The vocabulary (path given by the caller, bounded by its file) is read on the
 driver and broadcast.
@@ -32,16 +31,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_STATES = 300_000
-MAX_PIECES = 1_000_000
+from shoal.llm.common import resident, ship, strings
+
+MAX_STATES = 150_000
+MAX_PAIRS = 300_000
+MAX_PIECES = 350_000
+MET_SLOTS = 1 << 24
 MAX_PIECE_CHARS = 64
+LOOKAHEAD = 512
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -68,7 +72,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks, self.max_states = ranks, max_states
         self.tokens = {r: t for t, r in ranks.items()}
-        self.begins = {t[:k] for t in ranks for k in range(1, len(t))}
+        self.sizes = {r: len(t) for r, t in self.tokens.items()}
+        prefixes = (t[:k] for t in ranks for k in range(1, len(t)))
+        self.begins = {p: p for p in prefixes}  # one object per prefix
         self.pairs: dict[tuple[int, int], bool] = {}
         self.splits: dict[int, tuple[int, int] | None] = {}
         self._reset()
@@ -76,8 +82,8 @@ class Transducer:
     def _reset(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
-        self.arcs: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self.start = self._number((b"", ((),), -1))
+        self.arcs: list[dict[int, tuple[int, int]]] = []
+        self.start = self._number((b"", -1))  # what was read since, and the token before, per boundary
 
     def _number(self, state: tuple) -> int:
         n = self.numbers.get(state)
@@ -119,65 +125,83 @@ class Transducer:
                 limit, l = l, lp[1]
             else:
                 limit, r = r + 1, rp[0]
-        if len(self.pairs) >= 4 * self.max_states:
+        if len(self.pairs) >= MAX_PAIRS:
             self.pairs.clear()
         self.pairs[left, right] = known
         return known
 
-    def _determinise(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        suffix, chains, prev = self.states[number]
-        grown = suffix + bytes([byte])
-        ranks, new = self.ranks, None
-        for p, chain in enumerate(chains):
-            if chain is None:
-                continue
-            token = ranks.get(grown[p:])
-            if token is None:
-                continue
-            last = chain[-1] if chain else prev
-            if last < 0 or self.compatible(last, token):
-                new = (*chain, token)
-                break
+    def _determinise(self, number: int, byte: int) -> tuple[int, int]:
+        char, ranks, begins = bytes((byte,)), self.ranks, self.begins
+        new, live = None, []
+        state = self.states[number]
+        for i in range(0, len(state), 2):  # the longest token first
+            tail, last = state[i] + char, state[i + 1]
+            if new is None and (token := ranks.get(tail)) is not None and (last < 0 or self.compatible(last, token)):
+                new = token
+            tail = begins.get(tail)
+            if tail is not None:  # some token can still start at this boundary
+                live += (tail, last)
         if new is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        # a boundary stays live while some token can still start there
-        begins = self.begins
-        keep, live = len(grown), []
-        for k, chain in enumerate(chains):
-            alive = chain is not None and grown[k:] in begins
-            if alive or k > keep:
-                keep = min(keep, k)
-                live.append(chain if alive else None)
-        live.append(new)
-        agreed, held = 0, [c for c in live if c is not None]
-        shortest = min(map(len, held))
-        while agreed < shortest and all(c[agreed] == new[agreed] for c in held):
-            agreed += 1
-        if agreed:
-            prev = new[agreed - 1]
-            live = [c and c[agreed:] for c in live]
-        if all(c is None or c for c in live):
-            prev = -1  # every boundary knows its own last token
-        return self._number((grown[keep:], tuple(live), prev)), new[:agreed]
+        live += (b"", new)
+        return self._number(tuple(live)), new
+
+    def _back(self, ends: list[int], i: int) -> Iterator[int]:
+        """Boundaries on the way back from boundary ``i``."""
+        while i:
+            yield i
+            i -= self.sizes[ends[i - 1]]
+        yield 0
+
+    def _settled(self, ends: list[int], state: int) -> int:
+        """The last boundary that all open boundaries go back to."""
+        n = len(ends)
+        common: set[int] | None = None
+        for tail in self.states[state][::2]:
+            way = set(self._back(ends, n - len(tail)))
+            common = way if common is None else common & way
+        return max(common)
+
+    def _emit(self, ends: list[int], upto: int) -> list[int]:
+        out = [ends[i - 1] for i in self._back(ends, upto) if i]
+        out.reverse()
+        return out
 
-    def encode(self, data: bytes) -> list[int]:
-        """Token ids of one piece."""
+    def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
+        """Token ids of one piece, as soon as ``LOOKAHEAD`` bytes later than
+        they end (at the piece's end: the rest)."""
         if len(self.states) > self.max_states:
             self._reset()
+        state, ends = self.start, []
+        for byte in data:
+            arc = self.arcs[state].get(byte)
+            if arc is None:
+                arc = self.arcs[state][byte] = self._determinise(state, byte)
+            state, token = arc
+            ends.append(token)
+            if len(ends) >= LOOKAHEAD and (upto := self._settled(ends, state)):
+                yield self._emit(ends, upto)
+                del ends[:upto]
+        if ends:
+            yield self._emit(ends, len(ends))
+
+    def encode(self, data: bytes) -> list[int]:
+        """Token ids of one piece."""
         whole = self.ranks.get(data)
         if whole is not None:  # a vocabulary entry stands for itself
             return [whole]
-        out: list[int] = []
-        state = self.start
+        if len(data) >= LOOKAHEAD:
+            return [i for ids in self.stream(data) for i in ids]
+        if len(self.states) > self.max_states:
+            self._reset()
+        arcs, state, ends = self.arcs, self.start, []
         for byte in data:
-            arc = self.arcs[state].get(byte)
+            arc = arcs[state].get(byte)
             if arc is None:
-                arc = self.arcs[state][byte] = self._determinise(state, byte)
-            state, emitted = arc
-            if emitted:
-                out += emitted
-        out += self.states[state][1][-1]  # at the end the last boundary's tokens are due
-        return out
+                arc = arcs[state][byte] = self._determinise(state, byte)
+            state, token = arc
+            ends.append(token)
+        return self._emit(ends, len(ends))
 
 
 class Utf8Decoder:
@@ -185,11 +209,11 @@ class Utf8Decoder:
 
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens = tokens
-        self.arcs: dict[bytes, dict[int, tuple[str, bytes]]] = {b"": {}}
 
     @staticmethod
     def step(held: bytes, data: bytes) -> tuple[str, bytes]:
-        """Text completed by ``data`` after ``held``, and what is held now."""
+        """Text completed by ``data`` after ``held``, and what is held now
+        (the machine's state: at most three bytes)."""
         data = held + data
         end = len(data)
         for back in range(1, min(3, len(data)) + 1):
@@ -202,65 +226,63 @@ class Utf8Decoder:
             break
         return data[:end].decode("utf-8", "replace"), data[end:]
 
-    def decode(self, ids: Iterable[int]) -> Iterator[str]:
-        """Pieces of text, in order; the last call flushes what is held."""
-        held, arcs = b"", self.arcs[b""]
-        for i in ids:
-            arc = arcs.get(i)
-            if arc is None:
-                arc = arcs[i] = self.step(held, self.tokens[i])
-            text, held = arc
-            arcs = self.arcs.get(held)
-            if arcs is None:
-                if len(self.arcs) > 4096:
-                    self.arcs = {b"": {}}
-                arcs = self.arcs.setdefault(held, {})
+    def decode(self, ids: Sequence[int], chunk: int = 4096) -> Iterator[str]:
+        """Pieces of text, one per ``chunk`` ids; the last call flushes."""
+        held, get = b"", self.tokens.__getitem__
+        for k in range(0, len(ids), chunk):
+            text, held = self.step(held, b"".join(map(get, ids[k:k + chunk])))
             yield text
         if held:
             yield held.decode("utf-8", "replace")
 
 
 class Codec:
-    """Pieces of a text by ``pattern``, each through the transducer."""
+    """Pieces of a text by ``pattern``, each through the transducer.
+
+    A piece's ids are kept from the second time it is met (a bitmap of hashes
+    tells), so words that occur once do not displace those that recur."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.fst = Transducer(ranks)
         self.find = regex.compile(pattern).findall
         self.decoder = Utf8Decoder(self.fst.tokens)
         self.known: dict[str, bytes] = {}
+        self.met = bytearray(MET_SLOTS)
+
+    def _piece(self, piece: str) -> bytes:
+        packed = self.known.get(piece)
+        if packed is None:
+            ids = self.fst.encode(piece.encode("utf-8"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            slot = hash(piece) % MET_SLOTS
+            if not self.met[slot]:
+                self.met[slot] = 1
+            elif len(piece) <= MAX_PIECE_CHARS:
+                if len(self.known) >= MAX_PIECES:
+                    self.known.clear()
+                    self.met = bytearray(MET_SLOTS)
+                self.known[piece] = packed
+        return packed
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        known = self.known
-        out = []
-        for piece in self.find(text):
-            packed = known.get(piece)
-            if packed is None:
-                ids = self.fst.encode(piece.encode("utf-8"))
-                packed = struct.pack(f"<{len(ids)}I", *ids)
-                if len(piece) <= MAX_PIECE_CHARS:
-                    if len(known) >= MAX_PIECES:
-                        known.clear()
-                    known[piece] = packed
-            out.append(packed)
-        return b"".join(out)
+        pieces = self.find(text)
+        packed = list(map(self.known.get, pieces))
+        if None in packed:
+            packed = [p if p is not None else self._piece(x) for p, x in zip(packed, pieces)]
+        return b"".join(packed)
 
     def decode(self, packed: bytes) -> str:
         return "".join(self.decoder.decode(memoryview(packed).cast("I")))
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(ranks: dict[bytes, int], pattern: str, key: str) -> Codec:
     """One codec per vocabulary and Python worker; its arcs serve all tasks."""
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+    return resident(key, lambda: Codec(ranks, pattern))
 
 
 def _vocabulary(spark: SparkSession, path: str, pattern: str):
+    ship(spark)
     ranks = load_ranks(path)
     key = hashlib.sha256(repr(sorted(ranks.items())).encode() + pattern.encode()).hexdigest()
     return spark.sparkContext.broadcast(ranks), key
@@ -282,7 +304,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches):
         c = codec(ranks.value, pattern, key)
         for b in batches:
-            ids = [memoryview(c.encode(t)).cast("I").tolist() for t in b.column(1).to_pylist()]
+            ids = [memoryview(c.encode(t)).cast("I").tolist() for t in strings(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
@@ -313,7 +335,7 @@ def token_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         c = codec(ranks.value, pattern, key)
         for b in batches:
             n, ids, back = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in strings(b.column(1)):
                 packed = c.encode(t)
                 n.append(len(packed) // 4)
                 ids.append(hashlib.sha256(packed).hexdigest())

@@ -78,6 +78,11 @@ def resident(key: str, make):
     return _RESIDENT[key]
 
 
+def evict() -> None:
+    """Make room for a task that needs memory but keeps no model."""
+    _RESIDENT.clear()
+
+
 def strings(column, step: int = 256) -> Iterator:
     """Values of an Arrow column as Python objects, a few at a time."""
     for k in range(0, len(column), step):

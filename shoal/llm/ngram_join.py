@@ -39,14 +39,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, keep_once, text_of
+from shoal.llm.common import cut, keep_once, resident, ship, strings, text_of
 from shoal.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6
 STEP, TOLERANCE = 24, 1e-6
 BLOCK, GATHER = 512, 256
-_WORD_CACHE = 1 << 20
+_WORD_CACHE = 1 << 18
 _LANES = 4096
 
 _RNG = np.random.default_rng(20240229)
@@ -63,9 +63,6 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def words_of(text: str) -> list[str]:
     return text.lower().split()
 
@@ -77,7 +74,8 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def signature(words: list[str]) -> np.ndarray:
     """MinHash values (uint32) of the shingles of at least one word."""
-    w = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = resident("word hashes", _Hashes)
+    w = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     span = min(WORDS, len(w))
     h = w[:len(w) - span + 1].copy()
     for k in range(1, span):
@@ -214,13 +212,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per input row: ``doc_id``, ``class_id`` (least id of its
     group), ``rep_id`` (least id with the same text), ``n_links`` (other rows
     at or above the threshold, equal texts included), ``text_key``."""
+    ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     base = base.select("doc_id", _key(F.col("text")).alias("key"), "text")
 
     def sign(batches):
         for b in batches:
             out = []
-            for t in b.column(2).to_pylist():
+            for t in strings(b.column(2)):
                 words = words_of(t)
                 out.append(bands(signature(words)) if words else [])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64()))],

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, resident, ship, small, strings, text_of
+from shoal.llm.common import cut, evict, resident, ship, small, strings, text_of
 
 ORDER, SYMBOLS = 4, 64
 QUANTILE, MARGIN, MIN_TRUSTED = 0.995, 2.0, 20
@@ -115,6 +115,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def count_grams(texts: DataFrame) -> DataFrame:
     """``gram, n`` over all rows of ``texts`` (one column ``text``)."""
     def run(batches):
+        evict()
         for b in batches:
             for g in _pieces(strings(b.column(0))):
                 found, n = np.unique(g, return_counts=True)
