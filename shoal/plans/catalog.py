@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from shoal.functions import exprs, salinity
 from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
 from shoal.plans import roles, surveys
-from shoal.plans.integrate import integrate
+from shoal.plans.integrate import build_species, integrate, publication
 from shoal.session import checkpoint_dir
-from shoal.sources.io import Registry, publish, scan_union
+from shoal.sources.io import Registry, load_lookup, load_tables, publish, read_typed_csv, scan_union, write_csv, \
+    write_integrated
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -593,6 +594,25 @@ def q_quality_report(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality_report(roles.dataset(spark, d))
 
 
+@register("quality_by_source")
+def q_quality_by_source(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q10 per source with the first and last offending sample."""
+    ds = roles.dataset(spark, d)
+    return quality.check_by_source(ds, quality.dataset_rules(ds.columns, dict(ds.dtypes)))
+
+
+@register("stn_checks")
+def q_stn_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 + Q11 on the published STN dataset: station list, survey and depth
+    ranges, id format, source, date and time types."""
+    ds = surveys.stn(*stn_tables(spark, d)).dataset
+    rules = {**quality.domain_rules({"Source": ["STN"], "Station": [str(k) for k in range(20)]}),
+             **quality.format_rules({"SampleID": "^STN [0-9]+"}),
+             **quality.range_rules({"Survey": (1, 6), "Depth": (0.0, 30.0)}),
+             **{k: v for k, v in quality.dataset_rules(ds.columns, dict(ds.dtypes)).items() if k.startswith("q2")}}
+    return quality.check(ds, rules)
+
+
 @register("range_checks")
 def q_range_checks(spark: SparkSession, d: str) -> DataFrame:
     """Q11 + Q17: per-column value ranges."""
@@ -1567,3 +1587,70 @@ def q_integrate_all(spark: SparkSession, d: str) -> DataFrame:
     samples = out.survey.groupBy("Source").agg(
         F.count(F.lit(1)).alias("n_samples"), F.min("Date").alias("first_date"), F.max("Date").alias("last_date"))
     return joins.join(fish, samples, ["Source"], "inner", null_safe=False)
+
+
+# -- sinks read back -----------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder that driver and executors share, new for each call."""
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("sinks_survey_csv")
+def q_sinks_survey_csv(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + S7 + S1 + S2: the integrated tables written in both formats, the
+    survey table read back from CSV by its types."""
+    survey, fish = _survey_fish(spark, d)
+    root = _scratch(spark, "sinks")
+    write_integrated({"survey": survey, "fish": fish}, root, "both")
+    back = read_typed_csv(spark, f"{root}/survey_csv", {f.name: f.dataType.simpleString() for f in survey.schema.fields})
+    return back.select(*[r6(c).alias(c) if kind == "double" else F.col(c) for c, kind in back.dtypes])
+
+
+@register("sinks_fish_parquet")
+def q_sinks_fish_parquet(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + S3: the fish table read back from the columnar sink, by name from
+    the tables the folder holds."""
+    survey, fish = _survey_fish(spark, d)
+    root = _scratch(spark, "sinks")
+    write_integrated({"survey": survey, "fish": fish}, root, "columnar")
+    back = load_tables(spark, root, ["fish"], available=["survey", "fish"])["fish"]
+    return back.withColumn("Count", r6("Count"))
+
+
+@register("species_crosswalk")
+def q_species_crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    """K13 + S4: the crosswalk built from its CSV (codes typed, NA missing,
+    labels with life stage), and looked up again as a small table."""
+    p = roles.read(spark, d, "part").select(F.col("p_brand").alias("ScientificName"), _brand_no("p_brand").alias("n")).distinct()
+    path = _scratch(spark, "species")
+    write_csv(p.select("ScientificName", F.when(F.col("n") % 3 != 0, F.col("n")).alias("STN_Code"),
+                       F.concat(F.lit("C"), F.col("n").cast("string")).alias("SKT_Code"),
+                       F.when(F.col("n") % 5 == 0, F.lit("Age 0")).alias("Lifestage")), path)
+    species = build_species(spark, path)
+    again = load_lookup(spark, path, {"ScientificName": "string", "STN_Code": "int"}, fmt="csv")
+    again = again.select("ScientificName", F.col("STN_Code").alias("Looked_up"))
+    return joins.lookup(species.select("ScientificName", "STN_Code", "SKT_Code", "Lifestage", "Taxa"), again, ["ScientificName"])
+
+
+@register("publication")
+def q_publication(spark: SparkSession, d: str) -> DataFrame:
+    """All tables written in both formats, and the coverage row."""
+    c = publication(integrate({"surveys": roles.dataset(spark, d)}), _scratch(spark, "publication"))
+    return c.select(r6("south").alias("south"), r6("north").alias("north"), r6("west").alias("west"),
+                    r6("east").alias("east"), "begin", "end")
+
+
+@register("typed_projection")
+def q_typed_projection(spark: SparkSession, d: str) -> DataFrame:
+    """P1 + P20: text columns cast by a type list (bad values null), local
+    wall-clock times as instants."""
+    li = roles.read(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("SampleID"), "l_linenumber",
+        F.when(F.col("l_linenumber") == 3, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("Length"),
+        F.to_date("l_shipdate").cast("string").alias("Date"))
+    typed = exprs.cast_cols(li, {"bigint": ["SampleID"], "double": ["Length"], "date": ["Date"]})
+    wall = F.make_timestamp_ntz(F.year("Date"), F.month("Date"), F.dayofmonth("Date"), F.lit(12), F.col("l_linenumber"), F.lit(0))
+    return typed.select("SampleID", F.col("l_linenumber").alias("Tow"), "Length", "Date",
+                        exprs.force_tz(wall).cast("string").alias("Utc"))

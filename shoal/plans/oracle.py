@@ -547,6 +547,8 @@ _UL = "COALESCE(Length_NA_flag = 'Unknown length', false)"
 _QUALITY_RULES = [
     ("q1_latitude_box", "Latitude IS NOT NULL AND NOT (Latitude < 39.3 AND Latitude > 37.0)"),
     ("q1_longitude_box", "Longitude IS NOT NULL AND NOT (Longitude < -121.0 AND Longitude > -123.0)"),
+    ("q2_date_type", "false"),
+    ("q2_date_format", "NOT COALESCE(regexp_matches(CAST(Date AS VARCHAR), '^[0-9]{4}-[0-9]{2}-[0-9]{2}'), false)"),
     ("q3_tide_domain", "Tide IS NOT NULL AND NOT COALESCE(Tide IN ('Low Slack', 'Ebb', 'High Slack', 'Flood'), false)"),
     ("q3_method_domain", "NOT COALESCE(Method IN ('Midwater trawl', 'Otter trawl', 'Kodiak trawl', 'Beach seine', "
                          "'20mm net', 'Oblique tow', 'STN net', 'Normal count', 'Second flush'), false)"),
@@ -1774,3 +1776,28 @@ SELECT filled.Source, Taxa, count(*) AS n_rows, count(*) FILTER (WHERE Count > 0
        any_value(n_samples) AS n_samples, any_value(first_date) AS first_date, any_value(last_date) AS last_date
 FROM filled JOIN survey ON survey.Source = filled.Source
 WHERE NOT (Taxa = 'UnID' AND Count = 0) GROUP BY filled.Source, Taxa"""
+
+SQL["quality_by_source"] = ds_with() + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS rule, Source, count(*) AS violations, min(SampleID) AS first_sample, max(SampleID) AS last_sample "
+    f"FROM dataset WHERE {cond} GROUP BY Source" for name, cond in _QUALITY_RULES)
+SQL["stn_checks"] = "WITH dataset AS (" + SQL["stn_job"] + ")\n" + _rule_union([
+    ("domain_Source", "NOT COALESCE(Source = 'STN', false)"),
+    ("domain_Station", "NOT COALESCE(CAST(Station AS INTEGER) BETWEEN 0 AND 19, false)"),
+    ("format_SampleID", "NOT COALESCE(regexp_matches(SampleID, '^STN [0-9]+'), false)"),
+    ("range_Survey", "Survey < 1 OR Survey > 6"), ("range_Depth", "Depth < 0.0 OR Depth > 30.0"),
+    ("q2_date_type", "false"), ("q2_date_format", "Date IS NULL"), ("q2_datetime_type", "false")])
+SQL["sinks_survey_csv"] = SQL["normalise_survey"]
+SQL["sinks_fish_parquet"] = SQL["normalise_fish"]
+SQL["publication"] = SQL["coverage"]
+SQL["species_crosswalk"] = """WITH p AS (
+  SELECT DISTINCT p_brand AS ScientificName, CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) AS n FROM part)
+SELECT ScientificName, CASE WHEN n % 3 <> 0 THEN n END AS STN_Code, 'C' || CAST(n AS VARCHAR) AS SKT_Code,
+       CASE WHEN n % 5 = 0 THEN 'Age 0' END AS Lifestage,
+       CASE WHEN n % 5 = 0 THEN ScientificName || ' (Age 0)' ELSE ScientificName END AS Taxa,
+       CASE WHEN n % 3 <> 0 THEN n END AS Looked_up
+FROM p"""
+SQL["typed_projection"] = """SELECT l_orderkey AS SampleID, l_linenumber AS Tow,
+       CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS Length, CAST(l_shipdate AS DATE) AS Date,
+       CAST(timezone('UTC', timezone('America/Los_Angeles', make_timestamp(year(l_shipdate), month(l_shipdate), day(l_shipdate),
+                                                                       12, l_linenumber, 0))) AS VARCHAR) AS Utc
+FROM lineitem"""
