@@ -284,7 +284,7 @@ def sls(t: Tables, species: DataFrame) -> SurveyResult:
     """K6: Smelt Larva Survey (J6 full-outer chain, J5 calibration, A8)."""
     water = _with_columns(t["Water Info"], {"NTU": "int", "FNU": "int"}).select(
         F.to_date("Date").alias("Date"), "Station", "TopEC", "BottomEC",
-        F.bround("TopTemp", 2).alias("Temp_surf"), exprs.convert("Secchi", "cm", "m").alias("Secchi"),
+        F.bround("TopTemp", 2).alias("Temp_surf"), "Secchi",
         F.col("NTU").alias("TurbidityNTU"), F.col("FNU").alias("TurbidityFNU"), F.col("Comments").alias("Notes_env"))
     water = with_salinity(water, _ec("TopEC"), "Sal_surf")
     water = with_salinity(water, _ec("BottomEC"), "Sal_bot")
