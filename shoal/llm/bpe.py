@@ -14,8 +14,8 @@ compatible with the last token before it.  That makes a transducer:
   and emitted.  Open boundaries lie within one token's length, so settling
   needs a bounded lookahead.
 
-States and arcs are made when first needed and kept, up to ``MAX_STATES``;
-beyond that the machine starts afresh, as lazily built automata do, which
+States and arcs are made when first needed and kept while there is room
+(``MAX_STATES``); beyond that a state is worked out where it is met, which
 costs time and never changes a result.  Pieces that recur are composite arcs
 from the start state, at most ``MAX_PIECES`` of them.
 
@@ -40,10 +40,10 @@ from pyspark.sql import functions as F
 
 from shoal.llm.common import resident, ship, strings
 
-MAX_STATES = 150_000
+MAX_STATES = 80_000
 MAX_PAIRS = 300_000
-MAX_PIECES = 350_000
-MET_SLOTS = 1 << 24
+MAX_PIECES = 500_000
+MET_SLOTS = 1 << 23
 MAX_PIECE_CHARS = 64
 LOOKAHEAD = 512
 
@@ -77,17 +77,15 @@ class Transducer:
         self.begins = {p: p for p in prefixes}  # one object per prefix
         self.pairs: dict[tuple[int, int], bool] = {}
         self.splits: dict[int, tuple[int, int] | None] = {}
-        self._reset()
-
-    def _reset(self) -> None:
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
         self.arcs: list[dict[int, tuple[int, int]]] = []
         self.start = self._number((b"", -1))  # what was read since, and the token before, per boundary
 
     def _number(self, state: tuple) -> int:
-        n = self.numbers.get(state)
-        if n is None:
+        """Number of a state; -1 if it is new and there is no room."""
+        n = self.numbers.get(state, -1)
+        if n < 0 and len(self.states) < self.max_states:
             n = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.arcs.append({})
@@ -125,15 +123,14 @@ class Transducer:
                 limit, l = l, lp[1]
             else:
                 limit, r = r + 1, rp[0]
-        if len(self.pairs) >= MAX_PAIRS:
-            self.pairs.clear()
-        self.pairs[left, right] = known
+        if len(self.pairs) < MAX_PAIRS:
+            self.pairs[left, right] = known
         return known
 
-    def _determinise(self, number: int, byte: int) -> tuple[int, int]:
+    def _step(self, state: tuple, byte: int) -> tuple[tuple, int]:
+        """The state after a byte, and the token that ends with it."""
         char, ranks, begins = bytes((byte,)), self.ranks, self.begins
         new, live = None, []
-        state = self.states[number]
         for i in range(0, len(state), 2):  # the longest token first
             tail, last = state[i] + char, state[i + 1]
             if new is None and (token := ranks.get(tail)) is not None and (last < 0 or self.compatible(last, token)):
@@ -144,7 +141,29 @@ class Transducer:
         if new is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
         live += (b"", new)
-        return self._number(tuple(live)), new
+        return tuple(live), new
+
+    def _ends(self, data: Iterable[int]) -> Iterator[tuple[int, tuple | None, int]]:
+        """Per byte: the token that ends with it, and the state, by itself if
+        it has no number."""
+        arcs, state, loose = self.arcs, self.start, None
+        for byte in data:
+            if loose is None:
+                arc = arcs[state].get(byte)
+                if arc is not None:
+                    state, token = arc
+                else:
+                    loose, token = self._step(self.states[state], byte)
+                    after = self._number(loose)
+                    if after >= 0:
+                        arcs[state][byte] = after, token
+                        state, loose = after, None
+            else:
+                loose, token = self._step(loose, byte)
+                after = self._number(loose)
+                if after >= 0:
+                    state, loose = after, None
+            yield token, loose, state
 
     def _back(self, ends: list[int], i: int) -> Iterator[int]:
         """Boundaries on the way back from boundary ``i``."""
@@ -153,11 +172,11 @@ class Transducer:
             i -= self.sizes[ends[i - 1]]
         yield 0
 
-    def _settled(self, ends: list[int], state: int) -> int:
+    def _settled(self, ends: list[int], state: tuple) -> int:
         """The last boundary that all open boundaries go back to."""
         n = len(ends)
         common: set[int] | None = None
-        for tail in self.states[state][::2]:
+        for tail in state[::2]:
             way = set(self._back(ends, n - len(tail)))
             common = way if common is None else common & way
         return max(common)
@@ -170,16 +189,10 @@ class Transducer:
     def stream(self, data: Iterable[int]) -> Iterator[list[int]]:
         """Token ids of one piece, as soon as ``LOOKAHEAD`` bytes later than
         they end (at the piece's end: the rest)."""
-        if len(self.states) > self.max_states:
-            self._reset()
-        state, ends = self.start, []
-        for byte in data:
-            arc = self.arcs[state].get(byte)
-            if arc is None:
-                arc = self.arcs[state][byte] = self._determinise(state, byte)
-            state, token = arc
+        ends = []
+        for token, loose, state in self._ends(data):
             ends.append(token)
-            if len(ends) >= LOOKAHEAD and (upto := self._settled(ends, state)):
+            if len(ends) >= LOOKAHEAD and (upto := self._settled(ends, loose or self.states[state])):
                 yield self._emit(ends, upto)
                 del ends[:upto]
         if ends:
@@ -192,15 +205,7 @@ class Transducer:
             return [whole]
         if len(data) >= LOOKAHEAD:
             return [i for ids in self.stream(data) for i in ids]
-        if len(self.states) > self.max_states:
-            self._reset()
-        arcs, state, ends = self.arcs, self.start, []
-        for byte in data:
-            arc = arcs[state].get(byte)
-            if arc is None:
-                arc = arcs[state][byte] = self._determinise(state, byte)
-            state, token = arc
-            ends.append(token)
+        ends = [token for token, _, _ in self._ends(data)]
         return self._emit(ends, len(ends))
 
 
@@ -260,7 +265,6 @@ class Codec:
             elif len(piece) <= MAX_PIECE_CHARS:
                 if len(self.known) >= MAX_PIECES:
                     self.known.clear()
-                    self.met = bytearray(MET_SLOTS)
                 self.known[piece] = packed
         return packed
 
