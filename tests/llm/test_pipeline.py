@@ -66,6 +66,6 @@ def test_stages_with_awkward_rows_and_none(spark, tmp_path):
     for sub, data in (("odd", cases.rows()), ("none", [])):
         folder = str(tmp_path / sub)
         cases.docs(spark, data).write.parquet(f"{folder}/documents.parquet")
-        spark.createDataFrame([(1, 1, 0), (8, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(k, 1, 0) for k in range(1, 15)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         n = C.run(spark, folder).count()
         assert n == 0 if sub == "none" else n > 5
