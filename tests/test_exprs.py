@@ -118,3 +118,15 @@ def test_facility_and_notes(spark):
     ext = spark.createDataFrame([("SWP NA",), ("CVP Federal Facility",), ("Other",)], "s string") \
         .select(exprs.extract_facility("s").alias("f")).collect()
     assert [r.f for r in ext] == ["SWP", "CVP", None]
+
+
+def test_long_station_codes_stay_whole(spark):
+    df = spark.createDataFrame([("7",), ("71",), ("711",), ("1234",), ("1239",), (None,)], "st string")
+    assert [r.st for r in df.select(exprs.pad_station("st").alias("st")).collect()] == [
+        "007", "071", "711", "1234", "1239", None]
+
+
+def test_braces_and_null_first_parts(spark):
+    df = spark.createDataFrame([("{B9}", None), ("A1", "x")], "k string, f string")
+    out = df.select(exprs.braced("k").alias("k"), exprs.sample_id("f", "k").alias("id")).collect()
+    assert [tuple(r) for r in out] == [("{B9}", "NA {B9}"), ("{A1}", "x A1")]

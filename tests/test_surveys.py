@@ -208,3 +208,14 @@ def test_integrate_end_to_end(spark, species, tmp_path):
     assert csv.count() == out.survey.count()
     with pytest.raises(ValueError):
         integrate(ds, format="rds")
+
+
+def test_salvage_adds_up_fish_that_differ_in_their_clip(spark, species):
+    """Two length rows of one length and 6 fish each, clipped and not: 12
+    fish of 12 counted, pumped 60 of 10 sampled minutes."""
+    t = fx.salvage(spark)
+    t["Catch"] = spark.createDataFrame([(101, 11, 1, 12.0)], "CatchRowID int, BuildingRowID int, OrganismCode int, Count double")
+    t["Length"] = spark.createDataFrame([(1, 101, 50.0, 6.0, True), (2, 101, 50.0, 6.0, False)],
+                                        "LengthRowID int, CatchRowID int, ForkLength double, LengthFrequency double, AdiposeClip boolean")
+    d = surveys.salvage(t, species).dataset.filter(F.col("Length") == 50.0)
+    assert [r.Count for r in d.collect()] == [72.0]
