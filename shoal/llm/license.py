@@ -7,7 +7,13 @@ characters than a-z and 0-9 one space) it is looked up among known licence
 sentences, which gives an identifier.  The identifiers of a document, in
 order, form a sequence, against which the rules are matched in their order;
 a rule that matches uses its identifiers up, so a full licence text is not
-also reported as the shorter one it contains.
+also reported as the shorter one it contains.  The sentences that "*" lets
+stand between stay in the sequence for later rules, and "*" passes no sentence
+that opens a rule, used up or not: there another licence begins.
+
+A sequence is a string of one character per identifier.  What may stand
+between is a possessive class of characters, so a rule neither backtracks nor
+recurses, and each of its openings reads as far as the next one.
 
 Only sentences with a word that every known sentence has some of
 (``TRIGGER``) are normalised and looked up, which changes no result.
@@ -99,7 +105,7 @@ SENTENCES: dict[str, str] = {
 }
 
 # Rules in order, each a sequence of sentences; "*" lets other
-# sentences stand between.
+# sentences stand between, up to one that opens a rule.
 RULES: list[tuple[str, str]] = [
     ("MIT", "mit-grant * mit-notice * mit-asis * mit-liable"),
     ("MIT", "mit-grant * mit-notice"),
@@ -146,7 +152,8 @@ def known_sentences() -> dict[str, str]:
 
 def rule_table() -> list[tuple[str, str]]:
     """(pattern over ``,id,id,``, licence), in order; one rule per reference
-    after the rules of texts."""
+    after the rules of texts.  The SQL's table: its "*" passes every sentence
+    and uses it up, so the two agree on texts of one licence."""
     def pattern(sequence: str) -> str:
         out = ""
         for part in sequence.split():
@@ -156,12 +163,37 @@ def rule_table() -> list[tuple[str, str]]:
             + [("," + "ref-" + ident.lower().replace(".", "[.]") + ",", ident) for ident in NAMES])
 
 
+#: Identifiers; each is one character of a sequence.
+IDENTIFIERS = [*SENTENCES, *("ref-" + ident.lower() for ident in NAMES)]
+CHARS = [chr(0x100 + k) for k in range(len(IDENTIFIERS))]
+#: Stands where a rule has used up its opening sentence.
+USED = "\u0001"
+
+
+def matchers() -> list[tuple[str, str, str]]:
+    """(pattern, replacement, licence) over sequences, in order."""
+    char = dict(zip(IDENTIFIERS, CHARS))
+    barrier = USED + "".join(sorted({char[seq.split()[0]] for _, seq in RULES}))
+    out = []
+    for ident, seq in RULES:
+        pattern, kept, gap = "", USED, False
+        for part in seq.split():
+            if gap:
+                kept += f"${kept.count('$') + 1}"
+                pattern += f"([^{barrier}{char[part]}]*+)"
+            gap = part == "*"
+            pattern += "" if gap else char[part]
+        out.append((pattern, kept, ident))
+    return out + [(char["ref-" + ident.lower()], "", ident) for ident in NAMES]
+
+
 def _norm(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
 
 
 def _identifiers(text: Column, known: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order."""
+    """Identifiers of the known sentences of a text, in order, by their
+    place in ``IDENTIFIERS`` from 1."""
     whole_tags = F.regexp_replace(text, "(?i)(spdx-license-identifier):[ \\t]+", "$1 ")
     marked = F.regexp_replace(whole_tags, "([.!?;:])\\s+|\\n[ \\t\\r]*\\n", "$1\u0001")
     sentences = F.filter(F.split(marked, "\u0001"), lambda s: F.lower(s).rlike(TRIGGER))
@@ -179,25 +211,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ``identifiers`` in order and the ``licenses`` found (both comma-joined;
     licences distinct, in order of the rules), ``unmatched`` (identifiers no
     rule has used)."""
-    table = known_sentences()
-    known = F.create_map(*(F.lit(x) for kv in sorted(table.items()) for x in kv))
-    rules = F.array(*(F.struct(F.lit(p).alias("pattern"), F.lit(i).alias("license")) for p, i in rule_table()))
+    place = {ident: k for k, ident in enumerate(IDENTIFIERS, start=1)}
+    known = F.create_map(*(F.lit(x) for s, ident in sorted(known_sentences().items()) for x in (s, place[ident])))
+    names, chars = F.array(*map(F.lit, IDENTIFIERS)), F.array(*map(F.lit, CHARS))
+    rules = F.array(*(F.struct(F.lit(p).alias("pattern"), F.lit(k).alias("kept"), F.lit(i).alias("license"))
+                      for p, k, i in matchers()))
     base = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    none = F.array().cast("array<string>")
     found = base.select("doc_id", F.when(F.lower("text").rlike(TRIGGER), _identifiers(F.col("text"), known))
-                        .otherwise(none).alias("ids"))
-    # every identifier is followed by its own pair of commas, so that adjacent
-    # rules do not fight over a shared one
-    start = F.struct(F.concat(F.lit(","), F.array_join("ids", ","), F.lit(",")).alias("seq"), none.alias("found"))
+                        .otherwise(F.array().cast("array<int>")).alias("ids"))
+
+    def joined(values: Column, sep: str) -> Column:
+        return F.array_join(F.transform("ids", lambda k: F.element_at(values, k)), sep)
+
+    start = F.struct(joined(chars, "").alias("seq"), F.array().cast("array<string>").alias("found"))
 
     def use(acc: Column, rule: Column) -> Column:
         hit = F.regexp_like(acc["seq"], rule["pattern"])
         return F.when(hit, F.struct(
-            F.regexp_replace(acc["seq"], rule["pattern"], F.lit(",")).alias("seq"),
+            F.regexp_replace(acc["seq"], rule["pattern"], rule["kept"]).alias("seq"),
             F.array_union(acc["found"], F.array(rule["license"])).alias("found"))).otherwise(acc)
 
     matched = F.when(F.size("ids") > 0, F.aggregate(rules, start, use)).otherwise(start)
     return (found.select("doc_id", "ids", matched.alias("m"))
-            .select("doc_id", F.size("ids").cast("long").alias("n_known"), F.array_join("ids", ",").alias("identifiers"),
+            .select("doc_id", F.size("ids").cast("long").alias("n_known"), joined(names, ",").alias("identifiers"),
                     F.array_join("m.found", ",").alias("licenses"),
-                    F.size(F.filter(F.split(F.col("m.seq"), ","), lambda x: x != "")).cast("long").alias("unmatched")))
+                    F.length(F.translate("m.seq", USED, "")).cast("long").alias("unmatched")))

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -68,3 +69,51 @@ def test_awkward_rows(spark):
     out = L.scan(cases.docs(spark)).collect()
     assert Counter(r.doc_id for r in out) == Counter(r[0] for r in cases.rows()) and {r.licenses for r in out} == {""}
     assert L.scan(cases.empty(spark)).count() == 0
+
+
+def brute(ids):
+    """Licences and number of identifiers left, by trying every start; a rule
+    is followed sentence by sentence."""
+    opens, used, found = {seq.split()[0] for _, seq in L.RULES}, set(), []
+
+    def ends(start, parts):
+        at, hit = start + 1, [start]
+        for gap, part in zip(parts, parts[1:]):
+            if part == "*":
+                continue
+            while at < len(ids) and gap == "*" and ids[at] not in opens and (at in used or ids[at] != part):
+                at += 1
+            if at == len(ids) or at in used or ids[at] != part:
+                return None
+            hit.append(at)
+            at += 1
+        return hit
+
+    rules = [(ident, seq.split()) for ident, seq in L.RULES] + [(i, ["ref-" + i.lower()]) for i in L.NAMES]
+    for ident, parts in rules:
+        for start in range(len(ids)):
+            hit = ends(start, parts) if start not in used and ids[start] == parts[0] else None
+            if hit:
+                used.update(hit)
+                found += [ident] if ident not in found else []
+    return ",".join(found), len(ids) - len(used)
+
+
+ISC = S["isc-grant"] + "\n\n" + S["isc-asis"]
+
+
+def test_several_licences_in_one_text(spark):
+    notice = "\n\n".join([BSD2, ISC, "Licensed under the MIT License.", BSD3])
+    both = "\n\n".join([S["bsd-grant"], S["bsd-source"], "Released under the MIT License.", S["bsd-binary"], S["bsd-endorse"], S["bsd-asis"]])
+    rng, texts = random.Random(5), [notice, both, "\n\n".join([MIT, APACHE, MIT, BSD2])]
+    sentences = list(S.values()) + ["Licensed under the MIT License.", "SPDX-License-Identifier: ISC"]
+    for _ in range(60):
+        parts = [rng.choice([MIT, BSD2, BSD3, ISC, APACHE, *sentences]) for _ in range(rng.randint(2, 8))]
+        whole = "\n\n".join(parts).split("\n\n")
+        texts.append("\n\n".join(x for x in whole if rng.random() < 0.95))
+    got = {r.doc_id: r for r in L.scan(cases.docs(spark, [(k, t, "en", "a", 1, *cases.EXTRA) for k, t in enumerate(texts)])).collect()}
+    assert (got[0].licenses, got[0].unmatched) == ("BSD-3-Clause,BSD-2-Clause,ISC,MIT", 0)
+    assert (got[1].licenses, got[1].unmatched) == ("BSD-3-Clause,MIT", 0)
+    assert (got[2].licenses, got[2].unmatched) == ("MIT,BSD-2-Clause,Apache-2.0", 0)
+    for k in range(len(texts)):
+        assert (got[k].licenses, got[k].unmatched) == brute(got[k].identifiers.split(",") if got[k].identifiers else []), texts[k]
