@@ -117,3 +117,12 @@ def test_several_licences_in_one_text(spark):
     assert (got[2].licenses, got[2].unmatched) == ("MIT,BSD-2-Clause,Apache-2.0", 0)
     for k in range(len(texts)):
         assert (got[k].licenses, got[k].unmatched) == brute(got[k].identifiers.split(",") if got[k].identifiers else []), texts[k]
+
+
+def test_long_texts(spark):
+    n = 50_000
+    texts = [S["mit-grant"] + "\n\n" + "All rights reserved.\n\n" * n,
+             (S["mit-grant"] + "\n\n") * n + S["mit-notice"]]
+    rows = [(k, t, "en", "a", 1, *cases.EXTRA) for k, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_known, r.licenses, r.unmatched) for r in L.scan(cases.docs(spark, rows)).collect()}
+    assert got == {0: (n + 1, "", n + 1), 1: (n + 1, "MIT", n - 1)}
