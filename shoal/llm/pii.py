@@ -19,7 +19,8 @@ with a digit or ``@``, and runs of digit groups.  Nodes are the base spans
 
 Loopy sum-product passes messages until they settle.  A free node whose
 marginal for one kind exceeds ``THRESHOLD`` becomes a span of that kind; so a
-phone number written once with and once without its ``+`` is found twice.
+phone number written once with and once without its ``+`` is found twice.  The
+field runs over every document with a candidate, with or without base spans.
 
 Training is piecewise: unary weights by multinomial logistic regression, the
 two pair tables by smoothed log odds.  Base spans are the labels; a candidate
@@ -201,7 +202,7 @@ def marginals(unary: np.ndarray, edges: list[tuple[int, int]], tables: list[np.n
 
 def added_spans(text: str, nodes: list[tuple[int, int, int]], model: dict | None) -> list[tuple[int, int, int]]:
     """Spans the field finds among the free nodes.  Label 0 is "other"."""
-    if model is None or not any(n[1] < 0 for n in nodes) or all(n[1] < 0 for n in nodes) and not model["alone"]:
+    if model is None or not any(n[1] < 0 for n in nodes):
         return []
     tokens = [text[s:e] for s, _, e in nodes]
     unary = np.array([shape(t) for t in tokens]) @ model["unary"]
@@ -281,7 +282,7 @@ def train(docs: DataFrame) -> dict | None:
         share = t / t.sum()
         return np.clip(np.log(share / np.outer(share.sum(1), share.sum(0))), -most, most)
 
-    return {"unary": w, "chain": odds(chain, 0.5), "skip": odds(skip, 3.0), "alone": False}
+    return {"unary": w, "chain": odds(chain, 0.5), "skip": odds(skip, 3.0)}
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:

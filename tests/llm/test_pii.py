@@ -98,3 +98,22 @@ def test_without_any_base_span_and_empty(spark):
     rows = [(1, "x9 12", "en", "a", 1, *cases.EXTRA), (2, None, "en", "a", 1, *cases.EXTRA)]
     assert [r.spans for r in pii.find(cases.docs(spark, rows)).collect()] == ["", ""]
     assert pii.find(cases.empty(spark)).count() == 0
+
+
+def test_documents_without_base_spans(spark):
+    # phone numbers are written with and without "+", addresses also obfuscated
+    rows = [(100 + k, person(k) + f" or 687-555-{2000 + k} or a{k}b(at)mail.example.org", "en", "a", 1, *cases.EXTRA) for k in range(60)]
+    texts = {500: "call 687-555-2224 today, that is (687) 555-2224", 501: "mail bob.lee99(at)host.org, BOB.LEE99[at]host.org",
+             502: "only 12 numbers 3.0 and x9"}
+    model = pii.train(cases.docs(spark, rows))
+    by = {r.doc_id: r for r in pii.find(cases.docs(spark, [(i, t, "en", "a", 1, *cases.EXTRA) for i, t in texts.items()]), model=model).collect()}
+    for i, text in texts.items():
+        base, nodes = pii.nodes_of(text)
+        assert not base
+        tokens = [text[s:e] for s, _, e in nodes]
+        skip, chain = pii.skip_edges(tokens), [(k, k + 1) for k in range(len(nodes) - 1)]
+        p = exact(np.array([pii.shape(t) for t in tokens]) @ model["unary"], chain + skip,
+                  [model["chain"]] * len(chain) + [model["skip"]] * len(skip))
+        want = [f"{pii.KINDS[q.argmax() - 1]}:{s}:{e}" for q, (s, _, e) in zip(p, nodes) if q.argmax() and q.max() > pii.THRESHOLD]
+        assert by[i].spans == ",".join(want)
+    assert by[500].n_added == 2 and by[502].n_added == 0
