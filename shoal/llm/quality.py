@@ -1,83 +1,63 @@
-"""Quality classifier: interpolated modified Kneser-Ney over characters.
-
-The model is an n-gram model of order ``ORDER`` over a fixed alphabet of
-``SYMBOLS`` character classes, trained on every trusted document.  Counting
-runs over all trusted text in Arrow batches; the partial counts are summed by
-n-gram, and the Kneser-Ney quantities (continuation counts, counts of counts,
-context totals) are joins and aggregations of count tables that are sharded
-by n-gram and by context, order by order.
-
-A document's score is the mean of -log2 p(symbol | previous symbols), the
-logarithm of its perplexity, less ``MARGIN`` standard errors of that mean, so
-that a short text is not condemned by a few odd characters.  A document is
-rejected when its score exceeds the ``QUANTILE`` of the trusted documents of
-its language (all languages together where a language has fewer than
-``MIN_TRUSTED``).  Quantiles come from histograms with a bin width of 0.001
-bits: exact to a bin, the same in every run, and no language is one task's
-work.
-
-Why characters: joining every document's word n-grams with sharded counts
-shuffles several times the input, more than the disk allowance.  Over a fixed
-alphabet the joined table has at most SYMBOLS**ORDER entries (2**24), a size
-bound that does not depend on the corpus, so it is broadcast and the texts
-stay where they are.
-
-Null and empty texts have no perplexity and are kept; null languages are a
-language of their own; a document labelled more than once is trusted only if
-all its labels say so; without any trusted document nothing is rejected.
+"""Quality classifier: interpolated modified Kneser-Ney over words.
+
+A document is a sequence of words (runs of letters and digits, and runs of
+other marks).  Its model is a word bigram model, interpolated with the word
+unigrams and these with a spelling model, so that an unknown word costs what
+its letters cost.  All counts of all trusted texts are tables sharded by
+hashed n-gram and grow with the text; no table of words is gathered or
+broadcast.  Each document's n-grams, counted within the document, are joined
+to the bigrams, to their contexts and to the words, and summed per document.
+
+The spelling model is of order ``ORDER`` over ``SYMBOLS`` hashed characters
+(code point modulo SYMBOLS - 1, so that neighbours in any script differ).  It
+has at most SYMBOLS**ORDER entries and is broadcast.
+
+Every score is held out: texts fall into two folds by their hash, and a text is
+scored by the counts of the other fold, trusted or not.  The fold is the
+lowest bit of every hashed n-gram.  A fold whose other has no trusted text has
+no scores.
+
+A document's score is the mean of -log2 p(word | word before), the logarithm
+of its perplexity, less ``MARGIN`` standard errors of that mean, so that a
+short text is not condemned by a few odd words.  A document is rejected when
+its score exceeds the ``QUANTILE`` of the trusted documents of its language
+(all languages together where a language has fewer than ``MIN_TRUSTED``).
+Quantiles come from histograms with a bin width of 0.001 bits: exact to a bin,
+and no language is one task's work.
+
+Null texts and texts without words have no perplexity and are kept; null
+languages are a language of their own; a document labelled more than once is
+trusted only if all its labels say so; without any trusted document nothing is
+rejected.
 """
 
 from __future__ import annotations
 
-import unicodedata
+import re
 import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, evict, resident, ship, small, strings, text_of
+from shoal.llm.common import cut, evict, resident, shared_dir, ship, small, strings, text_of
 
 ORDER, SYMBOLS = 4, 64
 QUANTILE, MARGIN, MIN_TRUSTED = 0.995, 2.0, 20
 BIN = 0.001
 CHUNK = 1 << 21
 
-# Letters with a class of their own besides a-z.
-LETTERS = "éèêàçùäöüßñíóáú"
-# Further classes, one per group of characters.
-GROUPS = (" \t ", "\n\r", ".", ",", "'’\"«»", "-–—", "!", "?", "|", ":;", "()[]{}<>",
-          "#", "$%&", "*_=+~^", "@/\\")
-
-
-def _classes() -> np.ndarray:
-    """Class of every code point of the basic plane; 0 marks a text's start."""
-    single = {ch: k for k, ch in enumerate("abcdefghijklmnopqrstuvwxyz" + LETTERS, start=1)}
-    n = len(single)
-    for k, group in enumerate(GROUPS, start=n + 5):
-        single.update(dict.fromkeys(group, k))
-    assert n + 5 + len(GROUPS) <= SYMBOLS
-
-    def of(code: int) -> int:
-        ch = chr(code)
-        if ch in single:
-            return single[ch]
-        kind = unicodedata.category(ch)
-        return n + (1 if kind in ("Lu", "Lt") else 2 if kind[0] == "L" else 3 if kind[0] == "N" else 4)
-
-    return np.array([of(c) for c in range(1 << 16)], dtype=np.int32)
-
-
-_CLASSES: list[np.ndarray] = []
+_WORD = re.compile(r"\w+|[^\w\s]+")
+_START = np.uint64(0x243F6A8885A308D3)
 
 
 def symbols(text: str) -> np.ndarray:
-    if not _CLASSES:
-        _CLASSES.append(_classes())
+    """Hashed characters; 0 marks a text's start."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    return _CLASSES[0][np.minimum(codes, 0xFFFF)]
+    return (codes % (SYMBOLS - 1) + 1).astype(np.int32)
 
 
 def grams(text: str) -> np.ndarray:
@@ -182,48 +162,156 @@ def bits_table(model: list) -> np.ndarray:
     return np.negative(p, out=p)
 
 
-def _table(key: str, model: list) -> np.ndarray:
-    """One table per model and Python worker."""
-    return resident(key, lambda: bits_table(model))
+def spelling_bits(words: list[str], table: np.ndarray) -> np.ndarray:
+    """Bits of each word and the space after it.  It starts after a space
+    whose own past is unknown, so the model backs off to the word's part."""
+    length = np.array([len(w) for w in words]) + 1
+    s = symbols("".join(f"\0\0 {w} " for w in words))
+    ends = np.cumsum(length + 3)
+    for k in (0, 1):
+        s[ends - length - 3 + k] = 0
+    s = np.concatenate([np.zeros(ORDER - 1, dtype=np.int32), s])
+    n = len(s) - ORDER + 1
+    number = np.zeros(n, dtype=np.int32)
+    for k in range(ORDER):
+        number = number * SYMBOLS + s[k:k + n]
+    upto = np.concatenate([[0.0], np.cumsum(table[number], dtype=np.float64)])
+    return upto[ends] - upto[ends - length]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
 
-def _score(text: str, table: np.ndarray) -> tuple[int, float | None, float | None]:
-    """Symbols, mean bits and score of a text."""
-    if not text:
-        return 0, None, None
-    each = table[grams(text)]
-    mean = float(each.mean(dtype=np.float64))
-    return len(each), mean, mean - MARGIN * float(each.std(dtype=np.float64)) / len(each) ** 0.5
+def _keys(h: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    return ((_mixed(h) & ~np.uint64(1)) | fold.astype(np.uint64)).view(np.int64)
 
 
-def score(docs: DataFrame, model: list, id_col: str = "doc_id", text_col: str = "text",
-          lang_col: str = "lang") -> DataFrame:
-    """``doc_id, lang, n_symbols, bits, score``, one row per input row."""
-    tables, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+def bigrams(texts: list[str], folds: list[int]) -> tuple:
+    """Words of the texts in a row, and for each the number of its text and
+    the hashed bigram, context and word in the text's fold."""
+    found = [_WORD.findall(t) for t in texts]
+    words = [w for f in found for w in f]
+    n = np.array([len(f) for f in found], dtype=np.int64)
+    doc = np.repeat(np.arange(len(texts)), n)
+    h = pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, dtype=np.uint64)
+    before = np.concatenate([[_START], h[:-1]]) if words else h
+    before[(np.cumsum(n) - n)[n > 0]] = _START
+    fold = np.array(folds, dtype=np.int64)[doc]
+    return words, doc, _keys(_mixed(before) + np.uint64(3) * h, fold), _keys(before, fold), _keys(h, fold)
 
+
+def count_words(texts: DataFrame) -> DataFrame:
+    """``g, c, w, n``: bigrams, their contexts and words, over all rows of
+    ``texts`` (``text, fold``)."""
     def run(batches):
-        table = _table(key, tables.value)
+        evict()
         for b in batches:
-            n, bits, low = zip(*(_score(t, table) for t in strings(b.column(2)))) if len(b) else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(bits, pa.float64()), pa.array(low, pa.float64())],
-                ["doc_id", "lang", "n_symbols", "bits", "score"])
+            for k in range(0, len(b), 256):
+                some = b.slice(k, 256)
+                _, _, g, c, w = bigrams(some.column(0).to_pylist(), some.column(1).to_pylist())
+                found, first, n = np.unique(g, return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (found, c[first], w[first], n)],
+                                                 ["g", "c", "w", "n"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
-                        text_of(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, lang string, n_symbols long, bits double, score double"))
+    return texts.mapInArrow(run, "g long, c long, w long, n long").groupBy("g", "c", "w").agg(F.sum("n").alias("n"))
 
 
-def score_column(spark, model: list, text):
-    """The score as a column, for filtering rows where they are."""
-    tables, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
-
-    @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        table = _table(key, tables.value)
-        return pd.Series([_score(t, table)[2] for t in texts], dtype="float64")
+def _discounted(counts: DataFrame):
+    d1, d2, d3 = _discounts(counts)
+    return F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+
+
+def train_words(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sharded tables: ``g, a2`` (discounted share of a bigram) and ``h, a1,
+    left``: a word's share among all, and the mass it leaves as a context
+    (null where it is none); and by fold the mass left to spellings."""
+    counts = cut(count_words(texts))
+    kept = counts.withColumn("d", _discounted(counts))
+    contexts = kept.groupBy("c").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
+    pairs = kept.join(contexts, "c").select("g", ((F.col("n") - F.col("d")) / F.col("total")).alias("a2"))
+    # lower order: the distinct words before
+    ones = cut(counts.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    ones = ones.withColumn("d", _discounted(ones)).withColumn("fold", F.col("w").bitwiseAND(F.lit(1)))
+    whole = ones.groupBy("fold").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
+    one = (ones.join(F.broadcast(whole), "fold")
+           .select(F.col("w").alias("h"), ((F.col("n") - F.col("d")) / F.col("total")).alias("a1")))
+    left = contexts.select(F.col("c").alias("h"), (F.col("held") / F.col("total")).alias("left"))
+    rest = whole.select("fold", (F.col("held") / F.col("total")).alias("rest"))
+    return cut(pairs), cut(one.join(left, "h", "full")), cut(rest)
+
+
+def _document_bigrams(keyed: DataFrame, models: list) -> DataFrame:
+    """``doc_id, th, g, c, w, n, fold, spelled`` of every document, counted
+    within it."""
+    tables, key = keyed.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
+    names = ["doc_id", "th", "g", "c", "w", "n", "fold", "spelled"]
 
-    return run(text)
+    def run(batches):
+        bits = resident(key, lambda: [m and bits_table(m) for m in tables.value])
+        for b in batches:
+            for at in range(0, len(b), 256):
+                for fold in (0, 1):
+                    some = b.slice(at, 256)
+                    some = some.filter(pa.compute.equal(some.column(3), fold))
+                    if not len(some) or bits[fold] is None:
+                        continue
+                    words, doc, g, c, w = bigrams(some.column(2).to_pylist(), some.column(3).to_pylist())
+                    if not words:
+                        continue
+                    order = np.lexsort((g, doc))
+                    new = np.ones(len(order), dtype=bool)
+                    new[1:] = (np.diff(g[order]) != 0) | (np.diff(doc[order]) != 0)
+                    first = order[new]
+                    n = np.diff(np.append(np.flatnonzero(new), len(order)))
+                    at_word, back = np.unique(w[first], return_index=True, return_inverse=True)[1:]
+                    spelled = spelling_bits([words[first[k]] for k in at_word], bits[fold])[back]
+                    rows = pa.array(doc[first])
+                    yield pa.RecordBatch.from_arrays(
+                        [some.column(0).take(rows), some.column(1).take(rows),
+                         *(pa.array(x, pa.int64()) for x in (g[first], c[first], w[first], n)),
+                         pa.array(np.full(len(first), fold), pa.int32()), pa.array(spelled, pa.float64())], names)
+
+    return (keyed.select("doc_id", "th", "text", "fold")
+            .mapInArrow(run, "doc_id long, th long, g long, c long, w long, n long, fold int, spelled double"))
+
+
+def fold_of(text):
+    """Fold of a text: copies share it."""
+    return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
+
+
+def score(docs: DataFrame, models: list, pairs: DataFrame, words: DataFrame, rest: DataFrame, id_col: str = "doc_id",
+          text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``doc_id, th, lang, n_symbols, bits, score``, one row per input row;
+    ``th`` is the text's hash.  A text is scored by the other fold's counts."""
+    text = text_of(text_col)
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"),
+                        F.col(lang_col).cast("string").alias("lang"), text.alias("text"), (1 - fold_of(text)).alias("fold"))
+    context = words.select(F.col("h").alias("c"), "left")
+    word = words.select(F.col("h").alias("w"), "a1")
+    p = (F.coalesce("a2", F.lit(0.0)) + F.coalesce("left", F.lit(1.0))
+         * (F.coalesce("a1", F.lit(0.0)) + F.col("rest") * F.pow(F.lit(2.0), -F.col("spelled"))))
+    each = (_document_bigrams(keyed, models).join(F.broadcast(rest), "fold").join(pairs, "g", "left")
+            .join(context, "c", "left").join(word, "w", "left")
+            .select("doc_id", "th", "n", (-F.log2(F.greatest(p, F.lit(1e-300)))).alias("b")))
+    sums = each.groupBy("doc_id", "th").agg(F.sum("n").alias("n"), F.sum(F.expr("n * b")).alias("s"),
+                                            F.sum(F.expr("n * b * b")).alias("ss"))
+    # a repeated row has its words counted as often
+    rows = keyed.select("doc_id", "th", "lang", F.length("text").cast("long").alias("n_symbols"))
+    times = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"))
+
+    def same(a: str, b: str):
+        return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
+
+    own = (sums.alias("a").join(times.alias("b"), same("a", "b"))
+           .select("a.doc_id", "a.th", (F.col("n") / F.col("times")).alias("n"), (F.col("s") / F.col("n")).alias("bits"),
+                   (F.col("ss") / F.col("n")).alias("squares")))
+    spread = F.sqrt(F.greatest(F.col("squares") - F.col("bits") * F.col("bits"), F.lit(0.0)) / F.col("n"))
+    return (rows.alias("a").join(own.alias("b"), same("a", "b"), "left")
+            .select("a.doc_id", "a.th", "lang", "n_symbols", "bits", (F.col("bits") - MARGIN * spread).alias("score")))
 
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -243,25 +331,31 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, text_col: str, lang_col: str):
-    """Model, scores of all rows, thresholds by language and overall; None
-    without trusted text.
+    """Scores of all rows, thresholds by language and overall; None without
+    trusted text.
 
     Trusted texts are picked by a sort-merge join at every size: the table of
     ids grows with the labels, and a plan that broadcasts it would only hold
-    for a small corpus."""
-    ship(docs.sparkSession)
+    for a small corpus.  They are read three times, so they are stored."""
+    spark = docs.sparkSession
+    ship(spark)
     ids = cut(trusted_ids(labels))
-    texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-             .join(ids.hint("merge"), "doc_id", "left_semi").select("text"))
-    model = train(texts)
-    if model is None:
+    path = f"{shared_dir(spark).rstrip('/')}/trusted-{uuid.uuid4().hex}"
+    (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+     .join(ids.hint("merge"), "doc_id", "left_semi").select("text", fold_of(F.col("text")).alias("fold"))
+     .write.parquet(path))
+    texts = spark.read.schema("text string, fold int").parquet(path)
+    models = [train(texts.filter(F.col("fold") == k).select("text")) for k in (0, 1)]
+    if models == [None, None]:
         return None
-    scored = cut(score(docs, model, id_col, text_col, lang_col))
+    scored = cut(score(docs, models, *train_words(texts), id_col, text_col, lang_col))
     borders = cut(thresholds(scored.join(ids, "doc_id", "left_semi"), quantile))
     overall = borders.filter("everywhere").first()
     overall = F.lit(overall.threshold if overall else None).cast("double")
     own = borders.filter("not everywhere").select(F.col("lang").alias("__lang"), F.col("threshold").alias("__own"))
-    return model, scored, small(own), overall
+    return (scored.join(small(own), F.col("lang").eqNullSafe(F.col("__lang")), "left")
+            .withColumn("threshold", F.coalesce("__own", overall))
+            .withColumn("kept", F.col("score").isNull() | F.col("threshold").isNull() | (F.col("score") <= F.col("threshold"))))
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
@@ -274,24 +368,19 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_
         return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                            F.length(text_of(text_col)).cast("long").alias("n_symbols"), nothing.alias("perplexity"),
                            nothing.alias("score"), nothing.alias("threshold"), F.lit(True).alias("kept"))
-    _, scored, own, overall = fitted
-    out = (scored.join(own, F.col("lang").eqNullSafe(F.col("__lang")), "left")
-           .withColumn("threshold", F.coalesce("__own", overall)))
-    kept = F.col("score").isNull() | F.col("threshold").isNull() | (F.col("score") <= F.col("threshold"))
-    return out.select("doc_id", "lang", "n_symbols", F.pow(F.lit(2.0), "bits").alias("perplexity"), "score", "threshold",
-                      kept.alias("kept"))
+    return fitted.select("doc_id", "lang", "n_symbols", F.pow(F.lit(2.0), "bits").alias("perplexity"), "score",
+                         "threshold", "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id_col: str = "doc_id",
               text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps, all columns.  Rows are
-    scored again where they are, so texts are not joined by id."""
+    """The rows of ``docs`` that ``classify`` keeps, all columns."""
     fitted = _fitted(docs, labels, quantile, id_col, text_col, lang_col)
     if fitted is None:
         return docs
-    model, _, own, overall = fitted
-    marked = (docs.withColumn("__score", score_column(docs.sparkSession, model, text_of(text_col)))
-              .join(own, F.col(f"`{lang_col}`").cast("string").eqNullSafe(F.col("__lang")), "left")
-              .withColumn("__limit", F.coalesce("__own", overall)))
-    return (marked.filter("__score is null or __limit is null or __score <= __limit")
-            .select(*docs.columns))
+    lang = F.col(f"`{lang_col}`").cast("string")
+    out = cut(fitted.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"),
+                                               F.col("lang").alias("__lang")).distinct())
+    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & lang.eqNullSafe(F.col("__lang"))
+            & (F.xxhash64(text_of(text_col)) == F.col("__th")))
+    return docs.join(small(out), same, "left_anti")

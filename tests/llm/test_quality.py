@@ -117,3 +117,48 @@ def test_thresholds_are_quantiles(spark):
         t = next(r.threshold for r in got if r.lang == lang and not r.everywhere)
         assert want <= t <= want + Q.BIN + 1e-9
     assert not [r for r in got if r.lang == "rare"] and sum(r.everywhere for r in got) == 1
+
+
+def test_word_scores_equal_definition(spark):
+    """Bigrams over words by their recursive definition, held out by fold."""
+    rows = [(k, cases.prose(k, 40) + " É 3!", "en", "a", 1, *cases.EXTRA) for k in range(60)] + [(60, "漢字 の an the || an", "en", "a", 1, *cases.EXTRA)]
+    rows.append(rows[3])  # a repeated row
+    df = cases.docs(spark, rows)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(60)], LABELS)
+    fold = {r.doc_id: r.fold for r in df.select("doc_id", Q.fold_of(df.text).alias("fold")).collect()}
+    got = Q.classify(df, labels).collect()
+    tables = [Q.bits_table(Q.train(spark.createDataFrame([(r[1],) for r in rows if r[0] < 60 and fold[r[0]] == f], "text string"))) for f in (0, 1)]
+    two = [Counter(), Counter()]
+    for r in rows:
+        if r[0] < 60:
+            s = [""] + Q._WORD.findall(r[1])
+            two[fold[r[0]]].update(zip(s, s[1:]))
+    one = [Counter(g[1] for g in t) for t in two]
+
+    def discounts(counts):
+        c = Counter(n for t in counts for n in t.values())
+        y = c[1] / (c[1] + 2 * c[2])
+        d = [1 - 2 * y * c[2] / c[1], 2 - 3 * y * c[3] / c[2], 3 - 4 * y * c[4] / c[3] if c[3] else 2.0]
+        return [min(max(x, 0.05), j - 0.05) for j, x in enumerate(d, 1)]
+
+    d1, d2 = discounts(one), discounts(two)
+
+    def p(f, a, b):
+        base = 2 ** -Q.spelling_bits([b], tables[f])[0]
+        total = sum(one[f].values())
+        held = sum(d1[min(n, 3) - 1] for n in one[f].values())
+        n = one[f][b]
+        low = (n - d1[min(n, 3) - 1] if n else 0) / total + held / total * base
+        after = [n for g, n in two[f].items() if g[0] == a]
+        if not after:
+            return low
+        n = two[f][a, b]
+        return (n - d2[min(n, 3) - 1] if n else 0) / sum(after) + sum(d2[min(x, 3) - 1] for x in after) / sum(after) * low
+
+    assert len(got) == len(rows)
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        s = [""] + Q._WORD.findall(text[r.doc_id])
+        bits = [-math.log2(p(1 - fold[r.doc_id], a, b)) for a, b in zip(s, s[1:])]
+        assert abs(math.log2(r.perplexity) - np.mean(bits)) < 1e-3
+        assert abs(r.score - (np.mean(bits) - Q.MARGIN * np.std(bits) / len(bits) ** 0.5)) < 1e-3
