@@ -162,3 +162,38 @@ def test_word_scores_equal_definition(spark):
         bits = [-math.log2(p(1 - fold[r.doc_id], a, b)) for a, b in zip(s, s[1:])]
         assert abs(math.log2(r.perplexity) - np.mean(bits)) < 1e-3
         assert abs(r.score - (np.mean(bits) - Q.MARGIN * np.std(bits) / len(bits) ** 0.5)) < 1e-3
+
+
+def chained(words, seed, n):
+    """Words of which each has three that may follow."""
+    rng, at, out = random.Random(seed), 0, []
+    for _ in range(n):
+        at = (at * 3 + rng.randint(1, 3)) % len(words)
+        out.append(words[at])
+    return out
+
+
+def test_junk_that_characters_do_not_show(spark):
+    def vocabulary(letters, seed):
+        rng = random.Random(seed)
+        return ["".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(200)]
+
+    rows, labels, junk, good, k = [], [], set(), set(), 0
+    for lang, letters in (("en", "aeinorst"), ("ru", "аеинорстлкмд"), ("el", "αεινορστ")):
+        words = vocabulary(letters, lang)
+        for _ in range(330):
+            rows.append((k, " ".join(chained(words, k, 80)), lang, "a", 1, *cases.EXTRA))
+            if k % 330 < 270:
+                labels.append((k, 1, 0))
+            else:
+                good.add(k)
+            k += 1
+        for j in range(20):  # ordinary words in wrong order, one word repeated, other words of the same letters
+            rng = random.Random(k)
+            mixed = rng.sample(words, 80) if j % 3 == 0 else [words[j]] * 80 if j % 3 == 1 else rng.sample(vocabulary(letters, f"{lang}{j}"), 80)
+            rows.append((k, " ".join(mixed), lang, "a", 1, *cases.EXTRA))
+            junk.add(k)
+            k += 1
+    kept = {r.doc_id for r in Q.classify(cases.docs(spark, rows), spark.createDataFrame(labels, LABELS)).collect() if r.kept}
+    assert not junk & kept
+    assert len(good & kept) >= 0.97 * len(good)
