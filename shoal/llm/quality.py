@@ -20,8 +20,11 @@ no scores.
 A document's score is the mean of -log2 p(word | word before), the logarithm
 of its perplexity, less ``MARGIN`` standard errors of that mean, so that a
 short text is not condemned by a few odd words.  A document is rejected when
-its score exceeds the ``QUANTILE`` of the trusted documents of its language
-(all languages together where a language has fewer than ``MIN_TRUSTED``).
+its score exceeds the ``QUANTILE`` of the trusted documents of its language.
+A language with fewer than 1 / (1 - quantile) of them would be judged by its
+largest trusted score; its limit is its mean and the quantile of the distances
+of trusted documents, of all languages, from their language's mean.  Languages
+with fewer than ``MIN_TRUSTED`` take the quantile of all languages together.
 Quantiles come from histograms with a bin width of 0.001 bits: exact to a bin,
 and no language is one task's work.
 
@@ -33,6 +36,7 @@ rejected.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 
@@ -319,15 +323,26 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     ``everywhere`` true for all languages together."""
     bins = (scored.filter("score is not null").select("lang", F.floor(F.col("score") / BIN).alias("bin"))
             .groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")))
-    both = (bins.withColumn("everywhere", F.lit(False))
-            .unionByName(bins.groupBy("bin").agg(F.sum("n").alias("n"))
-                         .select(F.lit(None).cast("string").alias("lang"), "bin", "n", F.lit(True).alias("everywhere"))))
-    group = Window.partitionBy("everywhere", "lang")
-    return (both.withColumn("upto", F.sum("n").over(group.orderBy("bin")))
-            .withColumn("total", F.sum("n").over(group))
-            .filter(F.col("upto") >= F.ceil(F.col("total") * quantile))
-            .groupBy("everywhere", "lang", "total").agg(((F.min("bin") + 1) * BIN).alias("threshold"))
-            .filter(f"everywhere or total >= {MIN_TRUSTED}").select("everywhere", "lang", "threshold"))
+    enough = math.ceil(1 / (1 - quantile) - 1e-9)
+    centre = (bins.groupBy("lang").agg(F.sum("n").alias("total"), (F.sum(F.expr("n * (bin + 0.5)")) / F.sum("n")).alias("mean"))
+              .filter(f"total >= {MIN_TRUSTED}").select(F.col("lang").alias("__lang"), "total", "mean"))
+    away = (bins.join(centre, F.col("lang").eqNullSafe(F.col("__lang")))
+            .groupBy(F.floor(F.col("bin") + 0.5 - F.col("mean")).alias("bin")).agg(F.sum("n").alias("n")))
+    none = F.lit(None).cast("string").alias("lang")
+    both = (bins.select(F.lit("own").alias("kind"), "lang", "bin", "n")
+            .unionByName(bins.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit("all").alias("kind"), none, "bin", "n"))
+            .unionByName(away.select(F.lit("away").alias("kind"), none, "bin", "n")))
+    group = Window.partitionBy("kind", "lang")
+    found = cut(both.withColumn("upto", F.sum("n").over(group.orderBy("bin")))
+                .withColumn("total", F.sum("n").over(group))
+                .filter(F.col("upto") >= F.ceil(F.col("total") * quantile))
+                .groupBy("kind", "lang", "total").agg(((F.min("bin") + 1) * BIN).alias("threshold")))
+    tail = found.filter("kind = 'away'").select(F.col("threshold").alias("tail"))
+    few = (centre.filter(f"total < {enough}").crossJoin(F.broadcast(tail))
+           .select(F.lit(False).alias("everywhere"), F.col("__lang").alias("lang"),
+                   (F.col("mean") * BIN + F.col("tail")).alias("threshold")))
+    return (found.filter(f"kind = 'all' or kind = 'own' and total >= {enough}")
+            .select((F.col("kind") == "all").alias("everywhere"), "lang", "threshold").unionByName(few))
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, text_col: str, lang_col: str):

@@ -197,3 +197,14 @@ def test_junk_that_characters_do_not_show(spark):
     kept = {r.doc_id for r in Q.classify(cases.docs(spark, rows), spark.createDataFrame(labels, LABELS)).collect() if r.kept}
     assert not junk & kept
     assert len(good & kept) >= 0.97 * len(good)
+
+
+def test_languages_with_few_trusted_documents(spark):
+    rng = random.Random(4)
+    data = [("many", rng.gauss(10, 1)) for _ in range(4000)]
+    data += [(f"few{k}", rng.gauss(5 + k / 10, 1)) for k in range(60) for _ in range(20)]
+    got = {r.lang: r.threshold for r in Q.thresholds(spark.createDataFrame(data, "lang string, score double")).collect() if not r.everywhere}
+    assert len(got) == 61
+    # clean documents beyond the limit: 1 in 21 by the largest of 20
+    lost = np.mean([rng.gauss(5 + k / 10, 1) > got[f"few{k}"] for k in range(60) for _ in range(500)])
+    assert lost < 0.012
