@@ -904,7 +904,7 @@ def fmwt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
 
 @register("fmwt_job")
 def q_fmwt_job(spark: SparkSession, d: str) -> DataFrame:
-    """K3 end to end (P1-P4, P9-P10, P14, P18, P23, P25-P27, J1, J7, A1, A4,
+    """K3 end to end (P2-P4, P9-P10, P14, P18, P23, P25-P27, J1, J7, A1, A4,
     A11, S2) on the driver tables in the FMWT roles."""
     tables, species = fmwt_tables(spark, d)
     ds = surveys.fmwt(tables, species).dataset
