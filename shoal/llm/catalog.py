@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, sharding
+from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, runs, sharding
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -106,3 +106,10 @@ def op2(spark: SparkSession, d: str) -> DataFrame:
 def op4(spark: SparkSession, d: str) -> DataFrame:
     """Groups and number of links of every row of ``documents``."""
     return ngram_join.join(table(spark, d, "documents")).drop("text_key")
+
+
+@register("op12_runs")
+def op12(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of words in every text of ``documents``, one text in ten made
+    periodic, and the texts without the repetitions."""
+    return runs.digests(runs.detect(runs.repeat_words(table(spark, d, "documents"))))
