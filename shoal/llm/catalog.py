@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, runs, sharding
+from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, runs, sharding, trie
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -113,3 +113,10 @@ def op12(spark: SparkSession, d: str) -> DataFrame:
     """Runs of words in every text of ``documents``, one text in ten made
     periodic, and the texts without the repetitions."""
     return runs.digests(runs.detect(runs.repeat_words(table(spark, d, "documents"))))
+
+
+@register("op13_prefix_trie")
+def op13(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of the trie of ``conversations``, each beginning with turns of
+    its block of five."""
+    return trie.nodes(trie.share_heads(trie.paths_of(table(spark, d, "conversations"))))

@@ -125,3 +125,36 @@ FROM {last}
 
 
 SQL["op5_license_scan"] = _licences()
+
+# Conversations as lists of turns; every prefix of a rebuilt one is a node's path.  Turns are ordered by the digest that names
+# them where turn numbers tie.  CRC-32 (reflected, polynomial 0xEDB88320) bit by bit over the id's digits.
+SQL["op13_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, {'known': turn IS NOT NULL, 'turn': turn,
+                   'name': substr(sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32),
+                   'turn_of': {'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list_transform(list_sort(list(t)), lambda x: x.turn_of) AS own FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, conv_id - conv_id % 5 AS head_of,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                 lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295::BIGINT) % 9 AS h
+  FROM c),
+r AS (SELECT h.conv_id, coalesce(p.own[1:h.h], []) || h.own[h.h + 1:] AS turns FROM h LEFT JOIN c p ON p.conv_id = h.head_of),
+m AS (SELECT conv_id, len(turns) AS n, d, turns[1:d] AS path FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN d = 0 THEN 0 ELSE count(*) - 1 END * CASE WHEN d = 0 THEN 0 ELSE strlen(path[d].text) END AS own_saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM m GROUP BY path, d),
+k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+a AS (
+  SELECT path[1:e] AS path, sum(own_saved) AS saved_tokens, sum(leaf) AS n_leaves
+  FROM (SELECT n.path, own_saved, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(depth + 1)) AS e
+        FROM n LEFT JOIN k ON k.path = n.path) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN a ON a.path = n.path LEFT JOIN k ON k.path = n.path
+LEFT JOIN n p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
