@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, runs, sharding, trie
+from shoal.llm import ann, bpe, chat, license, mixing, ngram_join, pii, quality, runs, sharding, toxicity, trie
 from shoal.llm import exact_dedup as dedup
 from shoal.llm.common import table
 
@@ -120,3 +120,9 @@ def op13(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of the trie of ``conversations``, each beginning with turns of
     its block of five."""
     return trie.nodes(trie.share_heads(trie.paths_of(table(spark, d, "conversations"))))
+
+
+@register("op11_toxicity_cnn")
+def op11(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity of every text of ``documents``."""
+    return toxicity.classify(table(spark, d, "documents"), table(spark, d, "labels"))
