@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoal.functions.nulls import in_list
@@ -105,6 +105,29 @@ def check_by_source(df: DataFrame, rules: Mapping[str, Column], source: str = "S
             .agg(F.count(F.lit(1)).alias("violations"), F.min(sample).alias("first_sample"), F.max(sample).alias("last_sample")))
 
 
+def broken_samples(df: DataFrame, rules: Mapping[str, Column], k: int = 5, source: str = "Source",
+                   sample: str = "SampleID") -> DataFrame:
+    """The same with up to ``k`` samples of each rule and source: (rule, source,
+    violations, samples, keys), ``keys`` being the least sample ids in order.
+
+    Counts are exact.  The rows a rule breaks on are first counted per sample,
+    which combines map-side and spreads a hot rule over its samples; the least
+    ``k`` are then picked by a row number below a limit, for which Spark keeps
+    ``k`` rows a rule and task before it shuffles (``WindowGroupLimit``).  Both
+    read the same exchange, so the dataset is scanned once.  A null sample
+    counts and has no key."""
+    broken = F.filter(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name)) for name, cond in rules.items()]),
+                      lambda x: x.isNotNull())
+    per_sample = (df.select(source, sample, F.explode(broken).alias("rule")).groupBy("rule", source, sample)
+                  .agg(F.count(F.lit(1)).alias("n")))
+    totals = per_sample.groupBy("rule", source).agg(F.sum("n").alias("violations"), F.count(F.lit(1)).alias("samples"))
+    # by "n" too, so that both sides need the same columns and share the exchange
+    least = Window.partitionBy("rule", source).orderBy(F.col(sample).asc_nulls_last(), "n")
+    keys = (per_sample.withColumn("_k", F.row_number().over(least)).filter(F.col("_k") <= k)
+            .groupBy("rule", source).agg(F.array_sort(F.collect_list(sample)).alias("keys")))
+    return join(totals, keys, ["rule", source], "inner")
+
+
 def domain_rules(domains: Mapping[str, Sequence]) -> dict[str, Column]:
     """Q11: values outside a column's list (nulls too)."""
     return {f"domain_{c}": ~F.coalesce(in_list(c, list(values)), F.lit(False)) for c, values in domains.items()}

@@ -48,6 +48,33 @@ def same_set(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
         F.count_if(F.col("_in_a").isNull()).alias("only_right"))
 
 
+def fingerprint(df: DataFrame, on: Sequence[str], by: Sequence[str] = (), distinct: bool = False) -> DataFrame:
+    """An order-free digest of the keys ``on``, per group ``by``:
+    ``n`` keys, the sum of one hash of each and the xor of another, 60 bits
+    each from MD5 (the same on every engine).  It merges map-side, so where
+    keys are unique (the samples of a survey table) no id is shuffled or
+    gathered; ``distinct`` removes repeated ones first, by a shuffle.  Nulls are
+    keys of their own."""
+    keys = df.select(*by, *on).distinct() if distinct else df
+    part = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in on]
+    h = F.md5(F.concat_ws("\x1f", *part).cast("binary"))
+    half = lambda at: F.conv(F.substring(h, at, 15), 16, 10).cast("long")
+    whole = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(half(1).cast("decimal(20,0)")).alias("sum"),
+                                  F.bit_xor(half(17)).alias("xor"))
+    digest = F.concat_ws("-", "n", F.coalesce(F.col("sum").cast("string"), F.lit("0")),
+                         F.coalesce(F.col("xor").cast("string"), F.lit("0")))
+    return whole.select(*by, "n", digest.alias("fingerprint"))
+
+
+def same_fingerprint(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Fingerprints of two tables side by side, per group: ``n_left, n_right,
+    same``; a group that one of them lacks is not the same."""
+    left, right = (x.select(*by, F.col("n").alias(f"n_{side}"), F.col("fingerprint").alias(f"_{side}"))
+                   for x, side in ((a, "left"), (b, "right")))
+    return (join(left, right, list(by), "full")
+            .select(*by, "n_left", "n_right", F.coalesce(F.col("_left") == F.col("_right"), F.lit(False)).alias("same")))
+
+
 def unpivot(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "source",
             value: str = "value") -> DataFrame:
     """Wide to long."""

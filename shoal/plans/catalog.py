@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from shoal.functions import exprs, salinity
 from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
 from shoal.plans import roles, surveys
-from shoal.plans.integrate import build_species, integrate, publication
+from shoal.plans.integrate import build_species, crosswalk_changes, integrate, organism_names, publication, refresh_species
 from shoal.session import checkpoint_dir
-from shoal.sources.io import Registry, load_lookup, load_tables, publish, read_typed_csv, scan_union, write_csv, \
-    write_integrated
+from shoal.sources.io import Registry, load_lookup, load_tables, once, publish, read_typed_csv, scan_union, typed, \
+    write_csv, write_integrated
+from shoal.sources.sparse import SparseStore, write_sparse
+from shoal.sources.versions import Versions, replace_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -1654,3 +1656,121 @@ def q_typed_projection(spark: SparkSession, d: str) -> DataFrame:
     wall = F.make_timestamp_ntz(F.year("Date"), F.month("Date"), F.dayofmonth("Date"), F.lit(12), F.col("l_linenumber"), F.lit(0))
     return typed.select("SampleID", F.col("l_linenumber").alias("Tow"), "Length", "Date",
                         exprs.force_tz(wall).cast("string").alias("Utc"))
+
+
+# -- the sparse store, versions and checks at publishing ------------------------------
+
+SLICE_TAXA = ["Brand#13", "Brand#2", "UnID"]
+
+
+def _store(spark: SparkSession, d: str) -> SparseStore:
+    survey, fish = _survey_fish(spark, d)
+    path = _scratch(spark, "sparse")
+    write_sparse(survey, fish, path)
+    return SparseStore(spark, path)
+
+
+@register("sparse_slice")
+def q_sparse_slice(spark: SparkSession, d: str) -> DataFrame:
+    """Z1 + Z2 + K14 (F14, F17, J14): a slice of three taxa of the zero-filled
+    table, read from the sparse store; zeros are made of the taxa asked for."""
+    out = _store(spark, d).slice(sources=["F", "O"], months=[1, 2, 3, 4, 5, 6], years=(1996, 2000), taxa=SLICE_TAXA)
+    return out.select("SampleID", "Source", "Date", "Taxa", "Length", q6("Count").alias("Count"))
+
+
+@register("sparse_slice_aggregate")
+def q_sparse_slice_aggregate(spark: SparkSession, d: str) -> DataFrame:
+    """Z1 + K14 (F14, F15, F17, A15, J14): the same over all taxa, counts summed
+    over the lengths in each source's window, joined by bucket."""
+    out = _store(spark, d).slice(sources=["F", "O"], months=[1, 2, 3, 4, 5, 6], years=(1996, 2000),
+                                 bounds={"O": (10.0, 40.0)}, default_bounds=(5.0, 45.0), aggregate=True)
+    return out.select("SampleID", "Source", "Date", "Taxa", q6("Count").alias("Count"))
+
+
+@register("replace_source")
+def q_replace_source(spark: SparkSession, d: str) -> DataFrame:
+    """S9 + S6: a dataset published as a version, one source of it published
+    again alone, and the current version read back."""
+    v = Versions(spark, _scratch(spark, "versions"))
+    fish = roles.fish(spark, d).select("Source", "SampleID", "Taxa", "Length", "Count")
+    v.publish("fish", fish.withColumn("Count", F.lit(-1.0)))
+    v.publish("fish", fish)
+    again = fish.filter((F.col("Source") == "P") & F.col("Taxa").isNotNull()).withColumn("Count", F.col("Count") * 2)
+    replace_sources(again, v.path("fish"))
+    return v.load(["fish"])["fish"].select("Source", "SampleID", "Taxa", "Length", "Count")
+
+
+@register("publish_checks")
+def q_publish_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Q14, N13, P1 and rules while publishing: text columns cast by a type
+    list, rows once, written as a version; failed casts, rows lost and rows
+    that break a rule are counted by the write itself."""
+    li = joins.join(roles.lines(spark, d), roles.samples(spark, d).select("SampleID", "Source", "Date"), ["SampleID"],
+                    "inner", null_safe=False)
+    no = F.col("linenumber")
+    text = li.select("Source", F.col("SampleID").cast("string").alias("SampleID"), "Taxa",
+                     F.when(no == 3, F.lit("n/p")).when(no == 5, F.lit(None).cast("string"))
+                     .otherwise(F.col("Length").cast("string")).alias("Length"),
+                     F.when(no == 2, F.lit("13/32/99")).otherwise(F.col("Date").cast("string")).alias("Date"))
+    rules = quality.range_rules({"Length": (1.0, 45.0)}) | {"no_date": F.col("Date").isNull()}
+    report = Versions(spark, _scratch(spark, "checked")).publish(
+        "fish", once(typed(text, {"SampleID": "bigint", "Length": "double", "Date": "date"})), rules=rules,
+        allowed={"failed_SampleID": 0})
+    return spark.createDataFrame(sorted(report.items()), "check string, value long")
+
+
+@register("broken_samples")
+def q_broken_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Q1-Q10 per source with the first three samples that break each rule."""
+    ds = roles.dataset(spark, d)
+    out = quality.broken_samples(ds, quality.dataset_rules(ds.columns, dict(ds.dtypes)), k=3)
+    return out.withColumn("keys", F.array_join("keys", ","))
+
+
+@register("sample_fingerprints")
+def q_sample_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """U3 + A17: per source a digest of the samples in the survey table, and
+    whether the zero-filled fish table and the lines have just the same."""
+    survey, fish_t = _survey_fish(spark, d)
+    own = reshape.fingerprint(survey, ["SampleID"], ["Source"])
+    filled = fill.zero_fill(fish_t, "Source", "SampleID", "Taxa")
+    sides = {"filled": filled, "caught": fish_t.filter(F.col("Taxa").isNotNull())}
+    out = own
+    for name, df in sides.items():
+        other = reshape.fingerprint(df, ["SampleID"], ["Source"], distinct=True)
+        same = reshape.same_fingerprint(own, other, ["Source"])
+        out = joins.join(out, same.select("Source", F.col("n_right").alias(f"n_{name}"), F.col("same").alias(f"same_{name}")),
+                         ["Source"], "left")
+    return out
+
+
+def _crosswalk(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Crosswalk, organism list and spelling map: every third taxon has no code
+    yet, every fourth is not in the crosswalk, every fifth is misspelled in
+    the list, every sixth has a new code there; 7 has two codes, 8 and 10 share
+    one."""
+    p = roles.read(spark, d, "part").select(F.col("p_brand").alias("name"), _brand_no("p_brand").alias("n")).distinct()
+    n = F.col("n")
+    species = p.filter(n % 4 != 0).select(F.col("name").alias("ScientificName"), F.when(n % 3 != 0, n).alias("Salvage_Code"),
+                                          F.concat(F.lit("C"), n.cast("string")).alias("SKT_Code"))
+    code = F.when(n == 1, 90).when(n == 10, 8).when(n % 6 == 5, n + 200).otherwise(n)
+    wrong = F.when(n % 5 == 0, F.concat(F.lit("Bramd#"), n.cast("string"))).otherwise(F.col("name"))
+    codes = F.when(n == 7, F.array(F.lit(7), F.lit(107))).otherwise(F.array(code))
+    organisms = p.select(F.explode(codes).alias("OrganismCode"),
+                         F.when(n % 2 == 0, F.lit("NA")).otherwise(wrong).alias("Genus"),
+                         F.lit(None).cast("string").alias("Species"),
+                         F.when(n % 2 == 0, wrong).alias("Family"), F.lit("fish").alias("CommonName"))
+    spelling = p.filter(n % 5 == 0).select(F.concat(F.lit("Bramd#"), n.cast("string")).alias("Wrong"), F.col("name").alias("Right"))
+    return species, organism_names(organisms), spelling
+
+
+@register("crosswalk_changes")
+def q_crosswalk_changes(spark: SparkSession, d: str) -> DataFrame:
+    """New, corrected, recoded and clashing names of an organism list."""
+    return crosswalk_changes(*_crosswalk(spark, d), "Salvage_Code")
+
+
+@register("crosswalk_refresh")
+def q_crosswalk_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """The crosswalk after the update by name."""
+    return refresh_species(*_crosswalk(spark, d), "Salvage_Code")

@@ -1801,3 +1801,91 @@ SQL["typed_projection"] = """SELECT l_orderkey AS SampleID, l_linenumber AS Tow,
        CAST(timezone('UTC', timezone('America/Los_Angeles', make_timestamp(year(l_shipdate), month(l_shipdate), day(l_shipdate),
                                                                        12, l_linenumber, 0))) AS VARCHAR) AS Utc
 FROM lineitem"""
+
+# -- sparse store, versions, checks at publishing -----------------------------------
+
+# The zero-filled table in full (Z1, Z2), then sliced.
+_FILLED = """dom AS (SELECT DISTINCT Source, Taxa FROM ft WHERE Taxa IS NOT NULL),
+smp AS (SELECT DISTINCT Source, SampleID FROM ft),
+filled AS (
+  SELECT SampleID, Taxa, Length, COALESCE(Count, 0.0) AS Count FROM ft WHERE Taxa IS NOT NULL
+  UNION ALL
+  SELECT smp.SampleID, dom.Taxa, NULL, 0.0 FROM smp JOIN dom ON smp.Source = dom.Source
+  WHERE NOT EXISTS (SELECT 1 FROM ft WHERE ft.SampleID = smp.SampleID AND ft.Taxa = dom.Taxa)),
+kept AS (SELECT * FROM filled WHERE NOT (Taxa = 'UnID' AND Count = 0))"""
+_SLICED = """s AS (SELECT DISTINCT Source, SampleID, Date FROM dataset
+       WHERE Source IN ('F', 'O') AND month(Date) IN (1, 2, 3, 4, 5, 6) AND year(Date) BETWEEN 1996 AND 2000)"""
+
+SQL["sparse_slice"] = ds_with(FISH_T, _FILLED, _SLICED) + """
+SELECT s.SampleID, s.Source, s.Date, k.Taxa, k.Length, floor(k.Count * 1000000.0 + 0.5) / 1000000.0 AS Count
+FROM s LEFT JOIN (SELECT * FROM kept WHERE Taxa IN ('Brand#13', 'Brand#2', 'UnID')) k ON s.SampleID = k.SampleID"""
+
+SQL["sparse_slice_aggregate"] = ds_with(FISH_T, _FILLED, _SLICED, """fa AS (
+  SELECT k.SampleID, k.Taxa, COALESCE(sum(k.Count), 0.0) AS Count FROM kept k JOIN s ON k.SampleID = s.SampleID
+  WHERE k.Length IS NULL OR (s.Source = 'O' AND k.Length BETWEEN 10.0 AND 40.0) OR (s.Source <> 'O' AND k.Length BETWEEN 5.0 AND 45.0)
+  GROUP BY k.SampleID, k.Taxa)""") + """
+SELECT s.SampleID, s.Source, s.Date, fa.Taxa, floor(fa.Count * 1000000.0 + 0.5) / 1000000.0 AS Count
+FROM s LEFT JOIN fa ON s.SampleID = fa.SampleID"""
+
+SQL["replace_source"] = with_(LINES, SAMPLES, FISH) + """
+SELECT Source, SampleID, Taxa, Length, CASE WHEN Source = 'P' THEN 2 * Count ELSE Count END AS Count
+FROM fish WHERE Source <> 'P' OR Taxa IS NOT NULL"""
+
+SQL["publish_checks"] = with_(LINES, SAMPLES, """t AS (
+  SELECT s.Source, l.SampleID, l.Taxa,
+         CASE l.linenumber WHEN 3 THEN 'n/p' WHEN 5 THEN NULL ELSE CAST(l.Length AS VARCHAR) END AS LengthText,
+         CASE WHEN l.linenumber = 2 THEN '13/32/99' ELSE CAST(s.Date AS VARCHAR) END AS DateText
+  FROM lines l JOIN samples s ON l.SampleID = s.SampleID),
+c AS (
+  SELECT Source, SampleID, Taxa, TRY_CAST(LengthText AS DOUBLE) AS Length,
+         CASE WHEN DateText = '13/32/99' THEN NULL ELSE CAST(DateText AS DATE) END AS Date,
+         CAST(LengthText = 'n/p' AS INTEGER) AS bad_length, CAST(DateText = '13/32/99' AS INTEGER) AS bad_date
+  FROM t),
+o AS (SELECT DISTINCT Source, SampleID, Taxa, Length, Date FROM c)""") + """
+SELECT 'failed_Date' AS "check", CAST(sum(bad_date) AS BIGINT) AS value FROM c
+UNION ALL SELECT 'failed_Length', CAST(sum(bad_length) AS BIGINT) FROM c
+UNION ALL SELECT 'failed_SampleID', 0
+UNION ALL SELECT 'no_date', count(*) FILTER (WHERE Date IS NULL) FROM o
+UNION ALL SELECT 'range_Length', count(*) FILTER (WHERE Length < 1.0 OR Length > 45.0) FROM o
+UNION ALL SELECT 'rows_in', count(*) FROM c
+UNION ALL SELECT 'rows_lost', (SELECT count(*) FROM c) - (SELECT count(*) FROM o)
+UNION ALL SELECT 'rows_out', count(*) FROM o"""
+
+SQL["broken_samples"] = ds_with() + "\nUNION ALL ".join(
+    f"SELECT '{name}' AS rule, Source, CAST(sum(n) AS BIGINT) AS violations, count(*) AS samples, "
+    f"array_to_string(list(SampleID ORDER BY SampleID)[1:3], ',') AS keys "
+    f"FROM (SELECT Source, SampleID, count(*) AS n FROM dataset WHERE {cond} GROUP BY Source, SampleID) x GROUP BY Source"
+    for name, cond in _QUALITY_RULES)
+
+SQL["sample_fingerprints"] = ds_with(FISH_T, """svy AS (SELECT DISTINCT Source, SampleID FROM dataset),
+h AS (
+  SELECT Source, SampleID, CAST('0x' || substr(m, 1, 15) AS BIGINT) AS a, CAST('0x' || substr(m, 17, 15) AS BIGINT) AS b
+  FROM (SELECT Source, SampleID, md5('v' || CAST(SampleID AS VARCHAR)) AS m FROM svy)),
+caught AS (SELECT DISTINCT Source, SampleID FROM ft WHERE Taxa IS NOT NULL),
+fished AS (SELECT DISTINCT Source FROM caught)""") + """
+SELECT h.Source, count(*) AS n,
+       CAST(count(*) AS VARCHAR) || '-' || CAST(sum(a) AS VARCHAR) || '-' || CAST(bit_xor(b) AS VARCHAR) AS fingerprint,
+       CASE WHEN h.Source IN (SELECT Source FROM fished) THEN count(*) END AS n_filled,
+       h.Source IN (SELECT Source FROM fished) AS same_filled,
+       (SELECT count(*) FROM caught WHERE caught.Source = h.Source) AS n_caught,
+       NOT EXISTS (SELECT 1 FROM svy WHERE svy.Source = h.Source AND NOT EXISTS (
+         SELECT 1 FROM caught WHERE caught.Source = svy.Source AND caught.SampleID = svy.SampleID)) AS same_caught
+FROM h GROUP BY h.Source"""
+
+_CROSSWALK = """p AS (SELECT DISTINCT p_brand AS name, CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER) AS n FROM part),
+species AS (SELECT name AS ScientificName, CASE WHEN n % 3 <> 0 THEN n END AS Salvage_Code, 'C' || CAST(n AS VARCHAR) AS SKT_Code
+            FROM p WHERE n % 4 <> 0),
+given AS (
+  SELECT CASE WHEN n = 1 THEN 'UnID' ELSE name END AS name, n, CASE WHEN n % 5 = 0 THEN 'Bramd#' || CAST(n AS VARCHAR) END AS Given,
+         unnest(CASE WHEN n = 7 THEN [7, 107] WHEN n = 1 THEN [90] WHEN n = 10 THEN [8] WHEN n % 6 = 5 THEN [n + 200] ELSE [n] END) AS Code
+  FROM p),
+changes AS (
+  SELECT g.name AS ScientificName, g.Code, g.Given, s.Salvage_Code AS Old, s.ScientificName IS NOT NULL AS Known,
+         CASE WHEN count(*) OVER (PARTITION BY g.name) > 1 OR count(*) OVER (PARTITION BY g.Code) > 1 THEN 'clash'
+              WHEN s.ScientificName IS NULL THEN 'new' WHEN s.Salvage_Code IS NULL THEN 'added'
+              WHEN s.Salvage_Code <> g.Code THEN 'recoded' ELSE 'same' END AS Change
+  FROM given g LEFT JOIN species s ON s.ScientificName = g.name)"""
+SQL["crosswalk_changes"] = with_(_CROSSWALK) + "\nSELECT * FROM changes"
+SQL["crosswalk_refresh"] = with_(_CROSSWALK) + """
+SELECT COALESCE(s.ScientificName, c.ScientificName) AS ScientificName, COALESCE(c.Code, s.Salvage_Code) AS Salvage_Code, s.SKT_Code
+FROM species s FULL JOIN (SELECT * FROM changes WHERE Change <> 'clash') c ON c.ScientificName = s.ScientificName"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,10 +140,74 @@ def write_integrated(out: Mapping[str, DataFrame], path: str, format: str = "col
     return out
 
 
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ("Source",)) -> None:
-    """Overwrite a dataset, partitioned by source when it has one."""
+class QualityError(ValueError):
+    """Rules were broken; ``report`` has the counts."""
+
+    def __init__(self, report: Mapping[str, int], broken: Sequence[str]):
+        super().__init__(", ".join(f"{n}: {report[n]}" for n in broken))
+        self.report = dict(report)
+
+
+#: Hidden columns that ``publish`` counts and leaves out: input rows behind a
+#: row, and casts of a column that failed behind it.
+ROWS, FAILED = "_rows", "_failed_"
+
+
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Text columns cast by a type list.  What cannot be read becomes
+    null, as R does with a warning; the hidden column ``_failed_<column>`` is 1
+    there, so that writing reports it."""
+    cast = {c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()}
+    failed = [(F.col(f"`{c}`").isNotNull() & v.isNull()).cast("long").alias(FAILED + c) for c, v in cast.items()]
+    return df.select(*[cast[c].alias(c) if c in cast else F.col(f"`{c}`") for c in df.columns], *failed)
+
+
+def _hidden(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c == ROWS or c.startswith(FAILED)]
+
+
+def once(df: DataFrame) -> DataFrame:
+    """Q14: ``distinct``, with the number of rows behind each in ``_rows``."""
+    hidden = _hidden(df)
+    rows = F.sum(ROWS) if ROWS in hidden else F.count(F.lit(1))
+    return (df.groupBy(*[c for c in df.columns if c not in hidden])
+            .agg(rows.alias(ROWS), *[F.sum(c).alias(c) for c in hidden if c != ROWS]))
+
+
+def publish(df: DataFrame, path: str, partition_by: Sequence[str] = ("Source",),
+            rules: Mapping[str, Column] | None = None, allowed: Mapping[str, int] | None = None) -> dict[str, int]:
+    """Overwrite a dataset, partitioned by source when it has one.
+
+    With ``rules`` (name -> condition of a bad row) the writing job itself
+    counts: ``rows_in``, ``rows_out`` and ``rows_lost`` between (``once``),
+    failed casts by column (``typed``) and the rows that break each rule.
+    Nothing is scanned again, and the counts are taken in the last stage, where
+    every partition counts once, also one that ran again.  ``allowed`` gives
+    the count up to which a check passes; one that exceeds it raises
+    ``QualityError`` (under ``Versions`` nothing is switched then).  Checks it
+    does not name are reported only.
+    """
+    hidden = _hidden(df)
     cols = [c for c in partition_by if c in df.columns]
-    w = df.write.mode("overwrite").option("compression", "zstd")
+    seen, out = Observation(), df
+    if rules is not None:
+        count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows_out"),
+                         (F.sum(ROWS) if ROWS in hidden else F.count(F.lit(1))).alias("rows_in"),
+                         *[F.sum(c).alias(f"failed_{c[len(FAILED):]}") for c in hidden if c != ROWS],
+                         *[count(cond).alias(name) for name, cond in rules.items()])
+    w = out.drop(*hidden).write.mode("overwrite").option("compression", "zstd")
     if cols:
         w = w.partitionBy(*cols)
     w.parquet(path)
+    if rules is None:
+        return {}
+    report = {k: v or 0 for k, v in seen.get.items()}
+    report["rows_lost"] = report["rows_in"] - report["rows_out"]
+    unknown = [n for n in allowed or {} if n not in report]
+    if unknown:
+        raise KeyError(f"unknown checks {unknown}; available: {sorted(report)}")
+    broken = [n for n, most in (allowed or {}).items() if report[n] > most]
+    if broken:
+        raise QualityError(report, broken)
+    return report
