@@ -15,7 +15,7 @@ join back does not shuffle again.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shoal.functions.nulls import r_ifelse, strict_sum, sum0
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
 from shoal.operators.joins import join
+from shoal.session import as_is
 
 def null_double() -> Column:
     return F.lit(None).cast("double")
@@ -129,7 +130,8 @@ def expand_raise_catch(catch: DataFrame, lengths: DataFrame, keys: Sequence[str]
 
 def expand_plus_count_group(df: DataFrame, keys: Sequence[str], length: str = "Length",
                             count: str = "Count", empty_code: tuple[str, str] | None = None,
-                            drop_zero_counts: bool = False) -> DataFrame:
+                            drop_zero_counts: bool = False,
+                            keep: Callable[[DataFrame], DataFrame] = as_is) -> DataFrame:
     """A7 (EDSM, DJFMP): within (sample, organism, group) the measured total
     is the count of rows with a nonzero length and the catch is all rows;
     ``Count = count / measured * total``.  Groups where nothing was measured
@@ -139,14 +141,15 @@ def expand_plus_count_group(df: DataFrame, keys: Sequence[str], length: str = "L
 
     ``empty_code=(column, code)`` marks the empty-net record, whose count and
     length become null (EDSM); ``drop_zero_counts`` removes zero counts.
-    Duplicated rows are merged (strict sum) first.
+    Duplicated rows are merged (strict sum) first; ``keep`` gets the result,
+    which is read twice.
     """
     keys = list(keys)
     L, C = F.col(length), F.col(count)
     if empty_code is not None:
         df = df.withColumn(count, F.when(F.col(empty_code[0]) == empty_code[1], null_double())
                            .otherwise(C))
-    df = merge_duplicates(df, count)
+    df = keep(merge_duplicates(df, count))
     # one aggregation gives both totals: measured (strict over rows with a
     # nonzero length, R's sum(x[which(cond)])) and the whole catch (strict)
     sel = F.coalesce(L != 0, F.lit(False))

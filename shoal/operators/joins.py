@@ -11,11 +11,15 @@ null-safely, as dplyr does.
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from shoal.functions.nulls import quoted
 
@@ -144,6 +148,57 @@ def attach(df: DataFrame, attrs: DataFrame, on: Sequence[str], how: str = "left"
     return join(df, attrs, on, how)
 
 
+def sweep_size_groups(lengths: DataFrame, ranges: DataFrame, on: Sequence[str], length_col: str,
+                      min_col: str = "Min_length", max_col: str = "Max_length", group_col: str = "SizeGroup") -> DataFrame:
+    """``on, length_col, group_col``: the smallest group whose range strictly
+    contains the length, one row for each of ``lengths`` (``on, length_col``)
+    that has one.
+
+    Range starts and lengths of a key are dealt together and sorted by
+    position; one pass keeps the ranges begun in a heap by group and drops
+    those that ended, so a length costs no more with ten thousand ranges
+    on its key than with ten, and no pair of a length and a range is ever a
+    row.  The pass streams: it holds the open ranges of one key.
+    """
+    keys = [F.col(quoted(k)).alias(f"_k{n}") for n, k in enumerate(on)]
+    kinds = [lengths.schema[k].dataType.simpleString() for k in on]
+    out_type = dict(ranges.dtypes)[group_col]
+    far = F.lit(float("inf"))
+    at = lengths.filter(F.col(length_col).isNotNull()).select(
+        *keys, F.col(length_col).cast("double").alias("_at"), F.lit(0).alias("_starts"), F.lit(None).cast("double").alias("_hi"),
+        F.lit(None).cast("long").alias("_g"))
+    starts = ranges.select(
+        *keys, F.coalesce(F.col(min_col).cast("double"), -far).alias("_at"), F.lit(1).alias("_starts"),
+        F.coalesce(F.col(max_col).cast("double"), far).alias("_hi"), F.col(group_col).cast("long").alias("_g"))
+    names = [f"_k{n}" for n in range(len(on))]
+    # at one position lengths come first: a range begins behind its start
+    dealt = at.unionByName(starts).repartition(*names).sortWithinPartitions(*names, "_at", "_starts")
+    schema = ", ".join(f"{n} {kind}" for n, kind in zip(names, kinds)) + ", _at double, _g long"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, open_ranges = None, []
+        for b in batches:
+            found = []
+            for *k, x, is_start, hi, g in zip(*(c.to_pylist() for c in b.columns)):
+                if k != key:
+                    key, open_ranges = k, []
+                if is_start:
+                    heapq.heappush(open_ranges, (g, hi))
+                    continue
+                while open_ranges and not open_ranges[0][1] > x:
+                    heapq.heappop(open_ranges)
+                if open_ranges:
+                    found.append((*k, x, open_ranges[0][0]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[n] for f in found], field.type) for n, field in enumerate(arrow)],
+                                             schema=arrow)
+
+    swept = dealt.mapInArrow(sweep, schema)
+    length_type = lengths.schema[length_col].dataType
+    return swept.select(*[F.col(n).alias(k) for n, k in zip(names, on)], F.col("_at").cast(length_type).alias(length_col),
+                        F.col("_g").cast(out_type).alias(group_col))
+
+
 def assign_size_groups(measured: DataFrame, ranges: DataFrame, on: Sequence[str],
                        length_col: str, min_col: str = "Min_length",
                        max_col: str = "Max_length", group_col: str = "SizeGroup",
@@ -154,16 +209,11 @@ def assign_size_groups(measured: DataFrame, ranges: DataFrame, on: Sequence[str]
     measured row takes the smallest group whose range strictly contains its
     length (``min < length < max``), else ``default_group``.
 
-    The distinct lengths of a key are joined to its ranges by key with the
-    range as a further condition, reduced to the smallest group by a partial
-    aggregate, and joined back; no list of a key's ranges is ever gathered.
+    The distinct lengths of a key meet its ranges in one ordered pass
+    (``sweep_size_groups``) and are joined back by key and length.
     """
     lengths = measured.select(*on, length_col).distinct()
-    r = ranges.select(*on, F.col(min_col).alias("_lo"), F.col(max_col).alias("_hi"), F.col(group_col).alias("_g"))
-    length = F.col(length_col)
-    inside = ((length > F.coalesce("_lo", F.lit(float("-inf"))))
-              & (length < F.coalesce("_hi", F.lit(float("inf")))))
-    found = join(lengths, r, on, "inner").filter(inside).groupBy(*on, length_col).agg(F.min("_g").alias("_g"))
+    found = sweep_size_groups(lengths, ranges, on, length_col, min_col, max_col, group_col).withColumnRenamed(group_col, "_g")
     out = join(measured, found, [*on, length_col], "left")
     return out.withColumn(group_col, F.coalesce("_g", F.lit(default_group))).drop("_g").select(
         *measured.columns, group_col)

@@ -9,7 +9,8 @@ Nothing is collected; callers decide whether a non-zero count fails a job.
 
 from __future__ import annotations
 
-from typing import Mapping, Sequence
+from functools import reduce
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from shoal.functions.nulls import in_list
 from shoal.functions.schema import LAT_RANGE, LENGTH_FLAGS, LON_RANGE, METHODS, NO_FISH, TIDES, \
     UNKNOWN_LENGTH
 from shoal.operators.joins import join
+from shoal.sources.io import ROWS, once
 
 
 def check(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -172,6 +174,27 @@ def incomplete_samples(fish: DataFrame, group: str = "Source", sample: str = "Sa
             .filter(F.col("taxa_present") != F.col("taxa_in_group")))
 
 
+def integrity(survey: DataFrame, fish: DataFrame, filled: DataFrame, keep: Callable[[DataFrame], DataFrame],
+              source: str = "Source", sample: str = "SampleID", taxon: str = "Taxa", length: str = "Length") -> DataFrame:
+    """Q12, Q14 of an integrated pair as (check, value) rows: duplicated sample
+    ids, duplicated fish keys, samples lost by the zero-fill, samples without
+    every taxon of their source, fish rows removed as duplicates.
+
+    The filled table is read twice, for its keys and for one row a sample
+    with its taxa, which ``keep`` gets and the other checks read."""
+    per_sample = keep(filled.groupBy(source, sample).agg(F.collect_set(taxon).alias("_taxa")))
+    every = per_sample.select(source, F.explode("_taxa").alias("_t")).groupBy(source).agg(F.count_distinct("_t").alias("_all"))
+    lacking = join(per_sample.select(source, F.size("_taxa").alias("_has")), every, [source], "inner").filter("_has <> _all")
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("check"), "value")
+    counted = once(fish).agg((F.sum(ROWS) - F.count(F.lit(1))).alias("value"))
+    parts = [n(duplicate_keys(survey, [sample]), "duplicate_sample_ids"),
+             n(duplicate_keys(filled, [sample, taxon, length]), "duplicate_fish_keys"),
+             n(missing_keys(survey, per_sample, [sample]), "samples_lost"),
+             n(lacking, "incomplete_samples"),
+             counted.select(F.lit("rows_removed_by_distinct").alias("check"), F.coalesce("value", F.lit(0)).alias("value"))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def golden_bounds(df: DataFrame, bounds: DataFrame, taxon: str = "Taxa",
                   value: str = "Count") -> DataFrame:
     """Q13: taxa whose row count or total falls below its recorded minimum.

@@ -18,7 +18,7 @@ from shoal.functions import exprs, salinity
 from shoal.operators import analyze, expand, fill, filters, joins, quality, reshape, windows
 from shoal.plans import roles, surveys
 from shoal.plans.integrate import build_species, crosswalk_changes, integrate, organism_names, publication, refresh_species
-from shoal.session import checkpoint_dir
+from shoal.session import Reuse, checkpoint_dir, materialise
 from shoal.sources.io import Registry, load_lookup, load_tables, once, publish, read_typed_csv, scan_union, typed, \
     write_csv, write_integrated
 from shoal.sources.sparse import SparseStore, write_sparse
@@ -698,21 +698,9 @@ def q_count_over(spark: SparkSession, d: str) -> DataFrame:
 def q_integrity(spark: SparkSession, d: str) -> DataFrame:
     """Q12 + Q14: duplicate survey ids, duplicate fish keys, samples lost by
     zero-fill, samples missing a taxon, rows removed by distinct."""
-    survey, fish_t = _survey_fish(spark, d)
+    survey, fish_t = reshape.normalise([materialise(roles.dataset(spark, d))])
     filled = fill.zero_fill(fish_t, "Source", "SampleID", "Taxa")
-    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("value")).withColumn("check", F.lit(name))  # noqa
-    parts = [
-        n(quality.duplicate_keys(survey, ["SampleID"]), "duplicate_sample_ids"),
-        n(quality.duplicate_keys(filled, ["SampleID", "Taxa", "Length"]), "duplicate_fish_keys"),
-        n(quality.missing_keys(survey, filled, ["SampleID"]), "samples_lost"),
-        n(quality.incomplete_samples(filled), "incomplete_samples"),
-        quality.row_loss(fish_t, fish_t.distinct()).select(F.col("lost").alias("value"))
-        .withColumn("check", F.lit("rows_removed_by_distinct")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("check", "value")
+    return quality.integrity(survey, fish_t, filled, materialise)
 
 
 @register("golden_bounds")
@@ -1394,7 +1382,7 @@ def q_edsm_job(spark: SparkSession, d: str) -> DataFrame:
     """K8 end to end (S5, F2, P17, P12, P10, P11, P6, P9, P4, P21, A7, A11, F9,
     J1, P23, P26) on the driver tables in the EDSM roles."""
     tables, species = edsm_tables(spark, d)
-    ds = surveys.edsm(tables, species).dataset
+    ds = surveys.edsm(tables, species, materialise).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
@@ -1533,7 +1521,7 @@ def q_suisun_job(spark: SparkSession, d: str) -> DataFrame:
     """K2 end to end (S2, A12, P15, P21 braced ids, J8 size groups, A9, F9,
     W2, J1, J7, A11, P25, P26) on the driver tables in the Suisun roles."""
     tables, species = suisun_tables(spark, d)
-    ds = surveys.suisun(tables, species).dataset
+    ds = surveys.suisun(tables, species, materialise).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area",
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
@@ -1550,11 +1538,14 @@ SURVEY_JOBS = {
     "suisun": (surveys.suisun, suisun_tables), "salvage": (_salvage_here, salvage_tables),
 }
 
+#: Those that read tables of theirs several times.
+KEEPING = ("edsm", "suisun")
+
 
 def _measured(name: str) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
         job, tables = SURVEY_JOBS[name]
-        out = job(*tables(spark, d)).measured_lengths
+        out = job(*tables(spark, d), **({"keep": materialise} if name in KEEPING else {})).measured_lengths
         return out.select(*[q6(c).alias(c) if c in ("Length", "Count") else F.col(c) for c in out.columns])
 
     query.__doc__ = f"K11: the measured-length table of the {name} job."
@@ -1572,7 +1563,8 @@ def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
     root = f"{base.rstrip('/')}/surveys-{uuid.uuid4().hex}"
     for name, (job, tables) in SURVEY_JOBS.items():
-        publish(job(*tables(spark, d)).dataset, f"{root}/{name}")
+        with Reuse() as keep:
+            publish(job(*tables(spark, d), **({"keep": keep} if name in KEEPING else {})).dataset, f"{root}/{name}")
     return Registry(spark, root, list(SURVEY_JOBS)).load()
 
 

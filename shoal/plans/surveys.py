@@ -10,7 +10,7 @@ global row number, N12).
 
 from __future__ import annotations
 
-from typing import Mapping, NamedTuple
+from typing import Callable, Mapping, NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,9 +21,12 @@ from shoal.functions.salinity import clamp_salinity, with_salinity
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
 from shoal.operators import expand, filters, joins, windows
 from shoal.operators.analyze import mean_by
+from shoal.session import as_is
 from shoal.sources.io import normalize_na
 
 Tables = Mapping[str, DataFrame]
+#: What a job does with a table that it reads several times.
+Keep = Callable[[DataFrame], DataFrame]
 
 
 class SurveyResult(NamedTuple):
@@ -348,9 +351,10 @@ def _either_date(c: str) -> F.Column:
     return F.coalesce(F.try_to_timestamp(text, F.lit("MM-dd-yyyy")), text.try_cast("timestamp")).cast("date")
 
 
-def edsm(t: Tables, species: DataFrame) -> SurveyResult:
+def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     """K8: Enhanced Delta Smelt Monitoring (S5 union of exports, F2, P17,
-    P12, P6, A7, F9)."""
+    P12, P6, A7, F9).  ``keep`` gets the rows merged before and after the
+    expansion, each read twice."""
     d = t["EDSM"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
     d = d.select(
@@ -378,8 +382,8 @@ def edsm(t: Tables, species: DataFrame) -> SurveyResult:
                                                  "Latitude", "Longitude")))
     d = _plus_count_groups(d).drop("Time", "MarkCode", "RaceByLength")
     d = expand.expand_plus_count_group(d, ["SampleID", "OrganismCode", "Group"],
-                                       empty_code=("OrganismCode", "NOFISH"), drop_zero_counts=True)
-    d = expand.merge_duplicates(d.drop("Group"), "Count")
+                                       empty_code=("OrganismCode", "NOFISH"), drop_zero_counts=True, keep=keep)
+    d = keep(expand.merge_duplicates(d.drop("Group"), "Count"))
     d = filters.drop_spurious_no_fish(d, "SampleID", "Count", F.col("OrganismCode") == "NOFISH")
     d = joins.to_taxa(d, species, "OrganismCode", "USFWS_Code")
     d = (d.withColumn("SampleID", exprs.sample_id(F.lit("EDSM"), "SampleID"))
@@ -529,7 +533,7 @@ def _suisun_comments(t: Tables, species: DataFrame) -> DataFrame:
     return com.select("SampleID", "Taxa", "Count", "CatchComments", "Min_length", "Length", "Max_length")
 
 
-def suisun(t: Tables, species: DataFrame) -> SurveyResult:
+def suisun(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     """K2: Suisun Marsh otter trawls (S2, A12 mean depth, P15 swept area, P32
     record fixes, P34 and J9 sizes from life stages, J8 size groups from
     translated catch comments, A9, F9, F20).
@@ -540,7 +544,8 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
     with a bound is a size group of its own, with length null if nothing of
     its taxon was measured in the sample; one with neither bound nor length
     gives fish of unknown length.  Samples without a catch row, and rows of
-    trawls that were not made, are left out.
+    trawls that were not made, are left out.  ``keep`` gets the samples, the
+    catch, the comments and the rows to expand, each read several times.
     """
     spark = t["Sample"].sparkSession
     depth = mean_by(t["Depth"], ["SampleRowID"], "Depth")
@@ -552,6 +557,7 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
         F.lit(SUISUN_METHOD[1]).alias("Method"), recode("TideCode", SUISUN_TIDES).alias("Tide"),
         F.col("WaterTemperature").alias("Temp_surf"), "Secchi", "SpecificConductance", "QADone",
         exprs.sample_id(F.lit("Suisun"), exprs.braced("SampleRowID")).alias("SampleID"))
+    s = keep(s)
     c = normalize_na(t["Catch"])
     c = c.withColumn("Count", F.when(F.col("OrganismCode") == NO_CATCH, F.lit(0.0)).otherwise(F.col("Count")))
     c = c.filter(F.col("OrganismCode") != NO_TRAWL)
@@ -565,9 +571,10 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
               & (F.col("StandardLength") == 0))
     c = c.select("SampleID", "Taxa", "Dead", "Count", F.when(F.col("Taxa").isNotNull(), F.col("StandardLength")).alias("StandardLength"),
                  F.when(unread, F.lit(SUISUN_COMMENT[2])).otherwise(F.col("CatchComments")).alias("CatchComments"))
+    c = keep(c)
     # size groups: comments with a bound define groups 2, 3, ... of their sample and taxon
     key = ["SampleID", "Taxa"]
-    com = _suisun_comments(t, species)
+    com = keep(_suisun_comments(t, species))
     has_bound = F.col("Min_length").isNotNull() | F.col("Max_length").isNotNull()
     bounded = windows.numbered(com.filter(has_bound), ["Min_length", "Max_length", "Count", "Length", "CatchComments"],
                                key, out="SizeGroup").withColumn("SizeGroup", F.col("SizeGroup") + 1)
@@ -587,6 +594,7 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
              .unionByName(plain.filter(F.col("StandardLength").isNull() | (F.col("StandardLength") < 0))))
     rows = (measured.select(*cols[:7], F.lit(None).cast("string").alias("_flag"))
             .unionByName(plain.select(*cols[:7], nothing)).unionByName(commented))
+    rows = keep(rows)
     ex = expand.expand_size_groups(rows, [*key, "SizeGroup"], "StandardLength", "Count")
     ex = ex.withColumn("Length_NA_flag", F.coalesce("Length_NA_flag", "_flag"))
     ex = ex.withColumn("Count", F.when((F.col("Count") != 0) & F.col("Taxa").isNotNull(), F.col("Count")))
@@ -605,7 +613,8 @@ def suisun(t: Tables, species: DataFrame) -> SurveyResult:
     d = _finish(d, ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Depth", "SampleID",
                     "Method", "Tide", "Sal_surf", "Temp_surf", "Secchi", "Tow_duration", "Tow_area", "Taxa",
                     "Length", "Count", "Length_NA_flag", "Notes_catch", "Notes_tow"])
-    d = windows.sample_has_catch(d, ["SampleID"], "Count", out="_valid")
+    # a sample's rows are few: a window in place of an aggregate joined back
+    d = d.withColumn("_valid", F.coalesce(F.sum("Count").over(Window.partitionBy("SampleID")), F.lit(0.0)) > 0)
     d = (d.withColumn("Length_NA_flag", F.when(F.col("_valid"), F.col("Length_NA_flag")).otherwise(F.lit(NO_FISH)))
          .distinct()
          .filter(~(F.col("_valid") & F.col("Count").isNull())).drop("_valid"))

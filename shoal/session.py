@@ -8,6 +8,9 @@ from runtime sizes, with skewed partitions split.
 
 from __future__ import annotations
 
+from types import TracebackType
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SURVEY_TZ = "America/Los_Angeles"
@@ -20,6 +23,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": SURVEY_TZ,
     "spark.sql.parquet.compression.codec": "zstd",
+    # checkpoints go when the driver no longer knows the table cut
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -57,3 +62,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         raise RuntimeError("spark.checkpoint.dir is not set; name a "
                            "folder that driver and executors share")
     return df.checkpoint(eager=True)
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from the shared folder from then on
+    (S10): for a table that a lazy plan needs several times.
+
+    A reliable checkpoint, in the folder the session names; where it names
+    none (one machine, as in tests) beside the warehouse.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(
+            checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    return df.checkpoint(eager=True)
+
+
+class Reuse:
+    """Scope in which tables read several times are kept (S10): what it is
+    called on is persisted and given back, and all of it is unpersisted at the
+    end.  For work that is done inside the scope, such as publishing; a lost
+    executor's blocks are computed again."""
+
+    def __init__(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+        self.level, self.kept = level, []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.kept.append(df.persist(self.level))
+        return self.kept[-1]
+
+    def __enter__(self) -> Reuse:
+        return self
+
+    def __exit__(self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        while self.kept:
+            self.kept.pop().unpersist()
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    """Neither: the plan repeats what it needs several times."""
+    return df

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from shoal.operators import joins
@@ -88,3 +91,38 @@ def test_size_groups_keep_repeated_fish_and_take_the_smallest_group(spark):
                                 "k string, Min_length double, Max_length double, SizeGroup int")
     out = joins.assign_size_groups(fish, rng, ["k"], "len")
     assert rows(out, "k", "len", "SizeGroup") == [(None, 10.0, 4), ("a", 10.0, 2), ("a", 10.0, 2), ("a", 40.0, 2), ("b", 10.0, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_size_groups_by_sweep(spark, seed):
+    rng = random.Random(seed)
+    ranges = [(rng.choice(["a", "b", None]), rng.choice([None, *range(20)]), rng.choice([None, *range(5, 25)]), g)
+              for g in range(2, 60)]
+    measured = [(rng.choice(["a", "b", "c", None]), rng.choice([0, 5, 7.5, 20, 99, None]) if rng.random() < 0.3
+                 else rng.randint(0, 25) / 1.0, k) for k in range(300)]
+    measured = [(k, None if x is None else float(x), n) for k, x, n in measured]
+    ranges = [(k, *(None if x is None else float(x) for x in (lo, hi)), g) for k, lo, hi, g in ranges]
+    m = spark.createDataFrame(measured, "t string, Length double, n int")
+    r = spark.createDataFrame(ranges, "t string, Min_length double, Max_length double, SizeGroup int")
+
+    def group(key, x):
+        hits = [g for k, lo, hi, g in ranges if k == key and x is not None
+                and (lo is None or lo < x) and (hi is None or x < hi)]
+        return min(hits, default=1)
+    got = {row.n: row.SizeGroup for row in joins.assign_size_groups(m, r, ["t"], "Length").collect()}
+    assert got == {n: group(k, x) for k, x, n in measured}
+
+
+def test_ten_thousand_ranges_on_one_key(spark):
+    n = 10_000
+    ranges = spark.range(n).select(F.lit("a").alias("t"), (F.col("id") / 10).alias("Min_length"),
+                                   (F.col("id") / 10 + 500).alias("Max_length"), (F.col("id") + 2).cast("int").alias("SizeGroup"))
+    lengths = spark.range(1, 1201).select(F.lit("a").alias("t"), F.col("id").cast("double").alias("Length"))
+    swept = joins.sweep_size_groups(lengths, ranges, ["t"], "Length")
+    rows = {r.Length: r.SizeGroup for r in swept.collect()}
+    assert len(rows) == 1200                       # one row a length, not one a range
+    assert all(g == 2 + max(0, 10 * (int(x) - 500) + 1) for x, g in rows.items())
+    plan = swept._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert joins.sweep_size_groups(lengths.limit(0), ranges, ["t"], "Length").count() == 0
+    assert joins.sweep_size_groups(lengths, ranges.limit(0), ["t"], "Length").count() == 0

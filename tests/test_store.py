@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from shoal.operators import analyze, fill, reshape
 from shoal.plans import roles
+from shoal.plans.catalog import REGISTRY
+from shoal.session import Reuse, materialise
 from shoal.sources.io import QualityError, once, publish, typed
 from shoal.sources.sparse import SparseStore, read_bucketed, write_sparse
 from shoal.sources.versions import Versions, replace_sources
@@ -138,3 +140,27 @@ def test_replace_one_source(spark, tmp_path):
     replace_sources(spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], schema), path)
     replace_sources(spark.createDataFrame([("b", 9), ("c", 4)], schema), path)
     assert rows(spark.read.parquet(path), "Source", "n") == [("a", 1), ("b", 9), ("c", 4)]
+
+
+def test_scope_keeps_and_releases(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(10), 2).map(lambda x: (reads.add(1), (x,))[1]), "n long")
+    with Reuse() as keep:
+        once_kept = keep(df)
+        assert once_kept.count() == 10 and once_kept.agg(F.sum("n")).first()[0] == 45
+        assert reads.value == 10 and once_kept.is_cached
+    assert not once_kept.is_cached
+    with pytest.raises(ValueError):
+        with Reuse() as keep:
+            kept = keep(df)
+            raise ValueError
+    assert not kept.is_cached
+    cut = materialise(df)
+    before = reads.value
+    assert cut.count() == cut.count() == 10 and reads.value == before
+
+
+@pytest.mark.parametrize("name", ["suisun_job", "edsm_job", "integrity"])
+def test_plans_read_their_tables_once(spark, name):
+    plan = plan_of(REGISTRY[name](spark, SF))
+    assert sum("Scan" in line for line in plan.splitlines()) < 25
