@@ -1889,3 +1889,10 @@ SQL["crosswalk_changes"] = with_(_CROSSWALK) + "\nSELECT * FROM changes"
 SQL["crosswalk_refresh"] = with_(_CROSSWALK) + """
 SELECT COALESCE(s.ScientificName, c.ScientificName) AS ScientificName, COALESCE(c.Code, s.Salvage_Code) AS Salvage_Code, s.SKT_Code
 FROM species s FULL JOIN (SELECT * FROM changes WHERE Change <> 'clash') c ON c.ScientificName = s.ScientificName"""
+
+_SURVEY_COLUMNS = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Survey", "Depth", "SampleID", "Method", "Tide",
+                   "Sal_surf", "Sal_bot", "Temp_surf", "TurbidityNTU", "TurbidityFNU", "Secchi", "Secchi_estimated", "Tow_duration",
+                   "Tow_area", "Tow_volume", "Cable_length", "Tow_direction", "Notes_tow", "Notes_flowmeter"]
+SQL["integrate_all_survey"] = f"SELECT DISTINCT {', '.join(_SURVEY_COLUMNS)} FROM ({_ALL})"
+SQL["integrate_all_fish"] = f"""SELECT DISTINCT SampleID, Taxa, Length, Count, Notes_catch FROM ({_ALL})
+WHERE Taxa IS NOT NULL AND Count <> 0"""

@@ -21,6 +21,7 @@ from shoal.functions.salinity import clamp_salinity, with_salinity
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
 from shoal.operators import expand, filters, joins, windows
 from shoal.operators.analyze import mean_by
+from shoal.plans.types import ingest
 from shoal.session import as_is
 from shoal.sources.io import normalize_na
 
@@ -73,6 +74,7 @@ def _with_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
 
 def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
     """K3: Fall Midwater Trawl."""
+    t = ingest("fmwt", t)
     st = (t["StationsLookUp"].select(exprs.pad_station("StationCode", 3).alias("Station"),
                                      F.col("DD_Latitude").cast("double").alias("Latitude"),
                                      F.col("DD_Longitude").cast("double").alias("Longitude"))
@@ -128,6 +130,7 @@ def fmwt(t: Tables, species: DataFrame) -> SurveyResult:
 
 def skt(t: Tables, species: DataFrame) -> SurveyResult:
     """K4: Spring Kodiak Trawl."""
+    t = ingest("skt", t)
     st = t["StationsSKT"].select(
         F.col("Station").cast("string").alias("Station"),
         exprs.dms_to_decimal("LatDeg", "LatMin", "LatSec").alias("Latitude"),
@@ -176,6 +179,7 @@ def skt(t: Tables, species: DataFrame) -> SurveyResult:
 
 def stn(t: Tables, species: DataFrame) -> SurveyResult:
     """K7: Summer Townet."""
+    t = ingest("stn", t)
     s = joins.join(t["Sample"], t["TowEffort"], ["SampleRowID"], "inner")
     fixes = s.sparkSession.createDataFrame(STN_TOW_NUMBERS, "SampleRowID long, TowRowID long, TowNumber int")
     s = joins.apply_patches(s, fixes, ["SampleRowID", "TowRowID"], ["TowNumber"], "set")
@@ -234,6 +238,7 @@ def stn(t: Tables, species: DataFrame) -> SurveyResult:
 
 def tmm(t: Tables, species: DataFrame) -> SurveyResult:
     """K5: 20 mm Survey (J4 chain, J5 calibration, A6 expansion, P32 patch)."""
+    t = ingest("tmm", t)
     station = _with_columns(t["Station"], {"NTU": "double", "FNU": "double"})
     s = joins.assemble([(t["Survey"], [], ""), (station, ["SurveyID"], "inner"),
                         (t["Tow"], ["StationID"], "inner"), (t["Gear"], ["TowID"], "inner")])
@@ -285,6 +290,7 @@ def tmm(t: Tables, species: DataFrame) -> SurveyResult:
 
 def sls(t: Tables, species: DataFrame) -> SurveyResult:
     """K6: Smelt Larva Survey (J6 full-outer chain, J5 calibration, A8)."""
+    t = ingest("sls", t)
     water = _with_columns(t["Water Info"], {"NTU": "int", "FNU": "int"}).select(
         F.to_date("Date").alias("Date"), "Station", "TopEC", "BottomEC",
         F.bround("TopTemp", 2).alias("Temp_surf"), "Secchi",
@@ -355,6 +361,7 @@ def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     """K8: Enhanced Delta Smelt Monitoring (S5 union of exports, F2, P17,
     P12, P6, A7, F9).  ``keep`` gets the rows merged before and after the
     expansion, each read twice."""
+    t = ingest("edsm", t)
     d = t["EDSM"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
     d = d.select(
@@ -399,6 +406,7 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyRe
     """K9: Delta Juvenile Fish Monitoring Program.  When the plan runs it
     stops on organism codes the crosswalk does not know (Q15), except the
     empty-net code."""
+    t = ingest("djfmp", t)
     d = t["DJFMP"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
     d = d.select(
@@ -447,6 +455,7 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyRe
 def baystudy(t: Tables, species: DataFrame) -> SurveyResult:
     """K1: San Francisco Bay Study (J2 decodes, P5 tow status, P8 station
     coordinates, A3 volumetric expansion, F3 valid tows)."""
+    t = ingest("baystudy", t)
     st = t["stations"].select(
         "Station", exprs.degmin_text_to_decimal("Latitude").alias("Latitude"),
         exprs.degmin_text_to_decimal("Longitude", subtract=True).alias("Longitude"))
@@ -547,6 +556,7 @@ def suisun(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     trawls that were not made, are left out.  ``keep`` gets the samples, the
     catch, the comments and the rows to expand, each read several times.
     """
+    t = ingest("suisun", t)
     spark = t["Sample"].sparkSession
     depth = mean_by(t["Depth"], ["SampleRowID"], "Depth")
     s = normalize_na(t["Sample"])
@@ -670,6 +680,7 @@ def salvage(t: Tables, species: DataFrame, no_sampling_patterns=NO_SAMPLING_PATT
     sample, building label or catch is a window partitioned by the sample
     first: a sample's rows are few, and one exchange serves them all.
     """
+    t = ingest("salvage", t)
     spark = t["Sample"].sparkSession
     s = t["Sample"].select("SampleRowID", "SampleDate", "SampleTime", "StudyRowID", "AcreFeet", "MinutesPumping",
                            "SampleTimeLength", "WaterTemperature", "SampleMethod", "Comments_Sample")

@@ -1,4 +1,5 @@
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,6 +135,14 @@ def test_broken_rules_do_not_switch(spark, tmp_path):
     assert v.publish("none", df.limit(0), rules=rules, allowed={"negative": 0, "rows_lost": 0})["rows_in"] == 0
 
 
+def test_datasets_published_side_by_side(spark, tmp_path):
+    v = Versions(spark, str(tmp_path))
+    df = spark.createDataFrame([("a", 1)], "Source string, n int")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: v.publish(f"d{k % 8}", df) if k < 8 else v.load(), range(12)))
+    assert sorted(v.current()) == [f"d{k}" for k in range(8)]
+
+
 def test_replace_one_source(spark, tmp_path):
     path = str(tmp_path / "d")
     schema = "Source string, n int"
