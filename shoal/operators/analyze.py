@@ -148,6 +148,23 @@ def reconcile(ours: DataFrame, theirs: DataFrame, keys: Sequence[str], ours_col:
     return j.withColumn("difference", d).withColumn("prop_difference", p)
 
 
+def explain_differences(compared: DataFrame, known: DataFrame, keys: Sequence[str], known_col: str,
+                        difference: str = "difference", tolerance: float = 1e-6) -> DataFrame:
+    """``compared`` with the listed differences (``keys, known_col``, several
+    rows a key add up): ``known`` and ``status``, one of ``equal``, ``known``
+    (the whole difference is listed), ``changed`` (another one is), ``new``, and
+    ``gone`` (one is listed, there is none any more).  A key that one side
+    lacks has no difference to compare and is ``new`` unless listed."""
+    listed = known.groupBy(*keys).agg(F.sum(known_col).alias("known"))
+    j = join(compared, listed, keys, "full")
+    d, k = F.col(difference), F.col("known")
+    none, near = F.abs(d) <= tolerance, F.abs(d - k) <= tolerance
+    status = (F.when(k.isNull(), F.when(F.coalesce(none, F.lit(False)), "equal").otherwise("new"))
+              .when(F.coalesce(near, F.lit(False)), "known")
+              .when(d.isNull() | none, "gone").otherwise("changed"))
+    return j.withColumn("status", status)
+
+
 def cumulative_compare(df: DataFrame, partition: Sequence[str], date: str,
                        value_cols: Sequence[str], name: str = "series",
                        value: str = "value") -> DataFrame:

@@ -561,6 +561,22 @@ def q_reconcile(spark: SparkSession, d: str) -> DataFrame:
                       r6("prop_difference").alias("prop_difference"))
 
 
+@register("reconcile_known")
+def q_reconcile_known(spark: SparkSession, d: str) -> DataFrame:
+    """K15 with the list of known differences: which are explained, which new,
+    which are listed and no longer there."""
+    ln = roles.lines(spark, d)
+    ours = ln.groupBy("Taxa", "returnflag").agg(F.sum("quantity").alias("ours"))
+    theirs = ln.filter("linenumber <> 4").groupBy("Taxa", "returnflag").agg(F.sum("quantity").alias("theirs"))
+    some = F.col("returnflag") != "R"
+    known = (ln.filter("linenumber = 4").groupBy("Taxa", "returnflag").agg(F.sum("quantity").alias("amount")).filter(some)
+             .withColumn("amount", F.when(F.col("returnflag") == "A", F.col("amount") + 1.0).otherwise(F.col("amount")))
+             .unionByName(ln.select("Taxa").distinct().select("Taxa", F.lit("X").alias("returnflag"), F.lit(2.0).alias("amount"))))
+    compared = analyze.reconcile(ours, theirs, ["Taxa", "returnflag"], "ours", "theirs")
+    out = analyze.explain_differences(compared, known, ["Taxa", "returnflag"], "amount")
+    return out.select("Taxa", "returnflag", "ours", "theirs", "difference", "known", "status")
+
+
 @register("cumulative")
 def q_cumulative(spark: SparkSession, d: str) -> DataFrame:
     """K15 (R1 + W4): daily totals of both series unpivoted, running sums by date."""
@@ -1469,7 +1485,7 @@ def q_djfmp_job(spark: SparkSession, d: str) -> DataFrame:
     """K9 end to end (Q15 guard, F2, P17, P18 midnight rule, P12, P10, P4, P21,
     A7, A11, J3, J1, P23, P26) on the driver tables in the DJFMP roles."""
     tables, species = djfmp_tables(spark, d)
-    ds = surveys.djfmp(tables, species).dataset
+    ds = surveys.djfmp(tables, species, keep=materialise).dataset
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Temp_surf", "TurbidityNTU", "Secchi", "Tow_volume",
            "Length", "Count"]
     return ds.select(*[q6(c).alias(c) if c in dbl else
@@ -1562,7 +1578,7 @@ SURVEY_JOBS = {
 }
 
 #: Those that read tables of theirs several times.
-KEEPING = ("edsm", "suisun")
+KEEPING = ("edsm", "djfmp", "suisun")
 
 
 def _measured(name: str) -> Query:

@@ -1896,3 +1896,18 @@ _SURVEY_COLUMNS = ["Source", "Station", "Latitude", "Longitude", "Date", "Dateti
 SQL["integrate_all_survey"] = f"SELECT DISTINCT {', '.join(_SURVEY_COLUMNS)} FROM ({_ALL})"
 SQL["integrate_all_fish"] = f"""SELECT DISTINCT SampleID, Taxa, Length, Count, Notes_catch FROM ({_ALL})
 WHERE Taxa IS NOT NULL AND Count <> 0"""
+
+SQL["reconcile_known"] = with_(LINES, """c AS (
+  SELECT Taxa, returnflag, sum(quantity) AS ours, sum(quantity) FILTER (WHERE linenumber <> 4) AS theirs,
+         sum(quantity) FILTER (WHERE linenumber = 4) AS fourth
+  FROM lines GROUP BY Taxa, returnflag),
+k AS (SELECT Taxa, returnflag, CASE WHEN returnflag = 'A' THEN fourth + 1.0 ELSE fourth END AS known
+      FROM c WHERE returnflag <> 'R' AND fourth IS NOT NULL
+      UNION ALL SELECT DISTINCT Taxa, 'X', 2.0 FROM c),
+j AS (SELECT COALESCE(c.Taxa, k.Taxa) AS Taxa, COALESCE(c.returnflag, k.returnflag) AS returnflag, ours, theirs,
+             ours - theirs AS difference, known
+      FROM c FULL JOIN k ON c.Taxa = k.Taxa AND c.returnflag = k.returnflag)""") + """
+SELECT *, CASE WHEN known IS NULL THEN CASE WHEN difference = 0 THEN 'equal' ELSE 'new' END
+               WHEN abs(difference - known) < 0.000001 THEN 'known'
+               WHEN difference IS NULL OR difference = 0 THEN 'gone' ELSE 'changed' END AS status
+FROM j"""

@@ -19,7 +19,7 @@ from shoal.functions import exprs
 from shoal.functions.nulls import recode, strict_sum
 from shoal.functions.salinity import clamp_salinity, with_salinity
 from shoal.functions.schema import NO_FISH, UNKNOWN_LENGTH
-from shoal.operators import expand, filters, joins, windows
+from shoal.operators import expand, filters, joins, samples, windows
 from shoal.operators.analyze import mean_by
 from shoal.plans.types import ingest
 from shoal.session import as_is
@@ -359,8 +359,8 @@ def _either_date(c: str) -> F.Column:
 
 def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     """K8: Enhanced Delta Smelt Monitoring (S5 union of exports, F2, P17,
-    P12, P6, A7, F9).  ``keep`` gets the rows merged before and after the
-    expansion, each read twice."""
+    P12, P6, A7, F9).  ``keep`` gets the rows as read and those merged before
+    and after the expansion, each read twice."""
     t = ingest("edsm", t)
     d = t["EDSM"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
@@ -388,10 +388,12 @@ def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
          .withColumn("SampleID", exprs.sample_id(F.col("Datetime"), "Station", "Tow", "Method",
                                                  "Latitude", "Longitude")))
     d = _plus_count_groups(d).drop("Time", "MarkCode", "RaceByLength")
-    d = expand.expand_plus_count_group(d, ["SampleID", "OrganismCode", "Group"],
+    d, attributes = samples.split(keep(d), ["OrganismCode", "Length", "Count", "Group"])
+    d = expand.expand_plus_count_group(d, [samples.SAMPLE, "OrganismCode", "Group"],
                                        empty_code=("OrganismCode", "NOFISH"), drop_zero_counts=True, keep=keep)
     d = keep(expand.merge_duplicates(d.drop("Group"), "Count"))
-    d = filters.drop_spurious_no_fish(d, "SampleID", "Count", F.col("OrganismCode") == "NOFISH")
+    d = filters.drop_spurious_no_fish(d, samples.SAMPLE, "Count", F.col("OrganismCode") == "NOFISH")
+    d = samples.attach(d, attributes)
     d = joins.to_taxa(d, species, "OrganismCode", "USFWS_Code")
     d = (d.withColumn("SampleID", exprs.sample_id(F.lit("EDSM"), "SampleID"))
          .withColumn("Count", exprs.zero_no_catch("Count", "Length_NA_flag"))
@@ -402,10 +404,11 @@ def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
     return SurveyResult(d.withColumn("Taxa", exprs.strip_lifestage("Taxa")).select(*cols), None)
 
 
-def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyResult:
+def djfmp(t: Tables, species: DataFrame, check_species: bool = True, keep: Keep = as_is) -> SurveyResult:
     """K9: Delta Juvenile Fish Monitoring Program.  When the plan runs it
     stops on organism codes the crosswalk does not know (Q15), except the
-    empty-net code."""
+    empty-net code.  ``keep`` gets the rows as read and merged, each
+    read twice."""
     t = ingest("djfmp", t)
     d = t["DJFMP"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
@@ -430,8 +433,9 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True) -> SurveyRe
                                                             F.col("Date").cast("string")),
                                                  "Station", "TowNumber", "Method")))
     d = _plus_count_groups(d).drop("Time", "MarkCode", "RaceByLength", "Conductivity")
-    d = expand.expand_plus_count_group(d, ["SampleID", "OrganismCode", "Group"])
-    d = joins.lookup(d.drop("Group"), t["DJFMP_stations"].withColumnRenamed("StationCode", "Station"),
+    d, attributes = samples.split(keep(d), ["OrganismCode", "Length", "Count", "Group"])
+    d = expand.expand_plus_count_group(d, [samples.SAMPLE, "OrganismCode", "Group"], keep=keep)
+    d = joins.lookup(samples.attach(d.drop("Group"), attributes), t["DJFMP_stations"].withColumnRenamed("StationCode", "Station"),
                      ["Station"])
     d = joins.to_taxa(d, species, "OrganismCode", "USFWS_Code")
     if check_species:
