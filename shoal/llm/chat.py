@@ -38,11 +38,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import ship
+from shoal.llm.common import ship, strings
 
 CHUNK = 512
 _SEQ_STEP = 1 << 32
@@ -138,17 +138,23 @@ def read_back(rendered: DataFrame) -> DataFrame:
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars``."""
     ship(rendered.sparkSession)
-    ordered = (rendered.select("conv_id", "opened", "msg_id", "segment", "loss_start", "loss_end")
+    ordered = (rendered.select(F.col("conv_id").cast("long"), "opened", "msg_id", "segment", "loss_start", "loss_end")
                .repartition("conv_id").sortWithinPartitions("conv_id", "opened", "msg_id"))
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Arrow, not pandas: beside a null id pandas would make the ids doubles
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+
+    def rows(done: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], kind) for k, kind in enumerate(kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = object()
         conv, turns, loss, n, trained, chars = none, None, None, 0, 0, 0
         for b in batches:
             out = []
-            for c, segment, start, end in zip(b["conv_id"].tolist(), b["segment"], b["loss_start"], b["loss_end"]):
-                c = None if c is None or c != c else int(c)
+            for c, segment, start, end in zip(b.column(0).to_pylist(), strings(b.column(3)), b.column(4).to_pylist(),
+                                              b.column(5).to_pylist()):
                 if conv is none or c != conv:
                     if conv is not none:
                         out.append((conv, n, turns.hexdigest(), trained, loss.hexdigest(), chars))
@@ -157,17 +163,16 @@ def read_back(rendered: DataFrame) -> DataFrame:
                 for role, text in parse(segment):
                     n += 1
                     turns.update(f"{role}\n{text}\n".encode())
-                if start == start and start is not None:
-                    text = unescaped(segment[int(start):int(end)])
+                if start is not None:
+                    text = unescaped(segment[start:end])
                     trained += len(text)
                     loss.update(text.encode())
             if out:
-                yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
+                yield rows(out)
         if conv is not none:
-            yield (pd.DataFrame([(conv, n, turns.hexdigest(), trained, loss.hexdigest(), chars)], columns=names)
-                   .astype({"conv_id": "Int64"}))
+            yield rows([(conv, n, turns.hexdigest(), trained, loss.hexdigest(), chars)])
 
-    return ordered.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                                     "loss_sha256 string, formatted_chars long")
 
 

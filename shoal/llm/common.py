@@ -114,21 +114,33 @@ def small(df: DataFrame, most_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most_bytes else df
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until ``docs`` has no such column."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
 def keep_once(docs: DataFrame, keep: DataFrame, id_col: str, key: Column) -> DataFrame:
     """The rows of ``docs``, all columns, whose (id, key) is in ``keep``
     (``doc_id, key``), one row per pair.
 
     ``keep`` has a pair as often as ``docs`` has the row, so rows that are
     repeated show there; only those are compared again row by row."""
-    pairs = cut(keep.groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")))
-    keyed, cols = docs.withColumn("__of", key), docs.columns
+    own_id, own_key, count, of = unused(docs, "__id", "__key", "__n", "__of")
+    pairs = cut(keep.groupBy(F.col("doc_id").alias(own_id), F.col("key").alias(own_key)).agg(F.count(F.lit(1)).alias(count)))
+    keyed, cols = docs.withColumn(of, key), [F.col(f"`{c}`") for c in docs.columns]
 
     def rows(which: DataFrame) -> DataFrame:
-        hit = (F.col("__of") == F.col("__key")) & F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
+        hit = (F.col(of) == F.col(own_key)) & F.col(f"`{id_col}`").eqNullSafe(F.col(own_id))
         return keyed.join(which, hit, "left_semi")
 
-    once = rows(pairs.filter("__n = 1")).select(*cols)
-    repeated = pairs.filter("__n > 1")
+    once = rows(pairs.filter(F.col(count) == 1)).select(*cols)
+    repeated = pairs.filter(F.col(count) > 1)
     if repeated.isEmpty():
         return once
-    return once.unionByName(rows(repeated).dropDuplicates([id_col, "__of"]).select(*cols))
+    return once.unionByName(rows(repeated).dropDuplicates([id_col, of]).select(*cols))

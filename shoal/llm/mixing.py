@@ -35,11 +35,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, small, text_of
+from shoal.llm.common import cut, small, text_of, unused
 
 BLOCK_TOKENS = 1 << 20
 MIN_BLOCKS, MAX_BLOCKS = 16, 1 << 20
 HALVINGS = 28
+#: Columns that ``counted`` adds or needs for a while.
+RESERVED = ("__src", "__digest", "__weight", "__block", "__copies", "__times", "__more", "__pass")
 TOKEN = "[^ \\t\\n\\r\\f]+"
 
 
@@ -167,6 +169,10 @@ def mixed(docs: DataFrame, seed: int = 1, id_col: str = "doc_id", text_col: str
           source_col: str = "source", **target) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as it is used,
     columns unchanged."""
-    m = mixture(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **target)
-    return (counted(docs, m, seed, id_col, text_col, source_col).filter("__copies > 0")
-            .withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns))
+    inside = {c: n for c, n in zip(RESERVED, unused(docs, *RESERVED)) if c in docs.columns}
+    named = docs.withColumnsRenamed(inside)  # counted's own names are free then
+    cols = [inside.get(c, c) for c in (id_col, text_col, source_col)]
+    m = mixture(named, seed=seed, id_col=cols[0], text_col=cols[1], source_col=cols[2], **target)
+    return (counted(named, m, seed, *cols).filter("__copies > 0")
+            .withColumn("__pass", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*named.columns)
+            .withColumnsRenamed({n: c for c, n in inside.items()}))

@@ -47,7 +47,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, evict, resident, shared_dir, ship, small, strings, text_of
+from shoal.llm.common import cut, evict, resident, shared_dir, ship, small, strings, text_of, unused
 
 ORDER, SYMBOLS = 4, 64
 QUANTILE, MARGIN, MIN_TRUSTED = 0.995, 2.0, 20
@@ -394,8 +394,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, id
     if fitted is None:
         return docs
     lang = F.col(f"`{lang_col}`").cast("string")
-    out = cut(fitted.filter("not kept").select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"),
-                                               F.col("lang").alias("__lang")).distinct())
-    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & lang.eqNullSafe(F.col("__lang"))
-            & (F.xxhash64(text_of(text_col)) == F.col("__th")))
+    own_id, own_th, own_lang = unused(docs, "__id", "__th", "__lang")
+    out = cut(fitted.filter("not kept").select(F.col("doc_id").alias(own_id), F.col("th").alias(own_th),
+                                               F.col("lang").alias(own_lang)).distinct())
+    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own_id)) & lang.eqNullSafe(F.col(own_lang))
+            & (F.xxhash64(text_of(text_col)) == F.col(own_th)))
     return docs.join(small(out), same, "left_anti")

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoal.llm.common import unused
+
 SLOTS = 65_537
 MAX_SLOTS = 1 << 20
 
@@ -94,12 +96,14 @@ def write_shards(docs: DataFrame, path: str, shards: Sequence[str], files_per_sh
     """Write ``docs`` as Parquet, one folder ``__shard=<name>`` per shard, all
     columns kept.  Each shard is dealt to ``files_per_shard`` tasks by slot,
     so no shard is one task's work."""
+    if "__shard" in docs.columns:
+        raise ValueError("__shard names the folders; rename the column of that name")
     owners = fill_table(shards, slots, weights)
-    spark = docs.sparkSession
-    lookup = spark.createDataFrame([(k, shards[o]) for k, o in enumerate(owners)], "__slot int, __shard string")
+    spark, [slot] = docs.sparkSession, unused(docs, "__slot")
+    lookup = spark.createDataFrame([(k, shards[o]) for k, o in enumerate(owners)], f"{slot} int, __shard string")
     by_text = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), by_text))
-    placed = (docs.withColumn("__slot", F.pmod(key, F.lit(slots)).cast("int"))
-              .join(F.broadcast(lookup), "__slot"))
-    (placed.repartition(len(shards) * files_per_shard, "__shard", F.pmod("__slot", F.lit(files_per_shard)))
-     .drop("__slot").write.partitionBy("__shard").parquet(path))
+    placed = (docs.withColumn(slot, F.pmod(key, F.lit(slots)).cast("int"))
+              .join(F.broadcast(lookup), slot))
+    (placed.repartition(len(shards) * files_per_shard, "__shard", F.pmod(slot, F.lit(files_per_shard)))
+     .drop(slot).write.partitionBy("__shard").parquet(path))

@@ -109,3 +109,16 @@ def test_no_control_string_inside_a_turn(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.segments(chat.fold(chat.log_of(df)))).count() == 0
+
+
+def test_large_ids_beside_a_null_id(spark):
+    big = 9_007_199_254_740_992  # from here on doubles skip integers
+    rows = [(c, 0, "user", f"t{c}") for c in (big, big + 1, big + 2, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        out = chat.read_back(chat.segments(chat.fold(chat.log_of(df)))).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert {r.conv_id: (r.n_turns, r.turns_sha256) for r in out} == {
+        c: (1, hashlib.sha256(f"user\nt{c}\n".encode()).hexdigest()) for c, *_ in rows}
