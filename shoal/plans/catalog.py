@@ -1598,8 +1598,8 @@ for _name in ("fmwt", "skt", "stn", "tmm", "sls", "baystudy", "suisun", "salvage
 
 #: Published folders of this application, by the tables they were made of.
 _PUBLISHED: dict[tuple[str, str], str] = {}
-#: Jobs run side by side; each leaves cores idle while it plans.
-AT_ONCE = 4
+#: Jobs run side by side: each leaves cores idle while it plans, and holds its plan in the driver.
+AT_ONCE = 2
 
 
 def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
