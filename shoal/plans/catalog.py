@@ -1605,9 +1605,10 @@ AT_ONCE = 2
 def _published(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """Run the ten jobs, publish each dataset as a version (S9) under the folder
     driver and executors share, and read them back through the registry (S6).
-    Once for an application and its tables: three queries read them."""
+    Once for an application and its tables, as long as the folder is there: three
+    queries read them."""
     made = (spark.sparkContext.applicationId, d)
-    if made not in _PUBLISHED:
+    if made not in _PUBLISHED or len(Versions(spark, _PUBLISHED[made]).current()) < len(SURVEY_JOBS):
         root = _scratch(spark, "surveys")
 
         def run(name: str) -> None:
