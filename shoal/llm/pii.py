@@ -25,6 +25,11 @@ field runs over every document with a candidate, with or without base spans.
 Training is piecewise: unary weights by multinomial logistic regression, the
 two pair tables by smoothed log odds.  Base spans are the labels; a candidate
 is negative unless it shares a key with a base span (then it is unlabelled).
+The patterns see only what carries their mark, so each base span also stands
+for its ``variants`` without it (no ``+`` and country code, ``(at)`` for ``@``).
+A number that fails its kind's test (check digit, octets) has a feature of its
+own, and each card and address stands for a spoilt one as a negative, so that
+repeats of such a number do not confirm each other.
 It uses the nodes of at most ``SAMPLE`` documents of at most ``SAMPLE_CHARS``
 characters (smallest hashes of their ids); inference reads every whole text.
 
@@ -59,7 +64,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CANDIDATE = re.compile(r"(?<!\S)(?:\(?[0-9][0-9().-]*+(?:\x20[0-9(][0-9().-]*+)*+(?=[\s,;:!?]|$)"
                         r"|[^\s0-9@]*+[0-9@]\S*+)")
 _DIGITS = re.compile(r"[0-9]+")
-_EDGE = ".,;:!?()[]{}<>\"'|"
+_OTHER = re.compile(r"[^0-9\x20().+-]")  # what no card, address or phone number has inside
+_DATE = re.compile(r"(?:19|20)[0-9]{2}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?:\x20|(?![^\s,;:!?]))")
+_SOLID = re.compile(r"(?<![^\x20])[0-9]{12,}(?![^\x20.,;:!?])")
+_PREFIX = re.compile(r"\+[0-9]{1,3}[\x20.-]+")
+_EDGE = ".,;:!?()[]{}<>\"'|\x20"
 
 
 def luhn(digits: str) -> bool:
@@ -103,6 +112,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _tokens(text: str):
+    """Candidate tokens; a solid number as long as a card's is a token of its
+    own, whatever numbers stand beside it."""
+    for m in _CANDIDATE.finditer(text):
+        at = m.start()
+        if "\x20" in m[0]:
+            for long in _SOLID.finditer(text, at, m.end()):
+                yield from ((at, long.start()),) if at < long.start() else ()
+                yield long.span()
+                at = long.end()
+        if at < m.end():
+            yield at, m.end()
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Free nodes: trimmed candidate tokens that overlap no base span."""
     out, k = [], 0
@@ -113,13 +136,15 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             merged[-1][1] = max(merged[-1][1], e)
         else:
             merged.append([s, e])
-    for m in _CANDIDATE.finditer(text):
-        s, e = m.span()
+    for s, e in _tokens(text):
+        start = s
         while s < e and text[s] in _EDGE:
             s += 1
+        while (date := _DATE.match(text, s, e)):  # "2019-05-06 10:30": the date is not part of a number
+            s = date.end()
         while e > s and text[e - 1] in _EDGE:
             e -= 1
-        if ")" in text[s:e] and "(" not in text[s:e] and s > m.start() and text[s - 1] == "(":
+        if ")" in text[s:e] and "(" not in text[s:e] and s > start and text[s - 1] == "(":
             s -= 1
         while k < len(merged) and merged[k][1] <= s:
             k += 1
@@ -133,12 +158,37 @@ def shape(token: str) -> list[float]:
     groups = _DIGITS.findall(token)
     n = sum(map(len, groups))
     letters = sum(map(str.isalpha, token))
-    numeric = letters == 0
+    numeric = not _OTHER.search(token)
     return [1.0, float("@" in token), float(n == 0), float(0 < n <= 4), float(5 <= n <= 8), float(9 <= n <= 11),
             float(12 <= n <= 15), float(16 <= n <= 19), float(n > 19), float(numeric), float(token[:1] == "+"),
             float(len(groups) == 4 and numeric and token.count(".") == 3), float(len(groups) == 1 and numeric),
             float(numeric and len(groups) > 1 and "." not in token), float(letters > 0 and n > 0),
-            float("." in token and letters > 0), float("=" in token or "/" in token), float("(" in token)]
+            float("." in token and letters > 0), float("=" in token or "/" in token), float("(" in token),
+            *_checks(groups, n, numeric, numeric and token.count(".") == 3)]
+
+
+def _checks(groups: list[str], n: int, numeric: bool, dotted: bool) -> list[float]:
+    """Whether the token, read as a card or an address, passes its test, and
+    whether it fails it.  A number that fails is no weak evidence of the kind
+    but evidence against it."""
+    card = numeric and 12 <= n <= 19
+    valid = card and luhn("".join(groups))
+    quad = dotted and len(groups) == 4 and n <= 12
+    octets = quad and all(map(_small, groups))
+    return [float(card and valid), float(card and not valid), float(quad and octets), float(quad and not octets)]
+
+
+def variants(token: str, kind: int) -> list[tuple[str, int]]:
+    """Ways to write a base span that its pattern does not match, with its
+    label; and a like number that fails the test of its kind, labelled 0."""
+    if kind == 0:
+        return [(token.replace("@", "(at)"), 1), (token.replace("@", "[at]"), 1)]
+    if kind == 1:
+        return [("300" + token[token.index("."):], 0)]
+    if kind == 2:
+        return [(token[:-1] + str((int(token[-1]) + 1) % 10), 0)]
+    plain = _PREFIX.sub("", token)
+    return [(plain, 4)] if sum(map(str.isdigit, plain)) >= 9 else []
 
 
 def keys(token: str) -> set[str]:
@@ -235,7 +285,7 @@ def train(docs: DataFrame) -> dict | None:
 
     def run(batches):
         for b in batches:
-            label, feats, pairs = [], [], []
+            label, feats, pairs, sizes = [], [], [], []
             for t in strings(b.column(0)):
                 _, nodes = nodes_of(t)
                 nodes = nodes[:SAMPLE_NODES]
@@ -243,23 +293,26 @@ def train(docs: DataFrame) -> dict | None:
                 known = set().union(*(keys(x) for x, n in zip(tokens, nodes) if n[1] >= 0), set())
                 # 0 other, 1.. the kinds, -1 unlabelled
                 y = [n[1] + 1 if n[1] >= 0 else -1 if keys(x) & known else 0 for x, n in zip(tokens, nodes)]
-                label.append(y)
-                feats.append([v for x in tokens for v in shape(x)])
+                more = [v for x, n in zip(tokens, nodes) if n[1] >= 0 for v in variants(x, n[1])]
+                label.append(y + [k for _, k in more])
+                feats.append([v for x in tokens + [x for x, _ in more] for v in shape(x)])
+                sizes.append(len(y))
                 pairs.append([v for e in skip_edges(tokens) for v in e])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(label, pa.list_(pa.int32())), pa.array(feats, pa.list_(pa.float64())),
-                 pa.array(pairs, pa.list_(pa.int32()))], ["label", "feats", "pairs"])
+                 pa.array(pairs, pa.list_(pa.int32())), pa.array(sizes, pa.int32())], ["label", "feats", "pairs", "size"])
 
     rows = (_sample(docs).select("text")
-            .mapInArrow(run, "label array<int>, feats array<double>, pairs array<int>")
+            .mapInArrow(run, "label array<int>, feats array<double>, pairs array<int>, size int")
             .filter(F.size("label") > 0).collect())
     width, n_labels = len(shape("")), len(KINDS) + 1
     chain, skip = np.full((n_labels, n_labels), 1.0), np.full((n_labels, n_labels), 1.0)
     skip += 24.0 * np.eye(n_labels)  # prior: similar tokens agree
     x, y = [], []
-    for label, feats, pairs in rows:
+    for label, feats, pairs, size in rows:
         x.append(np.array(feats).reshape(-1, width))
         y.append(np.array(label))
+        label = label[:size]  # without the variants, which stand nowhere
         for a, b in zip(label, label[1:]):
             if a >= 0 and b >= 0:
                 chain[a, b] += 1
