@@ -4,7 +4,10 @@ A text is cut into sentences (after ``. ! ? : ;`` before white space, and at
 blank lines; an SPDX tag stays with its value).  A sentence that spans lines is tried whole, as wrapped text,
 and if unknown line by line.  Normalised (lower case, every run of other
 characters than a-z and 0-9 one space) it is looked up among known licence
-sentences, which gives an identifier.  The identifiers of a document, in
+sentences, which gives an identifier; where a sentence names a holder, any
+name of up to 200 characters may stand (``HOLDERS``).  The licences of an SPDX
+expression (OR, AND, WITH, parentheses, -only, -or-later) and of a notice that
+lists several give an identifier each.  The identifiers of a document, in
 order, form a sequence, against which the rules are matched in their order;
 a rule that matches uses its identifiers up, so a full licence text is not
 also reported as the shorter one it contains.  The sentences that "*" lets
@@ -104,6 +107,26 @@ SENTENCES: dict[str, str] = {
     "rights": "All rights reserved.",
 }
 
+# Sentences that name a holder, as patterns over normalised
+# sentences with a bounded gap for the name, and the sentence they stand for.
+# A name with a full stop ends a sentence early, so the rest counts as well.
+_ENDORSE = "may (?:not )?be used to endorse or promote products derived from this software without (?:specific )?prior written permission"
+HOLDERS: list[tuple[str, str]] = [
+    (f"^(?:neither the names? of [a-z0-9 ]{{1,200}} )?nor the names of (?:its |the |their |any |other )?contributors {_ENDORSE}$", "bsd-endorse"),
+    (f"^the names? of [a-z0-9 ]{{1,200}} {_ENDORSE}$", "bsd-endorse"),
+    ("^this software is provided by [a-z0-9 ]{1,200} as is and any express or implied warranties including but not limited to "
+     "the implied warranties of merchantability and fitness for a particular purpose are disclaimed$", "bsd-asis"),
+    ("^in no event shall [a-z0-9 ]{1,200} be liable for any claim damages or other liability whether in an action of contract tort "
+     "or otherwise arising from out of or in connection with the software or the use or other dealings in the software$", "mit-liable"),
+    ("^the software is provided as is and [a-z0-9 ]{1,200} disclaims all warranties with regard to this software including all "
+     "implied warranties of merchantability and fitness$", "isc-asis"),
+]
+
+#: The expression behind an SPDX tag, and the licences that a notice lists.
+SPDX = "(?i)^[^a-z0-9]*spdx-license-identifier:? (.+)"
+LISTED = ("^(?:this (?:work|project|software|file|program) is )?(?:dual )?(?:licensed|released|distributed|available) under "
+          "(?:(?:the|a|either) ){0,2}(.+ (?:or|and) .+)$")
+
 # Rules in order, each a sequence of sentences; "*" lets other
 # sentences stand between, up to one that opens a rule.
 RULES: list[tuple[str, str]] = [
@@ -191,6 +214,31 @@ def _norm(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
 
 
+def _named(known: Column, s: Column) -> Column:
+    """Identifier of a normalised sentence, also with a holder's name in it."""
+    out = F.try_element_at(known, s)
+    for pattern, ident in HOLDERS:
+        out = F.coalesce(out, F.when(s.rlike(pattern), F.lit(IDENTIFIERS.index(ident) + 1)))
+    return out
+
+
+def _of_line(line: Column, known: Column) -> Column:
+    """Identifiers of a line: of its sentence, of the licences of an SPDX
+    expression (an exception after WITH has none) or of those it lists."""
+    s = _norm(line)
+    tag = F.regexp_replace(F.regexp_extract(line, SPDX, 1), "[()\\s]+", " ")
+    listed = F.regexp_extract(s, LISTED, 1)
+
+    def by(phrase: str, part: Column) -> Column:
+        return F.try_element_at(known, F.concat(F.lit(phrase), F.regexp_replace(_norm(part), " (?:only|or later)$", "")))
+
+    named = _named(known, s)
+    return (F.when(named.isNotNull(), F.array(named))
+            .when(tag != "", F.transform(F.split(tag, "(?i) (?:or|and|with) "), lambda x: by("spdx license identifier ", x)))
+            .when(listed != "", F.transform(F.split(listed, " (?:or|and) (?:the |a )?"), lambda x: by("licensed under ", x)))
+            .otherwise(F.array().cast("array<int>")))
+
+
 def _identifiers(text: Column, known: Column) -> Column:
     """Identifiers of the known sentences of a text, in order, by their
     place in ``IDENTIFIERS`` from 1."""
@@ -199,9 +247,9 @@ def _identifiers(text: Column, known: Column) -> Column:
     sentences = F.filter(F.split(marked, "\u0001"), lambda s: F.lower(s).rlike(TRIGGER))
 
     def of(s: Column) -> Column:
-        whole = F.array(F.try_element_at(known, _norm(s)))
-        lines = F.transform(F.split(s, "\n"), lambda line: F.try_element_at(known, _norm(line)))
-        return F.when(whole[0].isNull() & (F.instr(s, "\n") > 0), lines).otherwise(whole)
+        whole = _named(known, _norm(s))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(
+            F.flatten(F.transform(F.split(s, "\n"), lambda line: _of_line(line, known))))
 
     return F.filter(F.flatten(F.transform(sentences, of)), lambda i: i.isNotNull())
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shoal.llm.license import TRIGGER, known_sentences, rule_table
+from shoal.llm.license import HOLDERS, LISTED, SPDX, TRIGGER, known_sentences, rule_table
 
 SQL: dict[str, str] = {}
 
@@ -96,6 +96,22 @@ def _licences() -> str:
     table = sorted(known_sentences().items())
     known = "MAP {" + ", ".join(f"{quoted(s)}: {quoted(i)}" for s, i in table) + "}"
     norm = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+
+    def named(s: str) -> str:
+        return ("coalesce(k[" + s + "], CASE " + " ".join(f"WHEN regexp_matches({s}, {quoted(p)}) THEN {quoted(i)}" for p, i in HOLDERS)
+                + " END)")
+
+    def by(phrase: str) -> str:
+        return f"lambda y: k['{phrase} ' || regexp_replace({norm.format('y')}, ' (?:only|or later)$', '')]"
+
+    # tag values and lists of licences, split at a mark that stands in no text
+    tag = f"regexp_replace(regexp_extract(x, {quoted(SPDX)}, 1), '[()\\s]+', ' ', 'g')"
+    tags = f"string_split(regexp_replace({tag}, '(?i) (?:or|and|with) ', chr(1), 'g'), chr(1))"
+    listed = f"regexp_extract({norm.format('x')}, {quoted(LISTED)}, 1)"
+    lists = f"string_split(regexp_replace({listed}, ' (?:or|and) (?:the |a )?', chr(1), 'g'), chr(1))"
+    line = (f"CASE WHEN {named(norm.format('x'))} IS NOT NULL THEN [{named(norm.format('x'))}] "
+            f"WHEN {tag} <> '' THEN list_transform({tags}, {by('spdx license identifier')}) "
+            f"WHEN {listed} <> '' THEN list_transform({lists}, {by('licensed under')}) ELSE [] END")
     steps, last = [], "r0"
     for k, (pattern, ident) in enumerate(rule_table(), start=1):
         hit = f"regexp_matches(seq, {quoted(pattern)})"
@@ -111,9 +127,8 @@ t AS (
   FROM documents),
 i AS (
   SELECT doc_id, list_filter(flatten(list_transform(sentences, lambda s:
-           CASE WHEN k[{norm.format('s')}] IS NULL AND contains(s, chr(10))
-                THEN list_transform(string_split(s, chr(10)), lambda x: k[{norm.format('x')}])
-                ELSE [k[{norm.format('s')}]] END)), lambda x: x IS NOT NULL) AS ids
+           CASE WHEN {named(norm.format('s'))} IS NOT NULL THEN [{named(norm.format('s'))}]
+                ELSE flatten(list_transform(string_split(s, chr(10)), lambda x: {line})) END)), lambda x: x IS NOT NULL) AS ids
   FROM t, known),
 r0 AS MATERIALIZED (SELECT doc_id, ids, ',' || array_to_string(ids, ',') || ',' AS seq, CAST([] AS VARCHAR[]) AS found FROM i),
 {", ".join(steps)}

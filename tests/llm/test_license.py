@@ -126,3 +126,44 @@ def test_long_texts(spark):
     rows = [(k, t, "en", "a", 1, *cases.EXTRA) for k, t in enumerate(texts)]
     got = {r.doc_id: (r.n_known, r.licenses, r.unmatched) for r in L.scan(cases.docs(spark, rows)).collect()}
     assert got == {0: (n + 1, "", n + 1), 1: (n + 1, "MIT", n - 1)}
+
+
+NAMED = {
+    BSD3.replace("the copyright holder", "Google Inc."): "BSD-3-Clause",
+    BSD3.replace("the copyright holder", "the University of\n  Somewhere").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE REGENTS AND CONTRIBUTORS"): "BSD-3-Clause",
+    BSD3.replace(S["bsd-endorse"], "The name of the author may not be used to endorse or promote products derived from this software "
+                 "without specific prior written permission."): "BSD-3-Clause",
+    MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "THE X CONSORTIUM"): "MIT",
+    ISC.replace("THE AUTHOR DISCLAIMS", "INTERNET SOFTWARE CONSORTIUM DISCLAIMS"): "ISC",
+    "SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+    "# SPDX-License-Identifier: (MIT OR Apache-2.0) AND BSD-3-Clause\ncode": "MIT,Apache-2.0,BSD-3-Clause",
+    "// SPDX-License-Identifier: LGPL-2.1-only WITH Some-exception": "LGPL-2.1",
+    "/* SPDX-License-Identifier:\tGPL-3.0+ */": "GPL-3.0",
+    "SPDX-License-Identifier: Unknown-1.0 or ISC": "ISC",
+    "Licensed under the Apache License 2.0 or the MIT license.": "MIT,Apache-2.0",
+    "Dual licensed under MIT and GPLv3.": "MIT,GPL-3.0",
+    "This project is licensed under either the zlib License or the Unlicense.": "Zlib,Unlicense",
+    "Licensed under the GNU General Public License, version 2 or later.": "GPL-2.0",
+    "Licensed under pressure and duress.": "",
+    "Neither the name of " + "a" * 300 + " nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission.": "",
+    "SPDX-License-Identifier: MIT" + " " * 50_000 + "OR" + "(" * 50_000 + "ISC": "MIT,ISC",
+    "Licensed under " + "the " * 50_000 + "MIT or ISC": "ISC",
+}
+
+
+def test_holders_expressions_and_lists(spark):
+    """Also against the SQL."""
+    import duckdb
+
+    from shoal.llm.oracle import SQL
+
+    texts = list(NAMED) + list(TEXTS)
+    got = {r.doc_id: r for r in L.scan(cases.docs(spark, [(k, t, "en", "a", 1, *cases.EXTRA) for k, t in enumerate(texts)])).collect()}
+    for k, (text, want) in enumerate(NAMED.items()):
+        assert got[k].licenses == want, (text[:200], got[k])
+    with duckdb.connect() as con:
+        con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+        rows = con.execute(f"SELECT doc_id, n_known, identifiers, licenses, unmatched FROM ({SQL['op5_license_scan']})").fetchall()
+    assert {tuple(r) for r in rows} == {(k, *(r[c] for c in ("n_known", "identifiers", "licenses", "unmatched"))) for k, r in got.items()}
