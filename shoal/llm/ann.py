@@ -20,8 +20,9 @@ candidates, so small tables give all they have.
 Search.  Neighbouring leaves are gathered to shards of about ``BLOCK`` vectors.
 A larger leaf is a shard of its own, dealt into blocks by a hash of the id, so
 a leaf that holds a third of all vectors (copies of one vector, say) is many
-tasks' work and none is capped; queries are dealt into chunks the same way.
-In each (shard, block, chunk) a query is compared with the vectors of the
+tasks' work and none is capped.  The queries that ask for a block are dealt
+into chunks of about ``CHUNK`` by their own number there, so a block is sent as
+often as ``CHUNK`` queries ask for it, and not at all if none does.  In each (shard, block, chunk) a query is compared with the vectors of the
 leaves it visits, in double precision on the original vectors, and gets its
 best ``k``; the best of these by (distance, id) are the result.
 
@@ -40,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, ship
+from shoal.llm.common import cut, ship, small
 
 SAMPLE, SAMPLE_FLOATS = 20_000, 1 << 23
 BRANCH, LEAF, ITERATIONS = 8, 40, 12
@@ -220,7 +221,6 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
     counts = {r.leaf: r.n for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most n_leaves
     shards = gather(counts)
     queries = points.filter(is_query)
-    chunks = max(1, -(-queries.count() // CHUNK))
     plan = spark.sparkContext.broadcast((visits, counts, shards))
 
     def to_bins(batches):
@@ -245,14 +245,16 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
             if out:
                 yield pd.DataFrame(out, columns=names)
 
-    asked = (queries.repartition(spark.sparkContext.defaultParallelism, "vec_id")
-             .mapInPandas(to_bins, "query_id long, q array<double>, shard int, block int, leaves array<int>")
-             .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int")))
+    asked = cut(queries.repartition(spark.sparkContext.defaultParallelism, "vec_id")
+                .mapInPandas(to_bins, "query_id long, q array<double>, shard int, block int, leaves array<int>"))
+    at = ["shard", "block"]
+    chunks = small(cut(asked.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))))
+    asked = asked.join(chunks, at).withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int"))
     sizes = spark.createDataFrame([(leaf, *at) for leaf, at in sorted(shards.items())],
                                   "leaf int, shard int, blocks int")  # at most n_leaves
     dealt = (placed.join(F.broadcast(sizes), "leaf")
              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+             .join(chunks, at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .select("vec_id", "vec", "leaf", "shard", "block", "chunk"))
 
     def nearest(key: tuple, p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
@@ -275,7 +277,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    where = ["shard", "block", "chunk"]
+    where = [*at, "chunk"]
     found = (dealt.groupBy(*where).cogroup(asked.groupBy(*where))
              .applyInPandas(nearest, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")

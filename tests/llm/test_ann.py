@@ -98,3 +98,15 @@ def test_traversal_opens_every_leaf_once_nearest_first(n):
 def test_gathering_keeps_shards_bounded():
     shards = ann.gather({0: 10, 1: 20, 2: 500, 3: 5, 5: 90, 6: 8}, 100)
     assert shards == {0: (0, 1), 1: (0, 1), 2: (1, 5), 3: (2, 1), 5: (2, 1), 6: (3, 1)}
+
+
+def test_chunks_by_the_number_that_asks(spark, monkeypatch):
+    """Many chunks give the rows of one; a far group finds its own."""
+    rows = vectors(900, 4) + [(2000 + i, [1.0, 1.0, 1.0, 1.0]) for i in range(300)]
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    one = found(ann.search(frame(spark, rows), F.col("vec_id") % 5 == 0))
+    monkeypatch.setattr(ann, "CHUNK", 7)
+    assert found(ann.search(frame(spark, rows), F.col("vec_id") % 5 == 0)) == one
+    far = vectors(600, 4) + [(5000 + i, [900.0 + i / 100, 900.0, 900.0, 900.0]) for i in range(400)]
+    few = ann.search(frame(spark, far), F.col("vec_id") == 5000)
+    assert {i // 5000 for i, _ in found(few)[5000]} == {1}
