@@ -18,7 +18,7 @@ shingle) is at least ``THRESHOLD``.
     probability of reaching the threshold falls below ``TOLERANCE``.  The
     rest is verified exactly on the shingle sets (word tuples, not hashes).
     Small neighbourhoods share a task; a large one is dealt into blocks of
-    ``BLOCK`` classes and compared block by block, one task per pair of
+    ``BLOCK`` classes or ``OCTETS`` of text and compared block by block, one task per pair of
     blocks.  Pairs are never rows: a task returns, per class, the number of
     linked documents and the root of a spanning forest of its links.
 5.  Connected links are the groups.
@@ -46,6 +46,7 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 6
 STEP, TOLERANCE = 24, 1e-6
 BLOCK, GATHER = 512, 256
+OCTETS = 16 << 20
 _WORD_CACHE = 1 << 18
 _LANES = 4096
 
@@ -215,6 +216,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     ship(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     base = base.select("doc_id", _key(F.col("text")).alias("key"), "text")
+    octets = F.octet_length("text").cast("long").alias("octets")
 
     def sign(batches):
         for b in batches:
@@ -222,22 +224,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for t in strings(b.column(2)):
                 words = words_of(t)
                 out.append(bands(signature(words)) if words else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64()))],
-                                             ["doc_id", "key", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64())), b.column(3)],
+                                             ["doc_id", "key", "bands", "octets"])
 
-    signed = base.mapInArrow(sign, "doc_id long, key string, bands array<long>")
+    signed = base.select("*", octets).mapInArrow(sign, "doc_id long, key string, bands array<long>, octets long")
     rows = signed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"),
-                                     F.any_value("bands").alias("bands"))
+                                     F.any_value("bands").alias("bands"), F.max("octets").alias("octets"))
     classes = cut(rows.withColumn("node", F.monotonically_increasing_id()))
 
     places = classes.select(F.explode("bands").alias("bucket"), "node")
     full = places.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     ties = places.join(full, "bucket").filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    near = components(ties)
-    sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
-    needed = cut(near.join(sizes, "label").join(classes.select("node", "key", "rep", "size"), "node")
-                 .withColumn("blocks", F.expr(f"cast(ceil(members / {BLOCK}) as int)")))
-    gathers = max(1, needed.filter("blocks = 1").count() // GATHER)
+    near = components(ties).join(classes.select("node", "key", "rep", "size", "octets"), "node")
+    sizes = near.groupBy("label").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("octets") / OCTETS), F.lit(1))
+                                      .cast("int").alias("blocks"))
+    needed = cut(near.join(sizes, "label"))
+    n, held = needed.filter("blocks = 1").agg(F.count(F.lit(1)), F.coalesce(F.sum("octets"), F.lit(0))).first()
+    gathers = max(1, n // GATHER, -(-held // OCTETS))
     texts = (base.join(needed, (base["key"] == needed["key"]) & base["doc_id"].eqNullSafe(needed["rep"]))
              .groupBy("node", "label", "size", "blocks").agg(F.any_value("text").alias("text")))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -257,7 +260,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     wide = found.filter("large and root <> node").select(F.col("node").alias("a"), F.col("root").alias("b"))
     if not wide.isEmpty():
         groups = groups.unionByName(components(wide))
-    named = (classes.drop("bands").join(links, "node", "left").join(groups, "node", "left")
+    named = (classes.drop("bands", "octets").join(links, "node", "left").join(groups, "node", "left")
              .withColumn("label", F.coalesce("label", "node")).withColumn("links", F.coalesce("links", F.lit(0).cast("long"))))
     named = cut(named)
     least = named.groupBy("label").agg(F.min("rep").alias("class_id"))

@@ -111,3 +111,10 @@ def test_signatures_estimate_similarity():
     true = len(shingles(" ".join(a)) & shingles(" ".join(b))) / len(shingles(" ".join(a)) | shingles(" ".join(b)))
     assert abs((N.signature(a) == N.signature(b)).mean() - true) < 0.12
     assert len(set(N.bands(N.signature(a)).tolist())) == N.BANDS
+
+
+def test_blocks_bounded_by_text(spark, monkeypatch):
+    """Few long texts are dealt into blocks too; the rows stay the same."""
+    monkeypatch.setattr(N, "OCTETS", 2_000)
+    rows = cases.rows() + near_rows()
+    assert got(N.join(cases.docs(spark, rows))) == brute(rows)
