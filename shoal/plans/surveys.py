@@ -165,7 +165,7 @@ def skt(t: Tables, species: DataFrame) -> SurveyResult:
     cols = ["Source", "Station", "Latitude", "Longitude", "Date", "Datetime", "Survey", "Depth",
             "SampleID", "Method", "Tide", "Sal_surf", "Temp_surf", "TurbidityNTU", "TurbidityFNU",
             "Secchi", "Tow_volume", "Tow_direction", "Taxa", "Length", "Count", "Length_NA_flag"]
-    dataset = _finish(d, cols).distinct()
+    dataset = _finish(d, cols)  # merging leaves one row for each value of the other columns: distinct
     ml = filters.measured_only(t["tblFishInfo"], "ForkLength")
     ml = joins.join(ml, t["tblCatch"].select("CatchRowID", "SampleRowID", "OrganismCode"), ["CatchRowID"], "inner")
     ml = joins.to_taxa(ml, species, "OrganismCode", "SKT_Code").withColumn(

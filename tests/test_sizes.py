@@ -1,6 +1,6 @@
 import pytest
 
-from shoal.plans import roles
+from shoal.plans import catalog, roles
 from shoal.session import BYTES_A_PARTITION, SIZES, size_tasks
 
 
@@ -37,3 +37,9 @@ def test_reading_a_role_table_sizes_tasks(spark, settings, tmp_path):
     spark.range(10).write.parquet(f"{tmp_path}/orders.parquet")
     assert roles.read(spark, str(tmp_path), "orders").count() == 10
     assert [settings.get(k) for k in SIZES] == [f"{v}b" for v in SIZES.values()]
+
+
+def test_skt_merges_once(spark):
+    plan = catalog.REGISTRY["skt_job"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Aggregate [" in line and "Tow_direction" in line and "Length_NA_flag" in line]
+    assert len(wide) == 1
