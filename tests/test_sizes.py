@@ -1,7 +1,10 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from shoal.plans import catalog, roles
-from shoal.session import BYTES_A_PARTITION, SIZES, size_tasks
+from shoal.session import BYTES_A_PARTITION, SIZES, materialise, size_tasks
 
 
 @pytest.fixture
@@ -39,6 +42,13 @@ def test_reading_a_role_table_sizes_tasks(spark, settings, tmp_path):
     assert [settings.get(k) for k in SIZES] == [f"{v}b" for v in SIZES.values()]
 
 
+def test_kept_tables_are_compressed(spark):
+    wide = spark.range(20000).select("id", *[F.lit("the same sample column").alias(f"c{k}") for k in range(20)])
+    kept = materialise(wide)
+    assert kept.schema.names == wide.schema.names and kept.exceptAll(wide).isEmpty() and kept.count() == 20000
+    assert sum(os.path.getsize(f.removeprefix("file://")) for f in kept.inputFiles()) < 20000 * 20
+
+
 def test_skt_merges_once(spark):
     plan = catalog.REGISTRY["skt_job"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     wide = [line for line in plan.splitlines() if "Aggregate [" in line and "Tow_direction" in line and "Length_NA_flag" in line]
