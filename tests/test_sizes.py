@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shoal.plans import catalog, roles, surveys
 from shoal.session import BYTES_A_PARTITION, SIZES, Stored, materialise, size_tasks
+from shoal.sources.io import write_integrated
 from tests.conftest import rows
 
 
@@ -93,3 +94,13 @@ def test_skt_merges_once(spark):
 def test_either_date(spark, text, day):
     df = spark.createDataFrame([(text,)], "t string").select(surveys._either_date("t").cast("string").alias("d"))
     assert rows(df) == [(day,)]
+
+
+def test_both_formats_compute_a_table_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+    df = spark.createDataFrame(spark.sparkContext.parallelize(range(10), 2).map(lambda x: (reads.add(1), (x, None))[1]),
+                               "n long, t string")
+    done = write_integrated({"survey": df}, str(tmp_path), "both")
+    assert rows(done["survey"]) == [(k, None) for k in range(10)] and reads.value == 10
+    back = spark.read.option("header", True).csv(f"{tmp_path}/survey_csv")
+    assert rows(back) == [(str(k), "NA") for k in range(10)] and reads.value == 10
