@@ -5,8 +5,11 @@ other marks).  Its model is a word bigram model, interpolated with the word
 unigrams and these with a spelling model, so that an unknown word costs what
 its letters cost.  All counts of all trusted texts are tables sharded by
 hashed n-gram and grow with the text; no table of words is gathered or
-broadcast.  Each document's n-grams, counted within the document, are joined
-to the bigrams, to their contexts and to the words, and summed per document.
+broadcast.  Documents are dealt into chunks.  The distinct bigrams and words of
+a chunk are sent to their shards, which answer with their counts, and the
+chunk's documents are summed from these.  Keys travel as sorted arrays, the
+counts stay in their buckets, and chunks are scored in several jobs, so that
+only a part of all bigrams is on disk at a time.
 
 The spelling model is of order ``ORDER`` over ``SYMBOLS`` hashed characters
 (code point modulo SYMBOLS - 1, so that neighbours in any script differ).  It
@@ -14,7 +17,7 @@ has at most SYMBOLS**ORDER entries and is broadcast.
 
 Every score is held out: texts fall into two folds by their hash, and a text is
 scored by the counts of the other fold, trusted or not.  The fold is the
-lowest bit of every hashed n-gram.  A fold whose other has no trusted text has
+lowest bit of every key.  A fold whose other has no trusted text has
 no scores.
 
 A document's score is the mean of -log2 p(word | word before), the logarithm
@@ -47,12 +50,15 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.llm.common import cut, evict, resident, shared_dir, ship, small, strings, text_of, unused
+from shoal.llm.common import cut, evict, resident, shared_dir, ship, small, strings, sweep, text_of, unused
+from shoal.session import remove
 
 ORDER, SYMBOLS = 4, 64
 QUANTILE, MARGIN, MIN_TRUSTED = 0.995, 2.0, 20
 BIN = 0.001
 CHUNK = 1 << 21
+#: Octets of text for a task that counts, a shard of counts and a chunk scored at once; jobs in which trusted texts are picked, and texts scored.
+TASK_TEXT, SHARD_TEXT, CHUNK_TEXT, PICKS, ROUNDS = 64 << 20, 16 << 20, 6 << 20, 4, 12
 
 _WORD = re.compile(r"\w+|[^\w\s]+")
 _START = np.uint64(0x243F6A8885A308D3)
@@ -108,10 +114,8 @@ def count_grams(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+def _discounts_of(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from the counts of counts."""
-    found = {r.n: r.k for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
-    n1, n2, n3, n4 = (found.get(k, 0) for k in (1, 2, 3, 4))
     if not (n1 and n2):
         return 0.5, 0.5, 0.5
     y = n1 / (n1 + 2 * n2)
@@ -119,6 +123,11 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, start=1))
 
 
+def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+    found = {r.n: r.k for r in counts.filter("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
+    return _discounts_of(*(found.get(k, 0) for k in (1, 2, 3, 4)))
+
+
 def _order(counts: DataFrame) -> DataFrame:
     """``gram, alpha, gamma`` of one order: the discounted share of the
     n-gram in its context, and the mass its context leaves to the lower
@@ -190,96 +199,299 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def _keys(h: np.ndarray, fold: np.ndarray) -> np.ndarray:
-    return ((_mixed(h) & ~np.uint64(1)) | fold.astype(np.uint64)).view(np.int64)
+    return ((_mixed(h) & ~np.uint64(1)) | fold)
+
+
+def pair_keys(c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Key of each bigram, from those of its context and its word."""
+    return (_mixed(_mixed(c) + np.uint64(3) * w) & ~np.uint64(1)) | (w & np.uint64(1))
 
 
 def bigrams(texts: list[str], folds: list[int]) -> tuple:
-    """Words of the texts in a row, and for each the number of its text and
-    the hashed bigram, context and word in the text's fold."""
+    """Distinct bigrams and words of the texts, each in its text's fold: the
+    texts' numbers of words, the bigram of every word in a row, the bigrams' keys,
+    ascending, with the numbers of their contexts and words, the words' keys,
+    ascending, and their spellings (None for the start)."""
     found = [_WORD.findall(t) for t in texts]
-    words = [w for f in found for w in f]
-    n = np.array([len(f) for f in found], dtype=np.int64)
-    doc = np.repeat(np.arange(len(texts)), n)
-    h = pd.util.hash_array(np.array(words, dtype=object)) if words else np.zeros(0, dtype=np.uint64)
-    before = np.concatenate([[_START], h[:-1]]) if words else h
-    before[(np.cumsum(n) - n)[n > 0]] = _START
-    fold = np.array(folds, dtype=np.int64)[doc]
-    return words, doc, _keys(_mixed(before) + np.uint64(3) * h, fold), _keys(before, fold), _keys(h, fold)
-
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """``g, c, w, n``: bigrams, their contexts and words, over all rows of
-    ``texts`` (``text, fold``)."""
-    def run(batches):
+    length = np.array([len(f) for f in found], dtype=np.int64)
+    words = np.array([w for f in found for w in f], dtype=object)
+    code, spelling = pd.factorize(words)
+    size = 2 * (len(spelling) + 1)
+    hashed = np.append(pd.util.hash_array(spelling, categorize=False) if len(spelling) else np.zeros(0, np.uint64), _START)
+    keys = _keys(np.repeat(hashed, 2), np.tile(np.arange(2, dtype=np.uint64), len(hashed)))
+    fold = np.repeat(np.array(folds, dtype=np.int64), length)
+    w = 2 * code.astype(np.int64) + fold
+    c, starts = np.roll(w, 1), (np.cumsum(length) - length)[length > 0]
+    c[starts] = size - 2 + fold[starts]
+    which, pair = pd.factorize(c * size + w)
+    c, w = pair // size, pair % size
+    g = pair_keys(keys[c], keys[w])
+    order = np.argsort(g)
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    which, c, w = number[which], c[order], w[order]
+    used = np.zeros(size, dtype=bool)
+    used[c] = used[w] = True
+    at = np.flatnonzero(used)
+    at = at[np.argsort(keys[at])]
+    number = np.empty(size, dtype=np.int64)
+    number[at] = np.arange(len(at))
+    return length, which, g[order], number[c], number[w], keys[at], np.append(spelling, None)[at // 2]
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers as their count and then byte by byte, highest first, so
+    that what sorted or small ones share compresses."""
+    planes = np.asarray(x).astype(">u8").view(np.uint8).reshape(-1, 8).T
+    used = (int(np.max(x)).bit_length() + 7) // 8 if len(x) else 0
+    return np.int64(len(x)).tobytes() + planes[8 - used:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    planes = np.frombuffer(data, np.uint8, offset=8).reshape(-1, n) if n else np.zeros((0, 0), np.uint8)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, 8 - len(planes):] = planes.T
+    return out.view(">u8").reshape(-1).astype(np.uint64)
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Shard of each key, by ranges: sorted keys have sorted shards."""
+    return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def _dealt(keys: np.ndarray, shards: int):
+    """Shards of sorted keys, each with its stretch."""
+    found, first = np.unique(shard_of(keys, shards), return_index=True)
+    return zip(found.tolist(), np.split(np.arange(len(keys)), first[1:])) if len(keys) else ()
+
+
+def _summed(keys: np.ndarray, *counts: np.ndarray) -> tuple:
+    """Distinct keys, where each is first found, and its summed counts."""
+    found, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    return found, first, *(np.bincount(back, weights=n, minlength=len(found)).astype(np.uint64) for n in counts)
+
+
+_COUNTS = ["t", "n1", "n2", "more", "cont"]
+_MODEL = f"home long, shard long, kind int, keys binary, {', '.join(f'{c} binary' for c in _COUNTS)}, stats array<long>"
+_STATE, _PAIRS, _PARTS, _WORDS = -1, 0, 1, 2
+_SCORED = "doc_id long, th long, lang string, n_symbols long, bits double, score double"
+
+
+def _gathered(batch: pa.RecordBatch):
+    """Texts and folds of a batch, as many as have about CHUNK_TEXT characters."""
+    texts, folds, size = [], [], 0
+    for t, f in zip(strings(batch.column(0)), strings(batch.column(1))):
+        texts.append(t)
+        folds.append(f)
+        size += len(t)
+        if size >= CHUNK_TEXT:
+            yield texts, folds
+            texts, folds, size = [], [], 0
+    if texts:
+        yield texts, folds
+
+
+def _stats(n: np.ndarray) -> list[int]:
+    """How many are 1, 2, 3, 4, and 3 or more, and the sum."""
+    return [*(int((n == k).sum()) for k in (1, 2, 3, 4)), int((n >= 3).sum()), int(n.sum())]
+
+
+def _model_schema() -> pa.Schema:
+    return pa.schema([("home", pa.int64()), ("shard", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()),
+                      *((c, pa.binary()) for c in _COUNTS), ("stats", pa.list_(pa.int64()))])
+
+
+def count_words(texts: DataFrame, shards: int) -> DataFrame:
+    """Bigrams of all rows of ``texts`` (``text, fold``), counted: a row per
+    shard with the keys and counts of its bigrams, and for every shard that
+    words belong to, what these add to them as contexts and as words."""
+    sent = pa.schema([("home", pa.int64()), *((x, pa.binary()) for x in ("c", "w", "ci", "wi", "n"))])
+
+    def merged(held):
+        g, c, w, n = (np.concatenate(x) for x in zip(*held))
+        g, first, n = _summed(g, n)
+        return g, c[first], w[first], n
+
+    def blobs(g, c, w, n):
+        for home, at in _dealt(g, shards):
+            at = at[np.lexsort((w[at], c[at]))]
+            (cs, ci), (ws, wi) = (np.unique(x[at], return_inverse=True) for x in (c, w))
+            yield pa.Table.from_pylist([{"home": home, "c": packed(cs), "w": packed(ws), "ci": packed(ci), "wi": packed(wi),
+                           "n": packed(n[at])}], schema=sent).to_batches()[0]
+
+    def count(batches):
         evict()
+        held, size = [], 0
         for b in batches:
-            for k in range(0, len(b), 256):
-                some = b.slice(k, 256)
-                _, _, g, c, w = bigrams(some.column(0).to_pylist(), some.column(1).to_pylist())
-                found, first, n = np.unique(g, return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (found, c[first], w[first], n)],
-                                                 ["g", "c", "w", "n"])
-
-    return texts.mapInArrow(run, "g long, c long, w long, n long").groupBy("g", "c", "w").agg(F.sum("n").alias("n"))
-
-
-def _discounted(counts: DataFrame):
-    d1, d2, d3 = _discounts(counts)
-    return F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-
-
-def train_words(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sharded tables: ``g, a2`` (discounted share of a bigram) and ``h, a1,
-    left``: a word's share among all, and the mass it leaves as a context
-    (null where it is none); and by fold the mass left to spellings."""
-    counts = cut(count_words(texts))
-    kept = counts.withColumn("d", _discounted(counts))
-    contexts = kept.groupBy("c").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
-    pairs = kept.join(contexts, "c").select("g", ((F.col("n") - F.col("d")) / F.col("total")).alias("a2"))
-    # lower order: the distinct words before
-    ones = cut(counts.groupBy("w").agg(F.count(F.lit(1)).alias("n")))
-    ones = ones.withColumn("d", _discounted(ones)).withColumn("fold", F.col("w").bitwiseAND(F.lit(1)))
-    whole = ones.groupBy("fold").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
-    one = (ones.join(F.broadcast(whole), "fold")
-           .select(F.col("w").alias("h"), ((F.col("n") - F.col("d")) / F.col("total")).alias("a1")))
-    left = contexts.select(F.col("c").alias("h"), (F.col("held") / F.col("total")).alias("left"))
-    rest = whole.select("fold", (F.col("held") / F.col("total")).alias("rest"))
-    return cut(pairs), cut(one.join(left, "h", "full")), cut(rest)
-
-
-def _document_bigrams(keyed: DataFrame, models: list) -> DataFrame:
-    """``doc_id, th, g, c, w, n, fold, spelled`` of every document, counted
-    within it."""
-    tables, key = keyed.sparkSession.sparkContext.broadcast(models), uuid.uuid4().hex
-    names = ["doc_id", "th", "g", "c", "w", "n", "fold", "spelled"]
-
-    def run(batches):
-        bits = resident(key, lambda: [m and bits_table(m) for m in tables.value])
-        for b in batches:
-            for at in range(0, len(b), 256):
-                for fold in (0, 1):
-                    some = b.slice(at, 256)
-                    some = some.filter(pa.compute.equal(some.column(3), fold))
-                    if not len(some) or bits[fold] is None:
-                        continue
-                    words, doc, g, c, w = bigrams(some.column(2).to_pylist(), some.column(3).to_pylist())
-                    if not words:
-                        continue
-                    order = np.lexsort((g, doc))
-                    new = np.ones(len(order), dtype=bool)
-                    new[1:] = (np.diff(g[order]) != 0) | (np.diff(doc[order]) != 0)
-                    first = order[new]
-                    n = np.diff(np.append(np.flatnonzero(new), len(order)))
-                    at_word, back = np.unique(w[first], return_index=True, return_inverse=True)[1:]
-                    spelled = spelling_bits([words[first[k]] for k in at_word], bits[fold])[back]
-                    rows = pa.array(doc[first])
-                    yield pa.RecordBatch.from_arrays(
-                        [some.column(0).take(rows), some.column(1).take(rows),
-                         *(pa.array(x, pa.int64()) for x in (g[first], c[first], w[first], n)),
-                         pa.array(np.full(len(first), fold), pa.int32()), pa.array(spelled, pa.float64())], names)
-
-    return (keyed.select("doc_id", "th", "text", "fold")
-            .mapInArrow(run, "doc_id long, th long, g long, c long, w long, n long, fold int, spelled double"))
+            for texts, folds in _gathered(b):
+                _, which, g, c, w, h, _ = bigrams(texts, folds)
+                held.append((g, h[c], h[w], np.bincount(which, minlength=len(g))))
+                size += len(g)
+                if size >= CHUNK:
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                    if size >= CHUNK * 3 // 4:
+                        yield from blobs(*held[0])
+                        held, size = [], 0
+        if size:
+            yield from blobs(*merged(held))
+
+    def add(key, rows):
+        found = [[unpacked(x) for x in r.values()] for r in rows.select(["c", "w", "ci", "wi", "n"]).to_pylist()]
+        c, w = (np.concatenate([r[k][r[k + 2].astype(np.int64)] for r in found]) for k in (0, 1))
+        g, first, n = _summed(pair_keys(c, w), np.concatenate([r[4] for r in found]))
+        c, w, home = c[first], w[first], key[0].as_py()
+        out = [{"home": home, "shard": home, "kind": _PAIRS, "keys": packed(g), "t": packed(n), "stats": _stats(n)}]
+        h, back = np.unique(np.concatenate([c, w]), return_inverse=True)
+        after, before = back[:len(c)], back[len(c):]
+        parts = [np.bincount(after, weights=x, minlength=len(h)) for x in (n, n == 1, n == 2, n >= 3)]
+        parts.append(np.bincount(before, minlength=len(h)))
+        for shard, at in _dealt(h, shards):
+            out.append({"home": home, "shard": shard, "kind": _PARTS, "keys": packed(h[at]),
+                        **{x: packed(v[at]) for x, v in zip(_COUNTS, parts)}})
+        return pa.Table.from_pylist(out, schema=_model_schema())
+
+    return (texts.mapInArrow(count, "home long, c binary, w binary, ci binary, wi binary, n binary")
+            .repartition(shards, "home").groupBy("home").applyInArrow(add, _MODEL))
+
+
+def _add_parts(parts: DataFrame, shards: int) -> DataFrame:
+    """Counts of words, each in its shard."""
+    def add(key, rows):
+        found = [[unpacked(x) for x in r.values()] for r in rows.select(["keys", *_COUNTS]).to_pylist()]
+        h, _, *n = _summed(*(np.concatenate(x) for x in zip(*found)))
+        stats = [x for f in (0, 1) for x in _stats(n[4][(h & np.uint64(1)) == f])]
+        return pa.Table.from_pylist([{"home": key[0].as_py(), "shard": key[0].as_py(), "kind": _WORDS, "keys": packed(h),
+                                      **{x: packed(v) for x, v in zip(_COUNTS, n)}, "stats": stats}], schema=_model_schema())
+
+    return (parts.select(F.col("shard").alias("home"), "keys", *_COUNTS).repartition(shards, "home")
+            .groupBy("home").applyInArrow(add, _MODEL))
+
+
+def train_words(texts: DataFrame, shards: int, name: str, path: str) -> tuple:
+    """Writes table ``name`` at ``path``, bucketed by ``home``: bigrams and
+    words with their counts.  Returns the discounts of both orders, and by fold
+    the sum of the words' counts and the mass left to spellings."""
+    spark = texts.sparkSession
+
+    def store(df: DataFrame) -> None:
+        (df.write.mode("append").option("compression", "zstd").option("path", path).partitionBy("kind")
+         .bucketBy(shards, "home").format("parquet").saveAsTable(name))
+        sweep(spark)
+
+    store(count_words(texts, shards))
+    store(_add_parts(spark.table(name).filter(f"kind = {_PARTS}"), shards))
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (kind = {_PARTS})")
+    remove(spark, f"{path}/kind={_PARTS}")
+
+    def stats(kind: int, size: int) -> list[int]:
+        one = spark.table(name).filter(f"kind = {kind}")
+        return [x or 0 for x in one.agg(*(F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(size))).first()]
+
+    two, one = stats(_PAIRS, 6), stats(_WORDS, 12)
+    d2, d1 = _discounts_of(*two[:4]), _discounts_of(*(one[k] + one[k + 6] for k in range(4)))
+    folds = one[:6], one[6:]
+    return (d2, d1, [f[5] for f in folds],
+            [(d1[0] * f[0] + d1[1] * f[1] + d1[2] * f[4]) / f[5] if f[5] else 0.0 for f in folds])
+
+
+def _off(n: np.ndarray, d: tuple) -> np.ndarray:
+    return np.choose(np.minimum(n, 3).astype(np.int64), (0.0, *d))
+
+
+_ASKED = "home long, chunk long, kind int, keys binary, state array<binary>"
+
+
+def _ask(texts: DataFrame, models, key: str, shards: int) -> DataFrame:
+    """Of each chunk of texts the distinct bigrams and words, asked of their
+    shards, and its state: the rows, their bigrams, and the spellings' bits."""
+    schema = pa.schema([("home", pa.int64()), ("chunk", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()),
+                        ("state", pa.list_(pa.binary()))])
+
+    def ask(name, rows):
+        bits = resident(key, lambda: [m and bits_table(m) for m in models.value])
+        chunk, folds = name[0].as_py(), rows["fold"].to_pylist()
+        texts = [t if bits[f] is not None else "" for t, f in zip(strings(rows["text"]), folds)]
+        length, which, g, c, w, h, words = bigrams(texts, folds)
+        spelled = np.zeros(len(h), dtype=np.float32)
+        for f in (0, 1):
+            some = np.flatnonzero((words != None) & ((h & np.uint64(1)) == f))  # noqa: E711
+            if len(some):
+                spelled[some] = spelling_bits(words[some].tolist(), bits[f])
+        own = rows.select(["doc_id", "th", "lang", "n_symbols", "fold"])
+        kept = pa.BufferOutputStream()
+        with pa.ipc.new_stream(kept, own.schema) as out:
+            out.write_table(own)
+        state = [kept.getvalue().to_pybytes(), packed(length), packed(which), packed(w), packed(c), spelled.tobytes()]
+        out = [{"home": chunk % shards, "chunk": chunk, "kind": _STATE, "state": state}]
+        for kind, keys in ((_PAIRS, g), (_WORDS, h)):
+            out += [{"home": s, "chunk": chunk, "kind": kind, "keys": packed(keys[k])} for s, k in _dealt(keys, shards)]
+        return pa.Table.from_pylist(out, schema=schema)
+
+    return texts.groupBy("chunk").applyInArrow(ask, "home long, chunk long, kind int, keys binary, state array<binary>")
+
+
+def _answer(model: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
+    """Counts of the keys asked of each shard, in their order; states pass."""
+    schema = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("kind", pa.int32()),
+                        *((c, pa.binary()) for c in _COUNTS), ("state", pa.list_(pa.binary()))])
+
+    def answer(name, known, asked):
+        held = {r["kind"]: (unpacked(r["keys"]), {c: unpacked(r[c]) for c in _COUNTS if r[c] is not None})
+                for r in known.to_pylist()}
+        out = []
+        for r in asked.to_pylist():
+            row = {"chunk": r["chunk"], "shard": name[0].as_py(), "kind": r["kind"], "state": r["state"]}
+            if r["kind"] != _STATE:
+                keys = unpacked(r["keys"])
+                have, counts = held.get(r["kind"], (keys[:0], {}))
+                at = np.searchsorted(have, keys)
+                at[at == len(have)] = 0
+                hit = have[at] == keys if len(have) else np.zeros(len(keys), dtype=bool)
+                row |= {c: packed(np.where(hit, counts[c][at], 0) if len(have) else np.zeros(len(keys), dtype=np.uint64))
+                        for c in (_COUNTS[:1] if r["kind"] == _PAIRS else _COUNTS)}
+            out.append(row)
+        return pa.Table.from_pylist(out, schema=schema)
+
+    columns = ", ".join(f"{c} binary" for c in _COUNTS)
+    return (model.select("home", "kind", "keys", *_COUNTS).groupBy("home")
+            .cogroup(asked.repartition(shards, "home").groupBy("home"))
+            .applyInArrow(answer, f"chunk long, shard long, kind int, {columns}, state array<binary>"))
+
+
+def _sum_up(answers: DataFrame, learnt: tuple) -> DataFrame:
+    """Scores of the rows of each chunk, from its state and its answers."""
+    d2, d1, total, rest = learnt
+
+    def sum_up(name, table):
+        rows = sorted(table.to_pylist(), key=lambda r: (r["kind"], r["shard"]))
+        state = rows[0]["state"]
+        own = pa.ipc.open_stream(state[0]).read_all()
+        length, which, w, c = (unpacked(x).astype(np.int64) for x in state[1:5])
+        spelled = np.frombuffer(state[5], dtype=np.float32).astype(np.float64)
+
+        def counts(kind, column):
+            found = [unpacked(r[column]) for r in rows if r["kind"] == kind]
+            return np.concatenate(found).astype(np.float64) if found else np.zeros(0)
+
+        n, (t, n1, n2, more, cont) = counts(_PAIRS, "t"), (counts(_WORDS, c) for c in _COUNTS)
+        doc = np.repeat(np.arange(len(length)), length)
+        fold = np.zeros(len(t), dtype=np.int64)  # of either word of a bigram it is its text's
+        fold[w[which]] = own["fold"].to_numpy()[doc]
+        low = (cont - _off(cont, d1)) / np.maximum(total, 1)[fold] + np.array(rest)[fold] * np.exp2(-spelled)
+        left = np.where(t > 0, (d2[0] * n1 + d2[1] * n2 + d2[2] * more) / np.maximum(t, 1), 1.0)
+        p = np.where(n > 0, (n - _off(n, d2)) / np.maximum(t, 1)[c], 0.0) + left[c] * low[w]
+        b = -np.log2(np.maximum(p, 1e-300))[which]
+        some = (length > 0) & (np.array(total)[own["fold"].to_numpy()] > 0)
+        size = np.maximum(length, 1)
+        bits, squares = (np.bincount(doc, weights=x, minlength=len(length)) / size for x in (b, b * b))
+        score = bits - MARGIN * np.sqrt(np.maximum(squares - bits * bits, 0.0) / size)
+        return pa.table([*own.select(["doc_id", "th", "lang", "n_symbols"]).columns,
+                         *(pa.array(x, mask=~some) for x in (bits, score))],
+                        names=["doc_id", "th", "lang", "n_symbols", "bits", "score"])
+
+    return answers.groupBy("chunk").applyInArrow(sum_up, _SCORED)
 
 
 def fold_of(text):
@@ -287,35 +499,29 @@ def fold_of(text):
     return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
 
 
-def score(docs: DataFrame, models: list, pairs: DataFrame, words: DataFrame, rest: DataFrame, id_col: str = "doc_id",
+def score(docs: DataFrame, models: list, learnt: tuple, name: str, shards: int, octets: int, path: str, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id, th, lang, n_symbols, bits, score``, one row per input row;
-    ``th`` is the text's hash.  A text is scored by the other fold's counts."""
-    text = text_of(text_col)
+    """``doc_id, th, lang, n_symbols, bits, score``, one row per input row,
+    stored at ``path``; ``th`` is the text's hash.  A text is scored by the other
+    fold's counts, which are in table ``name``.
+
+    Texts are dealt into chunks.  A chunk asks each shard once for what it needs
+    of it, whatever number of its texts do.  Chunks are scored in ``ROUNDS`` jobs,
+    each of which leaves only scores on disk."""
+    spark = docs.sparkSession
+    text, tables, key = text_of(text_col), spark.sparkContext.broadcast(models), uuid.uuid4().hex
+    chunks = max(1, math.ceil(octets / CHUNK_TEXT))
+    rounds = min(ROUNDS, chunks)
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"),
-                        F.col(lang_col).cast("string").alias("lang"), text.alias("text"), (1 - fold_of(text)).alias("fold"))
-    context = words.select(F.col("h").alias("c"), "left")
-    word = words.select(F.col("h").alias("w"), "a1")
-    p = (F.coalesce("a2", F.lit(0.0)) + F.coalesce("left", F.lit(1.0))
-         * (F.coalesce("a1", F.lit(0.0)) + F.col("rest") * F.pow(F.lit(2.0), -F.col("spelled"))))
-    each = (_document_bigrams(keyed, models).join(F.broadcast(rest), "fold").join(pairs, "g", "left")
-            .join(context, "c", "left").join(word, "w", "left")
-            .select("doc_id", "th", "n", (-F.log2(F.greatest(p, F.lit(1e-300)))).alias("b")))
-    sums = each.groupBy("doc_id", "th").agg(F.sum("n").alias("n"), F.sum(F.expr("n * b")).alias("s"),
-                                            F.sum(F.expr("n * b * b")).alias("ss"))
-    # a repeated row has its words counted as often
-    rows = keyed.select("doc_id", "th", "lang", F.length("text").cast("long").alias("n_symbols"))
-    times = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"))
-
-    def same(a: str, b: str):
-        return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.th") == F.col(f"{b}.th"))
-
-    own = (sums.alias("a").join(times.alias("b"), same("a", "b"))
-           .select("a.doc_id", "a.th", (F.col("n") / F.col("times")).alias("n"), (F.col("s") / F.col("n")).alias("bits"),
-                   (F.col("ss") / F.col("n")).alias("squares")))
-    spread = F.sqrt(F.greatest(F.col("squares") - F.col("bits") * F.col("bits"), F.lit(0.0)) / F.col("n"))
-    return (rows.alias("a").join(own.alias("b"), same("a", "b"), "left")
-            .select("a.doc_id", "a.th", "lang", "n_symbols", "bits", (F.col("bits") - MARGIN * spread).alias("score")))
+                        F.col(lang_col).cast("string").alias("lang"), F.length(text).cast("long").alias("n_symbols"),
+                        (1 - fold_of(text)).alias("fold"), text.alias("text"))
+    keyed = keyed.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(chunks)))
+    model = spark.table(name).filter(F.col("kind").isin(_PAIRS, _WORDS))
+    for k in range(rounds):
+        some = keyed.filter(F.col("chunk") % rounds == k).repartition(math.ceil(chunks / rounds), "chunk")
+        _sum_up(_answer(model, _ask(some, tables, key, shards), shards), learnt).write.mode("append").parquet(path)
+        sweep(spark)
+    return spark.read.schema(_SCORED).parquet(path)
 
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -351,19 +557,34 @@ def _fitted(docs: DataFrame, labels: DataFrame, quantile: float, id_col: str, te
 
     Trusted texts are picked by a sort-merge join at every size: the table of
     ids grows with the labels, and a plan that broadcasts it would only hold
-    for a small corpus.  They are read three times, so they are stored."""
+    for a small corpus.  They are read three times, so they are stored; the join
+    is made in ``PICKS`` jobs, each of which leaves only these on disk."""
     spark = docs.sparkSession
     ship(spark)
     ids = cut(trusted_ids(labels))
-    path = f"{shared_dir(spark).rstrip('/')}/trusted-{uuid.uuid4().hex}"
-    (docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-     .join(ids.hint("merge"), "doc_id", "left_semi").select("text", fold_of(F.col("text")).alias("fold"))
-     .write.parquet(path))
-    texts = spark.read.schema("text string, fold int").parquet(path)
-    models = [train(texts.filter(F.col("fold") == k).select("text")) for k in (0, 1)]
-    if models == [None, None]:
-        return None
-    scored = cut(score(docs, models, *train_words(texts), id_col, text_col, lang_col))
+    base, name = f"{shared_dir(spark).rstrip('/')}/quality-{uuid.uuid4().hex}", f"shoal_words_{uuid.uuid4().hex}"
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    octets = own.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(PICKS))
+    for k in range(PICKS):
+        (own.filter(part == k).join(ids.filter(part == k).hint("merge"), "doc_id", "left_semi")
+         .select("text", fold_of(F.col("text")).alias("fold"))
+         .write.mode("append").option("compression", "zstd").parquet(f"{base}/trusted"))
+        sweep(spark)
+    texts = spark.read.schema("text string, fold int").parquet(f"{base}/trusted")
+    try:
+        models = [train(texts.filter(F.col("fold") == k).select("text")) for k in (0, 1)]
+        if models == [None, None]:
+            return None
+        shards = max(1, math.ceil(octets / SHARD_TEXT))
+        tasks = max(8, math.ceil(octets / TASK_TEXT))  # larger ones send a bigram less often
+        learnt = train_words(texts.coalesce(tasks), shards, name, f"{base}/words")
+        remove(spark, f"{base}/trusted")
+        scored = score(docs, models, learnt, name, shards, octets, f"{base}/scores", id_col, text_col, lang_col)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        remove(spark, f"{base}/words")
+        remove(spark, f"{base}/trusted")
     borders = cut(thresholds(scored.join(ids, "doc_id", "left_semi"), quantile))
     overall = borders.filter("everywhere").first()
     overall = F.lit(overall.threshold if overall else None).cast("double")

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -208,3 +209,28 @@ def test_languages_with_few_trusted_documents(spark):
     # clean documents beyond the limit: 1 in 21 by the largest of 20
     lost = np.mean([rng.gauss(5 + k / 10, 1) > got[f"few{k}"] for k in range(60) for _ in range(500)])
     assert lost < 0.012
+
+
+def test_shards_chunks_and_jobs_change_no_score_and_leave_no_texts(spark, monkeypatch):
+    rows, labels = corpus()
+    rows += [*cases.rows(), rows[7], rows[7]]  # awkward and repeated rows
+    df, lab = cases.docs(spark, rows), spark.createDataFrame(labels, LABELS)
+
+    def found():
+        return sorted(((r.doc_id, r.n_symbols, r.perplexity and round(r.perplexity, 6), r.score and round(r.score, 6), r.kept)
+                       for r in Q.classify(df, lab).collect()), key=repr)
+
+    base = Q.shared_dir(spark).removeprefix("file:")
+    want, before = found(), set(os.listdir(base))
+    for name, value in (("SHARD_TEXT", 40000), ("CHUNK_TEXT", 9000), ("ROUNDS", 3)):
+        monkeypatch.setattr(Q, name, value)
+    assert found() == want and len(want) == len(rows)
+    left = [name for d in set(os.listdir(base)) - before for _, names, _ in os.walk(f"{base}/{d}") for name in names]
+    new = set(os.listdir(base)) - before
+    assert not [x for x in [*new, *left] if x.startswith(("trusted", "words", "kind="))]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("shoal_words_")]
+
+
+def test_packed_numbers_come_back():
+    for x in ([], [0], [0, 0], [1, 255, 256], [2 ** 64 - 1, 0, 7], list(range(70000))):
+        assert Q.unpacked(Q.packed(np.array(x, dtype=np.uint64))).tolist() == x
