@@ -414,7 +414,7 @@ def _ask(texts: DataFrame, models, key: str, shards: int) -> DataFrame:
         chunk, folds = name[0].as_py(), rows["fold"].to_pylist()
         texts = [t if bits[f] is not None else "" for t, f in zip(strings(rows["text"]), folds)]
         length, which, g, c, w, h, words = bigrams(texts, folds)
-        spelled = np.zeros(len(h), dtype=np.float32)
+        spelled = np.zeros(len(h))
         for f in (0, 1):
             some = np.flatnonzero((words != None) & ((h & np.uint64(1)) == f))  # noqa: E711
             if len(some):
@@ -469,7 +469,7 @@ def _sum_up(answers: DataFrame, learnt: tuple) -> DataFrame:
         state = rows[0]["state"]
         own = pa.ipc.open_stream(state[0]).read_all()
         length, which, w, c = (unpacked(x).astype(np.int64) for x in state[1:5])
-        spelled = np.frombuffer(state[5], dtype=np.float32).astype(np.float64)
+        spelled = np.frombuffer(state[5])
 
         def counts(kind, column):
             found = [unpacked(r[column]) for r in rows if r["kind"] == kind]
