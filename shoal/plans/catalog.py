@@ -883,13 +883,11 @@ def fmwt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
     tows, (order, brand) pairs are catches, lines are measured fish (line 1
     unmeasured, zero tax exported as the "n/p" token); brands are species
     (brands 1-3 carry a life stage in the crosswalk)."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
     stations = n.select(F.col("n_nationkey").alias("StationCode"),
                         (F.lit(37.0) + F.col("n_nationkey") * F.lit(0.09)).alias("DD_Latitude"),
                         (F.lit(-123.0) + F.col("n_regionkey") * F.lit(0.45)).alias("DD_Longitude"))
-    ocn = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    ocn = roles.visits(spark, d).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     clock = F.concat_ws(":", F.lpad((F.col("c_nationkey") % 24).cast("string"), 2, "0"),
                         F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"), F.lit("00"))
     sample = ocn.select(
@@ -1036,9 +1034,7 @@ def stn_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     lines with discount >= 0.05, so some are zero and some smaller than the
     number measured), lines are measured fish (line 1 unmeasured).  Meter
     calibrations of open lines are filed twenty years late."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    sample = o.join(c, o.o_custkey == c.c_custkey).select(
+    sample = roles.visits(spark, d).select(
         F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderdate").alias("SampleDate"),
         F.month("o_orderdate").alias("Survey"), F.col("c_nationkey").alias("StationCode"),
         (F.abs(F.col("c_acctbal")) / 400).alias("TemperatureTop"), (F.col("o_totalprice") / 10).alias("ConductivityTop"),
@@ -1104,9 +1100,7 @@ def baystudy_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame],
     filtered out); lines are fish in size group 1 (< 25) or 2, line 1 is the
     plus count of unmeasured fish.  Codes in the length table are lower-case
     and upper-cased before the crosswalk."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    oc = o.join(c, o.o_custkey == c.c_custkey).select(
+    oc = roles.visits(spark, d).select(
         F.year("o_orderdate").alias("Year"), F.month("o_orderdate").alias("Survey"),
         F.col("c_nationkey").cast("string").alias("Station"), "o_orderkey", "o_orderdate", "o_orderstatus",
         "o_totalprice", "c_acctbal",
@@ -1170,9 +1164,7 @@ def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     water data of nations from 20 on carry other station numbers (so the full
     outer chain keeps tows without water data, and water data without tows); the meter corrections come twice, as the
     source's duplicated rows do; lines are measured fish except line 1."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    oc = o.join(c, o.o_custkey == c.c_custkey).select(
+    oc = roles.visits(spark, d).select(
         F.to_date("o_orderdate").alias("Date"), F.col("c_nationkey").alias("Station"), "o_orderkey", "o_totalprice",
         "o_orderstatus", "c_acctbal", F.substring("o_orderpriority", 1, 1).cast("int").alias("Tow"),
         F.month("o_orderdate").alias("Survey"))
@@ -1196,6 +1188,8 @@ def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
         F.concat(F.lit("meter "), F.min("l_linenumber").cast("string")).alias("Notes"))
     ln = joins.join(roles.lines(spark, d), oc.select(F.col("o_orderkey").alias("SampleID"), "Date", "Station", "Tow"),
                     ["SampleID"], "inner", null_safe=False).withColumn("FishCode", _brand_no("brand"))
+    # a mean summed up twice can differ in its last digit, so rows are repeated, not computed again
+    corr = corr.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     catch = ln.groupBy("Date", "Station", "Tow", "FishCode").agg(
         (F.count(F.lit(1)) + F.count_if(F.col("discount") >= 0.05)).cast("double").alias("Catch"))
     lengths = ln.filter(F.col("linenumber") != 1).select("Date", "Station", "Tow", "FishCode",
@@ -1206,7 +1200,7 @@ def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     p = roles.read(spark, d, "part").select(_brand_no("p_brand").alias("SLS_Code"),
                                              F.col("p_brand").alias("ScientificName")).distinct()
     species = p.withColumn("Taxa", exprs.taxa_label("ScientificName", F.when(F.col("SLS_Code") == 5, F.lit("Age 0"))))
-    return ({"Water Info": water, "Tow Info": tow, "Meter Corrections": corr.unionByName(corr),
+    return ({"Water Info": water, "Tow Info": tow, "Meter Corrections": corr,
              "Catch": catch, "Lengths": lengths, "SLS Stations": st}, species)
 
 
@@ -1214,8 +1208,9 @@ def sls_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
 def q_sls_job(spark: SparkSession, d: str) -> DataFrame:
     """K6 end to end (J6, J5, J3, P10, P14, P18, P21, P29, P35, A1, A8, W1,
     J1, P25, P26, A11) on the driver tables in the SLS roles."""
-    tables, species = sls_tables(spark, d)
-    ds = surveys.sls(tables, species).dataset
+    with roles.Once(spark, d, _scratch(spark, "sls"), ["linenumber", "discount", "quantity"]):
+        tables, species = sls_tables(spark, d)
+        ds = surveys.sls(tables, species, materialise).dataset  # reads lines and visits now
     dbl = ["Latitude", "Longitude", "Depth", "Sal_surf", "Sal_bot", "Temp_surf", "Secchi", "Tow_volume",
            "Cable_length", "Tow_duration", "Length", "Count"]
     whole = ["TurbidityNTU", "TurbidityFNU"]  # the roles have none, as whole numbers
@@ -1231,8 +1226,7 @@ def skt_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     row (organism 0, no catch), lines are fish (line 1 unmeasured).  The
     crosswalk's SKT codes are text while the catch codes are numbers."""
     o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    oc = o.join(c, o.o_custkey == c.c_custkey)
+    oc = roles.visits(spark, d)
     clock = F.concat(F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit(" "),
                      F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":"),
                      F.lpad(((F.col("o_custkey") % 4) * 15).cast("string"), 2, "0"))
@@ -1291,8 +1285,7 @@ def tmm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataF
     samples (catch = lines with discount >= 0.05), lines are fish whose
     length is missing on line 1."""
     o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    oc = o.join(c, o.o_custkey == c.c_custkey).withColumn(
+    oc = roles.visits(spark, d).withColumn(
         "SurveyID", F.year("o_orderdate") * 100 + F.month("o_orderdate"))
     survey = oc.groupBy("SurveyID").agg(F.min("o_orderdate").alias("SampleDate"),
                                         F.min(F.month("o_orderdate")).alias("Survey"))
@@ -1357,10 +1350,8 @@ def edsm_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Data
     length); orders without lines are empty-net records, and finished orders
     also carry a spurious empty-net record.  Urgent orders come from the
     20 mm export, whose count column is named Catch (S5 renames it back)."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = roles.read(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    ocn = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    ocn = roles.visits(spark, d).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     prio = F.substring("o_orderpriority", 1, 1)
     sample_cols = [
         F.col("o_orderkey").alias("SampleRowID"), F.col("o_orderstatus").alias("status"),
@@ -1433,10 +1424,8 @@ def djfmp_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Dat
     midnight, i.e. unknown times); brand 1 plays Chinook (line 7 tagged, race
     by length); orders without lines are empty-net records.  Every organism
     code is in the crosswalk, so the new-species guard passes."""
-    o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     prio = F.substring("o_orderpriority", 1, 1)
-    sa = o.join(c, o.o_custkey == c.c_custkey).select(
+    sa = roles.visits(spark, d).select(
         F.col("o_orderkey").alias("SampleRowID"), F.col("c_nationkey").cast("string").alias("StationCode"),
         F.to_date("o_orderdate").cast("string").alias("SampleDate"),
         F.concat(F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("SampleTime"),
@@ -1503,10 +1492,9 @@ def suisun_tables(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], Da
     above 0.05 a bound, 0.02 a length, 0.01 a life stage that the table of
     sizes at age bounds for half of the taxa, 0.03 one to ignore."""
     o = roles.read(spark, d, "orders")
-    c = roles.read(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     prio = F.substring("o_orderpriority", 1, 1)
     cust = F.col("o_custkey")
-    sample = o.join(c, o.o_custkey == c.c_custkey).select(
+    sample = roles.visits(spark, d).select(
         F.col("o_orderkey").cast("string").alias("SampleRowID"),
         F.when(prio == "1", F.lit("MWTR")).when(prio.isin("2", "3", "4"), F.lit("OTR"))
          .otherwise(F.lit("BSEIN")).alias("MethodCode"),

@@ -28,11 +28,19 @@ query grows with them.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+from threading import Lock
+from types import TracebackType
+from typing import Callable, Iterator, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.operators.joins import join
-from shoal.session import size_tasks, stored_bytes
+from shoal.session import freeing, remove, size_tasks, stored_bytes
+from shoal.sources.sparse import table_name, write_bucketed
 
 # The brand standing in for the unidentified taxon.
 UNID_BRAND = "Brand#1"
@@ -75,26 +83,90 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Columns of ``lines`` and what they are in the driver's tables.
+LINE_COLUMNS = {"linenumber": "l_linenumber", "discount": "l_discount", "tax": "l_tax", "price": "l_extendedprice",
+                "quantity": "l_quantity", "returnflag": "l_returnflag", "shipdate": "l_shipdate"}
+
+
+def _branded(spark: SparkSession, sf_dir: str, columns: Sequence[str] = tuple(LINE_COLUMNS)) -> DataFrame:
+    """Lines with the brand of their part."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *[LINE_COLUMNS[c] for c in columns])
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return li.join(p, li.l_partkey == p.p_partkey).drop("l_partkey", "p_partkey")
+
+
+def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return o.join(c, o.o_custkey == c.c_custkey)
+
+
+class Once:
+    """Scope in which the two joins that nearly every role table begins with,
+    lines with their part and orders with their customer, are made once, when
+    they are first asked for: stored under ``root`` in buckets by sample, so that
+    what joins or groups them by sample shuffles neither, and removed at the end.
+    ``columns`` are those of ``lines`` that are asked for.  Other threads take part
+    by ``here``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, columns: Sequence[str] = tuple(LINE_COLUMNS)):
+        self.spark, self.sf_dir, self.root, self.columns = spark, sf_dir, root.rstrip("/"), columns
+        self.lock, self.paths = Lock(), {}
+
+    def _get(self, name: str, made: Callable[[], DataFrame], key: str) -> DataFrame:
+        with self.lock:
+            if name not in self.paths:
+                df, self.paths[name] = made(), f"{self.root}/{name}-{uuid.uuid4().hex}"
+                with freeing(self.spark):
+                    write_bucketed(df, self.paths[name], int(self.spark.conf.get("spark.sql.shuffle.partitions")), None, key)
+            return self.spark.table(table_name(self.paths[name]))
+
+    def lines(self) -> DataFrame:
+        return self._get("lines", lambda: _branded(self.spark, self.sf_dir, self.columns), "l_orderkey")
+
+    def visits(self) -> DataFrame:
+        return self._get("visits", lambda: _visits(self.spark, self.sf_dir), "o_orderkey")
+
+    @contextmanager
+    def here(self) -> Iterator[None]:
+        token = _ONCE.set(self)
+        try:
+            yield
+        finally:
+            _ONCE.reset(token)
+
+    def __enter__(self) -> Once:
+        self.token = _ONCE.set(self)
+        return self
+
+    def __exit__(self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        _ONCE.reset(self.token)
+        for path in self.paths.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table_name(path)}")
+            remove(self.spark, path)
+
+
+_ONCE: ContextVar[Once | None] = ContextVar("joins made once", default=None)
+
+
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer: the orders' columns, c_custkey, c_nationkey, c_acctbal."""
+    once = _ONCE.get()
+    return once.visits() if once and once.sf_dir == sf_dir else _visits(spark, sf_dir)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per catch line: SampleID, Taxa, Length (0 = unmeasured), Frequency,
-    linenumber, discount, tax, price, quantity, returnflag, shipdate."""
-    li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount",
-        "l_tax", "l_extendedprice", "l_returnflag", "l_shipdate")
-    p = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    lp = li.join(p, li.l_partkey == p.p_partkey)
+    linenumber, discount, tax, price, quantity, returnflag, shipdate, brand (in
+    the scope of ``Once``, those it was asked for)."""
+    once = _ONCE.get()
+    lp = once.lines() if once and once.sf_dir == sf_dir else _branded(spark, sf_dir)
     return lp.select(
         F.col("l_orderkey").alias("SampleID"),
         F.when(F.col("p_brand") == UNID_BRAND, F.lit("UnID")).otherwise(F.col("p_brand")).alias("Taxa"),
         F.when(F.col("l_linenumber") == 1, F.lit(0.0)).otherwise(F.col("l_quantity")).alias("Length"),
         F.lit(1.0).alias("Frequency"),
-        F.col("l_linenumber").alias("linenumber"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
-        F.col("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_returnflag").alias("returnflag"),
-        F.col("l_shipdate").alias("shipdate"),
+        *[F.col(c).alias(name) for name, c in LINE_COLUMNS.items() if c in lp.columns],
         F.col("p_brand").alias("brand"),
     )
 

@@ -288,8 +288,9 @@ def tmm(t: Tables, species: DataFrame) -> SurveyResult:
 
 # -- K6 SLS ----------------------------------------------------------------------------
 
-def sls(t: Tables, species: DataFrame) -> SurveyResult:
-    """K6: Smelt Larva Survey (J6 full-outer chain, J5 calibration, A8)."""
+def sls(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
+    """K6: Smelt Larva Survey (J6 full-outer chain, J5 calibration, A8).
+    ``keep`` gets the four tables of the chain; the lengths are read twice."""
     t = ingest("sls", t)
     water = _with_columns(t["Water Info"], {"NTU": "int", "FNU": "int"}).select(
         F.to_date("Date").alias("Date"), "Station", "TopEC", "BottomEC",
@@ -311,9 +312,9 @@ def sls(t: Tables, species: DataFrame) -> SurveyResult:
         F.col("Comments").alias("Notes_tow"))
     catch = t["Catch"].withColumn("Date", F.to_date("Date")).select("Date", "Station", "Tow", "FishCode", "Catch")
     ln = t["Lengths"].withColumn("Date", F.to_date("Date"))
-    ln = expand.length_frequency(ln, ["Date", "Station", "Tow", "FishCode"], "Length")
+    ln = keep(expand.length_frequency(ln, ["Date", "Station", "Tow", "FishCode"], "Length"))
     ln = windows.total_over(ln, ["Date", "Station", "Tow", "FishCode"], "LengthFrequency", "TotalLengthMeasured")
-    d = joins.full_outer_chain([(water, []), (tow, ["Date", "Station"]), (catch, ["Date", "Station", "Tow"]),
+    d = joins.full_outer_chain([(keep(water), []), (keep(tow), ["Date", "Station"]), (keep(catch), ["Date", "Station", "Tow"]),
                                 (ln, ["Date", "Station", "Tow", "FishCode"])])
     d = joins.to_taxa(d, species, "FishCode", "SLS_Code")
     d = joins.lookup(d, t["SLS Stations"], ["Station"])

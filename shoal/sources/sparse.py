@@ -32,21 +32,23 @@ from shoal.operators.filters import length_window, slice_filter
 KEY = "SampleID"
 
 
-def write_bucketed(df: DataFrame, path: str, buckets: int, partition_by: str = "Source") -> None:
+def write_bucketed(df: DataFrame, path: str, buckets: int, partition_by: str | None = "Source", key: str = KEY) -> None:
     """A folder of Parquet files bucketed and sorted by sample: one file for a
     bucket and source, written by one task."""
-    name = _table_name(path)
-    (df.repartition(buckets, KEY).write.mode("overwrite").option("compression", "zstd").option("path", path)
-     .partitionBy(partition_by).bucketBy(buckets, KEY).sortBy(KEY).format("parquet").saveAsTable(name))
+    name = table_name(path)
+    w = df.repartition(buckets, key).write.mode("overwrite").option("compression", "zstd").option("path", path)
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(name)
 
 
-def _table_name(path: str) -> str:
+def table_name(path: str) -> str:
     return "shoal_" + hashlib.md5(path.encode()).hexdigest()[:20]
 
 
 def read_bucketed(spark: SparkSession, path: str, buckets: int, partition_by: str = "Source") -> DataFrame:
     """The folder as a table that knows its buckets, in whatever session."""
-    name = _table_name(path)
+    name = table_name(path)
     if not spark.catalog.tableExists(name):
         schema = spark.read.parquet(path).schema
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
