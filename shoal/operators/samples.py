@@ -15,6 +15,8 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoal.session import as_is
+
 ROW, SAMPLE = "_row", "_sample"
 
 
@@ -25,13 +27,15 @@ def _only(col: str | Column, what: str) -> Column:
 
 
 def split(df: DataFrame, catch_cols: Sequence[str], sample: str = "SampleID",
-          hashed: Callable[..., Column] = F.xxhash64) -> tuple[DataFrame, DataFrame]:
+          hashed: Callable[..., Column] = F.xxhash64,
+          keep: Callable[[DataFrame], DataFrame] = as_is) -> tuple[DataFrame, DataFrame]:
     """``(catch, attributes)``: rows of ``_row, _sample`` and ``catch_cols``,
-    and one row for each ``_row`` with the other columns."""
+    and one row for each ``_row`` with the other columns.  ``keep`` gets the
+    attribute rows, which are read twice."""
     attributes = [c for c in df.columns if c not in catch_cols]
     keyed = df.withColumn(ROW, hashed(*[F.col(c) for c in attributes])).withColumn(SAMPLE, hashed(F.col(sample)))
-    rows = (keyed.groupBy(ROW).agg(F.min(SAMPLE).alias(SAMPLE), _only(F.struct(*attributes), "attribute rows").alias("_a"))
-            .select(ROW, SAMPLE, *[F.col(f"_a.{c}").alias(c) for c in attributes]))
+    rows = keep(keyed.groupBy(ROW).agg(F.min(SAMPLE).alias(SAMPLE), _only(F.struct(*attributes), "attribute rows").alias("_a"))
+                .select(ROW, SAMPLE, *[F.col(f"_a.{c}").alias(c) for c in attributes]))
     ids = rows.groupBy(SAMPLE).agg(_only(sample, "samples").alias(sample))
     return keyed.select(ROW, SAMPLE, *catch_cols), rows.drop(sample).join(ids, SAMPLE).drop(SAMPLE)
 
