@@ -410,8 +410,8 @@ def edsm(t: Tables, species: DataFrame, keep: Keep = as_is) -> SurveyResult:
 def djfmp(t: Tables, species: DataFrame, check_species: bool = True, keep: Keep = as_is) -> SurveyResult:
     """K9: Delta Juvenile Fish Monitoring Program.  When the plan runs it
     stops on organism codes the crosswalk does not know (Q15), except the
-    empty-net code.  ``keep`` gets the rows as read and merged, each
-    read twice."""
+    empty-net code.  ``keep`` gets the rows as read, the attribute rows and
+    the merged ones, each read twice."""
     t = ingest("djfmp", t)
     d = t["DJFMP"]
     d = filters.drop_conditions(d, "GearConditionCode", BAD_GEAR_CONDITIONS)
@@ -436,7 +436,7 @@ def djfmp(t: Tables, species: DataFrame, check_species: bool = True, keep: Keep
                                                             F.col("Date").cast("string")),
                                                  "Station", "TowNumber", "Method")))
     d = _plus_count_groups(d).drop("Time", "MarkCode", "RaceByLength", "Conductivity")
-    d, attributes = samples.split(keep(d), ["OrganismCode", "Length", "Count", "Group"])
+    d, attributes = samples.split(keep(d), ["OrganismCode", "Length", "Count", "Group"], keep=keep)
     d = expand.expand_plus_count_group(d, [samples.SAMPLE, "OrganismCode", "Group"], keep=keep)
     d = joins.lookup(samples.attach(d.drop("Group"), attributes), t["DJFMP_stations"].withColumnRenamed("StationCode", "Station"),
                      ["Station"])
