@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.plans import roles
+from shoal.plans import catalog, roles, surveys
 from shoal.session import materialise
 from tests.conftest import rows
 
@@ -78,3 +78,25 @@ def test_kept_tables_leave_no_shuffle_files(spark):
 
 
 @pytest.mark.parametrize("most,at_once", [(-1, 1), (1 << 40, 2)])
+def test_jobs_on_large_tables_take_turns(spark, tmp_path, monkeypatch, most, at_once):
+    running, seen, lock = [0], [], threading.Lock()
+
+    class Slow(catalog.Stored):
+        def __call__(self, df):
+            with lock:
+                running[0] += 1
+                seen.append(running[0])
+            time.sleep(0.5)
+            with lock:
+                running[0] -= 1
+            return df
+
+    def job(tables, species, keep):
+        return surveys.SurveyResult(keep(tables).withColumn("Source", F.lit("a")), None)
+
+    monkeypatch.setattr(catalog, "Stored", Slow)
+    monkeypatch.setattr(catalog, "SIDE_BY_SIDE", most)
+    monkeypatch.setattr(catalog, "SURVEY_JOBS", {n: (job, lambda s, d: (s.range(5), None)) for n in ("edsm", "djfmp")})
+    monkeypatch.setattr(catalog, "_PUBLISHED", {})
+    out = catalog._published(spark, str(tmp_path))
+    assert {n: df.count() for n, df in out.items()} == {"edsm": 5, "djfmp": 5} and max(seen) == at_once
