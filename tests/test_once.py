@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoal.plans import catalog, roles, surveys
 from shoal.session import materialise
+from shoal.sources.io import publish
 from tests.conftest import rows
 
 
@@ -77,6 +78,22 @@ def test_kept_tables_leave_no_shuffle_files(spark):
     assert not files() - before and kept.count() == 7
 
 
+def test_rows_of_a_sample_lie_together(spark, tmp_path):
+    df = spark.createDataFrame([(f"s{k % 5}", "a", float(k)) for k in range(40)], "SampleID string, Source string, Count double")
+    publish(df.coalesce(1), str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    found = [r.SampleID for r in back.collect()]
+    assert rows(back, "SampleID", "Source", "Count") == rows(df) and found == sorted(found)
+
+
+def test_finished_rows_are_dealt_by_sample(spark):
+    df = spark.createDataFrame([("s1", "A", 1.0, 2.0), ("s1", "A", 1.0, 3.0), (None, "A", 1.0, 1.0), (None, "A", 1.0, 4.0)],
+                               "SampleID string, Taxa string, Length double, Count double")
+    assert rows(surveys._finish(df, df.columns)) == [(None, "A", 1.0, 5.0), ("s1", "A", 1.0, 5.0)]
+    plan = surveys._finish(df, df.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(SampleID" in plan
+
+
 @pytest.mark.parametrize("most,at_once", [(-1, 1), (1 << 40, 2)])
 def test_jobs_on_large_tables_take_turns(spark, tmp_path, monkeypatch, most, at_once):
     running, seen, lock = [0], [], threading.Lock()
