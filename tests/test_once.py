@@ -1,4 +1,5 @@
 import glob
+import re
 import threading
 import time
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoal.plans import catalog, roles, surveys
+from shoal.plans.integrate import integrate
 from shoal.session import materialise
 from shoal.sources.io import publish
 from tests.conftest import rows
@@ -117,3 +119,15 @@ def test_jobs_on_large_tables_take_turns(spark, tmp_path, monkeypatch, most, at_
     monkeypatch.setattr(catalog, "_PUBLISHED", {})
     out = catalog._published(spark, str(tmp_path))
     assert {n: df.count() for n, df in out.items()} == {"edsm": 5, "djfmp": 5} and max(seen) == at_once
+
+
+def test_fill_of_kept_fish_shuffles_no_sample(spark):
+    data = [("A", "s1", "x", 1.0, 2.0), ("A", "s1", "x", 1.0, 2.0), ("A", "s2", "y", None, None), ("A", None, "x", 3.0, 1.0),
+            ("A", "s3", None, None, 0.0)]
+    df = spark.createDataFrame(data, "Source string, SampleID string, Taxa string, Length double, Count double")
+    cols = ["SampleID", "Taxa", "Length", "Count"]
+    filled = integrate({"a": df}, keep=catalog._by_sample).fish
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(SampleID" not in plan and "Exchange hashpartitioning(Source#" in plan
+    assert not re.search(r"Exchange hashpartitioning\([^)]*SampleID", plan)
+    assert rows(filled, *cols) == rows(integrate({"a": df}).fish, *cols) and filled.count() == 8
